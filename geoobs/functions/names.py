@@ -114,7 +114,7 @@ def split_variable(name: ColumnLike) -> tuple[Column, Column]:
     )
     root = F.get(F.filter(prefixes, lambda p: F.array_contains(known, p)), 0)
     suffix = F.when(root.isNull(), "").otherwise(
-        F.expr("substring") if False else F.substring(base, F.length(root) + 2, F.length(base))
+        F.substring(base, F.length(root) + 2, F.length(base))
     )
     return F.coalesce(root, base), suffix
 
@@ -132,10 +132,12 @@ def describe_variable(name: ColumnLike) -> Column:
     texts = _literal_map(S.SUFFIX_TEXT)
 
     def titled(text: Column) -> Column:
-        return F.initcap(F.lower(F.replace(text, F.lit("_"), F.lit(" "))))
+        # A letter after any non-letter is capitalised, so "T2M" becomes "T2M" and "CO2_X" "Co2 X".
+        words = F.split(F.lower(F.replace(text, F.lit("_"), F.lit(" "))), "(?<=[^a-z])(?=[a-z])")
+        return F.array_join(F.transform(words, F.initcap), "")
 
     def with_suffix(base: Column, suf: Column) -> Column:
-        text = F.coalesce(F.get(F.array(texts[suf]), 0), F.replace(suf, F.lit("_"), F.lit(" ")))
+        text = F.coalesce(F.try_element_at(texts, suf), F.replace(suf, F.lit("_"), F.lit(" ")))
         return F.when(suf == "", base).otherwise(F.concat(base, F.lit(" ("), text, F.lit(")")))
 
     plain = with_suffix(F.coalesce(F.try_element_at(long_names, root), titled(root)), suffix)
