@@ -33,7 +33,6 @@ def constant_columns(df: DataFrame, keys: list[str], candidates: list[str]) -> D
     items = []
     for c in candidates:
         col = F.col(c)
-        same = F.min(col).eqNullSafe(F.max(col)) & F.count(col).isin(F.lit(0), total)
         same = (F.count(col) == 0) | ((F.count(col) == total) & (F.min(col) == F.max(col)))
         items.append(
             F.struct(

@@ -97,7 +97,8 @@ def scatter(
     axis: each union timestamp holds one map of the stations that observed it and is laid out along
     the axis, without joining stations to times.
     """
-    cells = last_row_wins(df, [ts, station], order, [value])
+    listed = df.filter(F.col(station).isin(stations))
+    cells = last_row_wins(listed, [ts, station], order, [value])
     observed = F.map_from_entries(F.collect_list(F.struct(station, value)))
     axis = F.array(*[F.lit(s) for s in stations])
     rows = cells.groupBy(ts).agg(observed.alias("_m"))
