@@ -157,15 +157,40 @@ def canonical_json(text: pd.Series) -> pd.Series:
     )
 
 
-def graph_document(passports: DataFrame, id_column: str) -> DataFrame:
+def graph_document(passports: DataFrame, id_column: str, vocabulary: str = "") -> DataFrame:
     """``document`` and ``sha256``: the JSON-LD graph of each passport row with its own checksum.
 
-    The checksum covers the canonical text with the checksum field set to null.
+    Optional columns: ``stations`` (array of ids), ``queries`` and ``entities`` (arrays of JSON
+    texts) and ``entity_ids``. ``vocabulary`` is the prefix of the passport's own type. The checksum
+    covers the canonical text with the checksum field set to null.
     """
-    part_ids = F.transform("has_part", lambda p: F.struct(p["id"].alias("@id")))
-    node = F.struct(
+    none = F.array().cast("array<string>")
+
+    def optional(name: str):
+        return F.coalesce(F.col(name), none) if name in passports.columns else none
+
+    def listed(*texts):
+        return F.concat(F.lit("["), F.array_join(F.concat(*texts), ","), F.lit("]"))
+
+    def as_json(items):
+        return F.transform(items, lambda x: F.to_json(x))
+
+    parts = F.coalesce("has_part", F.array().cast(passports.schema["has_part"].dataType))
+    links = as_json(F.transform(parts, lambda p: F.struct(p["id"].alias("@id"))))
+    full = as_json(F.transform(parts, lambda p: F.struct(
+        p["id"].alias("@id"),
+        F.element_at(F.split(p["id"], "/"), -1).alias("name"),
+        p["id"].alias("zarr_path"),
+        p["manifest_sha256"].alias("sha256"),
+        p["size_bytes"].alias("sizeInBytes"),
+        p["chunk_count"].alias("chunkCount"),
+    )))
+    entity_links = as_json(F.transform(
+        optional("entity_ids"), lambda e: F.struct(e.alias("@id"))
+    ))
+    scalars = F.to_json(F.struct(
         F.col(id_column).alias("@id"),
-        F.array(F.lit("Dataset"), F.lit("DataPassport")).alias("@type"),
+        F.array(F.lit("Dataset"), F.lit(f"{vocabulary}DataPassport")).alias("@type"),
         F.col("name"),
         F.lit("").alias("url"),
         F.col("session_start").alias("dateAccessed"),
@@ -175,21 +200,22 @@ def graph_document(passports: DataFrame, id_column: str) -> DataFrame:
             "agent"),
         F.col("accessed_groups").alias("accessedGroups"),
         F.col("accessed_arrays").alias("accessedArrays"),
-        part_ids.alias("hasPart"),
+        optional("stations").alias("stations"),
         F.col("total_bytes").alias("totalBytesServed"),
         F.col("total_chunks").alias("totalChunks"),
         F.struct(F.col("is_part_of").alias("@id")).alias("isPartOf"),
         F.col("citation"),
         F.lit(None).cast("string").alias("passportSha256"),
+    ), {"ignoreNullFields": "false"})
+    # Nodes differ in shape, so they are serialised apart and joined as JSON text.
+    node = F.concat(
+        F.regexp_replace(scalars, "[}]$", ""), F.lit(',"query":'), listed(optional("queries")),
+        F.lit(',"hasPart":'), listed(full, entity_links), F.lit("}"),
     )
-    root = F.struct(
-        F.lit("./").alias("@id"), F.lit("Dataset").alias("@type"), part_ids.alias("hasPart")
-    )
-    # Nodes differ in shape, so they are serialised one by one and joined as JSON text.
-    opts = {"ignoreNullFields": "false"}
+    root = F.concat(F.lit('{"@id":"./","@type":"Dataset","hasPart":'), listed(links), F.lit("}"))
     body = F.concat(
-        F.lit('{"@context":["https://w3id.org/ro/crate/1.1/context"],"@graph":['),
-        F.to_json(root, opts), F.lit(","), F.to_json(node, opts), F.lit("]}"),
+        F.lit('{"@context":["https://w3id.org/ro/crate/1.1/context"],"@graph":'),
+        listed(F.array(root, node), optional("entities")), F.lit("}"),
     )
     doc = passports.withColumn("_text", canonical_json(body))
     sha = F.sha2(F.col("_text"), 256)
