@@ -1,7 +1,6 @@
 """Half-hourly to yearly flux CSV files, and archives of them.
 
-Only the two header lines of a file are looked at outside Spark; files that share a header are read
-in one scan.
+Files that share a header are read in one scan; only the distinct headers reach the driver.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,21 +22,19 @@ from ..operators import reshape
 def headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """(path, columns) of each file; a header that is wrapped over two lines is joined.
 
-    Runs on the executors. Only the start of each file is fetched from the scan.
+    Header lines are the ones that do not start with a run of digits, so a text scan finds them in
+    any split without holding a file; each file contributes one or two lines.
     """
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
-
-    def peek(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for path, content in zip(batch["path"], batch["content"]):
-                with io.TextIOWrapper(io.BytesIO(content), "utf-8", errors="replace") as lines:
-                    one, two = next(lines, "").rstrip("\r\n"), next(lines, "").rstrip("\r\n")
-                wrapped = not two.split(",")[0].strip().isdigit()
-                rows.append((path, ((one + two) if wrapped and two else one).split(",")))
-            yield pd.DataFrame(rows, columns=["path", "columns"])
-
-    return files.mapInPandas(peek, "path string, columns array<string>")
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"),
+        ).alias("l"),
+    )
+    names_only = lines.filter(~F.regexp_like("l.line", F.lit("^ *[0-9]+ *(,|$)")))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda l: l["line"]), "")
+    return names_only.groupBy("path").agg(F.split(joined, ",").alias("columns"))
 
 
 def read_flux(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
@@ -104,9 +101,9 @@ def sibling_files(files: DataFrame, path: str) -> DataFrame:
     return files.withColumns({"freq": code, "series": series})
 
 
-def needed_member(name: str | F.Column) -> F.Column:
+def needed_member(name: str) -> Column:
     """Archive members that hold a product, whatever folder they sit in."""
-    base = F.element_at(F.split(F.col(name) if isinstance(name, str) else name, "/"), -1)
+    base = F.element_at(F.split(F.col(name), "/"), -1)
     pattern = rf"(?i)^ICOSETC_[^_]+-[^_]+_{S.MEMBER_PATTERN}"
     return F.regexp_like(base, F.lit(pattern))
 
@@ -142,7 +139,3 @@ def archive_lines(spark: SparkSession, paths: list[str] | str, size: int = 1 <<
                             yield pd.DataFrame(rows, columns=cols)
 
     return files.mapInPandas(unpack, "archive string, member string, line_no bigint, line string")
-
-
-def is_member(name: str) -> F.Column:
-    return needed_member(name)
