@@ -126,38 +126,61 @@ _LABEL_TYPES = {n: "int" if n in ("soil_layer", "r", "h", "v", "level") else "st
                 for n in S.FLUX_LABELS}
 
 
-def _stat_column(role: ColumnRole | None, stat: str) -> Column:
-    if role is None:
-        return F.lit(None).cast("double")
-    col = F.col(f"`{role.column}`")
-    if stat == "qc":
-        return clean.clean_qc(col).cast("double")
-    return clean.clean_value(col)
+def pick(roles: list[ColumnRole], *variables: str, **labels) -> list[ColumnRole]:
+    """Roles of some variables and labels; the scan then reads only their columns."""
+    return [
+        r for r in roles
+        if (not variables or r.variable in variables)
+        and all(r.label(k) == v for k, v in labels.items())
+    ]
 
 
 def to_long(
-    df: DataFrame, keys: list[str], roles: list[ColumnRole], keep_missing: bool = False
+    df: DataFrame, keys: list[str], roles: list[ColumnRole], keep_missing: bool = False,
+    stored: dict[tuple[str, str], str] | None = None,
 ) -> DataFrame:
-    """One row per key, variable and label coordinates with all statistics side by side."""
-    names = resolve_names(roles)
+    """One row per key, variable and label coordinates with all statistics side by side.
+
+    The exploded structs carry the cell number and raw values only. Labels come from a constant
+    array and values are cleaned once after the explode, which keeps the generated code small
+    however wide the product is. ``stored`` holds the variable names of the whole header when
+    ``roles`` is a part of it.
+    """
+    names = stored or resolve_names(roles)
     cells: dict[tuple, dict[str, ColumnRole]] = defaultdict(dict)
     for role in roles:
         coords = tuple(role.label(n) for n in S.FLUX_LABELS)
-        stat = "sd" if role.stat == "sd" else role.stat
-        cells[(names[role.family, role.variable], *coords)][stat] = role
-    structs = []
-    for (variable, *coords), by_stat in cells.items():
-        fields = [F.lit(variable).alias("variable")]
-        fields += [
-            F.lit(value).cast(_LABEL_TYPES[name]).alias(name)
-            for name, value in zip(S.FLUX_LABELS, coords)
-        ]
-        fields += [_stat_column(by_stat.get(stat), stat).alias(stat) for stat in S.FLUX_STATS]
-        structs.append(F.struct(*fields))
-    out = df.select(*keys, F.explode(F.array(*structs)).alias("cell")).select(*keys, "cell.*")
-    if keep_missing:
-        return out
-    return out.filter(F.coalesce(*[F.col(s) for s in S.FLUX_STATS]).isNotNull())
+        cells[(names[role.family, role.variable], *coords)][role.stat] = role
+    stats = [s for s in S.FLUX_STATS if any(s in by_stat for by_stat in cells.values())]
+
+    def raw(role: ColumnRole | None) -> Column:
+        if role is None:
+            return F.lit(None).cast("double")
+        return F.col(f"`{role.column}`").try_cast("double")
+
+    labels = F.array(*[
+        F.struct(
+            F.lit(variable).alias("variable"),
+            *[F.lit(v).cast(_LABEL_TYPES[n]).alias(n) for n, v in zip(S.FLUX_LABELS, coords)],
+        )
+        for variable, *coords in cells
+    ])
+    structs = [
+        F.struct(F.lit(i).alias("_i"), *[raw(by_stat.get(s)).alias(s) for s in stats])
+        for i, by_stat in enumerate(cells.values())
+    ]
+    rows = df.select(*keys, F.explode(F.array(*structs)).alias("_cell")).select(*keys, "_cell.*")
+    cleaned = {
+        s: clean.clean_qc(s).cast("double") if s == "qc" else clean.clean_value(s) for s in stats
+    }
+    rows = rows.withColumns(cleaned)
+    if not keep_missing:
+        rows = rows.filter(F.coalesce(*stats).isNotNull())
+    out = rows.withColumn("_label", F.get(labels, F.col("_i")))
+    return out.select(
+        *keys, "_label.*",
+        *[F.col(s) if s in stats else F.lit(None).cast("double").alias(s) for s in S.FLUX_STATS],
+    )
 
 
 def pivot_wide(

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["clean"]
+AREAS = ["clean", "select", "reshape", "join"]
 
 
 def load():
