@@ -2,32 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names
 
 
-def manifest(chunks: DataFrame, keys: list[str], array: str, sha: str, size: str) -> DataFrame:
+def manifest(
+    chunks: DataFrame, keys: list[str], array: str, sha: str, size: str,
+    carry: dict[str, Callable[[str], Column]] | None = None,
+) -> DataFrame:
     """Per array: chunk count, bytes and SHA-256 of its sorted, newline-joined chunk digests.
 
     Repeated deliveries of a chunk are added up before the shuffle. The digest itself is defined over
     one byte sequence; it is fed from sorted batches in constant memory, so no list is ever built.
+    ``carry`` names further columns with the aggregate that keeps them.
     """
-    group = [*keys, array]
+    group, carry = [*keys, array], carry or {}
+    kept = [agg(c).alias(c) for c, agg in carry.items()]
     counted = chunks.groupBy(*group, sha).agg(
-        F.count("*").alias("_n"), F.sum(size).alias("_b")
+        F.count("*").alias("_n"), F.sum(size).alias("_b"), *kept
     )
     totals = counted.groupBy(*group).agg(
         F.sum("_n").cast("bigint").alias("chunk_count"),
-        F.sum("_b").cast("bigint").alias("size_bytes"),
+        F.sum("_b").cast("bigint").alias("size_bytes"), *kept,
     )
     return totals.join(sorted_digest(counted, group, sha, "_n", "manifest_sha256"), group)
 
 
+def detailed_manifest(
+    chunks: DataFrame, keys: list[str], ts: str = "ts", sha: str = "sha256", size: str = "size"
+) -> DataFrame:
+    """Manifest rows that also keep the group, the array name and the time span of each array."""
+    times = chunks.withColumns({"first_ts": F.col(ts), "last_ts": F.col(ts)})
+    carry = {"first_ts": F.min, "last_ts": F.max, "group": F.max, "array": F.max}
+    return manifest(times, keys, "array_path", sha, size, carry)
+
+
 def sorted_digest(df: DataFrame, group: list[str], item: str, count: str, name: str) -> DataFrame:
     """SHA-256 of the sorted items of each group, each repeated ``count`` times."""
     fields = df.select(*group).schema
@@ -96,53 +110,46 @@ def source_objects(entities: DataFrame, session: str, details: DataFrame) -> Dat
     ).select(session, F.col("source_doi").alias("id"), "_d.*")
 
 
-def assemble(
-    totals: DataFrame, manifest_rows: DataFrame, groups: DataFrame, arrays: DataFrame,
-    provenance: DataFrame, keys: list[str],
-) -> DataFrame:
-    """Passport rows: session totals with accessed names, parts and the group they belong to.
+def assemble(manifest_rows: DataFrame, provenance: DataFrame, keys: list[str]) -> DataFrame:
+    """Passport rows from ``detailed_manifest`` rows: totals, accessed names, parts and origin.
 
-    The nested lists hold distinct names of one session, bounded by the arrays a store has, never by
-    the number of chunks served.
-    ``provenance(group, source_doi, citation)`` describes the groups that have metadata.
+    Everything is one aggregate over manifest rows, so chunks are read once. The nested lists hold
+    the arrays of one session, bounded by what a store has, never by the number of chunks served.
+    ``provenance(group, source_doi, citation)`` describes the groups that have metadata; the first
+    such group of a session, in name order, is its origin.
     """
-    parts = manifest_rows.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(
-            F.col("array_path").alias("id"), "chunk_count", "size_bytes", "manifest_sha256",
-        ))).alias("has_part")
-    )
-    g = groups.groupBy(*keys).agg(F.sort_array(F.collect_set("group")).alias("accessed_groups"))
-    a = arrays.groupBy(*keys).agg(F.sort_array(F.collect_set("array")).alias("accessed_arrays"))
     top = F.element_at(F.split("group", "/"), 1)
-    known = groups.select(*keys, "group", top.alias("_top")).join(
-        provenance.withColumnRenamed("group", "_top"), "_top"
+    known = provenance.select(
+        F.col("group").alias("_top"), F.struct("source_doi", "citation").alias("_origin")
     )
-    origin = known.groupBy(*keys).agg(
-        F.min_by(F.struct("source_doi", "citation"), "group").alias("_o")
-    ).select(*keys, F.col("_o.source_doi").alias("is_part_of"), F.col("_o.citation"))
-    out = totals
-    for extra in (parts, g, a, origin):
-        out = out.join(extra, keys, "left")
-    none = F.array().cast("array<string>")
-    day = F.date_format("session_start", "yyyy-MM-dd")
-    shown = F.array_join(
-        F.slice(F.coalesce("accessed_arrays", none), 1, 5), ", "
+    rows = manifest_rows.withColumn("_top", top).join(known, "_top", "left")
+    part = F.struct(
+        F.col("array_path").alias("id"), "chunk_count", "size_bytes", "manifest_sha256"
+    )
+    has_origin = F.when(F.col("_origin").isNotNull(), F.col("group"))
+    out = rows.groupBy(*keys).agg(
+        F.min("first_ts").alias("_start"), F.max("last_ts").alias("_end"),
+        F.sum("size_bytes").cast("bigint").alias("total_bytes"),
+        F.sum("chunk_count").cast("bigint").alias("total_chunks"),
+        F.array_sort(F.collect_list(part)).alias("has_part"),
+        F.sort_array(F.collect_set("group")).alias("accessed_groups"),
+        F.sort_array(F.collect_set("array")).alias("accessed_arrays"),
+        F.min_by("_origin", has_origin).alias("_origin"),
     )
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    shown = F.array_join(F.slice("accessed_arrays", 1, 5), ", ")
     return out.select(
         *keys,
-        F.concat(F.lit("Data access passport — "), shown, F.lit(" ("), day, F.lit(")")).alias(
-            "name"),
-        F.date_format("session_start", iso).alias("session_start"),
-        F.date_format("session_end", iso).alias("session_end"),
+        F.concat(
+            F.lit("Data access passport — "), shown, F.lit(" ("),
+            F.date_format("_start", "yyyy-MM-dd"), F.lit(")"),
+        ).alias("name"),
+        F.date_format("_start", iso).alias("session_start"),
+        F.date_format("_end", iso).alias("session_end"),
         names.anonymise_ip("ip").alias("ip_anonymised"),
-        F.coalesce("accessed_groups", none).alias("accessed_groups"),
-        F.coalesce("accessed_arrays", none).alias("accessed_arrays"),
-        "has_part",
-        F.col("n_bytes").alias("total_bytes"),
-        F.col("n_chunks").alias("total_chunks"),
-        F.coalesce("is_part_of", F.lit("")).alias("is_part_of"),
-        F.coalesce("citation", F.lit("")).alias("citation"),
+        "accessed_groups", "accessed_arrays", "has_part", "total_bytes", "total_chunks",
+        F.coalesce("_origin.source_doi", F.lit("")).alias("is_part_of"),
+        F.coalesce("_origin.citation", F.lit("")).alias("citation"),
     )
 
 

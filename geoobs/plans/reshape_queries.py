@@ -34,18 +34,20 @@ _AGG = ("count(*) AS n_rows, count(value) AS n_values, round(avg(value), 6) AS m
         "round(avg(qc), 6) AS mean_qc")
 
 
-@query("column_roles", """
-SELECT * FROM (VALUES ('GPP', 'partitioned', 1), ('CO2_DRY', 'level', 3), ('G_1', 'plain', 1),
- ('LE_CORR', 'energy', 3), ('NEE', 'nee', 6), ('NEE_VUT_REF_RANDUNC_METHOD', 'plain', 1),
- ('RECO', 'partitioned', 2), ('SWC', 'soil', 1), ('TA', 'profile', 3), ('TA_F', 'plain', 1),
- ('TA_F_QC', 'plain', 1), ('TS', 'soil', 2)) AS v(variable, family, n_columns)
-WHERE (SELECT count(*) FROM lineitem) > 0""")
+@query("column_roles", f"""WITH {A.WIDE_SQL}, n AS (SELECT count(*) AS n, count(nullif("TA_F", -9999)) AS m FROM wide)
+SELECT variable, family, n_columns, CAST(cells * n AS BIGINT) AS n_rows FROM n, (VALUES ('CO2_DRY', 'level', 3, 2),
+ ('G_1', 'plain', 1, 1), ('LE_CORR', 'energy', 3, 3), ('NEE', 'nee', 6, 4), ('NEE_VUT_REF_RANDUNC_METHOD', 'plain', 1, 1),
+ ('RECO', 'partitioned', 2, 1), ('SWC', 'soil', 1, 1), ('TA', 'profile', 3, 1), ('TA_F_QC', 'plain', 1, 1),
+ ('TS', 'soil', 2, 1)) AS v(variable, family, n_columns, cells)
+UNION ALL SELECT variable, family, n_columns, m FROM n, (VALUES ('GPP', 'partitioned', 1), ('TA_F', 'plain', 1)) AS v(variable, family, n_columns)""")
 def column_roles(t):
     w = A.wide_flux(t)
     roles = reshape.classify_columns([c for c in w.columns if c not in A.WIDE_KEYS])
-    return reshape.mapping_table(t.spark, roles).groupBy("variable", "family").agg(
+    families = reshape.mapping_table(t.spark, roles).groupBy("variable", "family").agg(
         F.count("*").cast("int").alias("n_columns")
     )
+    rows = reshape.to_long(w, [], roles).groupBy("variable").agg(F.count("*").alias("n_rows"))
+    return families.join(rows, "variable")
 
 
 @query("nee_family", f"""WITH {A.WIDE_SQL}, long AS (

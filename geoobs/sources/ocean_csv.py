@@ -9,6 +9,10 @@ from .. import schema as S
 from ..functions import clean, names
 
 
+# Every break that ends a text line, the two-character one first.
+LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+
+
 def read_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """(file, line_no, line); each file is one row of the scan, so line numbers are exact."""
     files = spark.read.text(paths, wholetext=True).select(
@@ -18,7 +22,7 @@ def read_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 
 def split_lines(df: DataFrame, file: str, text: str) -> DataFrame:
-    lines = F.split(F.col(text), "\r\n|\r|\n")
+    lines = F.split(F.col(text), LINE_BREAK)
     return df.select(file, F.posexplode(lines).alias("line_no", "line"))
 
 
