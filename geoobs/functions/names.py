@@ -179,9 +179,8 @@ def group_path(key: ColumnLike) -> Column:
 
 
 def array_path(key: ColumnLike) -> Column:
-    """Group path and array name."""
-    g = group_path(key)
-    return F.when(g == "", array_name(key)).otherwise(F.concat(g, F.lit("/"), array_name(key)))
+    """Group path and array name: the key without its trailing chunk indices."""
+    return F.regexp_replace(_c(key), "(/[0-9.]+)+$", "")
 
 
 def is_chunk_index(part: ColumnLike) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import names
 
@@ -58,19 +59,14 @@ def sorted_digest(df: DataFrame, group: list[str], item: str, count: str, name:
         current, state = None, None
         for batch in batches:
             done = []
-            starts = batch[gid].ne(batch[gid].shift()).to_numpy().nonzero()[0].tolist()
-            for lo, hi in zip(starts, [*starts[1:], len(batch)]):
-                key = batch[gid].iat[lo]
+            for key, text, n in zip(batch[gid], batch["_item"], batch["_count"]):
                 if key != current:
                     if current is not None:
                         done.append((current, state.hexdigest()))
-                    current, state, first = key, hashlib.sha256(), True
-                else:
-                    first = False
-                for text, n in zip(batch["_item"].iloc[lo:hi], batch["_count"].iloc[lo:hi]):
-                    for _ in range(n):
-                        state.update(text.encode() if first else b"\n" + text.encode())
-                        first = False
+                    current, state, lead = key, hashlib.sha256(), b""
+                for _ in range(n):
+                    state.update(lead + text.encode())
+                    lead = b"\n"
             if done:
                 yield pd.DataFrame(done, columns=[gid, name])
         if current is not None:
@@ -153,7 +149,7 @@ def assemble(manifest_rows: DataFrame, provenance: DataFrame, keys: list[str]) -
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical_json(text: pd.Series) -> pd.Series:
     """JSON with sorted keys, no spaces and non-ASCII characters escaped."""
     import json

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["clean", "select", "reshape", "join", "aggregate", "window", "session", "catalog"]
+AREAS = ["clean", "select", "reshape", "join", "aggregate", "window", "session", "catalog", "stream"]
 
 
 def load():

@@ -168,8 +168,10 @@ def access(t: Tables) -> DataFrame:
         F.lit("S"), (F.col("k") % 4).cast("string"), F.lit("/"), F.col("event_type"), F.lit("/"),
         (F.col("k") % 3).cast("string"), F.lit("."), (F.col("k") % 2).cast("string")))
     return e.select(
-        F.col("event_id").alias("seq"), "ts", ip.alias("ip"),
-        F.when(F.col("k") < 50, "flux").otherwise("gas").alias("store"), key.alias("key"),
+        # Never NULL, so joins need no null filter that would repeat these expressions.
+        F.col("event_id").alias("seq"), "ts", F.coalesce(ip, F.lit("")).alias("ip"),
+        F.when(F.col("k") < 50, "flux").otherwise("gas").alias("store"),
+        F.coalesce(key, F.lit("")).alias("key"),
         F.floor(F.col("value") * 100).cast("bigint").alias("size"),
         F.sha2(F.concat(key, F.lit(":"), (F.col("k") % 10).cast("string")), 256).alias("sha256"),
         F.when(F.col("k") >= 95, "close").otherwise("chunk").alias("event"),

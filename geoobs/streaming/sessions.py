@@ -33,7 +33,7 @@ def closed_sessions(log: DataFrame, ts: str = "ts", idle: int = IDLE_SECONDS, si
     ).drop("w")
 
 
-_SUMMARY = "ip string, store string, first_us bigint, last_us bigint, n bigint, bytes bigint, kind string"
+_INSTANT = "ip string, store string, us bigint, n bigint, bytes bigint, closes boolean"
 _SESSION = (
     "ip string, store string, session_start timestamp, session_end timestamp, n_chunks bigint, "
     "n_bytes bigint, ended_by string"
@@ -41,78 +41,83 @@ _SESSION = (
 _STATE = "first_us bigint, last_us bigint, n bigint, bytes bigint"
 
 
-def _compact(idle_us: int):
-    """Per batch of rows: runs of requests without an idle pause or a close between them."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if b.empty:
-                continue
-            b = b.sort_values([*CLIENT, "us", "is_close"], kind="stable")
-            new_client = (b[CLIENT] != b[CLIENT].shift()).any(axis=1)
-            after_close = b["is_close"].shift(fill_value=False)
-            pause = b["us"].diff() > idle_us
-            b = b.assign(run=(new_client | after_close | pause | b["is_close"]).cumsum())
-            yield b.groupby("run", as_index=False).agg(
-                ip=("ip", "first"), store=("store", "first"), first_us=("us", "min"),
-                last_us=("us", "max"), n=("n", "sum"), bytes=("size", "sum"),
-                kind=("is_close", lambda s: "close" if s.iat[0] else "chunk"),
-            ).drop(columns="run")
-
-    return run
+def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Requests of one client at one instant as one row, before the shuffle."""
+    for b in batches:
+        if not b.empty:
+            yield b.groupby([*CLIENT, "us"], as_index=False, sort=False).agg(
+                n=("n", "sum"), bytes=("size", "sum"), closes=("is_close", "any")
+            )
 
 
 def closing_sessions(log: DataFrame, idle: int = IDLE_SECONDS, delay: str | None = None):
     """Sessions that end on idle time or on an explicit close event.
 
-    ``log`` needs ``ts, ip, store, size, event``. Each task first compacts its own requests to runs,
-    so the stateful step receives a few rows per client and batch and keeps four numbers of state.
+    ``log`` needs ``ts, ip, store, size, event``. The state of a client is four numbers; what a task
+    holds is bounded by the instants of one micro-batch. Requests at the instant of a close belong to
+    the session it ends. A close without an open session yields nothing.
     """
     idle_us = idle * 1_000_000
+    is_close = F.col("event") == "close"
     rows = log.withWatermark("ts", delay or f"{idle} seconds").select(
-        "ts", "ip", "store", F.coalesce("size", F.lit(0)).cast("bigint").alias("size"),
-        F.unix_micros("ts").alias("us"), (F.col("event") == "close").alias("is_close"),
-        F.when(F.col("event") == "close", 0).otherwise(1).cast("bigint").alias("n"),
+        "ip", "store", F.unix_micros("ts").alias("us"), is_close.alias("is_close"),
+        F.when(is_close, 0).otherwise(1).cast("bigint").alias("n"),
+        F.when(is_close, 0).otherwise(F.coalesce("size", F.lit(0))).cast("bigint").alias("size"),
     )
-    runs = rows.mapInPandas(_compact(idle_us), _SUMMARY)
-
-    def out(key, s, ended_by):
-        first, last, n, size = s
-        return (*key, pd.Timestamp(first, unit="us"), pd.Timestamp(last, unit="us"), n, size,
-                ended_by)
+    columns = [c.split()[0] for c in _SESSION.split(", ")]
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        done = []
-        current = state.get if state.exists else None
+        held = state.get if state.exists else None
         if state.hasTimedOut:
-            if current is not None:
-                done.append(out(key, current, "idle"))
             state.remove()
-        else:
-            # Runs of one client in this batch, not its requests.
-            runs = pd.concat(list(batches)).sort_values(["first_us", "kind"], kind="stable")
-            for r in runs.itertuples(index=False):
-                if r.kind == "close":
-                    if current is not None:
-                        done.append(out(key, current, "close"))
-                    current = None
-                elif current is None:
-                    current = (r.first_us, r.last_us, r.n, r.bytes)
-                elif r.first_us - current[1] > idle_us:
-                    done.append(out(key, current, "idle"))
-                    current = (r.first_us, r.last_us, r.n, r.bytes)
-                else:
-                    current = (min(current[0], r.first_us), max(current[1], r.last_us),
-                               current[2] + r.n, current[3] + r.bytes)
-            if current is None:
-                if state.exists:
-                    state.remove()
-            else:
-                state.update(tuple(int(x) for x in current))
-                state.setTimeoutDuration(idle * 1000)
-        if done:
-            yield pd.DataFrame(done, columns=[c.split()[0] for c in _SESSION.split(", ")])
-
-    return runs.groupBy(*CLIENT).applyInPandasWithState(
+            if held is not None:
+                yield finished(key, pd.DataFrame(
+                    [held], columns=["first", "last", "n", "bytes"]).assign(by="idle"))
+            return
+        seen = pd.concat([b[["us", "n", "bytes", "closes"]] for b in batches])
+        seen = seen.groupby("us", as_index=False).agg(
+            n=("n", "sum"), bytes=("bytes", "sum"), closes=("closes", "any"))
+        # Closes before each row; sums of one session share it.
+        seen["epoch"] = seen["closes"].cumsum() - seen["closes"]
+        closes = int(seen["closes"].sum())
+        rows = seen[seen["n"] > 0]
+        opens = (rows["us"].diff() > idle_us) | (rows["epoch"].diff() > 0)
+        runs = rows.groupby(opens.cumsum()).agg(
+            first=("us", "min"), last=("us", "max"), n=("n", "sum"), bytes=("bytes", "sum"),
+            epoch=("epoch", "first"),
+        )
+        if held is not None:
+            runs = pd.concat([
+                pd.DataFrame([(*held, 0)], columns=list(runs.columns)), runs], ignore_index=True)
+            if len(runs) > 1 and runs["epoch"].iat[1] == 0 and (
+                runs["first"].iat[1] - runs["last"].iat[0] <= idle_us
+            ):
+                both = runs.iloc[:2]
+                joined = (both["first"].min(), both["last"].max(), both["n"].sum(),
+                          both["bytes"].sum(), 0)
+                runs = pd.concat([
+                    pd.DataFrame([joined], columns=list(runs.columns)), runs.iloc[2:]])
+        later = runs["epoch"].shift(-1, fill_value=closes)
+        runs["by"] = (later > runs["epoch"]).map({True: "close", False: "idle"})
+        still_open = len(runs) > 0 and runs["by"].iat[-1] == "idle"
+        if still_open:
+            last = runs.iloc[-1]
+            state.update(tuple(int(last[c]) for c in ("first", "last", "n", "bytes")))
+            state.setTimeoutDuration(idle * 1000)
+            runs = runs.iloc[:-1]
+        elif state.exists:
+            state.remove()
+        if len(runs):
+            yield finished(key, runs)
+
+    def finished(key, runs: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({
+            "ip": key[0], "store": key[1],
+            "session_start": pd.to_datetime(runs["first"], unit="us"),
+            "session_end": pd.to_datetime(runs["last"], unit="us"),
+            "n_chunks": runs["n"], "n_bytes": runs["bytes"], "ended_by": runs["by"],
+        })[columns]
+
+    return rows.mapInPandas(_add_up, _INSTANT).groupBy(*CLIENT).applyInPandasWithState(
         step, _SESSION, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
     )
