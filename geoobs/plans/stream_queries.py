@@ -54,11 +54,11 @@ def stream_sessions_query(t):
  g AS (SELECT ip, store, session_no, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_chunks, sum(size)::BIGINT AS n_bytes, any_value(epoch) AS epoch, any_value(closes) AS closes FROM n GROUP BY ip, store, session_no)
 SELECT ip, store, session_start, session_end, n_chunks, n_bytes, CASE WHEN coalesce(lead(epoch) OVER v, closes) > epoch THEN 'close' ELSE 'idle' END AS ended_by FROM g
 WINDOW v AS (PARTITION BY ip, store ORDER BY session_no)
-QUALIFY lead(epoch) OVER v IS NOT NULL OR closes > epoch""")
+QUALIFY lead(epoch) OVER v IS NOT NULL OR closes > epoch OR session_end + INTERVAL {A.IDLE} SECOND < (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def stream_closing_sessions(t):
     """Sessions ended by a close event or by silence; those still open are not out yet."""
     log = A.access(_Stream(t.spark, t.sf_dir))
-    ended = stream_sessions.closing_sessions(log, idle=A.IDLE)
+    ended = stream_sessions.closing_sessions(log, idle=A.IDLE, delay="1 hour")
     return _plain(ingest.run_to_table(ended, "closing"), "session_start", "session_end")
 
 

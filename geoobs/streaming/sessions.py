@@ -33,7 +33,9 @@ def closed_sessions(log: DataFrame, ts: str = "ts", idle: int = IDLE_SECONDS, si
     ).drop("w")
 
 
-_INSTANT = "ip string, store string, us bigint, n bigint, bytes bigint, closes boolean"
+_INSTANT = (
+    "ip string, store string, ts timestamp, us bigint, n bigint, bytes bigint, closes boolean"
+)
 _SESSION = (
     "ip string, store string, session_start timestamp, session_end timestamp, n_chunks bigint, "
     "n_bytes bigint, ended_by string"
@@ -45,7 +47,7 @@ def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Requests of one client at one instant as one row, before the shuffle."""
     for b in batches:
         if not b.empty:
-            yield b.groupby([*CLIENT, "us"], as_index=False, sort=False).agg(
+            yield b.groupby([*CLIENT, "ts", "us"], as_index=False, sort=False).agg(
                 n=("n", "sum"), bytes=("size", "sum"), closes=("is_close", "any")
             )
 
@@ -55,12 +57,13 @@ def closing_sessions(log: DataFrame, idle: int = IDLE_SECONDS, delay: str | None
 
     ``log`` needs ``ts, ip, store, size, event``. The state of a client is four numbers; what a task
     holds is bounded by the instants of one micro-batch. Requests at the instant of a close belong to
-    the session it ends. A close without an open session yields nothing.
+    the session it ends. A close without an open session yields nothing. Silence is measured in
+    event time, so a replay gives the same sessions.
     """
     idle_us = idle * 1_000_000
     is_close = F.col("event") == "close"
-    rows = log.withWatermark("ts", delay or f"{idle} seconds").select(
-        "ip", "store", F.unix_micros("ts").alias("us"), is_close.alias("is_close"),
+    rows = log.select(
+        "ip", "store", "ts", F.unix_micros("ts").alias("us"), is_close.alias("is_close"),
         F.when(is_close, 0).otherwise(1).cast("bigint").alias("n"),
         F.when(is_close, 0).otherwise(F.coalesce("size", F.lit(0))).cast("bigint").alias("size"),
     )
@@ -99,11 +102,15 @@ def closing_sessions(log: DataFrame, idle: int = IDLE_SECONDS, delay: str | None
                     pd.DataFrame([joined], columns=list(runs.columns)), runs.iloc[2:]])
         later = runs["epoch"].shift(-1, fill_value=closes)
         runs["by"] = (later > runs["epoch"]).map({True: "close", False: "idle"})
-        still_open = len(runs) > 0 and runs["by"].iat[-1] == "idle"
+        if len(runs) and runs["by"].iat[-1] == "idle":
+            ends_ms = -(-int(runs["last"].iat[-1]) // 1000) + idle * 1000
+            still_open = ends_ms > state.getCurrentWatermarkMs()
+        else:
+            still_open = False
         if still_open:
             last = runs.iloc[-1]
             state.update(tuple(int(last[c]) for c in ("first", "last", "n", "bytes")))
-            state.setTimeoutDuration(idle * 1000)
+            state.setTimeoutTimestamp(ends_ms)
             runs = runs.iloc[:-1]
         elif state.exists:
             state.remove()
@@ -118,6 +125,7 @@ def closing_sessions(log: DataFrame, idle: int = IDLE_SECONDS, delay: str | None
             "n_chunks": runs["n"], "n_bytes": runs["bytes"], "ended_by": runs["by"],
         })[columns]
 
-    return rows.mapInPandas(_add_up, _INSTANT).groupBy(*CLIENT).applyInPandasWithState(
-        step, _SESSION, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+    instants = rows.mapInPandas(_add_up, _INSTANT).withWatermark("ts", delay or f"{idle} seconds")
+    return instants.groupBy(*CLIENT).applyInPandasWithState(
+        step, _SESSION, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
