@@ -15,7 +15,7 @@ def _group(col: Column, pattern: str, i: int) -> Column:
 
 def stem(path: ColumnLike) -> Column:
     """File name without folders and the last extension."""
-    return F.regexp_replace(F.element_at(F.split(_c(path), "/"), -1), r"\.[^.]*$", "")
+    return F.regexp_replace(F.substring_index(_c(path), "/", -1), r"\.[^.]*$", "")
 
 
 def freq_from_name(path: ColumnLike) -> Column:
@@ -163,24 +163,23 @@ def anonymise_ip(ip: ColumnLike) -> Column:
     return F.when(F.contains(ip, F.lit(":")), v6).otherwise(v4)
 
 
-# Optional group path, the array name, then chunk indices made of digits and dots only.
-CHUNK_KEY = r"^(?:(.*)/)?([^/]*[^0-9./][^/]*)(?:/[0-9.]+)*$"
+def array_path(key: ColumnLike) -> Column:
+    """Group path and array name: the key without its trailing indices of digits and dots.
+
+    When every component is numeric the first one remains.
+    """
+    return F.regexp_replace(_c(key), "(?:/[0-9.]+)+$", "")
 
 
 def array_name(key: ColumnLike) -> Column:
-    """Array a chunk key belongs to; the first component when all are numeric."""
-    key = _c(key)
-    name = F.regexp_extract(key, CHUNK_KEY, 2)
-    return F.when(name != "", name).otherwise(F.element_at(F.split(key, "/"), 1))
+    """Array a chunk key belongs to."""
+    return F.substring_index(array_path(key), "/", -1)
 
 
 def group_path(key: ColumnLike) -> Column:
-    return F.regexp_extract(_c(key), CHUNK_KEY, 1)
-
-
-def array_path(key: ColumnLike) -> Column:
-    """Group path and array name: the key without its trailing chunk indices."""
-    return F.regexp_replace(_c(key), "(/[0-9.]+)+$", "")
+    """Groups above the array; '' at the top."""
+    path = array_path(key)
+    return F.when(F.contains(path, F.lit("/")), F.regexp_replace(path, "/[^/]*$", "")).otherwise("")
 
 
 def is_chunk_index(part: ColumnLike) -> Column:
@@ -189,7 +188,7 @@ def is_chunk_index(part: ColumnLike) -> Column:
 
 def is_tracked(key: ColumnLike) -> Column:
     """False for metadata documents."""
-    return ~F.element_at(F.split(_c(key), "/"), -1).isin(S.METADATA_KEYS)
+    return ~F.substring_index(_c(key), "/", -1).isin(S.METADATA_KEYS)
 
 
 def pid_url(pid: ColumnLike) -> Column:

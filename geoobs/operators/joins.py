@@ -163,13 +163,35 @@ def instruments_of_variables(variables: DataFrame, deployments: DataFrame) -> Da
 
 
 def active_instrument(
-    obs: DataFrame, deployments: DataFrame, keys: list[str], ts: str
+    obs: DataFrame, deployments: DataFrame, keys: list[str], ts: str, bucket_days: int = 30
 ) -> DataFrame:
-    """Observations with the instrument mounted at their time (start <= t < stop or still open)."""
-    d = deployments.select(*keys, "instrument", "start", "stop")
+    """Observations with the instrument mounted at their time (start <= t < stop or still open).
+
+    Deployments are laid out over the time buckets they touch and joined on (keys, bucket), so an
+    observation meets only the instruments of its own bucket, not every one its position ever had.
+    An open deployment reaches to the last observed bucket.
+    """
+    width = bucket_days * 86_400_000_000
+
+    def bucket(t):
+        return F.floor(clean.micros(t) / F.lit(width))
+
+    rows = obs.withColumn("_b", bucket(ts))
+    span = rows.agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi")).withColumn(
+        "_one", F.lit(1)
+    )
+    d = deployments.select(*keys, "instrument", "start", "stop").withColumn("_one", F.lit(1))
+    # The observed span is one row and rides along as a constant key.
+    d = d.join(F.broadcast(span), "_one").withColumns({
+        "_from": F.greatest(bucket("start"), F.col("_lo")),
+        "_to": F.least(F.coalesce(bucket("stop"), F.col("_hi")), F.col("_hi")),
+    })
+    d = d.filter("_from <= _to").select(
+        *keys, "instrument", "start", "stop",
+        F.explode(F.sequence("_from", "_to")).alias("_b"),
+    )
     hit = (F.col(ts) >= F.col("start")) & (F.col("stop").isNull() | (F.col(ts) < F.col("stop")))
-    # The equi keys carry the join; the interval only filters within a key.
-    return obs.join(d, keys).filter(hit).drop("start", "stop")
+    return rows.join(d, [*keys, "_b"]).filter(hit).drop("start", "stop", "_b")
 
 
 def first_source(candidates: DataFrame, wanted: DataFrame, key: str, priority: str, columns):

@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 def exact_percentiles(
     df: DataFrame, keys: list[str], value: str, points: dict[str, float], bins: int = 512,
 ) -> DataFrame:
-    """One row per group with a column per entry of ``points`` (name -> fraction)."""
+    """One row per group with a column per entry of ``points`` (name -> fraction).
+
+    ``bins`` is a power of two.
+    """
     if not keys:
         return exact_percentiles(df.withColumn("_all", F.lit(0)), ["_all"], value, points, bins).drop(
             "_all"
@@ -33,12 +36,15 @@ def exact_percentiles(
         F.array_distinct(F.percentile_approx("_v", fractions, F.lit(4 * bins))).alias("_cuts"),
         F.sum("_c").alias("_total"),
     )
-    joined = cells.join(cuts, keys)
-    # Bin i holds cuts[i-1] <= v < cuts[i].
-    binned = joined.withColumn(
-        "_bin", F.aggregate("_cuts", F.lit(0), lambda n, c: n + F.when(c <= F.col("_v"), 1)
-                            .otherwise(0)),
-    )
+    # Bin i holds cuts[i-1] <= v < cuts[i]; found by halving, a step past the end counts as larger.
+    binned = cells.join(cuts, keys).withColumn("_bin", F.lit(0))
+    step = bins // 2
+    while step:
+        beyond = F.get("_cuts", F.col("_bin") + (step - 1)) <= F.col("_v")
+        binned = binned.withColumn(
+            "_bin", F.col("_bin") + F.when(beyond, F.lit(step)).otherwise(F.lit(0))
+        )
+        step //= 2
     hist = binned.groupBy(*keys, "_bin").agg(
         F.sum("_c").alias("_n"),
         F.min("_v").alias("_lo"),

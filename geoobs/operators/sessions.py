@@ -18,15 +18,18 @@ CLIENT = ["ip", "store"]
 
 
 def tracked(log: DataFrame) -> DataFrame:
-    """Chunk requests with the array and group they belong to."""
+    """Chunk requests with the array and group they belong to.
+
+    A key of one component counts as a chunk but names no group or array.
+    """
+    path = F.col("array_path")
     two_parts = F.contains("key", F.lit("/"))
-    return log.filter(names.is_tracked("key")).withColumns(
-        {
-            "array_path": names.array_path("key"),
-            # A key of one component counts as a chunk but names no group or array.
-            "array": F.when(two_parts, names.array_name("key")),
-            "group": F.when(two_parts, names.group_path("key")),
-        }
+    name = F.substring_index(path, "/", -1)
+    above = F.substring(path, F.lit(1), F.length(path) - F.length(name) - 1)
+    return (
+        log.filter(names.is_tracked("key"))
+        .withColumn("array_path", names.array_path("key"))
+        .withColumns({"array": F.when(two_parts, name), "group": F.when(two_parts, above)})
     )
 
 

@@ -319,8 +319,7 @@ WITH l AS (SELECT doc_id, unnest({_SPLIT}) AS line, unnest(range(0, len({_SPLIT}
 SELECT doc_id, count(*) AS n_lines, sum(length(line))::BIGINT AS n_chars, CAST(min(line_no) AS INTEGER) AS header_line FROM l JOIN h USING (doc_id) WHERE line_no >= head GROUP BY doc_id
 """)
 def skip_preamble(t):
-    lines = ocean_csv.split_lines(t.documents, "doc_id", "text")
-    return ocean_csv.skip_preamble(lines, "doc_id", "The").groupBy("doc_id").agg(
+    return ocean_csv.body_lines(t.documents, "doc_id", "text", "The").groupBy("doc_id").agg(
         F.count("*").alias("n_lines"), F.sum(F.length("line")).alias("n_chars"),
         F.min("line_no").alias("header_line"),
     )

@@ -118,8 +118,8 @@ def level_axis(t):
  UNION ALL {_cell("'NEE_VUT_REF_RANDUNC_METHOD'", '"NEE_VUT_REF_RANDUNC_METHOD"')})
 SELECT variable, {_AGG} FROM long WHERE value IS NOT NULL GROUP BY variable""")
 def plain_variables(t):
-    labelled = F.coalesce(*[F.col(c).cast("string") for c in S.FLUX_LABELS])
-    return _agg(_long(t).filter(labelled.isNull()), "variable")
+    plain = _long(t, "G_1", "TA_F", "TA_F_QC", "NEE_VUT_REF_RANDUNC_METHOD")
+    return _agg(plain, "variable")
 
 
 @query("name_collisions", """

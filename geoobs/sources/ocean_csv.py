@@ -26,8 +26,24 @@ def split_lines(df: DataFrame, file: str, text: str) -> DataFrame:
     return df.select(file, F.posexplode(lines).alias("line_no", "line"))
 
 
+def body_lines(df: DataFrame, file: str, text: str, marker: str = "TIMESTAMP") -> DataFrame:
+    """(file, line_no, line) from the first line that starts with ``marker``, else from the start.
+
+    A file is one value, so its header is found inside the row: no shuffle and no second read.
+    """
+    lines = F.split(F.col(text), LINE_BREAK)
+    starts = F.transform("_lines", lambda l: F.startswith(l, F.lit(marker)))
+    head = F.greatest(F.array_position(starts, True), F.lit(1)).cast("int")
+    found = df.select(file, lines.alias("_lines")).withColumn("_head", head)
+    body = F.slice("_lines", F.col("_head"), F.size("_lines"))
+    return found.select(file, "_head", F.posexplode(body).alias("_i", "line")).select(
+        file, (F.col("_head") - 1 + F.col("_i")).alias("line_no"), "line",
+        (F.col("_i") == 0).alias("is_header"),
+    )
+
+
 def skip_preamble(lines: DataFrame, file: str, marker: str = "TIMESTAMP") -> DataFrame:
-    """Lines from the first one that starts with ``marker``; whole files without such a line."""
+    """The same on a table of lines, such as archive members that are too large for one value."""
     head = lines.groupBy(file).agg(
         F.coalesce(
             F.min(F.when(F.startswith("line", F.lit(marker)), F.col("line_no"))), F.lit(0)
