@@ -2,79 +2,86 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import names
+from ..functions import clean, names
 
 
 def manifest(
     chunks: DataFrame, keys: list[str], array: str, sha: str, size: str,
-    carry: dict[str, Callable[[str], Column]] | None = None,
+    carry: dict[str, str] | None = None,
 ) -> DataFrame:
     """Per array: chunk count, bytes and SHA-256 of its sorted, newline-joined chunk digests.
 
-    Repeated deliveries of a chunk are added up before the shuffle. The digest itself is defined over
-    one byte sequence; it is fed from sorted batches in constant memory, so no list is ever built.
-    ``carry`` names further columns with the aggregate that keeps them.
+    Repeated deliveries of a chunk are added up before the shuffle. The digest is defined over one
+    byte sequence; it is fed from sorted batches in constant memory, so no list is ever built, and
+    the counts are taken in the same pass, so the chunks are read and shuffled once.
+    ``carry`` names further columns to keep by "min" or "max".
     """
     group, carry = [*keys, array], carry or {}
-    kept = [agg(c).alias(c) for c, agg in carry.items()]
+    kept = [getattr(F, how)(c).alias(c) for c, how in carry.items()]
     counted = chunks.groupBy(*group, sha).agg(
-        F.count("*").alias("_n"), F.sum(size).alias("_b"), *kept
+        F.count("*").alias("_n"), F.sum(size).cast("bigint").alias("_b"), *kept
     )
-    totals = counted.groupBy(*group).agg(
-        F.sum("_n").cast("bigint").alias("chunk_count"),
-        F.sum("_b").cast("bigint").alias("size_bytes"), *kept,
+    key_type = counted.select(*group).schema
+    rows = counted.select(
+        F.to_json(F.struct(*group)).alias("_key"), F.col(sha).alias("_item"), "_n", "_b", *carry
     )
-    return totals.join(sorted_digest(counted, group, sha, "_n", "manifest_sha256"), group)
+    ordered = rows.repartition("_key").sortWithinPartitions("_key", "_item")
+    kept_types = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in carry)
+    names_out = ["_key", "chunk_count", "size_bytes", *carry, "manifest_sha256"]
+    pickers = [{"min": min, "max": max}[how] for how in carry.values()]
 
-
-def detailed_manifest(
-    chunks: DataFrame, keys: list[str], ts: str = "ts", sha: str = "sha256", size: str = "size"
-) -> DataFrame:
-    """Manifest rows that also keep the group, the array name and the time span of each array."""
-    times = chunks.withColumns({"first_ts": F.col(ts), "last_ts": F.col(ts)})
-    carry = {"first_ts": F.min, "last_ts": F.max, "group": F.max, "array": F.max}
-    return manifest(times, keys, "array_path", sha, size, carry)
-
-
-def sorted_digest(df: DataFrame, group: list[str], item: str, count: str, name: str) -> DataFrame:
-    """SHA-256 of the sorted items of each group, each repeated ``count`` times."""
-    fields = df.select(*group).schema
-    gid = "_gid"
-    keyed = df.select(
-        F.to_json(F.struct(*group)).alias(gid), F.col(item).alias("_item"),
-        F.col(count).cast("bigint").alias("_count"),
-    )
-    ordered = keyed.repartition(gid).sortWithinPartitions(gid, "_item")
-
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
 
-        current, state = None, None
+        key, state, n, size_sum, held = None, None, 0, 0, []
         for batch in batches:
             done = []
-            for key, text, n in zip(batch[gid], batch["_item"], batch["_count"]):
-                if key != current:
-                    if current is not None:
-                        done.append((current, state.hexdigest()))
-                    current, state, lead = key, hashlib.sha256(), b""
-                for _ in range(n):
+            extra = zip(*[batch[c] for c in carry]) if carry else iter(lambda: (), None)
+            columns = (batch[c] for c in ("_key", "_item", "_n", "_b"))
+            for (k, text, times, size_here), more in zip(zip(*columns), extra):
+                if k != key:
+                    if key is not None:
+                        done.append((key, n, size_sum, *held, state.hexdigest()))
+                    key, state, lead, n, size_sum = k, hashlib.sha256(), b"", 0, 0
+                    held = [None] * len(pickers)
+                for _ in range(times):
                     state.update(lead + text.encode())
                     lead = b"\n"
+                n += times
+                size_sum += size_here
+                held = [
+                    new if old is None else old if new is None else pick(old, new)
+                    for pick, old, new in zip(pickers, held, more)
+                ]
             if done:
-                yield pd.DataFrame(done, columns=[gid, name])
-        if current is not None:
-            yield pd.DataFrame([(current, state.hexdigest())], columns=[gid, name])
+                yield pd.DataFrame(done, columns=names_out)
+        if key is not None:
+            yield pd.DataFrame(
+                [(key, n, size_sum, *held, state.hexdigest())], columns=names_out
+            )
+
+    out = ordered.mapInPandas(
+        fold, f"_key string, chunk_count bigint, size_bytes bigint{kept_types}, "
+        "manifest_sha256 string",
+    )
+    return out.withColumn("_k", F.from_json("_key", key_type)).select("_k.*", *names_out[1:])
+
 
-    out = ordered.mapInPandas(digest, f"{gid} string, {name} string")
-    back = F.from_json(F.col(gid), fields)
-    return out.select(back.alias("_k"), name).select("_k.*", name)
+def detailed_manifest(
+    chunks: DataFrame, keys: list[str], ts: str = "ts", sha: str = "sha256", size: str = "size"
+) -> DataFrame:
+    """Manifest rows that also keep the group, the array name and the time span of each array."""
+    us = clean.micros(ts)
+    timed = chunks.withColumns({"first_us": us, "last_us": us})
+    carry = {"first_us": "min", "last_us": "max", "group": "max", "array": "max"}
+    return manifest(timed, keys, "array_path", sha, size, carry)
 
 
 def station_entities(
@@ -124,7 +131,7 @@ def assemble(manifest_rows: DataFrame, provenance: DataFrame, keys: list[str]) -
     )
     has_origin = F.when(F.col("_origin").isNotNull(), F.col("group"))
     out = rows.groupBy(*keys).agg(
-        F.min("first_ts").alias("_start"), F.max("last_ts").alias("_end"),
+        F.min("first_us").alias("_first"), F.max("last_us").alias("_last"),
         F.sum("size_bytes").cast("bigint").alias("total_bytes"),
         F.sum("chunk_count").cast("bigint").alias("total_chunks"),
         F.array_sort(F.collect_list(part)).alias("has_part"),
@@ -132,6 +139,11 @@ def assemble(manifest_rows: DataFrame, provenance: DataFrame, keys: list[str]) -
         F.sort_array(F.collect_set("array")).alias("accessed_arrays"),
         F.min_by("_origin", has_origin).alias("_origin"),
     )
+    epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    out = out.withColumns({
+        "_start": F.timestamp_add("MICROSECOND", F.col("_first"), epoch),
+        "_end": F.timestamp_add("MICROSECOND", F.col("_last"), epoch),
+    })
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     shown = F.array_join(F.slice("accessed_arrays", 1, 5), ", ")
     return out.select(

@@ -201,18 +201,17 @@ def variable_instruments(t):
 
 
 @query("active_instruments", f"""WITH {_DEPLOYMENTS_SQL}
-SELECT s.l_orderkey, s.l_linenumber, s.h, d.instrument, count(*) AS n FROM (
+SELECT s.site_id, s.h, d.instrument, count(*) AS n, max(s.l_shipdate) AS last_used FROM (
   SELECT l_orderkey, l_linenumber, l_suppkey % 100 AS site_id, l_linenumber % 3 AS h, l_shipdate FROM lineitem) s
 JOIN dep d ON d.site_id = s.site_id AND d.h = s.h AND s.l_shipdate >= d.start AND (d.stop IS NULL OR s.l_shipdate < d.stop)
 GROUP BY ALL""")
 def active_instruments(t):
     o = t.lineitem.select(
-        "l_orderkey", "l_linenumber", (F.col("l_suppkey") % 100).alias("site_id"),
-        (F.col("l_linenumber") % 3).alias("h"), "l_shipdate",
+        (F.col("l_suppkey") % 100).alias("site_id"), (F.col("l_linenumber") % 3).alias("h"), "l_shipdate",
     )
     out = joins.active_instrument(o, _deployments(t), ["site_id", "h"], "l_shipdate")
-    return out.groupBy("l_orderkey", "l_linenumber", "h", "instrument").agg(
-        F.count("*").alias("n")
+    return out.groupBy("site_id", "h", "instrument").agg(
+        F.count("*").alias("n"), F.max("l_shipdate").alias("last_used")
     )
 
 
