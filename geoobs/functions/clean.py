@@ -142,7 +142,12 @@ def first_text(*cols: ColumnLike) -> Column:
 
 def hour_floor(ts: ColumnLike) -> Column:
     """Timestamp cut to the hour; rounding would merge half-hour stamps."""
-    return F.date_trunc("HOUR", _c(ts))
+    return slot_start(ts, "HOUR")
+
+
+def slot_start(ts: ColumnLike, unit: str) -> Column:
+    """Start of the calendar slot, without a zone (``date_trunc`` alone would add one)."""
+    return F.date_trunc(unit, _c(ts)).cast("timestamp_ntz")
 
 
 def is_night(ts: ColumnLike) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.clean import micros
+from ..functions.clean import micros, slot_start
 
 
 def station_summary(df: DataFrame, station: str, value: str, *coords: str) -> DataFrame:
@@ -128,7 +128,7 @@ def platform_catalogue(deployments: DataFrame) -> DataFrame:
 
 def slot_means(df: DataFrame, keys: list[str], ts: str, value: str, unit: str, name: str):
     """Mean per calendar slot (DAY, MONTH, ...), NULL when nothing was observed."""
-    return df.groupBy(*keys, F.date_trunc(unit, ts).alias(name)).agg(
+    return df.groupBy(*keys, slot_start(ts, unit).alias(name)).agg(
         F.avg(value).alias("mean_value"), F.count(value).alias("n_obs")
     )
 

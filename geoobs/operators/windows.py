@@ -10,13 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.clean import micros, slot_start
 from . import blocks
 
 
 def slot_number(ts: str, first: str, seconds: int) -> Column:
     """Zero-based slot of a timestamp on a grid that starts at ``first``; no window needed."""
-    from ..functions.clean import micros
-
     start = micros(F.lit(first).cast("timestamp_ntz"))
     return F.floor((micros(ts) - start) / F.lit(seconds * 1_000_000)).cast("bigint")
 
@@ -54,7 +53,7 @@ def best_window(
     Windows centred in ``months`` with enough coverage come first, then any with enough coverage,
     then any; the earliest of equal windows wins.
     """
-    daily = hourly.groupBy(station, F.date_trunc("DAY", ts).alias("day")).agg(
+    daily = hourly.groupBy(station, slot_start(ts, "DAY").alias("day")).agg(
         F.count_if(valid).alias("_h")
     )
     w = Window.partitionBy(station).orderBy("day").rowsBetween(0, n_days - 1)

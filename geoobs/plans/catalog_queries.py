@@ -409,7 +409,7 @@ def decode_tiles(t):
 
 
 @query("tile_coordinates", f"""WITH {A.TILES_SQL}
-SELECT file, round(-25.0 + (tile_col * 8 + 0.5) * 0.01, 9) AS lon0, round(72.0 + (tile_row * 8 + 0.5) * -0.01, 9) AS lat0 FROM tiles""")
+SELECT file, round(-25.0::DOUBLE + (tile_col * 8 + 0.5::DOUBLE) * 0.01::DOUBLE, 9) AS lon0, round(72.0::DOUBLE + (tile_row * 8 + 0.5::DOUBLE) * -0.01::DOUBLE, 9) AS lat0 FROM tiles""")
 def tile_coordinates(t):
     g = t.region.filter("r_regionkey = 0").select(
         F.lit(-25.0).alias("x0"), F.lit(0.01).alias("dx"), F.lit(72.0).alias("y0"),

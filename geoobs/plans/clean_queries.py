@@ -127,14 +127,14 @@ def period_ends(t):
 
 
 @query("cf_times", """
-SELECT event_id, round(date_diff('microsecond', TIMESTAMP '2024-01-01', ts) / 60000000.0::DOUBLE, 6) AS minutes,
+SELECT event_id, date_diff('microsecond', TIMESTAMP '2024-01-01', ts) / 60000000.0::DOUBLE AS minutes,
        CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS days, ts AS decoded
 FROM events""")
 def cf_times(t):
     minutes = clean.cf_minutes("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     back = clean.cf_decode(minutes, "minutes", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     return t.events.select(
-        "event_id", F.round(minutes, 6).alias("minutes"), clean.cf_days("ts").alias("days"),
+        "event_id", minutes.alias("minutes"), clean.cf_days("ts").alias("days"),
         back.alias("decoded"),
     )
 
@@ -417,10 +417,10 @@ def zone_labels(t):
 
 
 @query("preferred_variable", f"""WITH {A.WIDE_SQL}
-SELECT site_id, ts_start, avg(coalesce(nullif("TA_F", -9999), "LE_CORR")) AS best FROM wide GROUP BY ALL""")
+SELECT site_id, ts_start, round(avg(coalesce(nullif("TA_F", -9999), "LE_CORR")), 6) AS best FROM wide GROUP BY ALL""")
 def preferred_variable(t):
     best = F.coalesce(clean.clean_value("TA_F"), clean.clean_value("LE_CORR"))
-    return A.wide_flux(t).groupBy("site_id", "ts_start").agg(F.avg(best).alias("best"))
+    return A.wide_flux(t).groupBy("site_id", "ts_start").agg(F.round(F.avg(best), 6).alias("best"))
 
 
 @query("product_descriptions", f"""WITH {_NAME_SQL}, dim AS (

@@ -77,7 +77,7 @@ def merge_products_wide(t):
 SELECT s.variable, x.ts, c.value FROM (SELECT DISTINCT ts FROM cells) x
 CROSS JOIN (SELECT DISTINCT variable FROM obs) s LEFT JOIN cells c ON c.ts = x.ts AND c.variable = s.variable""")
 def scatter_union_times(t):
-    o = A.obs(t).withColumn("ts", F.date_trunc("DAY", "time"))
+    o = A.obs(t).withColumn("ts", clean.slot_start("time", "DAY"))
     axis = ["click", "error", "purchase", "signup", "view"]
     return joins.scatter(o, "variable", "ts", "value", ["time", "seq"], axis)
 
