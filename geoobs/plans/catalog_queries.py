@@ -164,6 +164,50 @@ def ingest_report(t):
     return catalog.ingest_report(t.orders.select(status.alias("status"), reason.alias("reason")))
 
 
+# --- gas files ----------------------------------------------------------------------------------
+
+
+def _gas_facts(t):
+    from ..sources import gas
+
+    rows = A.gas_rows(t).select(
+        "file_name", "time", "value", "value_std_dev", "std_unit", "qc_flag",
+        F.col("height").cast("double").alias("altitude"), F.col("qc_flag").alias("instrument"),
+        F.lit(None).cast("double").alias("intake_height"), F.col("seq").alias("obs_num"),
+    )
+    return gas.to_facts(rows, units={"value_std_dev": "std_unit"})
+
+
+@query("gas_facts", f"""WITH {A.GAS_SQL}
+SELECT gas, upper(trigram) || CASE WHEN height = 10 THEN 0 ELSE height END AS station_id, CASE gas WHEN 'co2' THEN 'ppm' ELSE 'ppb' END AS unit,
+  count(*) AS n, round(avg(value * CASE gas WHEN 'co2' THEN 1e6 ELSE 1e9 END), 4) AS mean_value FROM gas_rows WHERE gas IS NOT NULL GROUP BY ALL""")
+def gas_facts(t):
+    return _gas_facts(t).groupBy("gas", "station_id", "unit").agg(
+        F.count("*").alias("n"), F.round(F.avg("value"), 4).alias("mean_value")
+    )
+
+
+@query("station_constants", f"""WITH {A.GAS_SQL}, f AS (
+  SELECT gas, upper(trigram) || CASE WHEN height = 10 THEN 0 ELSE height END AS station_id, height::DOUBLE AS altitude, qc_flag FROM gas_rows WHERE gas IS NOT NULL)
+SELECT station_id, gas, 'altitude' AS name, CAST(max(altitude) AS VARCHAR) AS text FROM f GROUP BY ALL HAVING min(altitude) = max(altitude)
+UNION ALL SELECT station_id, gas, 'instrument', max(qc_flag) FROM f GROUP BY station_id, gas HAVING min(qc_flag) = max(qc_flag)
+UNION ALL SELECT station_id, gas, 'intake_height', NULL FROM f GROUP BY station_id, gas""")
+def station_constants(t):
+    from ..sources import gas
+
+    return gas.station_constants(_gas_facts(t))
+
+
+@query("gas_wide_export", f"""WITH {A.GAS_SQL}
+SELECT upper(trigram) || CASE WHEN height = 10 THEN 0 ELSE height END AS station_id, time AS time_ch4, round(value * 1e9, 6) AS ch4, qc_flag AS ch4_qc_flag
+FROM gas_rows WHERE gas = 'ch4'""")
+def gas_wide_export(t):
+    from ..sources import gas
+
+    out = gas.wide_export(_gas_facts(t), "ch4", ["station_id"])
+    return out.select("station_id", "time_ch4", F.round("ch4", 6).alias("ch4"), "ch4_qc_flag")
+
+
 # --- documents ----------------------------------------------------------------------------------
 
 

@@ -93,9 +93,9 @@ def _filled(t):
     )
 
 
-@query("gap_filled_series", f"""WITH {_FILLED} SELECT variable, hour, round(x, 6) AS x FROM filled""")
+@query("gap_filled_series", f"""WITH {_FILLED} SELECT variable, hour, round(x, 9) AS x FROM filled""")
 def gap_filled_series(t):
-    return _filled(t).select("variable", "hour", F.round("x", 6).alias("x"))
+    return _filled(t).select("variable", "hour", F.round("x", 9).alias("x"))
 
 
 _DETRENDED = f"""{_FILLED}, fit AS (SELECT variable, regr_slope(x, i) AS a, regr_intercept(x, i) AS b FROM filled GROUP BY variable),

@@ -22,19 +22,26 @@ from ..operators import reshape
 def headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """(path, columns) of each file; a header that is wrapped over two lines is joined.
 
-    Header lines are the ones that do not start with a run of digits, so a text scan finds them in
-    any split without holding a file; each file contributes one or two lines.
+    Header lines are the ones that do not start with a number, so a text scan finds them in any
+    split without holding a file. A file has one or two; more than two fail the read.
     """
+    line = F.struct(
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), F.col("value").alias("text"),
+    )
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"),
-        ).alias("l"),
+        F.col("_metadata.file_path").alias("path"), line.alias("l")
+    )
+    found = lines.filter(~F.regexp_like("l.text", F.lit("^ *[0-9]+ *(,|$)"))).groupBy("path").agg(
+        F.count("*").alias("n"), F.min("l").alias("a"), F.max("l").alias("b")
+    )
+    text = (
+        F.when(F.col("n") == 1, F.col("a.text"))
+        .when(F.col("n") == 2, F.concat("a.text", "b.text"))
+        .otherwise(F.raise_error(F.concat(F.lit("more than two header lines in "), "path")).cast(
+            "string"))
     )
-    names_only = lines.filter(~F.regexp_like("l.line", F.lit("^ *[0-9]+ *(,|$)")))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda l: l["line"]), "")
-    return names_only.groupBy("path").agg(F.split(joined, ",").alias("columns"))
+    return found.select("path", F.split(text, ",").alias("columns"))
 
 
 def read_flux(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
