@@ -62,11 +62,19 @@ def fixed_deployments(df, key="deployment", lon="lon", lat="lat", geo_type="geo_
 
 
 def static_position(df: DataFrame, key: str, lon: str, lat: str) -> DataFrame:
-    """Exact median position per deployment."""
+    """Exact median position per deployment; both coordinates go through one pass."""
     from .percentiles import exact_percentiles
 
-    out = exact_percentiles(df, [key], lon, {"static_lon": 0.5})
-    return out.join(exact_percentiles(df, [key], lat, {"static_lat": 0.5}), key, "full_outer")
+    axes = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("axis"), F.col(c).alias("at"))
+        for name, c in (("static_lon", lon), ("static_lat", lat))
+    ]))
+    cells = df.select(key, axes.alias("_a")).select(key, "_a.*")
+    medians = exact_percentiles(cells, [key, "axis"], "at", {"median": 0.5})
+    return medians.groupBy(key).agg(*[
+        F.max(F.when(F.col("axis") == name, F.col("median"))).alias(name)
+        for name in ("static_lon", "static_lat")
+    ])
 
 
 def common_variables(df: DataFrame, station: str, variable: str) -> DataFrame:

@@ -10,10 +10,13 @@ from . import adapters as A
 from .registry import query
 
 
-def _long(t, *variables, **labels):
+def _long(t, *variables, columns=()):
+    """Long rows of some variables, or of the named columns."""
     w = A.wide_flux(t)
     roles = reshape.classify_columns([c for c in w.columns if c not in A.WIDE_KEYS])
-    picked = reshape.pick(roles, *variables, **labels)
+    picked = reshape.pick(roles, *variables)
+    if columns:
+        picked = [r for r in roles if r.column in columns]
     return reshape.to_long(w, A.WIDE_KEYS, picked, stored=reshape.resolve_names(roles))
 
 
@@ -199,8 +202,7 @@ SELECT site_id, product, ts_start, max(nullif("NEE_VUT_REF", -9999)) AS nee, max
 FROM wide GROUP BY ALL""")
 def long_round_trip(t):
     # G_1 is never missing, so every key keeps a row.
-    nee = _long(t, "NEE", ustar_threshold="VUT", nee_variant="REF")
-    long = nee.unionByName(_long(t, "TA_F", "G_1"))
+    long = _long(t, columns=("NEE_VUT_REF", "TA_F", "G_1"))
     return long.groupBy(*A.WIDE_KEYS).agg(
         F.max(F.when(F.col("variable") == "NEE", F.col("value"))).alias("nee"),
         F.max(F.when(F.col("variable") == "TA_F", F.col("value"))).alias("ta"),

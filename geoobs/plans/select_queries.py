@@ -19,13 +19,17 @@ FROM (SELECT s.*, CASE WHEN o.qc BETWEEN 0 AND 2 THEN o.value END AS v FROM obs
       WHERE {BOX_SQL} AND time >= TIMESTAMP '2024-01-05' AND time < TIMESTAMP '2024-01-26')
 GROUP BY ALL""")
 def station_box_summary(t):
-    """Flagship: bounding box and period over facts, masked, summarised per station."""
+    """Flagship: bounding box and period over facts, masked, summarised per station.
+
+    Facts are summed up per station map-side before they meet the stations of the box, so raw rows
+    are never joined or shuffled, however many one station has.
+    """
     dim = select.stations_in_box(A.stations(t), **BOX).select(
         "station_id", "name", "lat", "lon", "height"
     )
     o = select.time_slice(A.obs(t), "time", "2024-01-05", "2024-01-25")
-    o = select.facts_of(o.withColumn("v", clean.mask_range("value", "qc")), dim)
-    out = aggregates.station_summary(o, "station_id", "v", "name", "lat", "lon", "height")
+    masked = o.withColumn("v", clean.mask_range("value", "qc"))
+    out = select.facts_of(aggregates.station_summary(masked, "station_id", "v"), dim)
     return out.withColumn("mean_value", F.round("mean_value", 6))
 
 
