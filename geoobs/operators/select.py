@@ -141,23 +141,42 @@ class Selection:
 
     def where(self, condition: Column, text: str) -> Selection:
         self._record(op="where", drop=True, cond={"repr": text[:300]})
-        return self._next(self.df.filter(condition))
+        kept = self._next(self.df.filter(condition))
+        self.log[-1]["_survivors"] = kept.df.select(self.keys[0]).distinct()
+        return kept
 
     def record(self, **entry) -> None:
         self._record(op="user_recorded", **entry)
 
     def query_log(self, session: str) -> DataFrame:
-        """The log as rows; one row per selection call, so it is small by construction."""
+        """The log as rows, one per call; a mask carries the stations that survive it.
+
+        The station list of an entry is bounded by the station dimension.
+        """
         import json
+        from functools import reduce
 
+        spark, key = self.df.sparkSession, self.keys[0]
+        shown = [{k: v for k, v in e.items() if k != "_survivors"} for e in self.log]
         rows = [
             (session, i, e.get("op"), e.get("variable"), e["group"], json.dumps(e, sort_keys=True))
-            for i, e in enumerate(self.log)
+            for i, e in enumerate(shown)
         ]
         schema = (
             "session STRING, seq BIGINT, op STRING, variable STRING, `group` STRING, payload STRING"
         )
-        return self.df.sparkSession.createDataFrame(rows, schema)
+        log = spark.createDataFrame(rows, schema)
+        masks = [
+            e["_survivors"].select(
+                F.lit(i).cast("bigint").alias("seq"), F.col(key).cast("string").alias("_s"))
+            for i, e in enumerate(self.log) if "_survivors" in e
+        ]
+        if not masks:
+            return log.withColumn("surviving_stations", F.lit(None).cast("array<string>"))
+        lists = reduce(lambda a, b: a.unionByName(b), masks).groupBy("seq").agg(
+            F.sort_array(F.collect_list("_s")).alias("surviving_stations")
+        )
+        return log.join(lists, "seq", "left").select(*log.columns, "surviving_stations")
 
 
 def mask_extent(df: DataFrame, condition: Column, *coords: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +53,22 @@ def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
+def _closes_before(us: np.ndarray, closing: np.ndarray) -> np.ndarray:
+    """Instants with a close strictly before each row; rows of one instant share the number."""
+    closes = np.unique(us[closing > 0])
+    return np.searchsorted(closes, us, side="left")
+
+
+def _finished(key, runs: list[tuple]) -> pd.DataFrame:
+    first, last, n, size, by = zip(*runs)
+    return pd.DataFrame({
+        "ip": key[0], "store": key[1],
+        "session_start": np.array(first, "datetime64[us]"),
+        "session_end": np.array(last, "datetime64[us]"),
+        "n_chunks": n, "n_bytes": size, "ended_by": by,
+    })
+
+
 def closing_sessions(log: DataFrame, idle: int = IDLE_SECONDS, delay: str | None = None):
     """Sessions that end on idle time or on an explicit close event.
 
@@ -67,63 +84,47 @@ def closing_sessions(log: DataFrame, idle: int = IDLE_SECONDS, delay: str | None
         F.when(is_close, 0).otherwise(1).cast("bigint").alias("n"),
         F.when(is_close, 0).otherwise(F.coalesce("size", F.lit(0))).cast("bigint").alias("size"),
     )
-    columns = [c.split()[0] for c in _SESSION.split(", ")]
-
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held = state.get if state.exists else None
         if state.hasTimedOut:
             state.remove()
             if held is not None:
-                yield finished(key, pd.DataFrame(
-                    [held], columns=["first", "last", "n", "bytes"]).assign(by="idle"))
+                yield _finished(key, [(*held, "idle")])
             return
-        seen = pd.concat([b[["us", "n", "bytes", "closes"]] for b in batches])
-        seen = seen.groupby("us", as_index=False).agg(
-            n=("n", "sum"), bytes=("bytes", "sum"), closes=("closes", "any"))
-        # Closes before each row; sums of one session share it.
-        seen["epoch"] = seen["closes"].cumsum() - seen["closes"]
-        closes = int(seen["closes"].sum())
-        rows = seen[seen["n"] > 0]
-        opens = (rows["us"].diff() > idle_us) | (rows["epoch"].diff() > 0)
-        runs = rows.groupby(opens.cumsum()).agg(
-            first=("us", "min"), last=("us", "max"), n=("n", "sum"), bytes=("bytes", "sum"),
-            epoch=("epoch", "first"),
-        )
+        seen = pd.concat([b[["us", "n", "bytes", "closes"]] for b in batches]).to_numpy("int64")
+        # In time order; at one instant requests come before the close.
+        us, n, size, closing = seen[np.lexsort((seen[:, 3], seen[:, 0]))].T
+        epoch = _closes_before(us, closing)
+        total = int(np.unique(us[closing > 0]).size)
+        is_row = n > 0
+        us, n, size, epoch = us[is_row], n[is_row], size[is_row], epoch[is_row]
+        opens = np.ones(len(us), bool)
+        opens[1:] = (np.diff(us) > idle_us) | (np.diff(epoch) > 0)
+        at = np.flatnonzero(opens)
+        runs = []
+        if len(at):
+            last = np.append(at[1:], len(us)) - 1
+            runs = list(zip(us[at].tolist(), us[last].tolist(), np.add.reduceat(n, at).tolist(),
+                            np.add.reduceat(size, at).tolist(), epoch[at].tolist()))
         if held is not None:
-            runs = pd.concat([
-                pd.DataFrame([(*held, 0)], columns=list(runs.columns)), runs], ignore_index=True)
-            if len(runs) > 1 and runs["epoch"].iat[1] == 0 and (
-                runs["first"].iat[1] - runs["last"].iat[0] <= idle_us
-            ):
-                both = runs.iloc[:2]
-                joined = (both["first"].min(), both["last"].max(), both["n"].sum(),
-                          both["bytes"].sum(), 0)
-                runs = pd.concat([
-                    pd.DataFrame([joined], columns=list(runs.columns)), runs.iloc[2:]])
-        later = runs["epoch"].shift(-1, fill_value=closes)
-        runs["by"] = (later > runs["epoch"]).map({True: "close", False: "idle"})
-        if len(runs) and runs["by"].iat[-1] == "idle":
-            ends_ms = -(-int(runs["last"].iat[-1]) // 1000) + idle * 1000
-            still_open = ends_ms > state.getCurrentWatermarkMs()
-        else:
-            still_open = False
-        if still_open:
-            last = runs.iloc[-1]
-            state.update(tuple(int(last[c]) for c in ("first", "last", "n", "bytes")))
+            joins_held = runs and runs[0][4] == 0 and runs[0][0] - held[1] <= idle_us
+            first = runs.pop(0) if joins_held else (held[0], held[1], 0, 0, 0)
+            runs.insert(0, (min(held[0], first[0]), max(held[1], first[1]), held[2] + first[2],
+                            held[3] + first[3], 0))
+        later = [r[4] for r in runs[1:]] + [total]
+        ended = [(*r[:4], "close" if after > r[4] else "idle") for r, after in zip(runs, later)]
+        state_now = None
+        if ended and ended[-1][4] == "idle":
+            ends_ms = -(-ended[-1][1] // 1000) + idle * 1000
+            if ends_ms > state.getCurrentWatermarkMs():
+                state_now = ended.pop()
+        if state_now is not None:
+            state.update(tuple(int(x) for x in state_now[:4]))
             state.setTimeoutTimestamp(ends_ms)
-            runs = runs.iloc[:-1]
         elif state.exists:
             state.remove()
-        if len(runs):
-            yield finished(key, runs)
-
-    def finished(key, runs: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({
-            "ip": key[0], "store": key[1],
-            "session_start": pd.to_datetime(runs["first"], unit="us"),
-            "session_end": pd.to_datetime(runs["last"], unit="us"),
-            "n_chunks": runs["n"], "n_bytes": runs["bytes"], "ended_by": runs["by"],
-        })[columns]
+        if ended:
+            yield _finished(key, ended)
 
     instants = rows.mapInPandas(_add_up, _INSTANT).withWatermark("ts", delay or f"{idle} seconds")
     return instants.groupBy(*CLIENT).applyInPandasWithState(

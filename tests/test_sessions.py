@@ -136,6 +136,10 @@ def test_selection_log(spark):
     log = [json.loads(r["payload"]) for r in ds.query_log("x").orderBy("seq").collect()]
     assert log[1]["sel"]["time"] == {"start": "2024-01-03", "stop": "2024-01-05", "step": None}
     assert "op" not in log[0] and len(log) == 4
+    masked = ds.where(F.col("value") > 9, "value > 9")
+    assert masked.df.count() == 1
+    kept = windows.last_surviving(ds.query_log("x"), "session", "seq", "surviving_stations").first()
+    assert kept["surviving_stations"] == ["s1"]
     month = select.time_slice(df, "time", "2024", "2024-01")
     assert month.count() == 10
 
