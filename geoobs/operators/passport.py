@@ -14,24 +14,26 @@ from ..functions import clean, names
 
 def manifest(
     chunks: DataFrame, keys: list[str], array: str, sha: str, size: str,
-    carry: dict[str, str] | None = None,
+    carry: dict[str, str] | None = None, texts: list[str] | None = None,
 ) -> DataFrame:
     """Per array: chunk count, bytes and SHA-256 of its sorted, newline-joined chunk digests.
 
     Repeated deliveries of a chunk are added up before the shuffle. The digest is defined over one
     byte sequence; it is fed from sorted batches in constant memory, so no list is ever built, and
     the counts are taken in the same pass, so the chunks are read and shuffled once.
-    ``carry`` names further columns to keep by "min" or "max".
+    ``carry`` names further numbers to keep by "min" or "max". ``texts`` are columns the array
+    implies; they are grouped by, since a text aggregate would sort the raw rows.
     """
-    group, carry = [*keys, array], carry or {}
+    group, carry, texts = [*keys, array], carry or {}, texts or []
     kept = [getattr(F, how)(c).alias(c) for c, how in carry.items()]
-    counted = chunks.groupBy(*group, sha).agg(
+    counted = chunks.groupBy(*group, sha, *texts).agg(
         F.count("*").alias("_n"), F.sum(size).cast("bigint").alias("_b"), *kept
     )
     key_type = counted.select(*group).schema
     rows = counted.select(
-        F.to_json(F.struct(*group)).alias("_key"), F.col(sha).alias("_item"), "_n", "_b", *carry
+        F.to_json(F.struct(*group)).alias("_key"), F.col(sha).alias("_item"), "_n", "_b", *carry, *texts
     )
+    carry = {**carry, **dict.fromkeys(texts, "max")}
     ordered = rows.repartition("_key").sortWithinPartitions("_key", "_item")
     kept_types = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in carry)
     names_out = ["_key", "chunk_count", "size_bytes", *carry, "manifest_sha256"]
@@ -80,8 +82,8 @@ def detailed_manifest(
     """Manifest rows that also keep the group, the array name and the time span of each array."""
     us = clean.micros(ts)
     timed = chunks.withColumns({"first_us": us, "last_us": us})
-    carry = {"first_us": "min", "last_us": "max", "group": "max", "array": "max"}
-    return manifest(timed, keys, "array_path", sha, size, carry)
+    carry = {"first_us": "min", "last_us": "max"}
+    return manifest(timed, keys, "array_path", sha, size, carry, ["group", "array"])
 
 
 def station_entities(
