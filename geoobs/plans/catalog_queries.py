@@ -215,8 +215,8 @@ def _collections(t):
     """Collection documents put together from the parts of each brand, as JSON text."""
     name = F.concat(
         F.lit("ICOSETC_SE-"), F.col("p_partkey").cast("string"),
-        F.when(F.col("p_size") % 3 == 0, "_ARCHIVE_L2.zip")
-        .when(F.col("p_size") % 3 == 1, "_METEOSENS_L2.csv").otherwise("_x.nc"),
+        F.when(F.col("p_size") < 17, "_ARCHIVE_L2.zip")
+        .when(F.col("p_size") < 34, "_METEOSENS_L2.csv").otherwise("_x.nc"),
     )
     res = F.concat(F.lit("https://example.org/objects/h"), F.col("p_partkey").cast("string"))
     doc = F.to_json(F.struct(F.array(F.struct(name.alias("name"), res.alias("res"))).alias(
@@ -226,19 +226,19 @@ def _collections(t):
 
 @query("collection_members", """
 SELECT 'ICOSETC_SE-' || p_partkey || '_x.nc' AS name, 'https://example.org/objects/h' || p_partkey AS res, 'h' || p_partkey AS hash_id
-FROM part WHERE p_size % 3 = 2""")
+FROM part WHERE p_size >= 34""")
 def collection_members(t):
     return documents.members(_collections(t), ".nc")
 
 
 @query("archive_members", """
-SELECT 'SE-' || p_partkey AS site_id, 'h' || p_partkey AS hash_id FROM part WHERE p_size % 3 = 0""")
+SELECT 'SE-' || p_partkey AS site_id, 'h' || p_partkey AS hash_id FROM part WHERE p_size < 17""")
 def archive_members(t):
     return documents.archive_members(_collections(t)).select("site_id", "hash_id")
 
 
 @query("sensor_members", """
-SELECT 'SE-' || p_partkey AS site_id, 'https://example.org/objects/h' || p_partkey AS res FROM part WHERE p_size % 3 = 1""")
+SELECT 'SE-' || p_partkey AS site_id, 'https://example.org/objects/h' || p_partkey AS res FROM part WHERE p_size >= 17 AND p_size < 34""")
 def sensor_members(t):
     return documents.sensor_members(_collections(t))
 
@@ -303,7 +303,7 @@ def atmosphere_stations(t):
 
 @query("column_instruments", """
 SELECT p_partkey::VARCHAR AS source_file, 'TA_1_' || p_size || '_2' AS "column", 'TA' AS base, 1 AS r, CAST(p_size AS INTEGER) AS h, 2 AS v, p_name AS instrument,
-  CASE WHEN p_size % 2 = 0 THEN p_brand ELSE '' END AS instrument_description, p_size % 3 = 0 AS ongoing FROM part WHERE p_size % 5 <> 0""")
+  CASE WHEN p_size % 2 = 0 THEN p_brand ELSE '' END AS instrument_description, p_size % 3 = 0 AS ongoing FROM part WHERE p_size <= 40""")
 def column_instruments(t):
     comments = F.when(F.col("p_size") % 2 == 0, F.array("p_brand", F.lit("second")))
     deployment = F.struct(
@@ -316,7 +316,7 @@ def column_instruments(t):
     )
     column = F.struct(
         F.concat(F.lit("TA_1_"), F.col("p_size").cast("string"), F.lit("_2")).alias("label"),
-        F.when(F.col("p_size") % 5 != 0, F.array(deployment)).alias("instrumentDeployments"),
+        F.when(F.col("p_size") <= 40, F.array(deployment)).alias("instrumentDeployments"),
     )
     doc = F.to_json(F.struct(F.struct(F.array(column).alias("columns")).alias("specificInfo")))
     parsed = t.part.select(
@@ -398,10 +398,10 @@ def ocean_column_names(t):
 SELECT variable, qc, count(*) AS n, count(value) AS n_values FROM (
   SELECT unnest(['Temp', 'fCO2']) AS variable, unnest([try_cast(substr(o_orderpriority, 1, 1) AS DOUBLE), try_cast(o_orderstatus AS DOUBLE)]) AS value,
     unnest([coalesce(try_cast(substr(o_orderpriority, 1, 1) AS INTEGER), -1), coalesce(try_cast(o_orderstatus AS INTEGER), -1)]) AS qc
-  FROM orders WHERE o_orderkey % 10 <> 3) GROUP BY ALL""")
+  FROM orders WHERE o_orderstatus <> 'P') GROUP BY ALL""")
 def ocean_rows(t):
-    # Every tenth stamp is unreadable and its row is dropped.
-    stamp = F.when(F.col("o_orderkey") % 10 == 3, "n/a").otherwise(
+    # Orders in progress carry no readable stamp and are dropped.
+    stamp = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     o = t.orders.select(
         stamp.alias("stamp"), F.substring("o_orderpriority", 1, 1).alias("p"),

@@ -45,6 +45,37 @@ def stream_sessions_query(t):
     return _plain(ingest.run_to_table(closed, "sessions"), "session_start", "session_end")
 
 
+@query("stream_passports", f"""WITH {A.SESSIONS_SQL}
+SELECT CASE WHEN ip LIKE '%:%' THEN array_to_string(string_split(ip, ':')[1:3], ':') || '::/48'
+            ELSE array_to_string(string_split(ip, '.')[1:3], '.') || '.0/24' END AS network, count(*) AS n_documents, sum(n)::BIGINT AS n_chunks FROM (
+  SELECT ip, store, session_no, count(*) AS n FROM numbered GROUP BY ip, store, session_no
+  HAVING max(ts) + INTERVAL {A.IDLE} SECOND < (SELECT max(ts) FROM tracked) - INTERVAL 1 HOUR) GROUP BY ALL""")
+def stream_passports(t):
+    """A checksummed document per session the stream has closed."""
+    from ..operators import sessions
+    from ..session import shared_dir
+
+    provenance = t.nation.select(
+        F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("group"),
+        F.col("n_name").alias("source_doi"), F.col("n_name").alias("citation"),
+    )
+    path, state = shared_dir(t.spark, "passports"), shared_dir(t.spark, "passports-state")
+    requests = sessions.tracked(A.access(_Stream(t.spark, t.sf_dir)))
+    closed = stream_sessions.closed_sessions(requests, idle=A.IDLE, delay="1 hour")
+    stored = A.access(t).withColumn("ts", F.col("ts").cast("timestamp"))
+    write = stream_sessions.passport_writer(stored, provenance, path, idle=A.IDLE)
+    ingest.start(closed, write, state).awaitTermination()
+    docs = t.spark.read.schema("document STRING").json(path)
+    node = F.from_json("document", "`@graph` ARRAY<STRUCT<agent: STRUCT<ipAnonymised: STRING>, "
+                       "accessedArrays: ARRAY<STRING>, totalChunks: BIGINT>>")["@graph"][1]
+    total = docs.select(
+        node["agent"]["ipAnonymised"].alias("network"), node["totalChunks"].alias("n")
+    )
+    return total.groupBy("network").agg(
+        F.count("*").alias("n_documents"), F.sum("n").alias("n_chunks")
+    )
+
+
 @query("stream_closing_sessions", f"""WITH {A.ACCESS_SQL}, x AS (
   SELECT *, coalesce(sum(CASE WHEN event = 'close' THEN 1 ELSE 0 END) OVER (PARTITION BY ip, store ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS epoch,
     sum(CASE WHEN event = 'close' THEN 1 ELSE 0 END) OVER (PARTITION BY ip, store) AS closes FROM access),

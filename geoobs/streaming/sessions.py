@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.sessions import CLIENT, IDLE_SECONDS
+from ..functions.clean import micros
+from ..operators import passport
+from ..operators.sessions import CLIENT, IDLE_SECONDS, tracked, with_cell
 
 
 def closed_sessions(log: DataFrame, ts: str = "ts", idle: int = IDLE_SECONDS, size="size",
@@ -53,6 +55,49 @@ def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
+def chunks_of(closed: DataFrame, log: DataFrame, ts: str = "ts", idle: int = IDLE_SECONDS):
+    """Chunk requests of closed sessions, taken from the stored log, with a ``session_id``.
+
+    Sessions are laid out over their time cells and joined on (client, cell), so a busy client is
+    spread over its cells and a request meets only sessions of its own cell.
+    """
+    spans = closed.select(
+        *CLIENT, F.col("session_start").alias("_from"), F.col("session_end").alias("_to"),
+        F.sha2(F.concat_ws("|", *CLIENT, micros("session_start").cast("string")), 256).alias(
+            "session_id"),
+    )
+    cell = F.lit(idle * 100_000)
+    cells = spans.withColumn("cell", F.explode(F.sequence(
+        F.floor(micros("_from") / cell), F.floor(micros("_to") / cell)
+    )))
+    rows = with_cell(tracked(log), ts, idle).join(cells, [*CLIENT, "cell"])
+    return rows.filter(F.col(ts).between(F.col("_from"), F.col("_to"))).drop(
+        "cell", "_from", "_to"
+    )
+
+
+def passport_writer(
+    log: DataFrame, provenance: DataFrame, path: str, ts: str = "ts", idle: int = IDLE_SECONDS
+) -> Callable[[DataFrame, int], None]:
+    """Batch writer: one self-checksummed document per closed session.
+
+    Each micro-batch has a folder of its own that a retry overwrites. Sessions without chunks match
+    no request and yield nothing.
+    """
+    keys = [*CLIENT, "session_id"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = passport.detailed_manifest(chunks_of(batch, log, ts, idle), keys, ts)
+        named = passport.assemble(rows, provenance, keys).withColumn(
+            "id", F.concat(F.lit("urn:session:"), "session_id")
+        )
+        docs = passport.graph_document(named, "id")
+        docs.select("id", passport.file_name().alias("file_name"), "sha256", "total_chunks",
+                    "document").write.mode("overwrite").json(f"{path}/batch={batch_id}")
+
+    return write
+
+
 def _closes_before(us: np.ndarray, closing: np.ndarray) -> np.ndarray:
     """Instants with a close strictly before each row; rows of one instant share the number."""
     closes = np.unique(us[closing > 0])
