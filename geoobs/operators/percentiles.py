@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 
 
 def exact_percentiles(
-    df: DataFrame, keys: list[str], value: str, points: dict[str, float], bins: int = 512,
+    df: DataFrame, keys: list[str], value: str, points: dict[str, float], bins: int = 64,
+    parts: int = 64,
 ) -> DataFrame:
     """One row per group with a column per entry of ``points`` (name -> fraction).
 
-    ``bins`` is a power of two.
+    Each group is cut at ``bins`` quantiles (a power of two) and each piece into ``parts`` even
+    ones, so what is finally ordered is about one in bins x parts of its distinct values.
     """
     if not keys:
-        return exact_percentiles(df.withColumn("_all", F.lit(0)), ["_all"], value, points, bins).drop(
+        return exact_percentiles(df.withColumn("_all", F.lit(0)), ["_all"], value, points, bins, parts).drop(
             "_all"
         )
     cells = (
@@ -31,20 +33,25 @@ def exact_percentiles(
         .agg(F.count("*").alias("_c"))
     )
     # Quantile cuts of the distinct values; any cuts give the exact result.
-    fractions = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    fractions = F.array(*[F.lit(i / bins) for i in range(bins + 1)])
     cuts = cells.groupBy(*keys).agg(
         F.array_distinct(F.percentile_approx("_v", fractions, F.lit(4 * bins))).alias("_cuts"),
         F.sum("_c").alias("_total"),
     )
-    # Bin i holds cuts[i-1] <= v < cuts[i]; found by halving, a step past the end counts as larger.
+    # Piece i holds cuts[i-1] <= v < cuts[i]; found by halving, a step past the end counts as larger.
     binned = cells.join(cuts, keys).withColumn("_bin", F.lit(0))
-    step = bins // 2
+    step = bins
     while step:
         beyond = F.get("_cuts", F.col("_bin") + (step - 1)) <= F.col("_v")
         binned = binned.withColumn(
             "_bin", F.col("_bin") + F.when(beyond, F.lit(step)).otherwise(F.lit(0))
         )
         step //= 2
+    low, high = F.get("_cuts", F.col("_bin") - 1), F.get("_cuts", F.col("_bin"))
+    even = F.floor((F.col("_v") - low) / (high - low) * parts)
+    # Only a finite, non-empty piece is split; every other keeps its values together.
+    part = F.when((high > low) & (high - low < 1e300), F.least(even, F.lit(parts - 1)))
+    binned = binned.withColumn("_bin", F.col("_bin") * parts + F.coalesce(part, F.lit(0)))
     hist = binned.groupBy(*keys, "_bin").agg(
         F.sum("_c").alias("_n"),
         F.min("_v").alias("_lo"),
@@ -76,9 +83,9 @@ def exact_percentiles(
 
     out = []
     for name, q in points.items():
-        low, high = ranks(q)
-        weight = F.max(F.lit(float(q)) * (F.col("_total") - 1) - low)
-        out.append((at(low) + (at(high) - at(low)) * weight).alias(name))
+        below, above = ranks(q)
+        weight = F.max(F.lit(float(q)) * (F.col("_total") - 1) - below)
+        out.append((at(below) + (at(above) - at(below)) * weight).alias(name))
     return ordered.groupBy(*keys).agg(*out)
 
 

@@ -115,10 +115,11 @@ def test_percentiles_of_a_dominant_group(spark):
     rows = [(g, float(x)) for g, xs in groups.items() for x in xs]
     df = spark.createDataFrame(rows, "g STRING, x DOUBLE")
     q = {"a": 0.0, "b": 0.02, "c": 0.5, "d": 0.98, "e": 1.0}
-    got = {r["g"]: [r[k] for k in q] for r in
-           percentiles.exact_percentiles(df, ["g"], "x", q, bins=16).collect()}
-    for g, xs in groups.items():
-        np.testing.assert_allclose(got[g], np.percentile(xs, [0, 2, 50, 98, 100]), rtol=1e-12)
+    for bins, parts in ((64, 64), (4, 2), (1, 1)):
+        out = percentiles.exact_percentiles(df, ["g"], "x", q, bins=bins, parts=parts)
+        got = {r["g"]: [r[k] for k in q] for r in out.collect()}
+        for g, xs in groups.items():
+            np.testing.assert_allclose(got[g], np.percentile(xs, [0, 2, 50, 98, 100]), rtol=1e-12)
     flat = spark.createDataFrame([("f", 3.0)] * 5, "g STRING, x DOUBLE")
     assert tuple(percentiles.colour_bounds(flat, ["g"], "x").first())[1:] == (3.0, 4.0)
 
