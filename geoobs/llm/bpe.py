@@ -61,6 +61,12 @@ def encode_text(text: str, ranks_path: str, limit: int = LONG_TEXT) -> np.ndarra
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
+def rows_of(batch: pa.Array, step: int = 256) -> Iterator[bytes]:
+    """Values of an array, a few at a time, so that a batch is not held twice."""
+    for at in range(0, len(batch), step):
+        yield from batch.slice(at, step).to_pylist()
+
+
 def encode(
     df: DataFrame, text: str = "text", out: str = "token_ids", *, ranks_path: str,
     long_text: int = LONG_TEXT,
@@ -77,7 +83,7 @@ def encode(
         for batch in batches:
             ids = [
                 encode_text(raw.decode("utf-8", "replace"), ranks_path, long_text)
-                for raw in batch.to_pylist()
+                for raw in rows_of(batch)
             ]
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
-WORD = r"[^\x20\x09-\x0D]+"
-
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that ``df`` does not have, whatever their case."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, token_counts, token_store
+from . import bpe, lang_id, mixing, token_counts, token_store
 from .common import table
 from .registry import query
 
@@ -46,3 +46,24 @@ def op10_token_store(spark, sf_dir):
     )
     read = token_store.read_documents(spark, path)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op9_source_mix")
+def op9_source_mix(spark, sf_dir):
+    """Words that a mix of 150 % of all words takes of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.mix(docs, "doc_id", "text", "source", weights=(5, 2, 1), share=1.5, most=2.0)
+    return mixed.select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).alias("taken"),
+    )
+
+
+@query("op8_lang_id")
+def op8_lang_id(spark, sf_dir):
+    """Languages learned from two thirds of the documents, predicted for all."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", lang_id.held_out(F.col("doc_id")))
+    learned = lang_id.profiles(docs.filter("NOT held_out"), "text", "lang")
+    guessed = lang_id.with_language(docs.drop("lang"), learned, "text", "lang_pred", "score")
+    return guessed.select("doc_id", "held_out", "lang_pred", "score")
