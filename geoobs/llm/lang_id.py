@@ -20,6 +20,8 @@ from .common import bytes_of, col, replace_columns
 
 LONGEST = 3
 RANKS = 400
+# Labelled rows of a language that a profile is learned from, about.
+LEARN_ROWS = 5000
 UNKNOWN = "und"
 # Rows of partial counts that a task holds before it passes them on, and words it remembers.
 HELD = 200_000
@@ -43,13 +45,14 @@ def words_in(raw: bytes) -> list[str]:
 
 def profiles(
     df: DataFrame, text: str = "text", lang: str = "lang", *, longest: int = LONGEST,
-    ranks: int = RANKS,
+    ranks: int = RANKS, rows_per_language: int = LEARN_ROWS,
 ) -> DataFrame:
     """The ``ranks`` most frequent n-grams of each language: ``lang``, ``gram``, ``rank`` (from 0).
 
-    All rows with a language and a text count, each repeated row again. Ties go to the smaller
-    n-gram. Tasks add up n-grams before the shuffle, so a language with most of the rows is no hot
-    key.
+    A language with more than ``rows_per_language`` labelled rows is learned from about that many,
+    chosen by a hash of the text; smaller ones from all their rows. Rows without a language or a text
+    teach nothing, repeated rows count each time. Ties go to the smaller n-gram. Tasks add up n-grams
+    before the shuffle, so a language with most of the rows is no hot key.
     """
     schema = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())])
 
@@ -76,9 +79,14 @@ def profiles(
                     yield flush()
         yield flush()
 
-    rows = df.filter(col(lang).isNotNull()).select(
+    rows = df.filter(col(lang).isNotNull() & col(text).isNotNull()).select(
         col(lang).cast("string").alias("lang"), bytes_of(text).alias("text")
     )
+    sizes = rows.groupBy(F.col("lang").alias("_l")).agg(F.count("*").alias("_n"))
+    chance = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003
+    rows = rows.join(F.broadcast(sizes), F.col("lang") == F.col("_l")).filter(
+        chance * F.col("_n") < rows_per_language
+    ).select("lang", "text")
     counts = rows.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")
     )
@@ -112,7 +120,8 @@ class Profiles:
 
     def start(self) -> None:
         self.number = dict(self.known)
-        self.codes = np.array([code(g) for g in self.number], dtype=np.int64)
+        self.codes = np.empty(max(1 << 16, 2 * len(self.number)), dtype=np.int64)
+        self.codes[: len(self.number)] = [code(g) for g in self.number]
         self.words: dict[str, np.ndarray] = {}
 
     def learn(self, words: set[str]) -> None:
@@ -120,14 +129,17 @@ class Profiles:
         if len(self.words) > HELD // 2:
             self.start()
         number = self.number
-        for word in words:
-            if word not in self.words:
-                self.words[word] = np.array(
-                    [number.setdefault(g, len(number)) for g in grams_of(word, self.longest)],
-                    dtype=np.int64,
-                )
-        new = list(number)[len(self.codes):]
-        self.codes = np.append(self.codes, np.array([code(g) for g in new], dtype=np.int64))
+        for word in [w for w in words if w not in self.words]:
+            found = []
+            for g in grams_of(word, self.longest):
+                n = number.get(g)
+                if n is None:
+                    n = number[g] = len(number)
+                    if n == len(self.codes):
+                        self.codes = np.concatenate([self.codes, np.empty_like(self.codes)])
+                    self.codes[n] = code(g)
+                found.append(n)
+            self.words[word] = np.array(found, dtype=np.int32)
 
     def predict(self, words: list[str]) -> tuple[str, float]:
         """Nearest language and its share of the places that could have been lost.
@@ -138,7 +150,7 @@ class Profiles:
         if not words or not self.langs:
             return UNKNOWN, 0.0
         distinct = set(words)
-        if not distinct <= self.words.keys():
+        if not all(map(self.words.__contains__, distinct)):
             self.learn(distinct)
         counts = np.bincount(np.concatenate([self.words[w] for w in words]))
         met = np.flatnonzero(counts)
