@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, lang_id, mixing, token_counts, token_store
+from . import bpe, lang_id, minhash, mixing, token_counts, token_store
 from .common import table
 from .registry import query
 
@@ -67,3 +67,10 @@ def op8_lang_id(spark, sf_dir):
     learned = lang_id.profiles(docs.filter("NOT held_out"), "text", "lang")
     guessed = lang_id.with_language(docs.drop("lang"), learned, "text", "lang_pred", "score")
     return guessed.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op6_minhash_dedup")
+def op6_minhash_dedup(spark, sf_dir):
+    """Components of near-duplicate documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, "doc_id", "text", words=4, similar=0.8)
