@@ -1,4 +1,4 @@
 """All registered queries of this package."""
 
-from . import chat_queries, secret_queries, text_queries  # noqa: F401
+from . import chat_queries, secret_queries, text_queries, vector_queries  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
