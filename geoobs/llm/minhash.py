@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import bytes_of, col, stored
 from .components import connected_components
+from .sorted_cells import sorted_cells
 
 WORDS = 4
 SIMILAR = 0.8
@@ -179,27 +180,6 @@ def _tiles(members: DataFrame, group: str, tile: int) -> DataFrame:
     ).drop("parts", "part", "other", "size")
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows of equal leading column, which the batches are sorted by."""
-    held: list[pa.Table] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = pa.Table.from_batches([batch])
-        key = rows.column(0).to_numpy()
-        ends = np.flatnonzero(key[1:] != key[:-1]) + 1
-        if held and held[-1].column(0)[0].as_py() != key[0]:
-            yield pa.concat_tables(held)
-            held = []
-        for a, b in zip([0, *ends], [*ends, len(key)]):
-            if a and held:
-                yield pa.concat_tables(held)
-                held = []
-            held.append(rows.slice(a, b - a))
-    if held:
-        yield pa.concat_tables(held)
-
-
 def _forest(n: int, near) -> Iterator[tuple[int, int]]:
     """Links of a spanning forest; ``near(i, others)`` says which of ``others`` link with ``i``."""
     open_ = np.arange(n)
@@ -226,7 +206,7 @@ def _links(found: Iterator[tuple[bytes, bytes]]) -> pa.RecordBatch:
 
 def _by_signature(agree: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell in _cells(batches):
+        for cell in sorted_cells(batches):
             if cell.num_rows > 1:
                 nodes = cell["node"].to_pylist()
                 rows = _matrix(cell["signature"].combine_chunks(), "<u4")
@@ -243,7 +223,7 @@ def _by_shingles(words: int, similar: float):
     share = round(similar * 100)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell in _cells(batches):
+        for cell in sorted_cells(batches):
             if cell.num_rows < 2:
                 continue
             nodes = cell["node"].to_pylist()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import vector_dedup
+from . import neighbours, vector_dedup
 from .common import table
 from .registry import query
 
@@ -11,3 +11,11 @@ from .registry import query
 def op3_vector_dedup(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return vector_dedup.near_vectors(vectors, "vec_id", "embedding", similar=0.9)
+
+
+@query("op5_nn_descent")
+def op5_nn_descent(spark, sf_dir):
+    """Ten nearest vectors of every id divisible by 100, among all rows."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    asked = vectors.filter("vec_id % 100 = 0")
+    return neighbours.nearest_neighbours(vectors, asked, "vec_id", "embedding", top=10)
