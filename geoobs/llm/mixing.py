@@ -5,14 +5,15 @@ rate, and one more with the fractional part as inclusion probability. The cube m
 probabilities: it moves three of them at a time along the null space of the two balancing totals
 (words and documents) until one reaches 0 or 1, so both totals stay as they were. Blocks of a source
 settle in parallel; what two constraints leave undecided in each is settled again in larger company,
-until at most two documents of a source remain. Those land, with a few others, on the choice
-nearest to the words due.
+until at most two documents of a source remain. Those land on the choice nearest to the words due,
+with a few others that make up for what it is off.
 """
 
 from __future__ import annotations
 
 import random
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from .common import bytes_of, col, fresh, stored
 
 BLOCK = 4096
-LANDING = 12
+# A document is large if it holds more than this part of the open words of its block.
+LARGE = 64
 EPS = 1e-9
 
 
@@ -79,13 +81,44 @@ def source_targets(
     )
 
 
+def settle_large(p: np.ndarray, x: np.ndarray, chance: random.Random) -> np.ndarray:
+    """Settles documents that outweigh many others while all others can still make up for them.
+
+    The move is along the null space of all open documents that turns most on the large one.
+    """
+    p = p.copy()
+    open_ = np.flatnonzero((p > 0) & (p < 1))
+    large = open_[x[open_] * LARGE > x[open_].sum()]
+    for g in large[np.lexsort((large, -x[large]))]:
+        while 0 < p[g] < 1:
+            open_ = np.flatnonzero((p > 0) & (p < 1))
+            if len(open_) < 4:
+                return p
+            totals = np.stack([np.ones(len(open_)), x[open_] / x[open_].max()])
+            aim = (open_ == g).astype(float)
+            move = aim - totals.T @ np.linalg.lstsq(totals @ totals.T, totals @ aim, rcond=None)[0]
+            moves = np.abs(move) > EPS
+            if not moves.any():
+                break
+            at, step = open_[moves], move[moves]
+            ahead = np.where(step > 0, 1 - p[at], p[at]) / np.abs(step)
+            back = np.where(step > 0, p[at], 1 - p[at]) / np.abs(step)
+            ahead, back = ahead.min(), back.min()
+            way = ahead if chance.random() * (ahead + back) < back else -back
+            moved = p[at] + way * step
+            p[at] = np.where(moved <= EPS, 0.0, np.where(moved >= 1 - EPS, 1.0, moved))
+    return p
+
+
 def flight(p: list[float], x: list[float], seed: int) -> list[float]:
-    """Moves probabilities to 0 or 1, three at a time, with sum(p) and sum(p * x) kept.
+    """Moves probabilities to 0 or 1 with sum(p) and sum(p * x) kept: large documents among all
+    open ones, the others three at a time.
 
     Each move goes one of both ways with the chances that keep every expected value. At most two
     probabilities stay between 0 and 1.
     """
-    p, chance = list(p), random.Random(seed)
+    chance = random.Random(seed)
+    p = settle_large(np.array(p, dtype=float), np.array(x, dtype=float), chance).tolist()
     waiting = [i for i in range(len(p)) if 0 < p[i] < 1]
     waiting.reverse()
     held: list[int] = []
@@ -108,24 +141,31 @@ def flight(p: list[float], x: list[float], seed: int) -> list[float]:
     return p
 
 
-def landing(p: list[float], x: list[float], others: int = LANDING) -> list[float]:
-    """Settles the last open probabilities together with a few settled ones.
+def landing(p: list[float], x: list[float]) -> list[float]:
+    """Settles the last open probabilities, words first.
 
-    Of all choices for them, the one whose words are nearest to their due, then whose documents are.
+    For each choice, settled documents that fit the words still missing or over change sides, the
+    largest first. The choice that comes nearest wins, then the one with the fewest changes.
     """
     left = [i for i in range(len(p)) if 0 < p[i] < 1]
     if not left:
         return list(p)
-    pool = left + [i for i in range(len(p)) if i not in left][:others]
-    due, sizes = np.array([p[i] for i in pool]), np.array([x[i] for i in pool])
-    picks = np.arange(1 << len(pool))[:, None] >> np.arange(len(pool)) & 1
-    words = np.abs(picks @ sizes - due @ sizes).round(6)
-    documents = np.abs(picks.sum(1) - due.sum()).round(6)
-    best = picks[np.lexsort((documents, words))[0]]
-    out = list(p)
-    for i, k in zip(pool, best):
-        out[i] = float(k)
-    return out
+    due = sum(p[i] * x[i] for i in left)
+    others = sorted((i for i in range(len(p)) if p[i] in (0, 1) and x[i] > 0),
+                    key=lambda i: (-x[i], i))
+    best = None
+    for pick in product((0.0, 1.0), repeat=len(left)):
+        out, gap, changes = list(p), due - sum(k * x[i] for k, i in zip(pick, left)), 0
+        for i, k in zip(left, pick):
+            out[i] = k
+        for i in others:
+            if x[i] <= (gap if p[i] == 0 else -gap):
+                out[i] = 1.0 - p[i]
+                gap -= x[i] if p[i] == 0 else -x[i]
+                changes += 1
+        if best is None or (abs(gap), changes) < best[:2]:
+            best = (abs(gap), changes, out)
+    return best[2]
 
 
 def _settle(last: bool):
@@ -183,6 +223,9 @@ def mix(
     A null text has size 0. A null source is a source of its own, last in order. Rows equal in id,
     source and text are one unit with their number as multiplicity; its copies are spread evenly over
     them. A null id is an id like any other. Empty in, empty out. Reruns agree.
+
+    The words of a source come near its target unless one document outweighs the others of its block
+    of ``block`` documents; then they are off by what those cannot make up for.
     """
     rows = df.select(
         col(doc_id).alias("doc_id"), col(source).cast("string").alias("source"),
