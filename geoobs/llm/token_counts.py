@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bytes_of, col, replace_columns
-from .units import ASCII_PRETOKENS, split_units
+from .units import Pretokens, Remembered, split_units
 
 # Units whose count is remembered by a worker; bounds its memory, not what is counted.
 REMEMBERED = 300_000
@@ -42,11 +42,9 @@ class Counter:
             and not spec["model"].get("dropout")
         )
         if self.direct:
-            # ASCII characters in the alphabet of the vocabulary, as the library maps them.
-            split = self.library.pre_tokenizer.pre_tokenize_str
-            self.letters = {b: "".join(p for p, _ in split(chr(b))) for b in range(128)}
+            self.pretokens = Pretokens(self.library)
             self.proven = self.prove()
-            self.known = dict(self.start())
+            self.units = Remembered(self.after_blank, REMEMBERED)
 
     def prove(self) -> frozenset[str]:
         """Vocabulary strings that encode alone as exactly one token."""
@@ -54,39 +52,20 @@ class Counter:
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         return frozenset(s for s in vocabulary if len(merges(s)) == 1)
 
-    def start(self) -> dict[str, int]:
-        """Proven strings that are a whole unit: a blank and ASCII letters."""
-        blank = self.letters[ord(" ")]
-        tails = (s.removeprefix(blank) for s in self.proven if s.startswith(blank))
-        return {t: 1 for t in tails if t.isascii() and t.isalpha()}
-
-    def pretoken(self, p: str) -> int:
-        return 1 if p in self.proven else len(self.library.model.tokenize(p))
+    def tokens(self, pretokens: list[str]) -> int:
+        merges = self.library.model.tokenize
+        return sum(1 if p in self.proven else len(merges(p)) for p in pretokens)
 
-    def unit(self, text: str) -> int:
-        if text.isascii():
-            parts = (p.translate(self.letters) for p in ASCII_PRETOKENS.findall(text))
-        else:
-            parts = (p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(text))
-        return sum(map(self.pretoken, parts))
+    def after_blank(self, unit: str) -> int:
+        return self.tokens(self.pretokens.after_blank(unit))
 
     def count(self, text: str) -> int:
         if not self.direct or any(s in text for s in self.special):
             # Added tokens are taken out of the text before it is split; the library does that.
             return len(self.library.encode(text, add_special_tokens=False).ids)
         first, *rest = split_units(text)
-        known = self.known
-        try:
-            return self.unit(first) + sum(map(known.__getitem__, rest))
-        except KeyError:
-            pass
-        if len(known) > REMEMBERED:
-            known.clear()
-            known.update(self.start())
-        for u in rest:
-            if u not in known:
-                known[u] = self.unit(" " + u)
-        return self.unit(first) + sum(map(known.__getitem__, rest))
+        self.units.trim()
+        return self.tokens(self.pretokens(first)) + sum(map(self.units.__getitem__, rest))
 
 
 @lru_cache(maxsize=2)

@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from .common import bytes_of, col
-from .units import ASCII_PRETOKENS, split_units
+from .units import Remembered, split_units
 
 MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT_IDS = 1 << 18
 # Units and pre-tokens whose ids a worker remembers; bounds its memory, not what is encoded.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 
 
 # --- codes -----------------------------------------------------------------------------------
@@ -129,45 +129,33 @@ class Encoder:
 
         self.counter = Counter(path)
         self.library = self.counter.library
-        self.units: dict[str, bytes] = {}
-        self.pretokens: dict[str, bytes] = {}
+        if self.counter.direct:
+            size = self.library.get_vocab_size()
+            self.bytes = [i.to_bytes(4, "little") for i in range(size)]
+            self.merged = Remembered(self.merge, REMEMBERED)
+            self.units = Remembered(self.after_blank, REMEMBERED)
 
     def whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def pretoken(self, p: str) -> bytes:
-        got = self.pretokens.get(p)
-        if got is None:
-            if len(self.pretokens) > REMEMBERED:
-                self.pretokens.clear()
-            got = b"".join(t.id.to_bytes(4, "little") for t in self.library.model.tokenize(p))
-            self.pretokens[p] = got
-        return got
-
-    def unit(self, text: str) -> bytes:
-        if text.isascii():
-            letters = self.counter.letters
-            parts = (p.translate(letters) for p in ASCII_PRETOKENS.findall(text))
-        else:
-            parts = (p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(text))
-        return b"".join(map(self.pretoken, parts))
+    def merge(self, pretoken: str) -> bytes:
+        return b"".join([self.bytes[t.id] for t in self.library.model.tokenize(pretoken)])
+
+    def after_blank(self, unit: str) -> bytes:
+        found = self.counter.pretokens.after_blank(unit)
+        if len(found) == 1:
+            return self.merge(found[0])
+        return b"".join(map(self.merged.__getitem__, found))
 
     def encode(self, text: str) -> bytes:
         if not self.counter.direct or any(s in text for s in self.counter.special):
             return self.whole(text)
         first, *rest = split_units(text)
-        units = self.units
-        try:
-            return self.unit(first) + b"".join(map(units.__getitem__, rest))
-        except KeyError:
-            pass
-        if len(units) > REMEMBERED:
-            units.clear()
-        for u in rest:
-            if u not in units:
-                units[u] = self.unit(" " + u)
-        return self.unit(first) + b"".join(map(units.__getitem__, rest))
+        self.units.trim()
+        self.merged.trim()
+        head = b"".join(map(self.merge, self.counter.pretokens(first)))
+        return head + b"".join(map(self.units.__getitem__, rest))
 
 
 @lru_cache(maxsize=2)
