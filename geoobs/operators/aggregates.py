@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .keys import join_null_safe
+
 from .. import schema as S
 from ..functions.clean import micros, slot_start
 
@@ -244,9 +246,10 @@ def log_bins(df: DataFrame, keys: list[str], f: str, power: str, edges: int = 35
     lf = F.log10(F.col(f))
     span = df.groupBy(*keys).agg(F.min(lf).alias("_lo"), F.max(lf).alias("_hi"))
     n = edges - 1
-    rows = df.join(span, keys).withColumn(
-        "bin", F.least(F.floor((lf - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * n) + 1,
-                       F.lit(n)).cast("int"),
+    # A group of one frequency has no width; all of it is the first bin.
+    place = F.coalesce(F.try_divide(lf - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
+    rows = join_null_safe(df, span, keys).withColumn(
+        "bin", F.least(F.floor(place * n) + 1, F.lit(n)).cast("int")
     )
     step = (F.col("_hi") - F.col("_lo")) / n
     centre = F.pow(F.lit(10.0), F.col("_lo") + (F.col("bin") - 0.5) * step)

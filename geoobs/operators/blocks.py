@@ -3,7 +3,7 @@
 A series may hold a third of all rows, so no window here runs over a whole raw series. Rows are cut
 into fixed time blocks; windows run inside (series, block), and only one summary row per block is
 ordered along the series. The block is a pure function of the timestamp, so a recomputed task always
-finds the same blocks.
+finds the same blocks. Rows without a time form one block after all others.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import micros
+from .keys import join_null_safe
 
 BLOCK_SECONDS = 3600
 
@@ -28,14 +29,16 @@ def with_position(
     blocked = with_block(df, ts, seconds)
     inside = Window.partitionBy(*keys, "_block").orderBy(ts, *tie)
     series = Window.partitionBy(*keys)
-    before = series.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = series.orderBy(F.col("_block").asc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
     offsets = blocked.groupBy(*keys, "_block").agg(F.count("*").alias("_n")).select(
         *keys, "_block",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         *([F.sum("_n").over(series).alias(total)] if total else []),
     )
-    out = blocked.withColumn("_in", F.row_number().over(inside) - 1).join(
-        offsets, [*keys, "_block"]
+    out = join_null_safe(
+        blocked.withColumn("_in", F.row_number().over(inside) - 1), offsets, [*keys, "_block"]
     )
     return out.withColumn(name, (F.col("_in") + F.col("_before")).cast("bigint")).drop(
         "_in", "_before", "_block"
@@ -67,13 +70,11 @@ def _with_neighbour(df, keys, ts, tie, columns, seconds, forward):
     edge = blocked.groupBy(*keys, "_block").agg(
         pick(row, F.struct(F.col(ts), *[F.col(t) for t in tie])).alias("_edge")
     )
-    along = Window.partitionBy(*keys).orderBy("_block")
+    along = Window.partitionBy(*keys).orderBy(F.col("_block").asc_nulls_last())
     edge = edge.select(*keys, "_block", step("_edge").over(along).alias("_across"))
-    out = (
-        blocked.withColumn("_row", row)
-        .withColumn("_inside", step("_row").over(inside))
-        .join(edge, [*keys, "_block"])
-        .withColumn("_near", F.coalesce("_inside", "_across"))
+    inner = blocked.withColumn("_row", row).withColumn("_inside", step("_row").over(inside))
+    out = join_null_safe(inner, edge, [*keys, "_block"]).withColumn(
+        "_near", F.coalesce("_inside", "_across")
     )
     for i, new in enumerate(columns.values()):
         out = out.withColumn(new, F.col(f"_near.f{i}"))
@@ -130,7 +131,7 @@ def gap_flags(
     )
     limit = F.greatest(F.col("median_step") * factor, F.lit(floor_seconds))
     return (
-        steps.join(median, keys, "left")
+        join_null_safe(steps, median, keys, "left")
         .withColumn("line_break", F.coalesce(F.col("step_s") > limit, F.lit(False)))
         .drop("median_step")
     )

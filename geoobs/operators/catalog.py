@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -14,9 +14,8 @@ def provenance_events(rows: DataFrame, entity: str, existing: DataFrame | None =
     Rows carry ``timestamp``, ``file``, ``gas``, ``source_doi`` and ``citation``; of several events
     of a new entity the earliest creates it.
     """
-    first = rows.groupBy(entity).agg(
-        F.min(F.struct("timestamp", "file")).alias("_first")
-    )
+    event = ["timestamp", "file", "gas", "source_doi", "citation"]
+    first = rows.groupBy(entity).agg(F.min(F.struct(*event)).alias("_first"))
     if existing is None:
         known = first.withColumn("_known", F.lit(False))
     else:
@@ -26,11 +25,15 @@ def provenance_events(rows: DataFrame, entity: str, existing: DataFrame | None =
         known = first.join(seen, entity, "left").withColumn(
             "_known", F.coalesce("_known", F.lit(False))
         )
-    creates = ~F.col("_known") & (F.struct("timestamp", "file") == F.col("_first"))
-    return rows.join(known, entity).select(
+    # Of events that are alike in everything one creates the entity.
+    alike = Window.partitionBy(entity, *event).orderBy(F.lit(0))
+    creates = (
+        ~F.col("_known") & F.struct(*event).eqNullSafe(F.col("_first")) & (F.col("_nth") == 1)
+    )
+    numbered = rows.withColumn("_nth", F.row_number().over(alike))
+    return numbered.join(known, entity).select(
         F.col(entity).alias("entity"),
-        F.when(creates, "create").otherwise("update").alias("action"),
-        "timestamp", "file", "gas", "source_doi", "citation",
+        F.when(creates, "create").otherwise("update").alias("action"), *event,
     )
 
 
@@ -65,12 +68,24 @@ def tombstone(entity: str, spark, at: Column | None = None) -> DataFrame:
     )
 
 
-def without_removed(facts: DataFrame, events: DataFrame, key: str) -> DataFrame:
-    """Facts of entities that were not removed."""
-    gone = provenance_state(events).filter("last_action = 'remove'").select(
-        F.col("entity").alias("_e")
-    )
-    return facts.join(gone, F.col(key).cast("string") == F.col("_e"), "left_anti")
+def without_removed(
+    facts: DataFrame, events: DataFrame, key: str, stored_at: str | None = None
+) -> DataFrame:
+    """Facts that were not removed.
+
+    With ``stored_at``, the time a row was written, a removal hides exactly the rows written up to
+    it: a later re-ingest brings its own rows, never the old ones. Without it, all rows of entities
+    whose last event is a removal are hidden.
+    """
+    if stored_at is None:
+        gone = provenance_state(events).filter("last_action = 'remove'")
+    else:
+        gone = events.filter("action = 'remove'").groupBy("entity").agg(
+            F.max("timestamp").alias("_removed"))
+    on = F.col(key).cast("string") == F.col("_e")
+    if stored_at is not None:
+        on = on & (F.col(stored_at) <= F.col("_removed"))
+    return facts.join(gone.withColumnRenamed("entity", "_e"), on, "left_anti")
 
 
 def listing(events: DataFrame, counts: DataFrame, key: str) -> DataFrame:
@@ -136,10 +151,13 @@ def outcome_counts(patched: DataFrame) -> DataFrame:
 
 
 def citation_list(attrs: str | Column, stem: str = "dataset_provider_citation_") -> Column:
-    """Numbered citations 1, 2, ... of an attribute map, cut at the first missing number."""
+    """Numbered citations 1, 2, ... of an attribute map, cut at the first missing number.
+
+    A map of n entries has at most n of them; the number after the last one is always missing.
+    """
     attrs = F.col(attrs) if isinstance(attrs, str) else attrs
     texts = F.transform(
-        F.sequence(F.lit(1), F.lit(49)),
+        F.sequence(F.lit(1), F.coalesce(F.size(attrs), F.lit(0)) + 1),
         lambda i: F.try_element_at(attrs, F.concat(F.lit(stem), i.cast("string"))),
     )
     first_gap = F.array_position(F.transform(texts, lambda t: t.isNull()), True)

@@ -124,8 +124,9 @@ def assemble(manifest_rows: DataFrame, provenance: DataFrame, keys: list[str]) -
     such group of a session, in name order, is its origin.
     """
     top = F.element_at(F.split("group", "/"), 1)
-    known = provenance.select(
-        F.col("group").alias("_top"), F.struct("source_doi", "citation").alias("_origin")
+    # One origin for each group, the first by its identifier, so that no total is counted twice.
+    known = provenance.groupBy(F.col("group").alias("_top")).agg(
+        F.min(F.struct("source_doi", "citation")).alias("_origin")
     )
     rows = manifest_rows.withColumn("_top", top).join(known, "_top", "left")
     part = F.struct(

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import join_null_safe
+
 
 def exact_percentiles(
     df: DataFrame, keys: list[str], value: str, points: dict[str, float], bins: int = 64,
@@ -39,7 +41,7 @@ def exact_percentiles(
         F.sum("_c").alias("_total"),
     )
     # Piece i holds cuts[i-1] <= v < cuts[i]; found by halving, a step past the end counts as larger.
-    binned = cells.join(cuts, keys).withColumn("_bin", F.lit(0))
+    binned = join_null_safe(cells, cuts, keys).withColumn("_bin", F.lit(0))
     step = bins
     while step:
         beyond = F.get("_cuts", F.col("_bin") + (step - 1)) <= F.col("_v")
@@ -71,7 +73,7 @@ def exact_percentiles(
         [(r >= F.col("_below")) & (r < F.col("_below") + F.col("_n")) for r in wanted],
     )
     ranges = hist.filter(hit).select(*keys, "_lo", "_hi", "_below", "_total")
-    narrowed = cells.join(ranges, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    narrowed = join_null_safe(cells, ranges, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
     inside = Window.partitionBy(*keys, "_lo").orderBy("_v")
     ordered = narrowed.withColumn(
         "_end", F.col("_below") + F.sum("_c").over(inside.rowsBetween(
@@ -93,7 +95,7 @@ def colour_bounds(df: DataFrame, keys: list[str], value: str, low=0.02, high=0.9
     """``vmin``/``vmax`` percentiles; a degenerate range falls back to the extremes, then to +1."""
     p = exact_percentiles(df, keys, value, {"_p_lo": low, "_p_hi": high})
     ext = df.groupBy(*keys).agg(F.min(value).alias("_min"), F.max(value).alias("_max"))
-    both = p.join(ext, keys)
+    both = join_null_safe(p, ext, keys)
     flat = F.col("_p_hi") <= F.col("_p_lo")
     top = F.when(F.col("_max") > F.col("_min"), F.col("_max")).otherwise(F.col("_min") + 1.0)
     return both.select(

@@ -275,7 +275,7 @@ def storage_type(profile: DataFrame, kind: str = "value") -> DataFrame:
             F.when((n == 0) | ~F.col("integral"), "float")
             .when((lo >= -128) & (hi <= 127), "tinyint")
             .when((lo >= -32768) & (hi <= 32767), "smallint")
-            .when(hi <= 2147483647, "int")
+            .when((lo >= -2147483648) & (hi <= 2147483647), "int")
             .otherwise("bigint")
         )
     return profile.withColumn("storage", F.when(F.col("n_text") > 0, "text").otherwise(storage))

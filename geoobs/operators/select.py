@@ -140,7 +140,7 @@ class Selection:
         return self._next(df)
 
     def where(self, condition: Column, text: str) -> Selection:
-        self._record(op="where", drop=True, cond={"repr": text[:300]})
+        self._record(op="where", drop=True, cond={"repr": text})
         kept = self._next(self.df.filter(condition))
         self.log[-1]["_survivors"] = kept.df.select(self.keys[0]).distinct()
         return kept

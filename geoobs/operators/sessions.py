@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..functions.clean import micros
+from .keys import join_null_safe
 
 IDLE_SECONDS = 300
 CLIENT = ["ip", "store"]
@@ -66,7 +67,7 @@ def with_session(log: DataFrame, ts: str = "ts", idle: int = IDLE_SECONDS, size=
     Joined on (client, cell), so a busy client is spread over its cells.
     """
     cells = session_cells(log, ts, idle, size).select(*CLIENT, "cell", "session_no")
-    return with_cell(log, ts, idle).join(cells, [*CLIENT, "cell"]).drop("cell")
+    return join_null_safe(with_cell(log, ts, idle), cells, [*CLIENT, "cell"]).drop("cell")
 
 
 def session_members(chunks: DataFrame, keys: list[str], member: str) -> DataFrame:

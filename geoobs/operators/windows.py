@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import micros, slot_start
 from . import blocks
+from .keys import join_null_safe
 
 
 def slot_number(ts: str, first: str, seconds: int) -> Column:
@@ -143,7 +144,7 @@ def detrend_hann(df: DataFrame, station: str, slot: str, value: str, n: int, nam
     )
     weight = 0.5 - 0.5 * F.cos(2 * F.pi() * F.col(slot) / F.lit(float(n - 1)))
     return (
-        df.join(fit, station)
+        join_null_safe(df, fit, [station])
         .withColumn("hann", weight)
         .withColumn(name, (F.col(value) - (F.col("_a") * F.col(slot) + F.col("_b"))) * weight)
         .drop("_a", "_b")
@@ -155,25 +156,19 @@ def compact_queries(
 ) -> DataFrame:
     """Query log without bare accesses that a selection on the same variable directly follows.
 
-    ``seq`` numbers the entries of a session without holes, so the following entry is found by an
-    equi join on (session, seq + 1) that spreads a long session over all tasks.
+    ``seq`` orders the entries of a session; numbers may be missing. The following entry is found
+    within blocks of numbers, so a long session is spread over all tasks.
     """
-    nxt = log.select(
-        F.col(session).alias("_s"), (F.col(seq) - 1).alias("_q"), F.col("op").alias("_op"),
-        F.col("variable").alias("_v"), F.col("group").alias("_g"),
-    )
-    follows = (
-        (F.col(session) == F.col("_s")) & (F.col(seq) == F.col("_q"))
-    )
+    following = {"op": "_op", "variable": "_v", "group": "_g"}
+    placed = log.withColumn("_at", F.timestamp_seconds(F.col(seq)))
+    nxt = blocks.with_next(placed, [session], "_at", [seq], following)
     bare = F.col("op") == "access"
     # A following access/where never replaces; only sel and isel on the same variable do.
     replaced = (
         bare & F.col("_op").isin("sel", "isel") & F.col("variable").eqNullSafe(F.col("_v"))
         & F.col("group").eqNullSafe(F.col("_g"))
     )
-    return log.join(nxt, follows, "left").filter(~F.coalesce(replaced, F.lit(False))).drop(
-        "_s", "_q", "_op", "_v", "_g"
-    )
+    return nxt.filter(~F.coalesce(replaced, F.lit(False))).drop("_at", "_op", "_v", "_g")
 
 
 def last_surviving(log: DataFrame, session: str, seq: str, stations: str) -> DataFrame:

@@ -18,7 +18,7 @@ def _hundredths():
     return (F.floor(F.col("value") * 100) % 100).cast("int")
 
 
-def obs(t: Tables) -> DataFrame:
+def obs(t: Tables, *more: str) -> DataFrame:
     """Station observations with quality flags taken from the decimals of the value."""
     k = _hundredths()
     return t.events.select(
@@ -27,6 +27,7 @@ def obs(t: Tables) -> DataFrame:
         (F.floor(k / 20) - 1).cast("int").alias("qc"),
         F.element_at(F.array(*[F.lit(c) for c in "UOCX"]), F.floor(k / 25).cast("int") + 1).alias(
             "qc_flag"),
+        *more,
     )
 
 
@@ -58,9 +59,12 @@ STATIONS_SQL = """stations AS (
   FROM customer)"""
 
 
-def gas_rows(t: Tables) -> DataFrame:
-    """Gas rows in mol/mol with the file they come from; other event types carry no gas."""
-    o = obs(t).join(stations(t).select("station_id", "trigram", "height"), "station_id")
+def gas_rows(t: Tables, *more: str) -> DataFrame:
+    """Gas rows in mol/mol with the file they come from; other event types carry no gas.
+
+    ``more`` names further columns of the events to keep.
+    """
+    o = obs(t, *more).join(stations(t).select("station_id", "trigram", "height"), "station_id")
     gas = F.create_map(*[F.lit(x) for p in GAS_OF.items() for x in p])
     return o.withColumn("gas", F.try_element_at(gas, F.col("variable"))).select(
         "seq", "station_id", "gas", "time", (F.col("value") * 1e-6).alias("value"),
@@ -74,7 +78,7 @@ def gas_rows(t: Tables) -> DataFrame:
             F.when(F.col("height") == 10, "").otherwise(
                 F.concat(F.lit("-"), F.col("height").cast("string"), F.lit("magl"))),
             F.lit(".nc"),
-        ).alias("file_name"),
+        ).alias("file_name"), *more,
     )
 
 

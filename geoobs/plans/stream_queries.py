@@ -9,24 +9,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+from ..sources import sinks
 from ..streaming import ingest
 from ..streaming import sessions as stream_sessions
 from . import adapters as A
 from .registry import Tables, query
 
+# Silence that ends a session of the closing stream.
+IDLE = 300
+
 
 class _Stream(Tables):
-    """The same tables as streams; watermarks need zoned timestamps (the session runs in UTC)."""
+    """The same tables as streams; watermarks need zoned timestamps (the session runs in UTC).
+
+    ``slices`` maps a table to the expression of a slice number: its rows are landed as one file a
+    slice, in ascending order, and come in one micro-batch each.
+    """
+
+    def __init__(self, t: Tables, **slices):
+        super().__init__(t.spark, t.sf_dir)
+        self.slices, self.landed = slices, {}
 
     def __getattr__(self, name: str) -> DataFrame:
         static = super().__getattr__(name)
-        landed = ingest.read_landing(
-            self.spark, self.sf_dir, static.schema, pattern=f"{name}.parquet"
-        )
+        if name in self.slices:
+            if name not in self.landed:
+                self.landed[name] = _land(static, self.slices[name])
+            landed = ingest.read_landing(
+                self.spark, self.landed[name], static.schema, maxFilesPerTrigger="1"
+            )
+        else:
+            landed = ingest.read_landing(
+                self.spark, self.sf_dir, static.schema, pattern=f"{name}.parquet"
+            )
         zoned = [f.name for f in static.schema if f.dataType.simpleString() == "timestamp_ntz"]
         return landed.withColumns({c: F.col(c).cast("timestamp") for c in zoned})
 
 
+def _land(df: DataFrame, slice_no) -> str:
+    """Writes one file a slice; later slices get later file times, which is the order of a stream."""
+    path = shared_dir(df.sparkSession, "landing")
+    sliced = df.withColumn("_slice", slice_no)
+    for row in sliced.select("_slice").distinct().orderBy("_slice").collect():
+        one = sliced.filter(F.col("_slice") == row[0]).drop("_slice")
+        one.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _days(width: int, late_seconds: int):
+    """Slices of days; some rows of the last minutes of a slice come with the next one."""
+    shift = F.when(F.col("event_id") % 3 == 0, F.lit(late_seconds)).otherwise(F.lit(0))
+    day = F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000 + shift
+    return F.floor(day / F.lit(86_400 * width))
+
+
 def _plain(df: DataFrame, *columns: str) -> DataFrame:
     """Zoned columns back to zone-less ones for comparison."""
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
@@ -40,7 +77,7 @@ SELECT ip, store, min(ts) AS session_start, max(ts) AS session_end, count(*) AS
 GROUP BY ip, store, session_no HAVING max(ts) + INTERVAL {A.IDLE} SECOND < (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def stream_sessions_query(t):
     """Sessions the watermark has closed; those still open at the end of the input are not out yet."""
-    log = A.access(_Stream(t.spark, t.sf_dir))
+    log = A.access(_Stream(t))
     closed = stream_sessions.closed_sessions(log, idle=A.IDLE, delay="1 hour")
     return _plain(ingest.run_to_table(closed, "sessions"), "session_start", "session_end")
 
@@ -53,14 +90,13 @@ SELECT CASE WHEN ip LIKE '%:%' THEN array_to_string(string_split(ip, ':')[1:3],
 def stream_passports(t):
     """A checksummed document per session the stream has closed."""
     from ..operators import sessions
-    from ..session import shared_dir
 
     provenance = t.nation.select(
         F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("group"),
         F.col("n_name").alias("source_doi"), F.col("n_name").alias("citation"),
     )
     path, state = shared_dir(t.spark, "passports"), shared_dir(t.spark, "passports-state")
-    requests = sessions.tracked(A.access(_Stream(t.spark, t.sf_dir)))
+    requests = sessions.tracked(A.access(_Stream(t)))
     closed = stream_sessions.closed_sessions(requests, idle=A.IDLE, delay="1 hour")
     stored = A.access(t).withColumn("ts", F.col("ts").cast("timestamp"))
     write = stream_sessions.passport_writer(stored, provenance, path, idle=A.IDLE)
@@ -76,20 +112,27 @@ def stream_passports(t):
     )
 
 
-@query("stream_closing_sessions", f"""WITH {A.ACCESS_SQL}, x AS (
-  SELECT *, coalesce(sum(CASE WHEN event = 'close' THEN 1 ELSE 0 END) OVER (PARTITION BY ip, store ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS epoch,
-    sum(CASE WHEN event = 'close' THEN 1 ELSE 0 END) OVER (PARTITION BY ip, store) AS closes FROM access),
- s AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL {A.IDLE} SECOND OR epoch <> lag(epoch) OVER w THEN 1 ELSE 0 END AS opens
-  FROM x WHERE event <> 'close' WINDOW w AS (PARTITION BY ip, store ORDER BY ts, seq)),
- n AS (SELECT *, sum(opens) OVER (PARTITION BY ip, store ORDER BY ts, seq) AS session_no FROM s),
- g AS (SELECT ip, store, session_no, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_chunks, sum(size)::BIGINT AS n_bytes, any_value(epoch) AS epoch, any_value(closes) AS closes FROM n GROUP BY ip, store, session_no)
-SELECT ip, store, session_start, session_end, n_chunks, n_bytes, CASE WHEN coalesce(lead(epoch) OVER v, closes) > epoch THEN 'close' ELSE 'idle' END AS ended_by FROM g
-WINDOW v AS (PARTITION BY ip, store ORDER BY session_no)
-QUALIFY lead(epoch) OVER v IS NOT NULL OR closes > epoch OR session_end + INTERVAL {A.IDLE} SECOND < (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+@query("stream_closing_sessions", f"""WITH {A.ACCESS_SQL},
+ inst AS (SELECT ip, store, ts, count(*) FILTER (WHERE event <> 'close') AS n,
+   sum(CASE WHEN event <> 'close' THEN size ELSE 0 END) AS b, max(CASE WHEN event = 'close' THEN 1 ELSE 0 END) AS c
+   FROM access GROUP BY ALL),
+ x AS (SELECT *, coalesce(sum(c) OVER (PARTITION BY ip, store ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS epoch FROM inst),
+ r AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL {IDLE} SECOND OR epoch <> lag(epoch) OVER w THEN 1 ELSE 0 END AS opens
+   FROM x WHERE n > 0 WINDOW w AS (PARTITION BY ip, store ORDER BY ts)),
+ s AS (SELECT *, sum(opens) OVER (PARTITION BY ip, store ORDER BY ts) AS session_no FROM r),
+ g AS (SELECT ip, store, min(ts) AS session_start, max(ts) AS session_end, sum(n)::BIGINT AS n_chunks, sum(b)::BIGINT AS n_bytes
+   FROM s GROUP BY ip, store, session_no),
+ k AS (SELECT g.*, i.ts AS closed FROM g ASOF LEFT JOIN (SELECT ip, store, ts FROM inst WHERE c = 1) i
+   ON g.ip = i.ip AND g.store = i.store AND g.session_end <= i.ts)
+SELECT ip, store, session_start, session_end, n_chunks, n_bytes,
+  CASE WHEN closed <= session_end + INTERVAL {IDLE} SECOND THEN 'close' ELSE 'idle' END AS ended_by
+FROM k WHERE CASE WHEN closed <= session_end + INTERVAL {IDLE} SECOND THEN closed ELSE session_end + INTERVAL {IDLE} SECOND END
+  < (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 1 HOUR""")
 def stream_closing_sessions(t):
-    """Sessions ended by a close event or by silence; those still open are not out yet."""
-    log = A.access(_Stream(t.spark, t.sf_dir))
-    ended = stream_sessions.closing_sessions(log, idle=A.IDLE, delay="1 hour")
+    """Sessions ended by a close event or by silence, from files of five days in micro-batches of
+    their own, some rows late; those still open at the end are not out yet."""
+    log = A.access(_Stream(t, events=_days(5, 1800)))
+    ended = stream_sessions.closing_sessions(log, idle=IDLE, delay="1 hour")
     return _plain(ingest.run_to_table(ended, "closing"), "session_start", "session_end")
 
 
@@ -97,7 +140,7 @@ def stream_closing_sessions(t):
 SELECT * FROM (SELECT variable, date_trunc('day', time)::TIMESTAMP AS period_start, round(avg(value), 6) AS mean_value, count(value) AS n_obs FROM obs GROUP BY ALL)
 WHERE period_start + INTERVAL 1 DAY <= (SELECT max(time) FROM obs) - INTERVAL 1 HOUR""")
 def stream_daily_means(t):
-    o = A.obs(_Stream(t.spark, t.sf_dir))
+    o = A.obs(_Stream(t))
     daily = ingest.tumbling_mean(o, ["variable"], "time", "value", "1 day", "1 hour")
     out = ingest.run_to_table(daily, "daily").withColumn("mean_value", F.round("mean_value", 6))
     return _plain(out, "period_start")
@@ -108,7 +151,7 @@ SELECT station_id, variable, date_trunc('hour', time)::TIMESTAMP AS hour, count(
   SELECT DISTINCT station_id, variable, date_trunc('hour', time) AS time FROM obs) GROUP BY ALL""")
 def stream_distinct(t):
     """Hour-floored rows with repeats of the same hour suppressed."""
-    o = A.obs(_Stream(t.spark, t.sf_dir)).select(
+    o = A.obs(_Stream(t)).select(
         "station_id", "variable", F.date_trunc("HOUR", "time").alias("hour")
     )
     # The sample is one unordered file, so the delay covers its whole month.
@@ -122,34 +165,62 @@ def stream_distinct(t):
 @query("stream_tiles", f"""WITH {A.TILES_SQL}
 SELECT date, tile_row, tile_col, max(file) AS file FROM tiles GROUP BY ALL""")
 def stream_tiles(t):
-    """Daily tiles appended in micro-batches; a repeated date is replaced."""
-    from ..session import shared_dir
-
-    path, state = shared_dir(t.spark, "tiles"), shared_dir(t.spark, "tiles-state")
-    tiles = A.tiles(_Stream(t.spark, t.sf_dir)).withColumn("source", F.col("file"))
-    ingest.start(tiles, ingest.append_days(path), state).awaitTermination()
-    stored = t.spark.read.parquet(path)
-    return stored.select("date", "tile_row", "tile_col", F.col("source").alias("file"))
-
+    """Daily tiles in micro-batches that each hold some tiles of every date, then all once more."""
+    path = shared_dir(t.spark, "tiles")
+    tiles = A.tiles(_Stream(t, embeddings=-(F.col("vec_id") % 3)))
+    for _ in range(2):
+        ingest.start(
+            tiles, ingest.append_days(path), shared_dir(t.spark, "tiles-state")
+        ).awaitTermination()
+    return t.spark.read.parquet(path).select("date", "tile_row", "tile_col", "file")
 
-@query("stream_partition_replace", f"""WITH {A.GAS_SQL}
-SELECT gas, station_id, count(*) AS n, round(avg(value * 1e6), 6) AS mean_value FROM gas_rows WHERE gas IS NOT NULL GROUP BY ALL""")
-def stream_partition_replace(t):
-    """Gas rows ingested twice from the landing folder: the second run replaces the first."""
-    from ..session import shared_dir
 
-    path = shared_dir(t.spark, "gas")
-    events = _Stream(t.spark, t.sf_dir).events
+def _gas_stream(t, slice_no) -> DataFrame:
+    """Gas rows as a stream of files, each row with the file it came in."""
+    events = _Stream(t, events=slice_no).events.withColumn("landed", F.col("_metadata.file_path"))
 
     class Landed(Tables):
         def __getattr__(self, name: str) -> DataFrame:
             return events if name == "events" else super().__getattr__(name)
 
-    rows = A.gas_rows(Landed(t.spark, t.sf_dir)).filter("gas IS NOT NULL")
+    source = A.gas_rows(Landed(t.spark, t.sf_dir), "landed").filter("gas IS NOT NULL")
+    return source.withColumnRenamed("landed", "source_file")
+
+
+_GAS_STORED_SQL = f"""WITH {A.GAS_SQL}
+SELECT gas, station_id, count(*) AS n, round(avg(value * 1e6), 6) AS mean_value FROM gas_rows WHERE gas IS NOT NULL GROUP BY ALL"""
+
+
+def _gas_stored(t, path: str) -> DataFrame:
+    return t.spark.read.parquet(path).groupBy("gas", "station_id").agg(
+        F.count("*").alias("n"), F.round(F.avg(F.col("value") * 1e6), 6).alias("mean_value")
+    )
+
+
+@query("stream_partition_replace", _GAS_STORED_SQL)
+def stream_partition_replace(t):
+    """Gas files of one micro-batch each, rows of a station in all of them, ingested twice: the
+    second run replaces the rows of the first."""
+    path = shared_dir(t.spark, "gas")
     # Gas only, as stations are many and each partition value is a folder.
-    write = ingest.replace_by(path, ["gas"], ["station_id", "time"])
+    write = ingest.replace_by(path, ["gas"], ["source_file"], ["station_id", "time"])
+    rows = _gas_stream(t, -(F.col("event_id") % 4))
     for _ in range(2):
         ingest.start(rows, write, shared_dir(t.spark, "gas-state")).awaitTermination()
-    return t.spark.read.parquet(path).groupBy("gas", "station_id").agg(
-        F.count("*").alias("n"), F.round(F.avg(F.col("value") * 1e6), 6).alias("mean_value")
+    return _gas_stored(t, path)
+
+
+@query("stream_gas_ingest", f"""WITH {A.GAS_SQL}
+SELECT gas, count(*) AS n, count(DISTINCT station_id) AS n_stations, round(avg(value * 1e6), 6) AS mean_value
+FROM gas_rows WHERE gas IS NOT NULL AND station_id < 40 GROUP BY ALL""")
+def stream_gas_ingest(t):
+    """The gas sink, one folder a gas and station, over files in any order."""
+    path = shared_dir(t.spark, "gas-stations")
+    rows = _gas_stream(t, F.col("event_id") % 2).filter("station_id < 40")
+    ingest.start(
+        rows, ingest.writer(sinks.write_gas, path), shared_dir(t.spark, "gas-state")
+    ).awaitTermination()
+    return t.spark.read.parquet(path).groupBy("gas").agg(
+        F.count("*").alias("n"), F.countDistinct("station_id").alias("n_stations"),
+        F.round(F.avg(F.col("value") * 1e6), 6).alias("mean_value"),
     )

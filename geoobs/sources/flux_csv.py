@@ -10,7 +10,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,26 +22,23 @@ from ..operators import reshape
 def headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """(path, columns) of each file; a header that is wrapped over two lines is joined.
 
-    Header lines are the ones that do not start with a number, so a text scan finds them in any
-    split without holding a file. A file has one or two; more than two fail the read.
+    The header is the first line that is not blank and, if it does not start with a number, the one
+    after it; both lie in the first split of a file. Later text lines belong to no header.
     """
-    line = F.struct(
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"), F.col("value").alias("text"),
+    ).filter((F.col("block") == 0) & (F.trim("text") != ""))
+    nth = F.row_number().over(Window.partitionBy("path").orderBy("id"))
+    # The rank limit is applied before the shuffle, which gets two lines of a file.
+    both = lines.withColumn("nth", nth).filter("nth <= 2").groupBy("path").agg(
+        F.max(F.when(F.col("nth") == 1, F.col("text"))).alias("a"),
+        F.max(F.when(F.col("nth") == 2, F.col("text"))).alias("b"),
     )
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), line.alias("l")
-    )
-    found = lines.filter(~F.regexp_like("l.text", F.lit("^ *[0-9]+ *(,|$)"))).groupBy("path").agg(
-        F.count("*").alias("n"), F.min("l").alias("a"), F.max("l").alias("b")
-    )
-    text = (
-        F.when(F.col("n") == 1, F.col("a.text"))
-        .when(F.col("n") == 2, F.concat("a.text", "b.text"))
-        .otherwise(F.raise_error(F.concat(F.lit("more than two header lines in "), "path")).cast(
-            "string"))
-    )
-    return found.select("path", F.split(text, ",").alias("columns"))
+    wrapped = ~F.regexp_like("b", F.lit("^ *[0-9]+ *(,|$)"))
+    text = F.concat("a", F.when(wrapped, F.col("b")).otherwise(F.lit("")))
+    return both.select("path", F.split(text, ",").alias("columns"))
 
 
 def read_flux(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
@@ -74,7 +71,7 @@ def convert(df: DataFrame, columns: list[str], freq: str | None = None) -> DataF
         clean.parse_flux_time("TIMESTAMP_END") if "TIMESTAMP_END" in columns
         else clean.period_end("ts_start", "freq")
     )
-    keys = ["site_id", "product", "freq", "ts_start", "ts_end"]
+    keys = ["site_id", "product", "freq", "ts_start", "ts_end", "source_file"]
     roles = reshape.classify_columns(columns)
     return reshape.to_long(base.withColumn("ts_end", end), keys, roles)
 

@@ -16,7 +16,8 @@ def to_facts(
     """Rows keyed by gas and station, values in ppm or ppb, redundant time columns dropped.
 
     ``units`` names the unit column of each further mole-fraction column; only rows in mol mol-1 are
-    rescaled. Files whose name is not understood are left out.
+    rescaled. Rows of files whose name is not understood have no gas or station and are left out;
+    ``unparsed_files`` lists them for the ingest report.
     """
     info = names.parse_gas_name(file)
     out = rows.withColumn("_p", info).filter(F.col("_p.gas").isNotNull()).withColumns({
@@ -29,6 +30,15 @@ def to_facts(
     return out.withColumn("unit", clean.gas_unit("gas")).drop("_p", *S.REDUNDANT_TIME_COLUMNS)
 
 
+def unparsed_files(rows: DataFrame, file: str = "file_name") -> DataFrame:
+    """Files whose name gives no gas, with their rows, as skipped entries of an ingest report."""
+    bad = rows.withColumn("_p", names.parse_gas_name(file)).filter(F.col("_p.gas").isNull())
+    return bad.groupBy(F.col(file).alias("file")).agg(F.count("*").alias("n_rows")).select(
+        "file", F.lit("skipped").alias("status"), F.lit("file name not understood").alias("reason"),
+        "n_rows",
+    )
+
+
 def station_constants(facts: DataFrame, candidates: list[str] | None = None) -> DataFrame:
     """(station_id, gas, name, text): columns that hold one value, to be kept as attributes."""
     columns = [c for c in candidates or S.STATIC_CANDIDATES if c in facts.columns]

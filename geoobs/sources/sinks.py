@@ -1,11 +1,18 @@
-"""Partitioned sinks: re-ingesting a site, gas, deployment or date replaces it."""
+"""Partitioned sinks: re-ingesting a file, or a raster tile, replaces what it brought before.
+
+The files of one site, station or deployment may arrive in any number of batches. Rows carry the file
+they come from (``source_file``); a batch replaces the rows of its own files and keeps all others of
+the partitions it touches.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean
+from ..operators.joins import last_row_wins
+from ..operators.keys import join_null_safe
 
 # Sensor profiles live in a sub-group of their own.
 FLUX_PARTITIONS = ["freq", "product_group", "site_id"]
@@ -30,24 +37,65 @@ def replace_partitions(
     ).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written at ``path``, on whatever file system it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def stored_partitions(df: DataFrame, path: str, partitions: list[str]) -> DataFrame | None:
+    """Stored rows of the partitions that ``df`` touches, or None before the first write."""
+    spark = df.sparkSession
+    if not exists(spark, path):
+        return None
+    stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return join_null_safe(stored, df.select(*partitions).distinct(), partitions, "left_semi")
+
+
+def merge_partitions(
+    df: DataFrame, path: str, partitions: list[str], unit: list[str],
+    sort: list[str] | None = None,
+) -> None:
+    """Replace the stored rows of the ``unit``s in ``df`` (the files they come from) and keep the
+    other rows of the partitions it touches.
+
+    Writing the same batch again, or the batches in another order, gives the same table.
+    """
+    stored = stored_partitions(df, path, partitions)
+    if stored is not None:
+        kept = join_null_safe(stored, df.select(*unit).distinct(), unit, "left_anti")
+        df = df.unionByName(kept)
+    replace_partitions(df, path, partitions, sort)
+
+
 def write_flux(df: DataFrame, path: str) -> None:
     group = F.when(F.upper("product").contains("METEOSENS"), "meteosens").otherwise("main")
-    replace_partitions(
-        df.withColumn("product_group", group), path, FLUX_PARTITIONS, ["variable", "ts_start"]
+    merge_partitions(
+        df.withColumn("product_group", group), path, FLUX_PARTITIONS, ["source_file"],
+        ["variable", "ts_start"],
     )
 
 
 def write_gas(df: DataFrame, path: str) -> None:
-    replace_partitions(df, path, GAS_PARTITIONS, ["time"])
+    merge_partitions(df, path, GAS_PARTITIONS, ["source_file"], ["time"])
 
 
 def write_ocean(df: DataFrame, path: str) -> None:
-    replace_partitions(df, path, OCEAN_PARTITIONS, ["variable", "time"])
+    merge_partitions(df, path, OCEAN_PARTITIONS, ["source_file"], ["variable", "time"])
 
 
-def write_tiles(df: DataFrame, path: str) -> None:
+def write_tiles(df: DataFrame, path: str, file: str = "file") -> None:
+    """Tiles by date; of a tile that comes again, now or before, the one of the last file stays."""
+    keys = ["date", "tile_row", "tile_col"]
     dated = df.withColumns({"year": F.year("date"), "month": F.month("date")})
-    replace_partitions(dated, path, RASTER_PARTITIONS, ["tile_row", "tile_col"])
+    stored = stored_partitions(dated, path, RASTER_PARTITIONS)
+    if stored is not None:
+        dated = dated.unionByName(stored)
+    rest = [c for c in dated.columns if c not in keys]
+    replace_partitions(
+        last_row_wins(dated, keys, [file], rest), path, RASTER_PARTITIONS,
+        ["tile_row", "tile_col"],
+    )
 
 
 def export_columns(df: DataFrame, dtypes: dict[str, str]) -> DataFrame:
@@ -61,9 +109,16 @@ def write_wide(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_passports(documents: DataFrame, path: str) -> None:
-    """One text row per document, keyed by the first digits of its checksum."""
+    """One text row per document, keyed by the first digits of its checksum.
+
+    The checksum is the identity of a document, so one that is stored already is not stored again.
+    """
     from ..operators.passport import file_name
 
-    documents.select(file_name("sha256").alias("file_name"), "document").write.mode(
-        "append"
-    ).json(path)
+    named = documents.dropDuplicates(["sha256"]).select(
+        file_name("sha256").alias("file_name"), "sha256", "document"
+    )
+    if exists(named.sparkSession, path):
+        old = named.sparkSession.read.schema(named.schema).json(path).select("sha256")
+        named = named.join(old, "sha256", "left_anti").select("file_name", "sha256", "document")
+    named.write.mode("append").json(path)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.joins import last_row_wins
 from ..session import shared_dir
 from ..sources import sinks
 
@@ -47,25 +46,31 @@ def run_to_table(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def replace_by(path: str, partitions: list[str], sort: list[str]) -> Callable:
-    """Batch writer that replaces the partitions it receives; a retried batch writes the same."""
+def replace_by(path: str, partitions: list[str], unit: list[str], sort: list[str]) -> Callable:
+    """Batch writer that replaces the files it receives, within the partitions they touch.
+
+    A retried batch writes the same, and so do the batches in any other order.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
-        sinks.replace_partitions(batch, path, partitions, sort)
+        sinks.merge_partitions(batch, path, partitions, unit, sort)
 
     return write
 
 
+def writer(write_batch: Callable[[DataFrame, str], None], path: str) -> Callable:
+    """Batch writer around one of the sinks: ``write_flux``, ``write_gas``, ``write_ocean``."""
+    return lambda batch, _: write_batch(batch, path)
+
+
 def append_days(path: str) -> Callable:
-    """Batch writer of raster tiles: an existing date is overwritten, a new one added.
+    """Batch writer of raster tiles: tiles of the last file win, whatever batch brings them.
 
-    Within a batch the last file of a date wins. Dates are partitions, so nothing is read back.
+    Dates are partitions, so only tiles of the dates in a batch are read back.
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        keys = ["date", "tile_row", "tile_col"]
-        cols = [c for c in batch.columns if c not in (*keys, "file")]
-        sinks.write_tiles(last_row_wins(batch, keys, ["file"], cols), path)
+        sinks.write_tiles(batch, path)
 
     return write
 

@@ -43,14 +43,13 @@ _SESSION = (
     "ip string, store string, session_start timestamp, session_end timestamp, n_chunks bigint, "
     "n_bytes bigint, ended_by string"
 )
-_STATE = "first_us bigint, last_us bigint, n bigint, bytes bigint"
 
 
 def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Requests of one client at one instant as one row, before the shuffle."""
     for b in batches:
         if not b.empty:
-            yield b.groupby([*CLIENT, "ts", "us"], as_index=False, sort=False).agg(
+            yield b.groupby([*CLIENT, "ts", "us"], as_index=False, sort=False, dropna=False).agg(
                 n=("n", "sum"), bytes=("size", "sum"), closes=("is_close", "any")
             )
 
@@ -98,12 +97,6 @@ def passport_writer(
     return write
 
 
-def _closes_before(us: np.ndarray, closing: np.ndarray) -> np.ndarray:
-    """Instants with a close strictly before each row; rows of one instant share the number."""
-    closes = np.unique(us[closing > 0])
-    return np.searchsorted(closes, us, side="left")
-
-
 def _finished(key, runs: list[tuple]) -> pd.DataFrame:
     first, last, n, size, by = zip(*runs)
     return pd.DataFrame({
@@ -114,13 +107,49 @@ def _finished(key, runs: list[tuple]) -> pd.DataFrame:
     })
 
 
+def _settled(us, n, size, closes, idle_us: int, watermark_us: int):
+    """Sessions that no request at or after the watermark can change, and the instants still open.
+
+    Instants are in time order, one row each. A session ends at the first close at or after its last
+    request and within the idle time, or with the idle time; a pause counts in both directions, so
+    it does not matter in which batch a request came.
+    """
+    done, start = [], 0
+    at = 0
+    while at < len(us):
+        if not n[at]:  # a close without an open session ends nothing
+            at = start = at + 1
+            continue
+        first = last = at
+        ended, by, final_us = at + 1, "idle", None
+        for k in range(at, len(us)):
+            if us[k] - us[last] > idle_us:
+                break
+            if n[k]:
+                last = k
+            ended = k + 1
+            if closes[k]:
+                by, final_us = "close", us[k]
+                break
+        final_us = us[last] + idle_us if final_us is None else final_us
+        if final_us >= watermark_us:
+            return done, start, final_us
+        run = slice(first, last + 1)
+        done.append((us[first], us[last], int(n[run].sum()), int(size[run].sum()), by))
+        at = start = ended
+    return done, start, None
+
+
 def closing_sessions(log: DataFrame, idle: int = IDLE_SECONDS, delay: str | None = None):
     """Sessions that end on idle time or on an explicit close event.
 
-    ``log`` needs ``ts, ip, store, size, event``. The state of a client is four numbers; what a task
-    holds is bounded by the instants of one micro-batch. Requests at the instant of a close belong to
-    the session it ends. A close without an open session yields nothing. Silence is measured in
-    event time, so a replay gives the same sessions.
+    ``log`` needs ``ts, ip, store, size, event``. A client's instants stay in its state until the
+    watermark has passed the end of their session, so requests may come late and in any order within
+    the delay; the result is that of one batch. Requests at the instant of a close belong to the
+    session it ends. A close without an open session, or after the idle time, ends nothing. Silence
+    is measured in event time, so a replay gives the same sessions. What a task holds of a client is
+    bounded by the instants of the delay and one micro-batch; ``maxFilesPerTrigger`` of the source
+    bounds the latter.
     """
     idle_us = idle * 1_000_000
     is_close = F.col("event") == "close"
@@ -129,49 +158,31 @@ def closing_sessions(log: DataFrame, idle: int = IDLE_SECONDS, delay: str | None
         F.when(is_close, 0).otherwise(1).cast("bigint").alias("n"),
         F.when(is_close, 0).otherwise(F.coalesce("size", F.lit(0))).cast("bigint").alias("size"),
     )
+
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = state.get if state.exists else None
-        if state.hasTimedOut:
-            state.remove()
-            if held is not None:
-                yield _finished(key, [(*held, "idle")])
-            return
-        seen = pd.concat([b[["us", "n", "bytes", "closes"]] for b in batches]).to_numpy("int64")
-        # In time order; at one instant requests come before the close.
-        us, n, size, closing = seen[np.lexsort((seen[:, 3], seen[:, 0]))].T
-        epoch = _closes_before(us, closing)
-        total = int(np.unique(us[closing > 0]).size)
-        is_row = n > 0
-        us, n, size, epoch = us[is_row], n[is_row], size[is_row], epoch[is_row]
-        opens = np.ones(len(us), bool)
-        opens[1:] = (np.diff(us) > idle_us) | (np.diff(epoch) > 0)
-        at = np.flatnonzero(opens)
-        runs = []
-        if len(at):
-            last = np.append(at[1:], len(us)) - 1
-            runs = list(zip(us[at].tolist(), us[last].tolist(), np.add.reduceat(n, at).tolist(),
-                            np.add.reduceat(size, at).tolist(), epoch[at].tolist()))
-        if held is not None:
-            joins_held = runs and runs[0][4] == 0 and runs[0][0] - held[1] <= idle_us
-            first = runs.pop(0) if joins_held else (held[0], held[1], 0, 0, 0)
-            runs.insert(0, (min(held[0], first[0]), max(held[1], first[1]), held[2] + first[2],
-                            held[3] + first[3], 0))
-        later = [r[4] for r in runs[1:]] + [total]
-        ended = [(*r[:4], "close" if after > r[4] else "idle") for r, after in zip(runs, later)]
-        state_now = None
-        if ended and ended[-1][4] == "idle":
-            ends_ms = -(-ended[-1][1] // 1000) + idle * 1000
-            if ends_ms > state.getCurrentWatermarkMs():
-                state_now = ended.pop()
-        if state_now is not None:
-            state.update(tuple(int(x) for x in state_now[:4]))
-            state.setTimeoutTimestamp(ends_ms)
-        elif state.exists:
-            state.remove()
-        if ended:
-            yield _finished(key, ended)
+        parts = [np.frombuffer(state.get[0], "<i8").reshape(-1, 4)] if state.exists else []
+        if not state.hasTimedOut:
+            parts += [b[["us", "n", "bytes", "closes"]].to_numpy("int64") for b in batches]
+        seen = pd.DataFrame(
+            np.concatenate(parts), columns=["us", "n", "bytes", "closes"]
+        ).groupby("us", as_index=False).agg({"n": "sum", "bytes": "sum", "closes": "max"})
+        us, n, size, closes = seen.to_numpy("int64").T
+        watermark = state.getCurrentWatermarkMs()
+        done, start, final_us = _settled(us, n, size, closes, idle_us, watermark * 1000)
+        # A close the watermark has not passed may still meet a late request that came before it.
+        held = seen.to_numpy("<i8")[(np.arange(len(us)) >= start) | (us >= watermark * 1000)]
+        if final_us is None and len(held):
+            final_us = int(held[-1, 0])
+        if final_us is None:
+            if state.exists:
+                state.remove()
+        else:
+            state.update((np.ascontiguousarray(held).tobytes(),))
+            state.setTimeoutTimestamp(max(int(final_us) // 1000, watermark))
+        if done:
+            yield _finished(key, done)
 
     instants = rows.mapInPandas(_add_up, _INSTANT).withWatermark("ts", delay or f"{idle} seconds")
     return instants.groupBy(*CLIENT).applyInPandasWithState(
-        step, _SESSION, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+        step, _SESSION, "instants binary", "append", GroupStateTimeout.EventTimeTimeout
     )

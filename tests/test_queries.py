@@ -4,8 +4,10 @@ import pytest
 from tests.compare import compare, connect
 
 import __spark_entry__ as entry
+from geoobs.plans import load
 
 SF = "/root/testdata/sf0.001"
+LARGER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -13,11 +15,13 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+# Queries of the optional subpackage have tests of their own in tests/llm.
+@pytest.mark.parametrize("name", sorted(load().QUERIES))
 def test_query(spark, con, name):
     problem = compare(spark, con, name, SF)
-    # A thin sample may leave a filter without rows; both sides then agree on nothing.
-    assert problem in (None, "no rows")
+    if problem == "no rows":  # the smallest sample is too thin for some filters
+        problem = compare(spark, connect(LARGER), name, LARGER)
+    assert problem is None
 
 
 def test_every_oracle_has_a_query():

@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -148,3 +150,32 @@ def test_line_breaks(spark):
         [("a", x.to_pydatetime(), i) for i, x in enumerate(t)], "k STRING, t TIMESTAMP_NTZ, i INT")
     out = blocks.gap_flags(df, ["k"], "t", ["i"])
     assert [r["i"] for r in out.filter("line_break").collect()] == [27]
+
+
+def test_null_keys_and_times_keep_their_rows(spark):
+    from geoobs.operators import aggregates, blocks, percentiles
+
+    rows = [("a", datetime(2024, 1, 1, h), 1.0 + h) for h in range(4)]
+    rows += [(None, datetime(2024, 1, 1, h), 5.0 + h) for h in range(3)] + [("a", None, 9.0)]
+    df = spark.createDataFrame(rows, "k STRING, ts TIMESTAMP_NTZ, v DOUBLE")
+    placed = blocks.with_position(df, ["k"], "ts", ["v"], "pos", "total").collect()
+    assert sorted((r["k"] or "", r["pos"], r["total"]) for r in placed) == sorted(
+        [("a", i, 5) for i in range(5)] + [("", i, 3) for i in range(3)])
+    assert [r["pos"] for r in placed if r["ts"] is None] == [4]  # rows without a time come last
+    assert blocks.with_next(df, ["k"], "ts", ["v"], {"v": "next"}).count() == 8
+    assert blocks.gap_flags(df, ["k"], "ts", ["v"]).count() == 8
+    assert blocks.stride_sample(df, ["k"], "ts", ["v"]).count() == 8
+    got = percentiles.exact_percentiles(df, ["k"], "v", {"p": 0.5}).collect()
+    assert {(r["k"], r["p"]) for r in got} == {("a", 3.0), (None, 6.0)}
+    assert percentiles.colour_bounds(df, ["k"], "v").count() == 2
+    one = spark.createDataFrame([("a", 2.0, 3.0), (None, 1.0, 1.0), (None, 4.0, 1.0)],
+                                "k STRING, f DOUBLE, p DOUBLE")
+    bins = {(r["k"], r["bin"]) for r in aggregates.log_bins(one, ["k"], "f", "p").collect()}
+    assert bins == {("a", 1), (None, 1), (None, 349)}
+
+
+def test_narrow_below_the_int_range(spark):
+    from geoobs.operators import reshape
+
+    df = spark.createDataFrame([(-3e9,), (5.0,)], "v DOUBLE")
+    assert reshape.narrow(df, ["v"]).dtypes == [("v", "bigint")]

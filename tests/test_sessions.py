@@ -168,3 +168,54 @@ def test_streamed_close(spark, tmp_path):
     out = ingest.run_to_table(stream_sessions.closing_sessions(stream), "t-closing")
     assert sorted((r["ip"], r["n_chunks"], r["ended_by"]) for r in out.collect()) == [
         ("a", 1, "close"), ("a", 1, "idle"), ("a", 2, "idle")]
+
+
+def _batches(spark, folder, parts):
+    """One file for each part, later parts with later file times."""
+    for part in parts:
+        log = _log(spark, part).withColumn("ts", F.col("ts").cast("timestamp"))
+        log.coalesce(1).write.mode("append").parquet(folder)
+    return ingest.read_landing(spark, folder, log.schema, maxFilesPerTrigger="1")
+
+
+def test_closing_sessions_over_micro_batches(spark, tmp_path):
+    late = [
+        [(4000, "a", "S/N/0", "chunk"), (50, "b", "S/N/0", "chunk")],
+        [(3900, "a", "S/N/0", "chunk"), (5000, "a", "S/N/0", "chunk"), (100, "b", "", "close")],
+        [(4950, "a", "", "close"), (4900, "a", "S/N/0", "chunk"), (5100, "a", "S/N/0", "chunk")],
+        [(20000, "z", "S/N/0", "chunk")],
+    ]
+    whole = [[e for part in late for e in part]]
+    # Requests of 4900 and 5000 are one pause apart, but the close between them ends the first.
+    want = [("a", 1, "close"), ("a", 2, "idle"), ("a", 2, "idle"), ("b", 1, "close")]
+    for n, parts in enumerate([late, late[2::-1] + late[3:], whole]):
+        stream = _batches(spark, str(tmp_path / f"log{n}"), parts)
+        out = ingest.run_to_table(
+            stream_sessions.closing_sessions(stream, delay="2 hours"), f"t-close-{n}")
+        got = sorted((r["ip"], r["n_chunks"], r["ended_by"]) for r in out.collect())
+        assert got == want, n
+
+
+def test_session_of_a_client_without_address(spark):
+    log = _log(spark, [(0, "a", "S/N/0", "chunk"), (1, None, "S/N/0", "chunk")])
+    assert sessions.with_session(log).count() == 2
+
+
+def test_query_log_with_holes(spark):
+    log = spark.createDataFrame(
+        [("x", 0, "access", "v", "g"), ("x", 5, "sel", "v", "g"), ("x", 9, "access", "v", "g"),
+         ("x", 90_000, "isel", "v", "g"), (None, 1, "access", "v", "g")],
+        "session STRING, seq BIGINT, op STRING, variable STRING, `group` STRING")
+    got = sorted((r["session"] or "", r["seq"]) for r in windows.compact_queries(log).collect())
+    assert got == [("", 1), ("x", 5), ("x", 90_000)]
+
+
+def test_two_origins_of_a_group_count_once(spark):
+    rows = _log(spark, [(0, "a", "S/N/0", "chunk"), (1, "a", "S/N/1", "chunk")])
+    keys = ["ip", "store", "session_no"]
+    manifest = passport.detailed_manifest(
+        sessions.with_session(sessions.tracked(rows)), keys, "ts")
+    origins = spark.createDataFrame([("S", "d1", "c1"), ("S", "d2", "c2")],
+                                    "`group` STRING, source_doi STRING, citation STRING")
+    got = passport.assemble(manifest, origins, keys).first()
+    assert (got["total_chunks"], got["is_part_of"]) == (2, "d1")

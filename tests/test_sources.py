@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from geoobs import schema as S
 from geoobs.operators import catalog, joins
-from geoobs.sources import documents, flux_csv, ocean_csv, raster, sinks
+from geoobs.sources import documents, flux_csv, gas, ocean_csv, raster, sinks
 
 HALF_HOURLY = "ICOSETC_SE-Svb_FLUXNET_HH_L2.csv"
 
@@ -165,3 +165,77 @@ def test_gas_file_without_height(spark):
     assert [(r["gas"], r["height"], r["station_id"]) for r in df.collect()] == [
         ("ch4", 10, "ARN10"), ("co", None, "CMN0"), (None, None, None)]
     assert S.GAS_SCALE["co2"][0] == 1e6
+
+
+def test_tiles_of_one_day_in_two_batches(spark, tmp_path):
+    from geoobs.streaming import ingest
+
+    kind = "date DATE, tile_row INT, tile_col INT, file INT, data ARRAY<SMALLINT>"
+    day = date(2020, 1, 1)
+    first = spark.createDataFrame([(day, 0, 0, 2, [1]), (day, 0, 1, 1, [2])], kind)
+    second = spark.createDataFrame([(day, 0, 1, 3, [3]), (day, 0, 2, 1, [4]), (day, 0, 0, 1, [9])], kind)
+    for n, order in enumerate([(first, second), (second, first), (first, second, first)]):
+        write = ingest.append_days(str(tmp_path / f"t{n}"))
+        for k, batch in enumerate(order):
+            write(batch, k)
+        stored = spark.read.parquet(str(tmp_path / f"t{n}")).collect()
+        assert sorted((r["tile_col"], r["data"]) for r in stored) == [(0, [1]), (1, [3]), (2, [4])]
+
+
+def test_files_of_one_station_in_two_batches(spark, tmp_path):
+    kind = "gas STRING, station_id INT, time INT, value INT, source_file STRING"
+    a = spark.createDataFrame([("co2", 1, 1, 1, "a"), (None, 1, 2, 1, "a")], kind)
+    b = spark.createDataFrame([("co2", 1, 3, 1, "b"), ("ch4", 2, 3, 1, "b")], kind)
+    again = spark.createDataFrame([("co2", 1, 1, 7, "a")], kind)
+    for n, order in enumerate([(a, b, again), (b, a, again, again)]):
+        for batch in order:
+            sinks.write_gas(batch, str(tmp_path / f"g{n}"))
+        stored = spark.read.parquet(str(tmp_path / f"g{n}")).collect()
+        got = sorted((r["time"], r["value"], r["source_file"]) for r in stored)
+        # The row without a gas lies in a partition that the second ingest of its file left alone.
+        assert got == [(1, 7, "a"), (2, 1, "a"), (3, 1, "b"), (3, 1, "b")]
+
+
+def test_documents_are_stored_once(spark, tmp_path):
+    docs = spark.createDataFrame([("ab" * 32, "{}"), ("cd" * 32, "{}")], "sha256 STRING, document STRING")
+    for _ in range(2):
+        sinks.write_passports(docs, str(tmp_path / "p"))
+    assert spark.read.json(str(tmp_path / "p")).count() == 2
+
+
+def test_header_of_the_first_lines_only(spark, tmp_path):
+    (tmp_path / "w.csv").write_text("\nTIMESTAMP_START,TIMESTAMP_END,\nNEE\n\n1,2,3\nnote,x,y\n4,5,6\n")
+    (tmp_path / "s.csv").write_text("TIMESTAMP,NEE\n1,2\nend of file\n")
+    got = {r["path"].rsplit("/", 1)[1]: r["columns"]
+           for r in flux_csv.headers(spark, [str(tmp_path / "w.csv"), str(tmp_path / "s.csv")]).collect()}
+    assert got == {"w.csv": ["TIMESTAMP_START", "TIMESTAMP_END", "NEE"], "s.csv": ["TIMESTAMP", "NEE"]}
+
+
+def test_unparsed_gas_files_are_reported(spark):
+    rows = spark.createDataFrame([("what.nc", 1.0), ("what.nc", 2.0)], "file_name STRING, value DOUBLE")
+    got = gas.unparsed_files(rows).first()
+    assert (got["file"], got["status"], got["n_rows"]) == ("what.nc", "skipped", 2)
+
+
+def test_more_than_fifty_citations(spark):
+    names = {f"dataset_provider_citation_{i}": str(i) for i in range(1, 71)}
+    df = spark.createDataFrame([(names,), ({},), (None,)], "a MAP<STRING, STRING>")
+    got = [r[0] for r in df.select(catalog.citation_list("a")).collect()]
+    assert got[0] == [str(i) for i in range(1, 71)] and got[1] == []
+
+
+def test_removed_rows_stay_removed(spark):
+    facts = spark.createDataFrame([("a", 1), ("a", 5), ("b", 1)], "k STRING, stored_at INT")
+    events = spark.createDataFrame(
+        [("a", "create", 1), ("a", "remove", 3), ("a", "update", 5), ("b", "create", 1)],
+        "entity STRING, action STRING, timestamp INT")
+    left = catalog.without_removed(facts, events, "k", "stored_at")
+    assert sorted(map(tuple, left.collect())) == [("a", 5), ("b", 1)]
+
+
+def test_alike_events_create_once(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, "f", "co2", "d", "c"), ("a", 1, "f", "co2", "d", "c"), ("a", 1, "g", None, None, None)],
+        "e STRING, timestamp INT, file STRING, gas STRING, source_doi STRING, citation STRING")
+    actions = [r["action"] for r in catalog.provenance_events(rows, "e").collect()]
+    assert sorted(actions) == ["create", "update", "update"]
