@@ -26,18 +26,62 @@ def freq_from_name(path: ColumnLike) -> Column:
     )
 
 
+def _from(tokens: Column, i: int) -> Column:
+    """Tokens from the ``i``-th (from 0) on, put together again; NULL if there is none."""
+    rest = F.array_join(F.slice(tokens, F.lit(i + 1), F.greatest(F.size(tokens) - i, F.lit(0))), "_")
+    return F.nullif(rest, F.lit(""))
+
+
+def _token(tokens: Column, i: int) -> Column:
+    return F.nullif(F.get(tokens, F.lit(i)), F.lit(""))
+
+
+def _only(text: Column, characters: str) -> Column:
+    """Whether a text has one character at least and none but these."""
+    return (text != "") & (F.translate(text, characters, "") == "")
+
+
+_DIGITS, _LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+
+
 def parse_flux_name(path: ColumnLike) -> Column:
-    """Struct of site, product, subset, freq, first and last year and version."""
-    s = stem(path)
-    full, short = S.FLUX_FILE_PATTERN, S.INTERIM_FILE_PATTERN
+    """Struct of site, product, subset, freq, first and last year and version.
+
+    A full name has the prefix, site, product, subset, frequency, years and version between
+    underscores; an interim name the prefix, site and everything else as the product.
+    """
+    t = F.split(stem(path), "_")
+    prefix, release = F.upper(F.get(t, F.lit(0))), F.upper(F.get(t, F.lit(2)))
+    years = F.split(F.get(t, F.lit(5)), "-")
+    first, last = F.get(years, F.lit(0)), F.get(years, F.lit(1))
+    full = (
+        (prefix == S.FULL_PREFIX)
+        & ((release == "FLUXNET2015") | F.startswith(release, F.lit("ICOS")))
+        & _token(t, 1).isNotNull() & _token(t, 3).isNotNull() & _token(t, 4).isNotNull()
+        & (F.size(years) == 2) & _only(first, _DIGITS) & _only(last, _DIGITS)
+        & (F.length(first) == 4) & (F.length(last) == 4) & _from(t, 6).isNotNull()
+    )
+    short = (prefix == S.INTERIM_PREFIX) & _token(t, 1).isNotNull() & _from(t, 2).isNotNull()
     return F.struct(
-        F.coalesce(_group(s, full, 1), _group(s, short, 1)).alias("site_id"),
-        F.coalesce(_group(s, full, 2), _group(s, short, 2)).alias("product"),
-        _group(s, full, 3).alias("subset"),
-        _group(s, full, 4).alias("freq"),
-        _group(s, full, 5).cast("int").alias("year_start"),
-        _group(s, full, 6).cast("int").alias("year_end"),
-        _group(s, full, 7).alias("version"),
+        F.when(full | short, F.get(t, F.lit(1))).alias("site_id"),
+        F.when(full, F.get(t, F.lit(2))).when(short, _from(t, 2)).alias("product"),
+        F.when(full, F.get(t, F.lit(3))).alias("subset"),
+        F.when(full, F.get(t, F.lit(4))).alias("freq"),
+        F.when(full, first.try_cast("int")).alias("year_start"),
+        F.when(full, last.try_cast("int")).alias("year_end"),
+        F.when(full, _from(t, 6)).alias("version"),
+    )
+
+
+def is_member(base: ColumnLike) -> Column:
+    """Whether a file name is that of a product member: prefix, site with a hyphen, product, level."""
+    t = F.split(_c(base), "_")
+    site = F.get(t, F.lit(1))
+    hyphen = F.locate("-", F.substring(site, F.lit(2), F.length(site) - 2)) > 0
+    known = [(p + e).upper() for p in S.MEMBER_PRODUCTS for e in S.MEMBER_ENDINGS]
+    return F.coalesce(
+        (F.upper(F.get(t, F.lit(0))) == S.INTERIM_PREFIX) & hyphen
+        & F.upper(_from(t, 2)).isin(known), F.lit(False),
     )
 
 
@@ -56,16 +100,32 @@ def product_priority(name: ColumnLike) -> Column:
 
 
 def parse_gas_name(name: ColumnLike) -> Column:
-    """Struct of gas, trigram, kind, dataset number, height and station id of a gas file."""
-    s, p = _c(name), S.GAS_FILE_PATTERN
-    trigram, height = _group(s, p, 2), _group(s, p, 6).cast("int")
+    """Struct of gas, trigram, kind, dataset number, height and station id of a gas file.
+
+    The name is five tokens between underscores; the last one, the selection, may end in a height.
+    """
+    s = _c(name)
+    body = F.when(F.endswith(s, F.lit(".nc")), F.substring(s, F.lit(1), F.length(s) - 3))
+    t = F.split(body, "_")
+    gas, trigram, kind, number, selection = (F.get(t, F.lit(i)) for i in range(5))
+    ending = F.substring_index(selection, "-", -1)
+    before = F.length(selection) - F.length(ending) - 1
+    metres = F.when(
+        F.endswith(ending, F.lit("magl")) & (before > 0),
+        F.substring(ending, F.lit(1), F.length(ending) - 4),
+    )
+    known = (
+        (F.size(t) == 5) & gas.isin(S.GASES) & (F.length(trigram) == 3)
+        & _only(trigram, _LETTERS) & _only(kind, _LETTERS + "-") & _only(number, _DIGITS)
+        & _only(selection, _LETTERS + _DIGITS + "-")
+    )
+    given = lambda c: F.when(known, c)
+    height = given(F.when(_only(metres, _DIGITS), metres.try_cast("int")))
     return F.struct(
-        _group(s, p, 1).alias("gas"),
-        trigram.alias("trigram"),
-        _group(s, p, 3).alias("kind"),
-        _group(s, p, 4).cast("int").alias("dataset_num"),
-        height.alias("height"),
-        F.concat(F.upper(trigram), F.coalesce(height, F.lit(0)).cast("string")).alias("station_id"),
+        given(gas).alias("gas"), given(trigram).alias("trigram"), given(kind).alias("kind"),
+        given(number.try_cast("int")).alias("dataset_num"), height.alias("height"),
+        given(F.concat(F.upper(trigram), F.coalesce(height, F.lit(0)).cast("string")))
+        .alias("station_id"),
     )
 
 

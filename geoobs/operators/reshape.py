@@ -6,7 +6,6 @@ one ``explode`` of an array of structs per product, so no shuffle is needed what
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from dataclasses import dataclass, field
 
@@ -31,37 +30,70 @@ class ColumnRole:
         return self.labels.get(name)
 
 
-def _variant(token: str) -> str:
-    return f"p{token}" if token.isdigit() else token
+def _stat(tokens: list[str], known: tuple[str, ...]) -> tuple[list[str], str]:
+    """A column name without the statistic it ends in, and that statistic."""
+    if len(tokens) > 1 and tokens[-1] in known:
+        return tokens[:-1], tokens[-1].lower()
+    return tokens, "value"
+
+
+def _numbers(tokens: list[str], n: int) -> tuple[str, list[int]] | None:
+    """Base name and the last ``n`` tokens as numbers, if that is what a name ends in."""
+    base, tail = "_".join(tokens[:-n]), tokens[-n:]
+    if base and all(t.isdecimal() for t in tail):
+        return base, [int(t) for t in tail]
+    return None
+
+
+def _thresholded(tokens: list[str]) -> tuple[dict, list[str]] | None:
+    """Labels of a USTAR threshold and a variant at the start of ``tokens``, and what follows."""
+    if len(tokens) < 2 or tokens[0] not in S.USTAR_LABELS:
+        return None
+    # Percentiles are bare numbers in a header.
+    variant = f"p{tokens[1]}" if tokens[1].isdecimal() else tokens[1]
+    if variant not in S.VARIANT_LABELS or tokens[1].startswith("p"):
+        return None
+    return {"ustar_threshold": tokens[0], "nee_variant": variant}, tokens[2:]
 
 
 def _named_family(col: str) -> ColumnRole | None:
-    """Role of a column of the flux, partitioning, soil, energy or profile families."""
-    if m := re.fullmatch(S.NEE_PATTERN, col):
-        ustar, variant, stat = m.groups()
-        if stat in ("RANDUNC_METHOD", "RANDUNC_N"):
+    """Role of a column of the flux, partitioning, soil, energy or profile families.
+
+    The name is read token by token against the label vocabularies.
+    """
+    head, *rest = col.split("_")
+    if head == "NEE" and (read := _thresholded(rest)):
+        labels, stat = read[0], "_".join(read[1])
+        if not read[1] or stat in S.NEE_STATS:
+            return ColumnRole(col, "nee", "NEE", stat.lower() or "value", labels)
+        if stat in S.NEE_NOTES:
             return None
-        labels = {"ustar_threshold": ustar, "nee_variant": _variant(variant)}
-        return ColumnRole(col, "nee", "NEE", (stat or "value").lower(), labels)
-    if m := re.fullmatch(S.PARTITIONED_PATTERN, col):
-        base, method, ustar, variant, stat = m.groups()
-        labels = {
-            "partition_method": method, "ustar_threshold": ustar, "nee_variant": _variant(variant),
-        }
-        return ColumnRole(col, "partitioned", base, (stat or "value").lower(), labels)
-    if m := re.fullmatch(S.SOIL_PATTERN, col):
-        base, layer, stat = m.groups()
-        return ColumnRole(col, "soil", base, (stat or "value").lower(), {"soil_layer": int(layer)})
-    if m := re.fullmatch(S.ENERGY_PATTERN, col):
-        base, pct = m.groups()
-        return ColumnRole(col, "energy", f"{base}_CORR", "value", {"corr_pct": f"p{pct or 50}"})
-    if m := re.fullmatch(S.PROFILE_PATTERN, col):
-        base, r, h, v, stat = m.groups()
-        labels = {"r": int(r), "h": int(h), "v": int(v)}
-        return ColumnRole(col, "profile", base, (stat or "value").lower(), labels)
+    if head in S.PARTITIONED and rest and rest[0] in S.PARTITION_LABELS:
+        read = _thresholded(rest[1:])
+        if read and read[1] in ([], ["QC"]):
+            labels = {"partition_method": rest[0], **read[0]}
+            return ColumnRole(col, "partitioned", head, "qc" if read[1] else "value", labels)
+    if head in S.SOIL and rest[:2] == ["F", "MDS"]:
+        tokens, stat = _stat(rest[2:], ("QC",))
+        if len(tokens) == 1 and tokens[0].isdecimal():
+            return ColumnRole(col, "soil", head, stat, {"soil_layer": int(tokens[0])})
+    if head in S.ENERGY and rest[:1] == ["CORR"]:
+        pct = f"p{rest[1]}" if len(rest) == 2 else "p50"
+        if len(rest) <= 2 and (len(rest) == 1 or pct in ("p25", "p75")):
+            return ColumnRole(col, "energy", f"{head}_CORR", "value", {"corr_pct": pct})
+    tokens, stat = _stat([head, *rest], ("N", "SE", "QC"))
+    if placed := _numbers(tokens, 3):
+        return ColumnRole(col, "profile", placed[0], stat, dict(zip("rhv", placed[1])))
     return None
 
 
+def _is_note(col: str) -> bool:
+    """A method or count column of a flux uncertainty, which stays as it is."""
+    head, *rest = col.split("_")
+    read = _thresholded(rest) if head == "NEE" else None
+    return read is not None and "_".join(read[1]) in S.NEE_NOTES
+
+
 def classify_columns(columns: list[str]) -> list[ColumnRole]:
     """Role of every data column of one product header.
 
@@ -74,8 +106,10 @@ def classify_columns(columns: list[str]) -> list[ColumnRole]:
     for col in data:
         if role := _named_family(col):
             roles[col] = role
-        elif re.fullmatch(S.NEE_PATTERN, col) is None and (m := re.fullmatch(S.LEVEL_PATTERN, col)):
-            single[m.group(1)].append((col, int(m.group(2)), (m.group(3) or "value").lower()))
+        elif not _is_note(col):
+            tokens, stat = _stat(col.split("_"), ("N", "SE", "SD", "QC"))
+            if placed := _numbers(tokens, 1):
+                single[placed[0]].append((col, placed[1][0], stat))
     for base, members in single.items():
         by_level: dict[int, set[str]] = defaultdict(set)
         for _, level, stat in members:

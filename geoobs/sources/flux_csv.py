@@ -107,9 +107,15 @@ def sibling_files(files: DataFrame, path: str) -> DataFrame:
 
 def needed_member(name: str) -> Column:
     """Archive members that hold a product, whatever folder they sit in."""
-    base = F.element_at(F.split(F.col(name), "/"), -1)
-    pattern = rf"(?i)^ICOSETC_[^_]+-[^_]+_{S.MEMBER_PATTERN}"
-    return F.regexp_like(base, F.lit(pattern))
+    return names.is_member(F.element_at(F.split(F.col(name), "/"), -1))
+
+
+def _is_member(base: str) -> bool:
+    """``names.is_member`` for a name inside a task."""
+    prefix, _, rest = base.partition("_")
+    site, _, product = rest.partition("_")
+    known = {(p + e).upper() for p in S.MEMBER_PRODUCTS for e in S.MEMBER_ENDINGS}
+    return prefix.upper() == S.INTERIM_PREFIX and "-" in site[1:-1] and product.upper() in known
 
 
 def archive_lines(spark: SparkSession, paths: list[str] | str, size: int = 1 << 16) -> DataFrame:
@@ -117,9 +123,6 @@ def archive_lines(spark: SparkSession, paths: list[str] | str, size: int = 1 <<
 
     Archives are spread over the tasks; a member is streamed line by line in bounded batches.
     """
-    import re
-
-    wanted = re.compile(rf"ICOSETC_[^_]+-[^_]+_{S.MEMBER_PATTERN}", re.IGNORECASE)
     files = spark.read.format("binaryFile").load(paths).select("path", "content")
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,7 +132,7 @@ def archive_lines(spark: SparkSession, paths: list[str] | str, size: int = 1 <<
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     for info in archive.infolist():
                         base = info.filename.rsplit("/", 1)[-1]
-                        if not wanted.match(base):
+                        if not _is_member(base):
                             continue
                         rows = []
                         with archive.open(info) as raw:
