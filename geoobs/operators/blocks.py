@@ -107,10 +107,11 @@ def rows_between(
 
 
 def stride_sample(
-    df: DataFrame, keys: list[str], ts: str, tie: list[str], max_points: int = 6000
+    df: DataFrame, keys: list[str], ts: str, tie: list[str], max_points: int = 6000,
+    seconds: int = BLOCK_SECONDS,
 ) -> DataFrame:
     """Every ceil(n / max_points)-th row of each series, starting with the first."""
-    out = with_position(df, keys, ts, tie, "_pos", total="_total")
+    out = with_position(df, keys, ts, tie, "_pos", total="_total", seconds=seconds)
     step = F.ceil(F.col("_total") / F.lit(max_points))
     return out.filter(F.col("_pos") % step == 0).drop("_pos", "_total")
 

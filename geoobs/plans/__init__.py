@@ -5,7 +5,10 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["clean", "select", "reshape", "join", "aggregate", "window", "session", "catalog", "stream"]
+AREAS = [
+    "clean", "select", "reshape", "join", "aggregate", "window", "session", "catalog", "stream",
+    "long",
+]
 
 
 def load():
