@@ -167,28 +167,24 @@ def active_instrument(
 ) -> DataFrame:
     """Observations with the instrument mounted at their time (start <= t < stop or still open).
 
-    Deployments are laid out over the time buckets they touch and joined on (keys, bucket), so an
-    observation meets only the instruments of its own bucket, not every one its position ever had.
-    An open deployment reaches to the last observed bucket.
+    Closed deployments are laid out over the time buckets they touch and joined on (keys, bucket), so
+    an observation meets only the instruments of its own bucket, not every one its position ever had.
+    Open ones have no last bucket; they lie in one of their own that every observation also looks
+    into. One scan and one equi join serve both.
     """
-    width = bucket_days * 86_400_000_000
+    width, still_open = bucket_days * 86_400_000_000, -(1 << 62)
 
     def bucket(t):
         return F.floor(clean.micros(t) / F.lit(width))
 
-    rows = obs.withColumn("_b", bucket(ts))
-    span = rows.agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi")).withColumn(
-        "_one", F.lit(1)
-    )
-    d = deployments.select(*keys, "instrument", "start", "stop").withColumn("_one", F.lit(1))
-    # The observed span is one row and rides along as a constant key.
-    d = d.join(F.broadcast(span), "_one").withColumns({
-        "_from": F.greatest(bucket("start"), F.col("_lo")),
-        "_to": F.least(F.coalesce(bucket("stop"), F.col("_hi")), F.col("_hi")),
-    })
-    d = d.filter("_from <= _to").select(
+    looked_up = F.array(bucket(ts), F.lit(still_open))
+    rows = obs.withColumn("_b", F.explode(looked_up))
+    d = deployments.filter("stop IS NULL OR start < stop").select(
         *keys, "instrument", "start", "stop",
-        F.explode(F.sequence("_from", "_to")).alias("_b"),
+        F.explode(
+            F.when(F.col("stop").isNull(), F.array(F.lit(still_open)))
+            .otherwise(F.sequence(bucket("start"), bucket("stop")))
+        ).alias("_b"),
     )
     hit = (F.col(ts) >= F.col("start")) & (F.col("stop").isNull() | (F.col(ts) < F.col("stop")))
     return rows.join(d, [*keys, "_b"]).filter(hit).drop("start", "stop", "_b")

@@ -1,9 +1,10 @@
 """Exact percentiles (linear interpolation) of groups of any size.
 
-The built-in exact percentile keeps every distinct value of a group in one task. Here a histogram of
-each group, counted map-side, locates the narrow value range that holds the wanted ranks; only the
-distinct values of that range are ordered. The ranges need not be even: the exact count below each
-range is carried along, so the result does not depend on how the histogram was cut.
+The built-in exact percentile keeps every distinct value of a group in one task. Here a sketch of the
+raw rows, made map-side, cuts each group into ranges; a histogram over them, counted map-side too,
+finds those that hold the wanted ranks, and only rows of these are shuffled and ordered. The ranges
+need not be even: the exact count below each is carried along, so the result does not depend on how
+the group was cut.
 """
 
 from __future__ import annotations
@@ -23,22 +24,19 @@ def exact_percentiles(
     """One row per group with a column per entry of ``points`` (name -> fraction).
 
     Each group is cut at ``bins`` quantiles (a power of two) and each piece into ``parts`` even
-    ones, so what is finally ordered is about one in bins x parts of its distinct values.
+    ones, so what is finally ordered is about one in bins x parts of its distinct values; where values
+    crowd at one place of a piece, up to one in ``bins``.
     """
     if not keys:
         return exact_percentiles(df.withColumn("_all", F.lit(0)), ["_all"], value, points, bins, parts).drop(
             "_all"
         )
-    cells = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v"))
-        .agg(F.count("*").alias("_c"))
-    )
-    # Quantile cuts of the distinct values; any cuts give the exact result.
+    cells = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    # Quantile cuts of the rows; any cuts give the exact result.
     fractions = F.array(*[F.lit(i / bins) for i in range(bins + 1)])
     cuts = cells.groupBy(*keys).agg(
         F.array_distinct(F.percentile_approx("_v", fractions, F.lit(4 * bins))).alias("_cuts"),
-        F.sum("_c").alias("_total"),
+        F.count("*").alias("_total"),
     )
     # Piece i holds cuts[i-1] <= v < cuts[i]; found by halving, a step past the end counts as larger.
     binned = join_null_safe(cells, cuts, keys).withColumn("_bin", F.lit(0))
@@ -55,7 +53,7 @@ def exact_percentiles(
     part = F.when((high > low) & (high - low < 1e300), F.least(even, F.lit(parts - 1)))
     binned = binned.withColumn("_bin", F.col("_bin") * parts + F.coalesce(part, F.lit(0)))
     hist = binned.groupBy(*keys, "_bin").agg(
-        F.sum("_c").alias("_n"),
+        F.count("*").alias("_n"),
         F.min("_v").alias("_lo"),
         F.max("_v").alias("_hi"),
         F.first("_total").alias("_total"),
@@ -73,7 +71,10 @@ def exact_percentiles(
         [(r >= F.col("_below")) & (r < F.col("_below") + F.col("_n")) for r in wanted],
     )
     ranges = hist.filter(hit).select(*keys, "_lo", "_hi", "_below", "_total")
-    narrowed = join_null_safe(cells, ranges, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    # Rows of the hit ranges, equal values added up before the shuffle.
+    narrowed = join_null_safe(cells, ranges, keys).filter(
+        F.col("_v").between(F.col("_lo"), F.col("_hi"))
+    ).groupBy(*keys, "_lo", "_below", "_total", "_v").agg(F.count("*").alias("_c"))
     inside = Window.partitionBy(*keys, "_lo").orderBy("_v")
     ordered = narrowed.withColumn(
         "_end", F.col("_below") + F.sum("_c").over(inside.rowsBetween(

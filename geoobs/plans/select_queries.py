@@ -21,13 +21,15 @@ GROUP BY ALL""")
 def station_box_summary(t):
     """Flagship: bounding box and period over facts, masked, summarised per station.
 
-    Facts are summed up per station map-side before they meet the stations of the box, so raw rows
-    are never joined or shuffled, however many one station has.
+    The boxed stations restrict the facts before anything is summed up, which also lets Spark prune
+    the scan by them; sums per station are made map-side, so raw rows are not shuffled where the
+    stations of the box can be broadcast.
     """
     dim = select.stations_in_box(A.stations(t), **BOX).select(
         "station_id", "name", "lat", "lon", "height"
     )
-    o = select.time_slice(A.obs(t), "time", "2024-01-05", "2024-01-25")
+    boxed = A.obs(t).join(dim.select("station_id"), "station_id", "left_semi")
+    o = select.time_slice(boxed, "time", "2024-01-05", "2024-01-25")
     masked = o.withColumn("v", clean.mask_range("value", "qc"))
     out = select.facts_of(aggregates.station_summary(masked, "station_id", "v"), dim)
     return out.withColumn("mean_value", F.round("mean_value", 6))

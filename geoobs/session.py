@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,12 @@ def local_session(cores: int | str = 8, app: str = "geoobs", **conf: str) -> Spa
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _own_dir() -> tempfile.TemporaryDirectory:
+    """Scratch folder of a local process without a shared one; it goes when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="geoobs-", ignore_cleanup_errors=True)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
@@ -36,6 +43,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to storage shared by all executors")
-        base = tempfile.mkdtemp(prefix="geoobs-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own_dir().name
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

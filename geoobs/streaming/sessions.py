@@ -21,11 +21,9 @@ def closed_sessions(log: DataFrame, ts: str = "ts", idle: int = IDLE_SECONDS, si
 
     State per session is a handful of sums; distinct names and chunk manifests are computed from the
     stored log once a session is closed. Partial sessions are merged before the shuffle, so a busy
-    client sends sums, not requests.
+    client sends sums, not requests, where the session sets
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``.
     """
-    log.sparkSession.conf.set(
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
-    )
     marked = log.withWatermark(ts, delay or f"{idle} seconds")
     # session_window ends a session when the pause reaches the gap; one more microsecond keeps a
     # pause of exactly ``idle`` inside.
