@@ -7,7 +7,7 @@ from importlib import import_module
 
 AREAS = [
     "clean", "select", "reshape", "join", "aggregate", "window", "session", "catalog", "stream",
-    "long",
+    "long", "store",
 ]
 
 

@@ -120,6 +120,61 @@ def to_rows(df: DataFrame, keys: list[str], mapping: dict[str, tuple[str, str |
     return df.select(*keys, F.explode(F.array(*cells)).alias("_c")).select(*keys, "_c.*")
 
 
+# A comma outside of quotes.
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def cells(line: str | Column) -> Column:
+    """Fields of a CSV line; quotes around a field are taken off, doubled ones inside become one."""
+    plain = lambda c: F.when(
+        F.startswith(c, F.lit('"')) & F.endswith(c, F.lit('"')) & (F.length(c) > 1),
+        F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"')),
+    ).otherwise(c)
+    text = F.col(line) if isinstance(line, str) else line
+    return F.transform(F.split(text, _COMMA, -1), lambda c: plain(F.trim(c)))
+
+
+def file_rows(df: DataFrame, file: str, text: str, marker: str = "TIMESTAMP") -> DataFrame:
+    """Facts of ocean files: (file, line_no, stamp, variable, value, qc).
+
+    The header of each file names its columns; ``stamp`` is the text of its time column, to be read by
+    ``good_times``. Values that are no numbers are NULL, fields missing at the end of a line too. A
+    line is read where it is: only the names, one row a file, are joined.
+    """
+    body = body_lines(df, file, text, marker)
+    labels = body.filter("is_header").select(
+        file, F.posexplode(cells("line")).alias("pos", "label")
+    )
+    column = F.struct("pos", "short_name", "is_qc")
+    named = short_names(labels, file, "pos", "label").groupBy(file).agg(
+        F.array_sort(F.collect_list(column)).alias("_columns")
+    )
+    lines = body.filter(~F.col("is_header") & (F.trim("line") != "")).withColumn(
+        "_cells", cells("line")
+    ).join(named, file)
+
+    def at(name: Column) -> Column:
+        found = F.filter("_columns", lambda c: c["short_name"] == name)
+        return F.get("_cells", F.get(found, F.lit(0))["pos"])
+
+    measured = F.filter(
+        "_columns", lambda c: ~c["is_qc"] & ~c["short_name"].isin("time", "lon", "lat")
+    )
+    facts = F.transform(measured, lambda c: F.struct(
+        c["short_name"].alias("variable"),
+        F.get("_cells", c["pos"]).try_cast("double").alias("value"),
+        at(F.concat(c["short_name"], F.lit("_QC"))).alias("flag"),
+    ))
+    out = lines.select(file, "line_no", at(F.lit("time")).alias("stamp"),
+                       at(F.lit("lon")).try_cast("double").alias("lon"),
+                       at(F.lit("lat")).try_cast("double").alias("lat"),
+                       F.explode(facts).alias("_f"))
+    return out.select(
+        file, "line_no", "stamp", "lon", "lat", "_f.variable", "_f.value",
+        clean.ocean_qc("_f.flag").alias("qc"),
+    )
+
+
 def variable_attributes(columns: DataFrame, label: str, unit: str, quantity: str) -> DataFrame:
     """Unit, long name and standard name of labelled columns."""
     return columns.withColumns({

@@ -98,6 +98,36 @@ def write_tiles(df: DataFrame, path: str, file: str = "file") -> None:
     )
 
 
+def store_months(df: DataFrame, path: str, overwrite: bool = False, file: str = "file") -> None:
+    """Tiles of whole months: a month that is stored already is skipped, or replaced on request."""
+    dated = df.withColumns({"year": F.year("date"), "month": F.month("date")})
+    if exists(df.sparkSession, path):
+        stored = df.sparkSession.read.schema(dated.schema).parquet(path)
+        months = stored.select("year", "month").distinct()
+        if not overwrite:
+            dated = dated.join(months, ["year", "month"], "left_anti")
+        else:
+            # Days that the month no longer has must go too, so they are written without tiles.
+            touched = dated.select("year", "month").distinct()
+            _drop_days(stored.join(touched, ["year", "month"], "left_semi"), path)
+    keys = ["date", "tile_row", "tile_col"]
+    rest = [c for c in dated.columns if c not in keys]
+    replace_partitions(
+        last_row_wins(dated, keys, [file], rest), path, RASTER_PARTITIONS,
+        ["tile_row", "tile_col"],
+    )
+
+
+def _drop_days(days: DataFrame, path: str) -> None:
+    """Remove the folders of the dates in ``days``: one row a day of the replaced months."""
+    spark = days.sparkSession
+    for r in days.select(*RASTER_PARTITIONS).distinct().collect():
+        at = spark._jvm.org.apache.hadoop.fs.Path(
+            f"{path}/year={r['year']}/month={r['month']}/date={r['date']}"
+        )
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def export_columns(df: DataFrame, dtypes: dict[str, str]) -> DataFrame:
     """NULLs of the listed columns replaced by the fill value of their external type."""
     return df.withColumns({c: clean.export_fill(c, t) for c, t in dtypes.items()})
