@@ -5,7 +5,8 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,35 +15,74 @@ from .keys import join_null_safe
 from .windows import detrend_hann
 
 
+def _first_step(rows: pa.Table) -> pa.Table:
+    """Transform over every n2-th slot, turned by the phase of the slots' common offset."""
+    rows = rows.sort_by([("a", "ascending")])
+    n1, n, b = (rows[c][0].as_py() for c in ("n1", "n", "b"))
+    k1 = np.arange(n1)
+    out = np.fft.fft(rows["x"].to_numpy()) * np.exp(-2j * np.pi * k1 * b / n)
+    same = pa.array(np.zeros(n1, dtype=np.int64))
+    repeated = {c: rows[c].take(same) for c in rows.column_names if c not in ("a", "x")}
+    return pa.table({
+        **repeated, "k1": pa.array(k1), "re": pa.array(out.real), "im": pa.array(out.imag),
+    })
+
+
+def _second_step(rows: pa.Table) -> pa.Table:
+    """Transform over the offsets: every n1-th frequency."""
+    rows = rows.sort_by([("b", "ascending")])
+    n1, n, k1 = (rows[c][0].as_py() for c in ("n1", "n", "k1"))
+    found = np.fft.fft(rows["re"].to_numpy() + 1j * rows["im"].to_numpy())
+    k = k1 + n1 * np.arange(len(found))
+    keep = (k >= 1) & (k <= n // 2)
+    same = pa.array(np.zeros(int(keep.sum()), dtype=np.int64))
+    return pa.table({
+        "station": rows["station"].take(same), "n": rows["n"].take(same),
+        "k": pa.array(k[keep]), "square": pa.array(np.abs(found[keep]) ** 2),
+    })
+
+
 def power_spectrum(
     df: DataFrame, station: str, slot: str, value: str, dt_hours: float = 1.0
 ) -> DataFrame:
     """One-sided power density per station, frequencies and power per day.
 
-    A gridded series has one value per slot, so a group is bounded by the covered span: 600 years of
-    hours are 40 MB.
+    A complete series of n = n1 x n2 slots, n1 the largest divisor up to the root of n, is transformed
+    in two steps: over every n2-th slot for each offset, then over the offsets for each remainder of
+    the frequency. Each step deals a series over about as many tasks as its root, whatever its
+    length; only a series whose length is a prime number stays in one. Series below three slots have
+    no spectrum.
     """
+    i, v = F.col(slot).cast("bigint"), F.col(value).cast("double")
+    fit = df.groupBy(station).agg(
+        F.regr_slope(v, i).alias("_a"), F.regr_intercept(v, i).alias("_b"),
+        F.count("*").alias("n"),
+    ).filter("n >= 3")
+    root = F.floor(F.sqrt(F.col("n")))
+    divisors = F.filter(
+        F.sequence(F.lit(1).cast("bigint"), root), lambda d: F.col("n") % d == 0
+    )
+    fit = fit.withColumn("n1", F.array_max(divisors))
+    hann = 0.5 - 0.5 * F.cos(2 * F.pi() * i / (F.col("n") - 1))
+    x = join_null_safe(df.select(station, slot, value), fit, [station]).select(
+        F.col(station).alias("station"), "n", "n1", hann.alias("hann"),
+        F.floor(i / (F.col("n") / F.col("n1")).cast("bigint")).alias("a"),
+        (i % (F.col("n") / F.col("n1")).cast("bigint")).alias("b"),
+        ((v - (F.col("_a") * i + F.col("_b"))) * hann).alias("x"),
+    )
     kind = df.schema[station].dataType.simpleString()
-
-    def transform(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        x = pdf.sort_values(slot)[value].to_numpy("float64")
-        n = len(x)
-        if n < 3:
-            return pd.DataFrame({station: [], "f_per_day": [], "power": []})
-        i = np.arange(n)
-        slope, base = np.polyfit(i, x - x.mean(), 1)
-        w = np.hanning(n)
-        spectrum = np.fft.rfft((x - x.mean() - slope * i - base) * w)
-        power = 2 * np.abs(spectrum) ** 2 * dt_hours / (w**2).sum()
-        f = np.fft.rfftfreq(n, d=dt_hours) * 24
-        return pd.DataFrame(
-            {station: pdf[station].iat[0], "f_per_day": f[1:], "power": power[1:] / 24}
-        )
-
-    return df.select(station, slot, value).groupBy(station).applyInPandas(
-        transform, f"{station} {kind}, f_per_day double, power double"
+    weight = x.groupBy("station").agg(F.sum(F.col("hann") * F.col("hann")).alias("_w"))
+    offsets = x.drop("hann").groupBy("station", "b").applyInArrow(
+        _first_step,
+        f"station {kind}, n bigint, n1 bigint, b bigint, k1 bigint, re double, im double",
+    )
+    squares = offsets.groupBy("station", "k1").applyInArrow(
+        _second_step, f"station {kind}, n bigint, k bigint, square double"
+    )
+    return join_null_safe(squares, weight, ["station"]).select(
+        F.col("station").alias(station),
+        (F.col("k") * 24.0 / (F.col("n") * dt_hours)).alias("f_per_day"),
+        (2 * dt_hours / 24 * F.col("square") / F.col("_w")).alias("power"),
     )
 
 

@@ -123,20 +123,45 @@ def key_frequency_power(t):
     return out.select("variable", "frequency", F.round("power", 4).alias("power"))
 
 
-@query("power_spectrum")
+_SPECTRUM = f"""{_DETRENDED}, spectrum AS (
+ SELECT variable, k * 24.0::DOUBLE / {_N} AS f_per_day,
+   2 / 24.0::DOUBLE * (sum(x * cos(2 * pi() * k * i / {_N})) ** 2 + sum(x * sin(2 * pi() * k * i / {_N})) ** 2) / sum(hann * hann) AS power
+ FROM w, (SELECT unnest(generate_series(1, {_N // 2})) AS k) GROUP BY variable, k)"""
+
+
+@query("power_spectrum", f"""WITH {_SPECTRUM}
+SELECT variable, round(f_per_day, 9) AS f_per_day, round(power, 3) AS power FROM spectrum""")
 def power_spectrum(t):
-    return spectral.power_spectrum(_filled(t), "variable", "i", "x")
+    return spectral.power_spectrum(_filled(t), "variable", "i", "x").select(
+        "variable", F.round("f_per_day", 9).alias("f_per_day"), F.round("power", 3).alias("power")
+    )
 
 
-@query("binned_spectrum")
+@query("binned_spectrum", f"""WITH {_SPECTRUM},
+ b AS (SELECT variable, log10(min(f_per_day)) AS lo, log10(max(f_per_day)) AS hi FROM spectrum GROUP BY 1)
+SELECT variable, least(CAST(floor((log10(f_per_day) - lo) / (hi - lo) * 349) AS INTEGER) + 1, 349) AS bin, count(*) AS n_freqs, round(avg(power), 3) AS mean_power
+FROM spectrum JOIN b USING (variable) GROUP BY ALL""")
 def binned_spectrum(t):
     spectrum = spectral.power_spectrum(_filled(t), "variable", "i", "x")
-    return aggregates.log_bins(spectrum, ["variable"], "f_per_day", "power")
+    return aggregates.log_bins(spectrum, ["variable"], "f_per_day", "power").select(
+        "variable", "bin", "n_freqs", F.round("mean_power", 3).alias("mean_power")
+    )
 
 
-@query("band_power")
+_BANDS = " ".join(
+    f"WHEN f_per_day >= {low!r}::DOUBLE AND f_per_day < {high!r}::DOUBLE THEN '{name}'"
+    for name, low, high in S.BANDS
+)
+
+
+@query("band_power", f"""WITH {_SPECTRUM}, d AS (SELECT variable, min(f_per_day) AS df FROM spectrum GROUP BY 1)
+SELECT variable, band, count(*) AS n_freqs, round(sum(power * df), 3) AS band_power
+FROM (SELECT *, CASE {_BANDS} END AS band FROM spectrum) JOIN d USING (variable) WHERE band IS NOT NULL GROUP BY ALL""")
 def band_power(t):
-    return spectral.band_power(spectral.power_spectrum(_filled(t), "variable", "i", "x"), "variable")
+    spectrum = spectral.power_spectrum(_filled(t), "variable", "i", "x")
+    return spectral.band_power(spectrum, "variable").select(
+        "variable", "band", "n_freqs", F.round("band_power", 3).alias("band_power")
+    )
 
 
 @query("log_bins", """

@@ -94,6 +94,13 @@ def test_spectrum_matches_numpy(spark):
     c = (c - np.polyval(np.polyfit(i, c, 1), i)) * np.hanning(n)
     want = 2 * np.abs(np.fft.rfft(c)) ** 2 / (np.hanning(n) ** 2).sum() / 24
     np.testing.assert_allclose(out["power"], want[1:], rtol=1e-6, atol=1e-9)
+    for m in (3, 97, 720):  # a tiny one, a prime length, a highly composite one
+        part = spectral.power_spectrum(df.filter(F.col("i") < m), "s", "i", "v").orderBy("f_per_day")
+        c = x[:m] - np.polyval(np.polyfit(i[:m], x[:m], 1), i[:m])
+        fft = np.abs(np.fft.rfft(c * np.hanning(m))) ** 2
+        got = part.toPandas()["power"].to_numpy()
+        np.testing.assert_allclose(
+            got, 2 * fft[1:] / (np.hanning(m) ** 2).sum() / 24, rtol=1e-6, atol=1e-9)
     one = spectral.power_at(df, "s", "i", "v", n, frequencies=[("daily", 1.0)]).first()
     np.testing.assert_allclose(one["power"], want[60], rtol=1e-6)
     bands = {r["band"]: r["band_power"] for r in spectral.band_power(
