@@ -239,3 +239,23 @@ def test_alike_events_create_once(spark):
         "e STRING, timestamp INT, file STRING, gas STRING, source_doi STRING, citation STRING")
     actions = [r["action"] for r in catalog.provenance_events(rows, "e").collect()]
     assert sorted(actions) == ["create", "update", "update"]
+
+
+def test_ocean_file_to_facts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        "// note, with a comma\nDate/Time,Longitude,Latitude,Temp [degC],Temp [degC] QC Flag,"
+        "\"Odd, label\",Temp [degC] QC Comment\n"
+        "2020-01-01T00:00:00Z,1.5,2.5,10.5,2,\"3\",\"a, \"\"b\"\"\"\n\n"
+        "bad,1,2,11,3,4,x\n2020-01-02 00:00:00,,2,n/a\n".replace("Date/Time", "TIMESTAMP"))
+    files = spark.read.text(str(tmp_path / "a.csv"), wholetext=True).select(
+        F.lit("a").alias("file"), F.col("value").alias("text"))
+    rows = ocean_csv.file_rows(files, "file", "text")
+    assert rows.count() == 6
+    got = sorted((str(r["time"]), r["variable"], r["value"], r["qc"], r["lon"], r["lat"])
+                 for r in ocean_csv.good_times(rows, "stamp").collect())
+    assert got == [
+        ("2020-01-01 00:00:00", "Odd_label", 3.0, -1, 1.5, 2.5),
+        ("2020-01-01 00:00:00", "Temp", 10.5, 2, 1.5, 2.5),
+        ("2020-01-02 00:00:00", "Odd_label", None, -1, None, 2.0),
+        ("2020-01-02 00:00:00", "Temp", None, -1, None, 2.0)]
+    assert ocean_csv.file_rows(files.limit(0), "file", "text").count() == 0
