@@ -33,8 +33,18 @@ def start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: st
     )
 
 
-def run_to_table(df: DataFrame, purpose: str) -> DataFrame:
-    """Append-mode stream written to the shared folder until its input is used up, then read back."""
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark had passed them and were left out."""
+    return sum(
+        op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators
+    )
+
+
+def run_to_table(df: DataFrame, purpose: str, report: list | None = None) -> DataFrame:
+    """Append-mode stream written to the shared folder until its input is used up, then read back.
+
+    Late rows are counted: ``report`` gets an entry (status, reason, rows) for ``ingest_report``.
+    """
     spark = df.sparkSession
     path, checkpoint = shared_dir(spark, purpose), shared_dir(spark, f"{purpose}-state")
     query = (
@@ -43,6 +53,8 @@ def run_to_table(df: DataFrame, purpose: str) -> DataFrame:
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    if report is not None:
+        report.append(("skipped", "later than the watermark", late_rows(query)))
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -88,8 +100,3 @@ def tumbling_mean(
 def first_per_key(df: DataFrame, keys: list[str], ts: str, delay: str = "1 hour") -> DataFrame:
     """Rows whose key was not seen within the watermark delay."""
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
-
-
-def with_late_count(df: DataFrame, name: str, ts: str, oldest) -> DataFrame:
-    """Reports rows older than ``oldest`` as an observed metric."""
-    return df.observe(name, F.count_if(F.col(ts) < oldest).alias("late_rows"))

@@ -219,3 +219,13 @@ def test_two_origins_of_a_group_count_once(spark):
                                     "`group` STRING, source_doi STRING, citation STRING")
     got = passport.assemble(manifest, origins, keys).first()
     assert (got["total_chunks"], got["is_part_of"]) == (2, "d1")
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    parts = [[(9000, "a", "S/N/0", "chunk")], [(9001, "b", "S/N/0", "chunk")],
+             [(10, "c", "S/N/0", "chunk"), (20, "d", "S/N/0", "chunk")],
+             [(90000, "e", "S/N/0", "chunk")]]
+    stream, report = _batches(spark, str(tmp_path / "log"), parts), []
+    out = ingest.run_to_table(stream_sessions.closed_sessions(stream), "t-late", report)
+    assert sorted(r["ip"] for r in out.collect()) == ["a", "b"]
+    assert report == [("skipped", "later than the watermark", 2)]
