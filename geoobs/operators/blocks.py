@@ -99,11 +99,27 @@ def time_index(df: DataFrame, ts: str, name: str = "time_index", seconds: int =
 
 
 def rows_between(
-    df: DataFrame, keys: list[str], ts: str, tie: list[str], start: int, stop: int
+    df: DataFrame, keys: list[str], ts: str, tie: list[str], start: int | None,
+    stop: int | None, step: int = 1,
 ) -> DataFrame:
-    """Positional slice ``start <= position < stop`` of each series."""
-    out = with_position(df, keys, ts, tie, "_pos")
-    return out.filter((F.col("_pos") >= start) & (F.col("_pos") < stop)).drop("_pos")
+    """Positional slice ``start <= position < stop`` of each series, every ``step``-th row of it.
+
+    Negative positions count from the end of a series; None is its end.
+    """
+    if step < 1:
+        raise ValueError("a step goes forward")
+    start = start or 0
+    from_end = start < 0 or (stop is not None and stop < 0)
+    out = with_position(df, keys, ts, tie, "_pos", total="_total" if from_end else None)
+
+    def place(i: int):
+        return F.lit(i) if i >= 0 else F.greatest(F.col("_total") + i, F.lit(0))
+
+    low = place(start)
+    inside = (F.col("_pos") >= low) & ((F.col("_pos") - low) % step == 0)
+    if stop is not None:
+        inside = inside & (F.col("_pos") < place(stop))
+    return out.filter(inside).drop("_pos", "_total")
 
 
 def stride_sample(

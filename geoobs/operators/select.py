@@ -131,18 +131,43 @@ class Selection:
                 df = labels(df, **{name: value})
         return self._next(df)
 
-    def isel(self, rows: slice) -> Selection:
+    def isel(self, rows: slice | int) -> Selection:
+        """Rows of every series by position; negative positions count from the end."""
         from .blocks import rows_between
 
-        shown = {self.ts: {"start": rows.start, "stop": rows.stop, "step": rows.step}}
-        self._record(op=None if self.variable else "isel", isel=shown)
-        df = rows_between(self.df, self.keys, self.ts, self.tie, rows.start or 0, rows.stop)
+        if isinstance(rows, int):
+            self._record(op=None if self.variable else "isel", isel={self.ts: rows})
+            rows = slice(rows, rows + 1 if rows != -1 else None)
+        else:
+            shown = {"start": rows.start, "stop": rows.stop, "step": rows.step}
+            self._record(op=None if self.variable else "isel", isel={self.ts: shown})
+        df = rows_between(
+            self.df, self.keys, self.ts, self.tie, rows.start, rows.stop, rows.step or 1
+        )
         return self._next(df)
 
-    def where(self, condition: Column, text: str) -> Selection:
-        self._record(op="where", drop=True, cond={"repr": text})
-        kept = self._next(self.df.filter(condition))
-        self.log[-1]["_survivors"] = kept.df.select(self.keys[0]).distinct()
+    def where(
+        self, condition: Column, text: str, extent: tuple[str, ...] = (), drop: bool = True,
+        value: str = "value",
+    ) -> Selection:
+        """Rows that meet a condition; with ``drop=False`` all rows stay and other values are NULL.
+
+        ``extent`` names coordinates whose smallest and largest value under the condition is recorded
+        with it, one row of the data.
+        """
+        cond = {"repr": text}
+        if extent:
+            found = mask_extent(self.df, condition, *extent).first().asDict()
+            cond["extent"] = {
+                c: [None if found[f"{c}_{end}"] is None else str(found[f"{c}_{end}"])
+                    for end in ("min", "max")] for c in extent
+            }
+        self._record(op="where", drop=drop, cond=cond)
+        met = self.df.filter(condition)
+        kept = self._next(
+            met if drop else self.df.withColumn(value, F.when(condition, F.col(value)))
+        )
+        self.log[-1]["_survivors"] = met.select(self.keys[0]).distinct()
         return kept
 
     def record(self, **entry) -> None:

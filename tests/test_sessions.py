@@ -229,3 +229,22 @@ def test_late_rows_are_counted(spark, tmp_path):
     out = ingest.run_to_table(stream_sessions.closed_sessions(stream), "t-late", report)
     assert sorted(r["ip"] for r in out.collect()) == ["a", "b"]
     assert report == [("skipped", "later than the watermark", 2)]
+
+
+def test_selection_positions_masks_and_extents(spark):
+    rows = [(s, datetime(2024, 1, 1 + d), "NEE", float(d), 50.0 + d)
+            for s in ("s1", "s2") for d in range(10)]
+    df = spark.createDataFrame(
+        rows, "station_id STRING, time TIMESTAMP_NTZ, variable STRING, value DOUBLE, lat DOUBLE")
+    ds = select.Selection(df, "flux", keys=["station_id"])
+    days = lambda s: sorted({r["time"].day for r in s.df.collect()})
+    assert days(ds.isel(-1)) == [10] and days(ds.isel(3)) == [4]
+    assert days(ds.isel(slice(-4, -1))) == [7, 8, 9]
+    assert days(ds.isel(slice(1, None, 4))) == [2, 6, 10]
+    long = "value > 6 " + "and value > 6 " * 60
+    masked = ds.where(F.col("value") > 6, long, extent=("time", "lat"), drop=False)
+    assert masked.df.count() == 20 and masked.df.agg(F.count("value")).first()[0] == 6
+    entry = json.loads(ds.query_log("x").orderBy(F.desc("seq")).first()["payload"])
+    assert entry["cond"]["repr"] == long and entry["drop"] is False
+    assert entry["cond"]["extent"] == {
+        "time": ["2024-01-08 00:00:00", "2024-01-10 00:00:00"], "lat": ["57.0", "59.0"]}
