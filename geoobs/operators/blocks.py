@@ -8,7 +8,7 @@ finds the same blocks. Rows without a time form one block after all others.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import micros
@@ -23,9 +23,13 @@ def with_block(df: DataFrame, ts: str, seconds: int = BLOCK_SECONDS) -> DataFram
 
 def with_position(
     df: DataFrame, keys: list[str], ts: str, tie: list[str], name: str = "pos",
-    total: str | None = None, seconds: int = BLOCK_SECONDS,
+    total: str | None = None, seconds: int = BLOCK_SECONDS, within: Column | None = None,
 ) -> DataFrame:
-    """Zero-based position of each row in its series ordered by ``ts`` and ``tie``."""
+    """Zero-based position of each row in its series ordered by ``ts`` and ``tie``.
+
+    ``within`` is a condition on a block's ``_before`` and ``_n``, the rows ahead of it and in it (and
+    ``total``); only rows of blocks that meet it are numbered and returned.
+    """
     blocked = with_block(df, ts, seconds)
     inside = Window.partitionBy(*keys, "_block").orderBy(ts, *tie)
     series = Window.partitionBy(*keys)
@@ -33,15 +37,17 @@ def with_position(
         Window.unboundedPreceding, -1
     )
     offsets = blocked.groupBy(*keys, "_block").agg(F.count("*").alias("_n")).select(
-        *keys, "_block",
+        *keys, "_block", "_n",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         *([F.sum("_n").over(series).alias(total)] if total else []),
     )
-    out = join_null_safe(
-        blocked.withColumn("_in", F.row_number().over(inside) - 1), offsets, [*keys, "_block"]
+    if within is not None:
+        offsets = offsets.filter(within)
+    out = join_null_safe(blocked, offsets, [*keys, "_block"]).withColumn(
+        "_in", F.row_number().over(inside) - 1
     )
     return out.withColumn(name, (F.col("_in") + F.col("_before")).cast("bigint")).drop(
-        "_in", "_before", "_block"
+        "_in", "_n", "_before", "_block"
     )
 
 
@@ -110,12 +116,17 @@ def rows_between(
         raise ValueError("a step goes forward")
     start = start or 0
     from_end = start < 0 or (stop is not None and stop < 0)
-    out = with_position(df, keys, ts, tie, "_pos", total="_total" if from_end else None)
 
     def place(i: int):
         return F.lit(i) if i >= 0 else F.greatest(F.col("_total") + i, F.lit(0))
 
     low = place(start)
+    met = F.col("_before") + F.col("_n") > low
+    if stop is not None:
+        met = met & (F.col("_before") < place(stop))
+    out = with_position(
+        df, keys, ts, tie, "_pos", total="_total" if from_end else None, within=met
+    )
     inside = (F.col("_pos") >= low) & ((F.col("_pos") - low) % step == 0)
     if stop is not None:
         inside = inside & (F.col("_pos") < place(stop))
