@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, col, replace_columns
+from .common import bytes_of, col, replace_columns, rows_of
 
 LONG_TEXT = 1 << 16
 
@@ -61,12 +61,6 @@ def encode_text(text: str, ranks_path: str, limit: int = LONG_TEXT) -> np.ndarra
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
-def rows_of(batch: pa.Array, step: int = 256) -> Iterator[bytes]:
-    """Values of an array, a few at a time, so that a batch is not held twice."""
-    for at in range(0, len(batch), step):
-        yield from batch.slice(at, step).to_pylist()
-
-
 def encode(
     df: DataFrame, text: str = "text", out: str = "token_ids", *, ranks_path: str,
     long_text: int = LONG_TEXT,

@@ -8,7 +8,6 @@ The nearest profile names the language.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,33 +15,85 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bytes_of, col, replace_columns
+from .common import bytes_of, col, replace_columns, stored
 
 LONGEST = 3
 RANKS = 400
 # Labelled rows of a language that a profile is learned from, about.
 LEARN_ROWS = 5000
 UNKNOWN = "und"
-# Rows of partial counts that a task holds before it passes them on, and words it remembers.
-HELD = 200_000
+# Far more than there are; a column with more values is no language label.
+MOST_LANGUAGES = 10_000
+# Rows taken out of a batch at a time, so that it is not held twice.
+SLICE = 256
+# Characters whose n-grams are counted at a time; bounds memory on very long texts.
+CHUNK = 1 << 18
 
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
-def grams_of(word: str, longest: int) -> list[str]:
-    """Letter n-grams of a word in blanks, all lengths up to ``longest``; no lone blank."""
-    padded = f" {word} "
-    return [
-        padded[i:i + n]
-        for n in range(1, longest + 1) for i in range(len(padded) - n + 1)
-        if n > 1 or padded[i] != " "
-    ]
+def _check(longest: int) -> None:
+    if not 1 <= longest <= 3:
+        raise ValueError("n-grams have one to three letters")
+
+
+def _bounded(languages: int) -> None:
+    """What is sent to every task grows with the languages alone; their number has a limit."""
+    if languages > MOST_LANGUAGES:
+        raise ValueError(f"{languages} languages; at most {MOST_LANGUAGES} can be told apart")
 
 
 def words_in(raw: bytes) -> list[str]:
     return _WORDS.findall(raw.decode("utf-8", "replace").lower())
 
 
+def gram_counts(words: list[str], longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Letter n-grams of words in blanks, all lengths up to ``longest``, as codes with their counts.
+
+    A code is the gram's characters, 21 bits each. Words stand one blank apart, so every pair of
+    neighbours is a gram and every three but those with the blank in the middle; a lone blank is none.
+    """
+    found = []
+    step = max(1, CHUNK // 8)
+    for at in range(0, len(words), step):
+        text = f" {' '.join(words[at:at + step])} "
+        c = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        blank = c == 32
+        codes = [c[~blank]]
+        if longest > 1:
+            codes.append(c[:-1] << 21 | c[1:])
+        if longest > 2:
+            codes.append((c[:-2] << 42 | c[1:-1] << 21 | c[2:])[~blank[1:-1]])
+        found.append(np.unique(np.concatenate(codes), return_counts=True))
+    if len(found) == 1:
+        return found[0]
+    return _added(found)
+
+
+def _added(parts) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of several parts as one."""
+    if not parts:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    codes, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    counts = np.zeros(len(codes), dtype=np.int64)
+    np.add.at(counts, at, np.concatenate([p[1] for p in parts]))
+    return codes, counts
+
+
+def code_of(gram: str) -> int:
+    out = 0
+    for c in gram:
+        out = out << 21 | ord(c)
+    return out
+
+
+def gram_of(code: int) -> str:
+    out = ""
+    while code:
+        out, code = chr(code & 0x1FFFFF) + out, code >> 21
+    return out
+
+
 def profiles(
     df: DataFrame, text: str = "text", lang: str = "lang", *, longest: int = LONGEST,
     ranks: int = RANKS, rows_per_language: int = LEARN_ROWS,
@@ -52,37 +103,36 @@ def profiles(
     A language with more than ``rows_per_language`` labelled rows is learned from about that many,
     chosen by a hash of the text; smaller ones from all their rows. Rows without a language or a text
     teach nothing, repeated rows count each time. Ties go to the smaller n-gram. Tasks add up n-grams
-    before the shuffle, so a language with most of the rows is no hot key.
+    before the shuffle, so a language with most of the rows is no hot key. More than
+    ``MOST_LANGUAGES`` languages are refused.
     """
+    _check(longest)
     schema = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            grams: Counter = Counter()
-            for (language, word), n in words.items():
-                for g in grams_of(word, longest):
-                    grams[language, g] += n
-            words.clear()
-            return pa.RecordBatch.from_arrays([
-                pa.array([k[0] for k in grams], pa.string()),
-                pa.array([k[1] for k in grams], pa.string()),
-                pa.array(list(grams.values()), pa.int64()),
-            ], schema=schema)
-
         for batch in batches:
-            for language, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for word, n in Counter(words_in(raw)).items():
-                    words[language, word] += n
-                if len(words) > HELD:
-                    yield flush()
-        yield flush()
+            parts: dict[str, list] = {}
+            for at in range(0, batch.num_rows, SLICE):
+                rows = batch.slice(at, SLICE)
+                for language, raw in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+                    parts.setdefault(language, []).append(gram_counts(words_in(raw), longest))
+                for language, found in parts.items():
+                    parts[language] = [_added(found)]
+            for language, (found,) in parts.items():
+                codes, counts = found
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([language] * len(codes), pa.string()),
+                    pa.array([gram_of(c) for c in codes.tolist()], pa.string()),
+                    pa.array(counts, pa.int64()),
+                ], schema=schema)
 
     rows = df.filter(col(lang).isNotNull() & col(text).isNotNull()).select(
         col(lang).cast("string").alias("lang"), bytes_of(text).alias("text")
     )
-    sizes = rows.groupBy(F.col("lang").alias("_l")).agg(F.count("*").alias("_n"))
+    sizes = stored(
+        rows.groupBy(F.col("lang").alias("_l")).agg(F.count("*").alias("_n")), "language-sizes"
+    )
+    _bounded(sizes.count())
     chance = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003
     rows = rows.join(F.broadcast(sizes), F.col("lang") == F.col("_l")).filter(
         chance * F.col("_n") < rows_per_language
@@ -95,51 +145,17 @@ def profiles(
     return ranked.filter(F.col("rank") < ranks).select("lang", "gram", "rank")
 
 
-def code(gram: str) -> int:
-    """A gram of up to three characters as a number that orders grams of one length."""
-    out = 0
-    for c in gram:
-        out = out << 21 | ord(c)
-    return out
-
-
 class Profiles:
-    """Ranks of the known n-grams in every language, and n-grams of words met so far by number."""
+    """Ranks of the known n-grams in every language."""
 
     def __init__(self, rows, longest: int, ranks: int):
         self.longest, self.ranks = longest, ranks
         self.langs = sorted({r["lang"] for r in rows})
         at = {x: i for i, x in enumerate(self.langs)}
-        grams = sorted({r["gram"] for r in rows})
-        self.known = {g: i for i, g in enumerate(grams)}
-        # One row more for n-grams of no profile.
-        self.rank = np.full((len(grams) + 1, len(self.langs)), -1, dtype=np.int32)
+        self.codes = np.array(sorted({code_of(r["gram"]) for r in rows}), dtype=np.int64)
+        self.rank = np.full((len(self.codes), len(self.langs)), -1, dtype=np.int32)
         for r in rows:
-            self.rank[self.known[r["gram"]], at[r["lang"]]] = r["rank"]
-        self.start()
-
-    def start(self) -> None:
-        self.number = dict(self.known)
-        self.codes = np.empty(max(1 << 16, 2 * len(self.number)), dtype=np.int64)
-        self.codes[: len(self.number)] = [code(g) for g in self.number]
-        self.words: dict[str, np.ndarray] = {}
-
-    def learn(self, words: set[str]) -> None:
-        """Numbers of the n-grams of new words."""
-        if len(self.words) > HELD // 2:
-            self.start()
-        number = self.number
-        for word in [w for w in words if w not in self.words]:
-            found = []
-            for g in grams_of(word, self.longest):
-                n = number.get(g)
-                if n is None:
-                    n = number[g] = len(number)
-                    if n == len(self.codes):
-                        self.codes = np.concatenate([self.codes, np.empty_like(self.codes)])
-                    self.codes[n] = code(g)
-                found.append(n)
-            self.words[word] = np.array(found, dtype=np.int32)
+            self.rank[np.searchsorted(self.codes, code_of(r["gram"])), at[r["lang"]]] = r["rank"]
 
     def predict(self, words: list[str]) -> tuple[str, float]:
         """Nearest language and its share of the places that could have been lost.
@@ -149,21 +165,17 @@ class Profiles:
         """
         if not words or not self.langs:
             return UNKNOWN, 0.0
-        distinct = set(words)
-        if not all(map(self.words.__contains__, distinct)):
-            self.learn(distinct)
-        counts = np.bincount(np.concatenate([self.words[w] for w in words]))
-        met = np.flatnonzero(counts)
-        if len(met) > self.ranks:
-            least = np.partition(counts[met], -self.ranks)[-self.ranks]
-            met = met[counts[met] >= least]
-        met = met[np.lexsort((self.codes[met], -counts[met]))][: self.ranks]
-        own = np.arange(len(met))[:, None]
-        theirs = self.rank[np.minimum(met, len(self.known))]
-        away = np.where(theirs < 0, self.ranks, np.abs(theirs - own))
-        total = away.sum(0)
+        codes, counts = gram_counts(words, self.longest)
+        if len(codes) > self.ranks:
+            least = np.partition(counts, -self.ranks)[-self.ranks]
+            codes, counts = codes[counts >= least], counts[counts >= least]
+        top = codes[np.lexsort((codes, -counts))][: self.ranks]
+        at = np.minimum(np.searchsorted(self.codes, top), len(self.codes) - 1)
+        theirs = np.where((self.codes[at] == top)[:, None], self.rank[at], -1)
+        own = np.arange(len(top))[:, None]
+        total = np.where(theirs < 0, self.ranks, np.abs(theirs - own)).sum(0)
         best = int(np.argmin(total))
-        return self.langs[best], float(1 - total[best] / (self.ranks * len(met)))
+        return self.langs[best], float(1 - total[best] / (self.ranks * len(top)))
 
 
 def with_language(
@@ -176,8 +188,8 @@ def with_language(
     count. Repeated rows get equal answers; input columns with an output's name are replaced. The
     profiles hold ``ranks`` rows a language; they alone are sent to the tasks.
     """
-    if not 1 <= longest <= 3:
-        raise ValueError("n-grams have one to three letters")
+    _check(longest)
+    _bounded(learned.select("lang").distinct().count())
     rows = learned.collect()
     known = df.sparkSession.sparkContext.broadcast(
         Profiles([r.asDict() for r in rows], longest, ranks)
@@ -188,7 +200,11 @@ def with_language(
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = known.value
         for batch in batches:
-            found = [model.predict(words_in(raw)) for raw in batch.to_pylist()]
+            found = [
+                model.predict(words_in(raw))
+                for at in range(0, len(batch), SLICE)
+                for raw in batch.slice(at, SLICE).to_pylist()
+            ]
             yield pa.array([{"lang": x, "score": s} for x, s in found], type=both)
 
     guess = F.when(col(text).isNotNull(), predict(bytes_of(text)))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bytes_of, col, fresh, stored
+from .common import bytes_of, col, fresh, rows_of, stored
 
 BLOCK = 4096
 # A document is large if it holds more than this part of the open words of its block.
@@ -34,7 +34,7 @@ def words_of(text: str) -> Column:
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([len(raw.split()) for raw in batch.to_pylist()], type=pa.int64())
+            yield pa.array([len(raw.split()) for raw in rows_of(batch)], type=pa.int64())
 
     return count(bytes_of(text))
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, col, replace_columns
+from .common import bytes_of, col, replace_columns, rows_of
 from .units import Pretokens, Remembered, split_units
 
 # Units whose count is remembered by a worker; bounds its memory, not what is counted.
@@ -104,7 +104,7 @@ def with_token_counts(
         for batch in batches:
             yield pa.array(
                 [count_text(raw.decode("utf-8", "replace"), vocabulary)
-                 for raw in batch.to_pylist()],
+                 for raw in rows_of(batch)],
                 type=pa.int64(),
             )
 

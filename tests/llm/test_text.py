@@ -174,11 +174,26 @@ def test_language(spark):
 def test_profile_ranks(spark):
     df = spark.createDataFrame([("ab ab c", "x"), (None, "x"), ("zz", None)], "text string, lang string")
     got = [(r.gram, r["rank"]) for r in lang_id.profiles(df, ranks=4).orderBy("rank").collect()]
-    counts = Counter(g for w in "ab ab c".split() for g in lang_id.grams_of(w, 3))
+    padded = [f" {w} " for w in "ab ab c".split()]
+    counts = Counter(
+        p[i:i + n] for p in padded for n in (1, 2, 3) for i in range(len(p) - n + 1)
+        if p[i:i + n] != " ")
     want = sorted(counts, key=lambda g: (-counts[g], g))[:4]
     assert got == [(g, i) for i, g in enumerate(want)]
 
 
+def test_gram_counts(monkeypatch):
+    words = [w * (1 + i % 3) for i, w in enumerate(["a", "été", "𠀀b", "straße"] * 60)]
+    want = Counter()
+    for w in words:
+        p = f" {w} "
+        want.update(p[i:i + n] for n in (1, 2, 3) for i in range(len(p) - n + 1) if p[i:i + n] != " ")
+    for chunk in (1 << 18, 64):
+        monkeypatch.setattr(lang_id, "CHUNK", chunk)
+        codes, counts = lang_id.gram_counts(words, 3)
+        assert {lang_id.gram_of(c): n for c, n in zip(codes.tolist(), counts.tolist())} == want
+
+
 # --- mixing --------------------------------------------------------------------------------------
 
 
