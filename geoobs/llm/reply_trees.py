@@ -84,14 +84,15 @@ def _reach(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
             F.col("node").alias("_node"), F.col("up").alias("_up"), F.col("top").alias("_top"),
             F.col("depth").alias("_depth"), F.col("score").alias("_score"),
         )
-        joined = state.join(above, F.col("up") == F.col("_node"), "left")
+        # Only messages whose path goes on take part; short trees are done after a few rounds.
+        joined = state.filter("up IS NOT NULL").join(above, F.col("up") == F.col("_node"))
+        further = joined.select(
+            "node", F.col("_up").alias("up"), F.col("_top").alias("top"),
+            (F.col("depth") + F.col("_depth")).alias("depth"),
+            (F.col("score") + F.col("_score")).alias("score"),
+        )
         state = stored(
-            joined.select(
-                "node", F.col("_up").alias("up"), F.coalesce("_top", "top").alias("top"),
-                (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-                (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"),
-            ),
-            f"reply-reach-{k}",
+            state.filter("up IS NULL").unionByName(further), f"reply-reach-{k}"
         )
     return levels, state.filter("up IS NULL")
 
@@ -137,10 +138,13 @@ def format_branches(messages: DataFrame, top: int | None = 1) -> DataFrame:
     if top is not None:
         chosen = chosen.filter(F.col("branch_rank") <= top)
     chosen = stored(chosen, "reply-branches")
-    path = chosen.select("leaf_id", F.col("leaf_id").alias("node"), F.lit(0).alias("back"))
+    path = chosen.select(
+        "leaf_id", F.col("leaf_id").alias("node"), F.lit(0).alias("back"), "depth"
+    )
     for k, level in enumerate(levels):
-        further = path.join(level, "node").select(
-            "leaf_id", F.col("up").alias("node"), (F.col("back") + (1 << k)).alias("back")
+        # Paths shorter than the reach of the level are complete.
+        further = path.filter(F.col("depth") > (1 << k)).join(level, "node").select(
+            "leaf_id", F.col("up").alias("node"), (F.col("back") + (1 << k)).alias("back"), "depth"
         )
         path = stored(path.unionByName(further), f"reply-path-{k}")
     turns = path.join(
