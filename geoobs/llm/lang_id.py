@@ -189,6 +189,7 @@ def with_language(
     profiles hold ``ranks`` rows a language; they alone are sent to the tasks.
     """
     _check(longest)
+    learned = stored(learned, "language-profiles")
     _bounded(learned.select("lang").distinct().count())
     rows = learned.collect()
     known = df.sparkSession.sparkContext.broadcast(
@@ -207,6 +208,8 @@ def with_language(
             ]
             yield pa.array([{"lang": x, "score": s} for x, s in found], type=both)
 
+    # Not to be repeated where a caller filters by the answer and also keeps it.
+    predict = predict.asNondeterministic()
     guess = F.when(col(text).isNotNull(), predict(bytes_of(text)))
     with_guess = replace_columns(df, **{out: guess})
     return replace_columns(
