@@ -7,7 +7,7 @@ the partitions it touches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean
@@ -17,8 +17,10 @@ from ..operators.keys import join_null_safe
 # Sensor profiles live in a sub-group of their own.
 FLUX_PARTITIONS = ["freq", "product_group", "site_id"]
 GAS_PARTITIONS = ["gas", "station_id"]
-OCEAN_PARTITIONS = ["deployment"]
+OCEAN_PARTITIONS = ["deployment_bucket"]
 RASTER_PARTITIONS = ["year", "month", "date"]
+# Deployments have no bound, so a folder holds the many of one hash bucket.
+BUCKETS = 32
 
 
 def replace_partitions(
@@ -80,8 +82,17 @@ def write_gas(df: DataFrame, path: str) -> None:
     merge_partitions(df, path, GAS_PARTITIONS, ["source_file"], ["time"])
 
 
+def bucket(key: str) -> Column:
+    """Hash bucket of a key with many values; null keys share one."""
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
 def write_ocean(df: DataFrame, path: str) -> None:
-    merge_partitions(df, path, OCEAN_PARTITIONS, ["source_file"], ["variable", "time"])
+    """By bucket of the deployment, which stays a column; a file is replaced within its deployment."""
+    merge_partitions(
+        df.withColumn("deployment_bucket", bucket("deployment")), path, OCEAN_PARTITIONS,
+        ["deployment", "source_file"], ["deployment", "variable", "time"],
+    )
 
 
 def write_tiles(df: DataFrame, path: str, file: str = "file") -> None:
