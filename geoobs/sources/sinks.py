@@ -16,10 +16,10 @@ from ..operators.keys import join_null_safe
 
 # Sensor profiles live in a sub-group of their own.
 FLUX_PARTITIONS = ["freq", "product_group", "site_id"]
-GAS_PARTITIONS = ["gas", "station_id"]
+GAS_PARTITIONS = ["gas", "station_bucket"]
 OCEAN_PARTITIONS = ["deployment_bucket"]
 RASTER_PARTITIONS = ["year", "month", "date"]
-# Deployments have no bound, so a folder holds the many of one hash bucket.
+# Deployments and stations have no bound, so a folder holds the many of one hash bucket.
 BUCKETS = 32
 
 
@@ -78,15 +78,19 @@ def write_flux(df: DataFrame, path: str) -> None:
     )
 
 
-def write_gas(df: DataFrame, path: str) -> None:
-    merge_partitions(df, path, GAS_PARTITIONS, ["source_file"], ["time"])
-
-
 def bucket(key: str) -> Column:
     """Hash bucket of a key with many values; null keys share one."""
     return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
+def write_gas(df: DataFrame, path: str) -> None:
+    """By gas and bucket of the station, which stays a column; a file is replaced within its station."""
+    merge_partitions(
+        df.withColumn("station_bucket", bucket("station_id")), path, GAS_PARTITIONS,
+        ["station_id", "source_file"], ["station_id", "time"],
+    )
+
+
 def write_ocean(df: DataFrame, path: str) -> None:
     """By bucket of the deployment, which stays a column; a file is replaced within its deployment."""
     merge_partitions(

@@ -3,7 +3,7 @@
 from pathlib import Path
 
 from geoobs.plans import adapters as A
-from geoobs.plans import load, store_queries
+from geoobs.plans import load, store_queries, stream_queries
 from geoobs.plans.registry import Tables
 from geoobs.sources import sinks
 
@@ -36,3 +36,15 @@ def test_deployments_of_one_bucket_are_replaced_alone(spark, tmp_path):
     sinks.write_ocean(spark.createDataFrame([(5, "t", 1, 7, "a")], kind), str(tmp_path / "o"))
     got = {r["deployment"]: r["value"] for r in spark.read.parquet(str(tmp_path / "o")).collect()}
     assert got == {i: 7 if i == 5 else 1 for i in ids}
+
+
+def test_gas_of_all_stations_is_stored(spark, tmp_path, monkeypatch):
+    path = _written(spark, tmp_path, monkeypatch, stream_queries, "stream_gas_ingest")
+    stored = spark.read.parquet(str(path / "gas-stations"))
+    gas = A.gas_rows(Tables(spark, SF)).filter("gas IS NOT NULL")
+    columns = ["gas", "station_id", "seq", "value"]
+    assert gas.filter("station_id >= 40").count() > 0
+    assert stored.count() == gas.count()
+    assert stored.select(*columns).exceptAll(gas.select(*columns)).isEmpty()
+    for folder in Path(path / "gas-stations").glob("gas=*"):
+        assert len(list(folder.glob("*=*"))) <= sinks.BUCKETS
