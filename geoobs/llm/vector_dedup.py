@@ -2,7 +2,8 @@
 
 A pass orders all vectors lexicographically by their concatenated random hashes (signs of random
 projections) and compares each with the next few in that order. Verified pairs of all passes are
-united into components. Links are then counted over all pairs of a component, so the counts do not
+united into components, and passes are added until a round of them unites nothing more, so that a group
+which the hashes hardly split gets more of them. Links are then counted over all pairs of a component, so the counts do not
 depend on which pairs a window happened to hold. Equal vectors are one class throughout, and a pass
 yields at most one link for each vector, never all pairs of a group.
 """
@@ -32,7 +33,8 @@ TASK_ROWS = 25_000
 
 
 def passes_needed(n: int, similar: float, window: int, miss: float) -> int:
-    """Passes after which a pair at the threshold has been missed with a chance of about ``miss``.
+    """Passes after which a pair at the threshold has been missed with a chance of about ``miss``,
+    where the hashes split the vectors evenly; the first round has as many.
 
     Two vectors meet in a window if they share about log2(n / window) leading hashes; one hash agrees
     with chance 1 - angle / pi. A fifth is taken off for windows that a longer run overflows.
@@ -46,7 +48,7 @@ def _planes(dim: int, k: int) -> np.ndarray:
     return np.random.default_rng([dim, k]).normal(size=(dim, BITS))
 
 
-def _hashed(passes: int):
+def _hashed(passes: range):
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
         for batch in batches:
@@ -54,7 +56,7 @@ def _hashed(passes: int):
             for dim, rows, x in by_dimension(batch.column(1)):
                 x = unit(x)
                 raw = pa.array([r.tobytes() for r in x], pa.binary())
-                for k in range(passes):
+                for k in passes:
                     keys = ((x @ _planes(dim, k)) > 0) @ weights
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.full(len(rows), k, np.int32)),
@@ -154,6 +156,29 @@ def _scan(window: int, similar: float):
     return scan, across
 
 
+def _links(classes: DataFrame, n: int, passes: range, window: int, similar: float) -> DataFrame:
+    """``a``, ``b``: links that the given passes over the ``n`` classes find."""
+    hashed = classes.select("id", "vector").mapInArrow(
+        _hashed(passes), "pass int, dim int, key bigint, id bigint, vector binary"
+    )
+    order = ["pass", "dim", "key", "id"]
+    tasks = max(1, math.ceil(n * len(passes) / TASK_ROWS))
+    dealt = hashed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    scan, across = _scan(window, similar)
+    found = stored(dealt.mapInArrow(scan, _FOUND), "vector-passes")
+    edges = found.filter("edge >= 0 AND place IS NOT NULL")
+    between = edges.groupBy("edge", "pass", "dim").applyInArrow(across, "a bigint, b bigint")
+    return found.filter("b IS NOT NULL").select("a", "b").unionAll(between)
+
+
+def _apart(links: DataFrame, component: DataFrame) -> DataFrame:
+    """``a``, ``b``: components, or nodes of none, that ``links`` join and ``component`` does not."""
+    for end in ("a", "b"):
+        of = component.select(F.col("node").alias(end), F.col("component").alias("_in"))
+        links = links.join(of, end, "left").withColumn(end, F.coalesce("_in", end)).drop("_in")
+    return links.filter("a <> b").distinct()
+
+
 def _counted(similar: float):
     """Vectors linked with each member of a cell, by the weight of their class."""
 
@@ -185,8 +210,9 @@ def near_vectors(
 
     Vectors are linked if their cosine, in double precision, is ``similar`` or more. ``n_links`` is
     the number of other ids linked directly within the component, ``component_id`` the smallest id
-    reachable. ``passes`` defaults to what keeps the chance of a missed pair at ``miss`` for the
-    number of vectors at hand.
+    reachable. Without ``passes``, a first round of passes keeps the chance of a missed pair at ``miss``
+    if the hashes split the vectors evenly, and further rounds of half as many follow until one unites
+    nothing more.
 
     Vectors that are null, empty, zero or hold a null or non-finite component link with nothing, nor
     do vectors of different dimensions. Rows with one id are one vector (the smallest in array
@@ -200,19 +226,21 @@ def near_vectors(
         "vector-classes",
     )
     n = classes.count()
-    passes = passes or passes_needed(n, similar, window, miss)
-    hashed = classes.select("id", "vector").mapInArrow(
-        _hashed(passes), "pass int, dim int, key bigint, id bigint, vector binary"
+    first = passes or passes_needed(n, similar, window, miss)
+    component = stored(
+        connected_components(_links(classes, n, range(first), window, similar)),
+        "vector-components",
     )
-    order = ["pass", "dim", "key", "id"]
-    tasks = max(1, math.ceil(n * passes / TASK_ROWS))
-    dealt = hashed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
-    scan, across = _scan(window, similar)
-    found = stored(dealt.mapInArrow(scan, _FOUND), "vector-passes")
-    edges = found.filter("edge >= 0 AND place IS NOT NULL")
-    between = edges.groupBy("edge", "pass", "dim").applyInArrow(across, "a bigint, b bigint")
-    links = found.filter("b IS NOT NULL").select("a", "b").unionAll(between)
-    component = stored(connected_components(links), "vector-components")
+    done, more = first, math.ceil(first / 2)
+    while passes is None and n > window + 1:  # one window holds all pairs of fewer
+        links = _links(classes, n, range(done, done + more), window, similar)
+        new = stored(_apart(links, component), "vector-links")
+        done += more
+        if new.isEmpty():
+            break
+        held = component.filter("node <> component").select(
+            F.col("node").alias("a"), F.col("component").alias("b"))
+        component = stored(connected_components(held.unionAll(new)), "vector-components")
 
     sizes = component.groupBy("component").agg(F.count("*").alias("size"))
     parts = F.when(F.col("size") <= tile, F.lit(1)).otherwise(

@@ -97,3 +97,24 @@ def test_graph_search_recall(spark):
     hits = [len(found[i] & {j for j, _ in exact(x, i, 10)}) / 10 for i in range(0, len(x), 10)]
     assert np.mean(hits) >= 0.9
     assert all(i in found[50_000 + i] for i in range(5))  # queries from outside start at the pivots
+
+
+def test_pairs_in_a_hot_cone(spark):
+    # Vectors of the cone have cosine 0.8, isolated pairs in it 0.905; windows of 64 overflow.
+    rng = np.random.default_rng(11)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    n, cone, pairs, dim = 9000, 6000, 300, 64
+    x = unit(rng.normal(size=(n, dim)))
+    axis = np.zeros(dim)
+    axis[0] = 1
+    side = rng.normal(size=(cone, dim))
+    side[:, 0] = 0
+    side = unit(side)
+    a, b = side[:pairs], side[pairs:2 * pairs]
+    across = unit(b - (a * b).sum(1, keepdims=True) * a)
+    side[pairs:2 * pairs] = 0.525 * a + np.sqrt(1 - 0.525 ** 2) * across
+    x[:cone] = np.sqrt(0.8) * axis + np.sqrt(0.2) * side
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], KIND)
+    got = {r.vec_id: r for r in vector_dedup.near_vectors(df).collect()}
+    found = sum(got[pairs + i].component_id == got[i].component_id for i in range(pairs))
+    assert found >= 0.99 * pairs
