@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..operators import passport, reshape, sessions
@@ -13,6 +15,15 @@ from .registry import query
 _HEADER = 'TIMESTAMP,Temp [degC],Temp [degC] QC Flag,"Odd, label",Temp [degC] QC Comment'
 
 
+# Rows of a landed file.
+FILE_ROWS = 250_000
+
+
+def _files(df, folders: int) -> int:
+    """Files of each of ``folders`` groups of the rows of ``df``: their number grows with the rows."""
+    return max(1, math.ceil(df.count() / (folders * FILE_ROWS)))
+
+
 @query("ocean_file_rows", """
 SELECT file, variable, qc, count(*) AS n, round(sum(value), 2) AS total, min(time) AS first FROM (
   SELECT 'C' || (o_custkey % 7) AS file, o_orderdate AS time, unnest(['Temp', 'Odd_label']) AS variable,
@@ -20,19 +31,30 @@ SELECT file, variable, qc, count(*) AS n, round(sum(value), 2) AS total, min(tim
     unnest([CASE WHEN o_orderkey % 4 = 0 THEN -1 ELSE o_orderkey % 4 END, -1])::INTEGER AS qc
   FROM orders WHERE o_orderkey % 5 <> 0) GROUP BY ALL""")
 def ocean_file_rows(t):
-    """Whole ocean files with a preamble and a quoted label, read into facts; bad stamps go."""
+    """Ocean files with a preamble and a quoted label, landed as text and read by blocks into facts;
+    bad stamps go."""
+    landed, files = shared_dir(t.spark, "ocean-csv"), _files(t.orders, 7)
     stamp = F.when(F.col("o_orderkey") % 5 == 0, "n/a").otherwise(
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     flag = F.when(F.col("o_orderkey") % 4 == 0, "").otherwise(
         (F.col("o_orderkey") % 4).cast("string"))
     line = F.concat_ws(",", stamp, F.col("o_totalprice").cast("string"), flag,
                        F.col("o_orderkey").cast("string"), F.lit('"a, ""b"""'))
-    files = t.orders.groupBy(
-        F.concat(F.lit("C"), (F.col("o_custkey") % 7).cast("string")).alias("file")
-    ).agg(F.concat(
-        F.lit(f"// exported\n\n{_HEADER}\n"), F.array_join(F.collect_list(line), "\n")
-    ).alias("text"))
-    rows = ocean_csv.good_times(ocean_csv.file_rows(files, "file", "text"), "stamp")
+    part = F.col("o_custkey") % 7 + 7 * F.pmod(F.xxhash64("o_orderkey"), F.lit(files))
+    rows = t.orders.select(part.cast("bigint").alias("part"), F.lit(1).alias("ord"),
+                           line.alias("value"))
+    head = t.spark.range(0, 7 * files).select(
+        F.col("id").alias("part"),
+        F.posexplode(F.array(F.lit("// exported"), F.lit(""), F.lit(_HEADER)))
+        .alias("ord", "value"),
+    ).withColumn("ord", F.col("ord") - 3)
+    lines = head.join(rows.select("part").distinct(), "part", "left_semi").unionByName(rows)
+    lines.repartition("part").sortWithinPartitions("part", "ord").select(
+        "part", "value").write.partitionBy("part").text(landed)
+    body = ocean_csv.skip_block_preamble(ocean_csv.block_lines(t.spark, f"{landed}/part=*"))
+    rows = ocean_csv.good_times(ocean_csv.body_rows(body, "file"), "stamp").withColumn(
+        "file", F.concat(F.lit("C"), (F.regexp_extract("file", r"part=(\d+)", 1).cast("bigint")
+                                      % 7).cast("string")))
     return rows.groupBy("file", "variable", F.col("qc").cast("int").alias("qc")).agg(
         F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"),
         F.min("time").alias("first"),
@@ -69,8 +91,11 @@ SELECT variable, count(*) AS n, count(value) AS n_values, round(sum(value), 2) A
 def flux_files(t):
     """CSV files with a wrapped header: read by header, converted to facts and stored twice."""
     landed, stored = shared_dir(t.spark, "flux-csv"), shared_dir(t.spark, "flux")
+    files = _files(t.lineitem, 3)
+    part = F.col("l_suppkey") % 3 + 3 * F.pmod(
+        F.xxhash64("l_orderkey", "l_linenumber"), F.lit(files))
     rows = t.lineitem.select(
-        (F.col("l_suppkey") % 3).alias("part"), F.lit(1).alias("ord"),
+        part.cast("bigint").alias("part"), F.lit(1).alias("ord"),
         F.concat_ws(
             ",", F.date_format("l_shipdate", "yyyyMMdd"),
             F.when(F.col("l_tax") == 0, "-9999").otherwise(F.col("l_quantity").cast("string")),
@@ -78,7 +103,7 @@ def flux_files(t):
             F.col("l_extendedprice").cast("string"),
         ).alias("value"),
     )
-    head = t.spark.range(0, 3, 1, 1).select(
+    head = t.spark.range(0, 3 * files).select(
         F.col("id").cast("bigint").alias("part"),
         F.posexplode(F.array(F.lit(""), F.lit("TIMESTAMP,NEE_VUT_REF,"), F.lit("NEE_VUT_REF_QC,TA_F")))
         .alias("ord", "value"),

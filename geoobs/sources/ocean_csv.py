@@ -21,6 +21,19 @@ def read_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return split_lines(files, "file", "value")
 
 
+def block_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """(file, block, line_no, line) of files of any size, each block of a file a task of its own.
+
+    Numbers rise within a block and are unique; they are not the line numbers of the file. Lines end
+    at the breaks of Spark's text reader.
+    """
+    return spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"),
+    )
+
+
 def split_lines(df: DataFrame, file: str, text: str) -> DataFrame:
     lines = F.split(F.col(text), LINE_BREAK)
     return df.select(file, F.posexplode(lines).alias("line_no", "line"))
@@ -120,6 +133,19 @@ def to_rows(df: DataFrame, keys: list[str], mapping: dict[str, tuple[str, str |
     return df.select(*keys, F.explode(F.array(*cells)).alias("_c")).select(*keys, "_c.*")
 
 
+def skip_block_preamble(lines: DataFrame, marker: str = "TIMESTAMP") -> DataFrame:
+    """``skip_preamble`` for ``block_lines``: the header lies in the first block of a file."""
+    first = lines.filter("block = 0").groupBy("file").agg(
+        F.coalesce(
+            F.min(F.when(F.startswith("line", F.lit(marker)), F.col("line_no"))),
+            F.min("line_no"),
+        ).alias("_head")
+    )
+    return lines.join(first, "file").filter("block > 0 OR line_no >= _head").withColumn(
+        "is_header", (F.col("block") == 0) & (F.col("line_no") == F.col("_head"))
+    ).drop("_head", "block")
+
+
 # A comma outside of quotes.
 _COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
@@ -141,7 +167,11 @@ def file_rows(df: DataFrame, file: str, text: str, marker: str = "TIMESTAMP") ->
     ``good_times``. Values that are no numbers are NULL, fields missing at the end of a line too. A
     line is read where it is: only the names, one row a file, are joined.
     """
-    body = body_lines(df, file, text, marker)
+    return body_rows(body_lines(df, file, text, marker), file)
+
+
+def body_rows(body: DataFrame, file: str) -> DataFrame:
+    """The same of (file, line_no, line, is_header), as the readers of lines give them."""
     labels = body.filter("is_header").select(
         file, F.posexplode(cells("line")).alias("pos", "label")
     )

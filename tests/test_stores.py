@@ -6,6 +6,7 @@ from geoobs.plans import adapters as A
 from geoobs.plans import load, store_queries, stream_queries
 from geoobs.plans.registry import Tables
 from geoobs.sources import sinks
+from tests.compare import compare, connect
 
 SF = "/root/testdata/sf0.01"
 
@@ -17,6 +18,24 @@ def _written(spark, tmp_path, monkeypatch, module, query):
     return tmp_path
 
 
+def test_landed_files_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    con = connect(SF)
+    monkeypatch.setattr(store_queries, "FILE_ROWS", 500, raising=False)
+    for name, folder, table, least in (("ocean_file_rows", "ocean-csv", "orders", 8),
+                                       ("flux_files", "flux-csv", "lineitem", 4)):
+        at = tmp_path / name
+        monkeypatch.setattr(store_queries, "shared_dir", lambda _, purpose: str(at / purpose))
+        # Several blocks a file: only the first of them holds the header.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        try:
+            assert compare(spark, con, name, SF) is None
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert len(list((at / folder).glob("part=*/*.txt"))) >= least
+
+
 def test_all_deployments_are_stored(spark, tmp_path, monkeypatch):
     path = _written(spark, tmp_path, monkeypatch, store_queries, "ocean_store") / "ocean"
     stored = spark.read.parquet(str(path))
