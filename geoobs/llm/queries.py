@@ -1,4 +1,6 @@
 """All registered queries of this package."""
 
-from . import chat_queries, secret_queries, text_queries, vector_queries  # noqa: F401
+from . import (  # noqa: F401
+    chat_queries, repeat_queries, secret_queries, text_queries, vector_queries,
+)
 from .registry import ORACLES, QUERIES  # noqa: F401
