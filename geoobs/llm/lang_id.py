@@ -8,7 +8,10 @@ The nearest profile names the language.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,16 @@ SLICE = 256
 # Characters whose n-grams are counted at a time; bounds memory on very long texts.
 CHUNK = 1 << 18
 
-_WORDS = re.compile(r"[^\W\d_]+")
+
+
+@lru_cache(maxsize=1)
+def _letters() -> re.Pattern:
+    """Runs of letters, Unicode category L; the numbers among the word characters are left out."""
+    numbers = "".join(
+        c for c in map(chr, range(sys.maxunicode + 1))
+        if c.isalnum() and not unicodedata.category(c).startswith("L")
+    )
+    return re.compile(f"[^\\W_{re.escape(numbers)}]+")
 
 
 def _check(longest: int) -> None:
@@ -44,7 +56,7 @@ def _bounded(languages: int) -> None:
 
 
 def words_in(raw: bytes) -> list[str]:
-    return _WORDS.findall(raw.decode("utf-8", "replace").lower())
+    return _letters().findall(raw.decode("utf-8", "replace").lower())
 
 
 def gram_counts(words: list[str], longest: int) -> tuple[np.ndarray, np.ndarray]:
