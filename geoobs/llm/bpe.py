@@ -15,10 +15,12 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
-from .common import bytes_of, col, replace_columns, rows_of
+from .common import bytes_of, col, fresh, replace_columns, rows_of
 
 LONG_TEXT = 1 << 16
 
@@ -113,3 +115,48 @@ def decode(
             )
 
     return replace_columns(df, **{out: bytes_for(col(ids))})
+
+
+# Bytes of text whose ids make one output batch.
+OUT_BYTES = 1 << 22
+
+
+def encode_verified(
+    df: DataFrame, text: str = "text", ids: str = "token_ids", same: str = "round_trip", *,
+    ranks_path: str, keep: list[str], long_text: int = LONG_TEXT,
+) -> DataFrame:
+    """The columns ``keep``, the token ids of every whole text, and whether their bytes give it again.
+
+    One pass encodes, decodes and compares a row at a time and hands on bounded batches, so that no
+    ids wait for a second Python worker. Null texts, special strings, repeated rows and empty tables as
+    in ``encode``; ``same`` compares with the text's bytes as given, so it is false where they are not
+    UTF-8. Kept columns are passed through under any name but ``ids`` and ``same``.
+    """
+    kept = [c for c in keep if c.lower() not in (ids.lower(), same.lower())]
+    given = df.select(*[col(c) for c in kept], bytes_of(text).alias(fresh(df, "raw")[0]))
+    schema = StructType(
+        list(given.schema.fields[:-1])
+        + [StructField(ids, ArrayType(IntegerType())), StructField(same, BooleanType())]
+    )
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(ranks_path)
+        for batch in batches:
+            raws = batch.column(batch.num_columns - 1)
+            size = pc.binary_length(raws).to_numpy(zero_copy_only=False).astype(np.int64)
+            parts = (np.cumsum(size) - size) // OUT_BYTES
+            starts = np.flatnonzero(np.diff(parts, prepend=-1)).tolist()
+            for lo, hi in zip(starts, [*starts[1:], batch.num_rows]):
+                found, alike = [], []
+                for raw in rows_of(raws.slice(lo, hi - lo), 16):
+                    found.append(encode_text(raw.decode("utf-8", "replace"), ranks_path, long_text))
+                    alike.append(enc.decode_bytes(found[-1].tolist()) == raw)
+                ends = pa.array(np.cumsum([0, *map(len, found)], dtype=np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(lo, hi - lo) for c in batch.columns[:-1]),
+                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found))),
+                     pa.array(alike, pa.bool_())],
+                    names=[*kept, ids, same],
+                )
+
+    return given.mapInArrow(verify, schema)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, col, stored
+from .common import bytes_of, col, fresh, stored
 from .components import connected_components
 from .sorted_cells import sorted_cells
 
@@ -330,3 +330,29 @@ def near_duplicates(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def without_near_duplicates(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, words: int = WORDS,
+    similar: float = SIMILAR,
+) -> DataFrame:
+    """Rows of ``df`` without those whose component has a document with a smaller id.
+
+    Rows without words and rows without an id stay. Of rows that repeat a kept id, the smallest by all
+    columns stays. The columns are those of ``df``.
+    """
+    found = stored(
+        near_duplicates(df, doc_id, text, words=words, similar=similar), "minhash-components"
+    )
+    (key,) = fresh(df, "key")
+    dropped = found.filter("NOT kept").select(F.col("doc_id").alias(key)).distinct()
+    left = df.join(dropped, col(doc_id) == F.col(key), "left_anti")
+    repeated = found.filter("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy(
+        F.col("doc_id").alias(key)).agg(F.count("*").alias("n")).filter("n > 1").select(key)
+    repeated = stored(repeated, "minhash-repeated")
+    row = F.struct(*[col(c) for c in df.columns])
+    smallest = left.join(repeated, col(doc_id) == F.col(key), "left_semi").select(
+        col(doc_id).alias(key), row.alias("row")).groupBy(key).agg(F.min("row").alias("row"))
+    return left.join(repeated, col(doc_id) == F.col(key), "left_anti").unionByName(
+        smallest.select("row.*")
+    )
