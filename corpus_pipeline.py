@@ -34,24 +34,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps one document of every group of near-duplicates, the one with the smallest id.
 
     Five-word shingles, similarity 0.8. Documents without words stay, as do rows without an id; of
-    rows that repeat an id the smallest by all columns stays.
+    rows that repeat an id the smallest by all columns stays. An empty table stays empty.
     """
-    found = stored(minhash.near_duplicates(docs, words=5, similar=0.8), "pipeline-groups")
-    dropped = found.filter("NOT kept").select("doc_id").distinct()
-    left = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    repeated = found.filter("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy(
-        "doc_id").count().filter("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return left
-    again = left.join(repeated, "doc_id", "left_semi").select(*docs.columns)
-    smallest = again.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.min(F.struct(*docs.columns)).alias("row")
-    ).select("row.*")
-    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(smallest)
+    return minhash.without_near_duplicates(docs, words=5, similar=0.8)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces every secret by a mark; ``n_chars`` follows where the text changed."""
+    """Replaces every secret by a mark; ``n_chars`` follows where the text changed.
+
+    Null and empty texts hold none and stay as they are, repeated rows are treated alike, an empty
+    table stays empty.
+    """
     (spans,) = fresh(docs, "secrets")
     found = secret_scan.scan(docs, "text", spans, key="doc_id")
     hit = F.size(spans) > 0
@@ -65,18 +58,28 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes documents so that sources meet their weights; one taken twice is two rows."""
+    """Takes documents so that sources meet their weights; one taken twice is two rows.
+
+    Size is counted in words. Documents without any (null and empty texts) are taken at the rate of
+    their source, and not at all if the source has no words. Rows without a source are a source of
+    their own, repeated rows share the copies of their document. An empty table stays empty.
+    """
     return mixing.apply_mix(docs, weights=(5, 2, 1), share=1.5, most=2.0)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, and whether their bytes give the text again."""
-    ids = bpe.encode(docs, "text", "token_ids", ranks_path=RANKS)
-    back = bpe.decode(ids, "token_ids", "decoded", ranks_path=RANKS)
-    return back.select(
+    """Token ids of every whole text, and whether their bytes give the text again.
+
+    A null text counts as empty and has no ids. Repeated rows are encoded one by one, an empty table
+    stays empty.
+    """
+    done = bpe.encode_verified(
+        docs, "text", "token_ids", "round_trip", ranks_path=RANKS,
+        keep=["doc_id", "lang", "source"],
+    )
+    return done.select(
         "doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"),
-        "token_ids",
-        (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"),
+        "token_ids", "round_trip",
     )
 
 
