@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import clean, names
 
@@ -164,32 +163,51 @@ def assemble(manifest_rows: DataFrame, provenance: DataFrame, keys: list[str]) -
     )
 
 
-@F.pandas_udf(T.StringType())
-def canonical_json(text: pd.Series) -> pd.Series:
-    """JSON with sorted keys, no spaces and non-ASCII characters escaped."""
-    import json
+def ascii_json(text: Column) -> Column:
+    """JSON text with every character beyond ASCII written as its UTF-16 escapes."""
 
-    return text.map(
-        lambda t: None if t is None
-        else json.dumps(json.loads(t), sort_keys=True, separators=(",", ":"))
-    )
+    def escaped(c: Column) -> Column:
+        return F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\u$1")
+
+    # A text has few different ones; each is replaced in one pass of the string.
+    others = F.array_distinct(F.regexp_extract_all(text, F.lit("([^\\x00-\\x7f])")))
+    return F.aggregate(others, text, lambda done, c: F.replace(done, c, escaped(c)))
+
+
+def canonical_json(text: Column) -> Column:
+    """Canonical text of a JSON value: sorted keys, no blanks, numbers without superfluous zeros,
+    characters beyond ASCII escaped. Null for a null; a text that is no JSON fails the job."""
+    return ascii_json(F.to_json(F.parse_json(text)))
+
+
+def _listed(*texts: Column) -> Column:
+    return F.concat(F.lit("["), F.array_join(F.concat(*texts), ","), F.lit("]"))
+
+
+def _inner(node: Column) -> Column:
+    """Members of a JSON object without its braces."""
+    return F.substring(node, F.lit(2), F.length(node) - 2)
+
+
+def _fields(**columns: Column) -> Column:
+    """JSON members in the order given; nulls are written."""
+    named = F.struct(*[c.alias(k) for k, c in columns.items()])
+    return _inner(F.to_json(named, {"ignoreNullFields": "false"}))
 
 
 def graph_document(passports: DataFrame, id_column: str, vocabulary: str = "") -> DataFrame:
     """``document`` and ``sha256``: the JSON-LD graph of each passport row with its own checksum.
 
-    Optional columns: ``stations`` (array of ids), ``queries`` and ``entities`` (arrays of JSON
-    texts) and ``entity_ids``. ``vocabulary`` is the prefix of the passport's own type. The checksum
-    covers the canonical text with the checksum field set to null.
+    Optional columns: ``stations`` (array of ids), ``queries`` and ``entities`` (arrays of JSON texts)
+    and ``entity_ids``. ``vocabulary`` is the prefix of the passport's own type. Keys are sorted because
+    the structs below name them in order. The checksum covers the canonical text with the checksum
+    field set to null; ``is_sound`` recomputes it.
     """
     none = F.array().cast("array<string>")
 
     def optional(name: str):
         return F.coalesce(F.col(name), none) if name in passports.columns else none
 
-    def listed(*texts):
-        return F.concat(F.lit("["), F.array_join(F.concat(*texts), ","), F.lit("]"))
-
     def as_json(items):
         return F.transform(items, lambda x: F.to_json(x))
 
@@ -197,51 +215,57 @@ def graph_document(passports: DataFrame, id_column: str, vocabulary: str = "") -
     links = as_json(F.transform(parts, lambda p: F.struct(p["id"].alias("@id"))))
     full = as_json(F.transform(parts, lambda p: F.struct(
         p["id"].alias("@id"),
+        p["chunk_count"].alias("chunkCount"),
         F.element_at(F.split(p["id"], "/"), -1).alias("name"),
-        p["id"].alias("zarr_path"),
         p["manifest_sha256"].alias("sha256"),
         p["size_bytes"].alias("sizeInBytes"),
-        p["chunk_count"].alias("chunkCount"),
+        p["id"].alias("zarr_path"),
     )))
     entity_links = as_json(F.transform(
         optional("entity_ids"), lambda e: F.struct(e.alias("@id"))
     ))
-    scalars = F.to_json(F.struct(
-        F.col(id_column).alias("@id"),
-        F.array(F.lit("Dataset"), F.lit(f"{vocabulary}DataPassport")).alias("@type"),
-        F.col("name"),
-        F.lit("").alias("url"),
-        F.col("session_start").alias("dateAccessed"),
-        F.col("session_start").alias("sessionStart"),
-        F.col("session_end").alias("sessionEnd"),
-        F.struct(F.lit("Agent").alias("@type"), F.col("ip_anonymised").alias("ipAnonymised")).alias(
-            "agent"),
-        F.col("accessed_groups").alias("accessedGroups"),
-        F.col("accessed_arrays").alias("accessedArrays"),
-        optional("stations").alias("stations"),
-        F.col("total_bytes").alias("totalBytesServed"),
-        F.col("total_chunks").alias("totalChunks"),
-        F.struct(F.col("is_part_of").alias("@id")).alias("isPartOf"),
-        F.col("citation"),
-        F.lit(None).cast("string").alias("passportSha256"),
-    ), {"ignoreNullFields": "false"})
-    # Nodes differ in shape, so they are serialised apart and joined as JSON text.
-    node = F.concat(
-        F.regexp_replace(scalars, "[}]$", ""), F.lit(',"query":'), listed(optional("queries")),
-        F.lit(',"hasPart":'), listed(full, entity_links), F.lit("}"),
-    )
-    root = F.concat(F.lit('{"@id":"./","@type":"Dataset","hasPart":'), listed(links), F.lit("}"))
-    body = F.concat(
-        F.lit('{"@context":["https://w3id.org/ro/crate/1.1/context"],"@graph":'),
-        listed(F.array(root, node), optional("entities")), F.lit("}"),
+    agent = F.struct(
+        F.lit("Agent").alias("@type"), F.col("ip_anonymised").alias("ipAnonymised"))
+    before = F.concat(
+        F.lit('{"@context":["https://w3id.org/ro/crate/1.1/context"],"@graph":[{"@id":"./",'
+              '"@type":"Dataset","hasPart":'), _listed(links), F.lit("},{"),
+        _fields(**{
+            "@id": F.col(id_column),
+            "@type": F.array(F.lit("Dataset"), F.lit(f"{vocabulary}DataPassport")),
+            "accessedArrays": F.col("accessed_arrays"),
+            "accessedGroups": F.col("accessed_groups"),
+            "agent": agent,
+            "citation": F.col("citation"),
+            "dateAccessed": F.col("session_start"),
+        }),
+        F.lit(',"hasPart":'), _listed(full, entity_links), F.lit(","),
+        _fields(isPartOf=F.struct(F.col("is_part_of").alias("@id")), name=F.col("name")),
+        F.lit(',"passportSha256":'),
     )
-    doc = passports.withColumn("_text", canonical_json(body))
-    sha = F.sha2(F.col("_text"), 256)
-    done = F.replace(
-        F.col("_text"), F.lit('"passportSha256":null'),
-        F.concat(F.lit('"passportSha256":"'), sha, F.lit('"')),
+    queries = F.transform(optional("queries"), canonical_json)
+    entities = F.transform(optional("entities"), canonical_json)
+    after = F.concat(
+        F.lit(',"query":'), _listed(queries), F.lit(","),
+        _fields(
+            sessionEnd=F.col("session_end"), sessionStart=F.col("session_start"),
+            stations=optional("stations"), totalBytesServed=F.col("total_bytes"),
+            totalChunks=F.col("total_chunks"), url=F.lit(""),
+        ),
+        F.lit("}"),
+        F.array_join(F.transform(entities, lambda e: F.concat(F.lit(","), e)), ""), F.lit("]}"),
     )
-    return doc.withColumns({"sha256": sha, "document": done}).drop("_text")
+    halves = passports.withColumns({"_before": ascii_json(before), "_after": ascii_json(after)})
+    sha = F.sha2(F.concat("_before", F.lit("null"), "_after"), 256)
+    return halves.withColumn("sha256", sha).withColumn(
+        "document", F.concat("_before", F.lit('"'), "sha256", F.lit('"'), "_after")
+    ).drop("_before", "_after")
+
+
+def is_sound(document: str = "document", sha: str = "sha256") -> Column:
+    """Whether a stored document still has the checksum it names."""
+    own = F.concat(F.lit('"passportSha256":"'), F.col(sha), F.lit('"'))
+    plain = F.replace(F.col(document), own, F.lit('"passportSha256":null'))
+    return F.contains(F.col(document), own) & (F.sha2(plain, 256) == F.col(sha))
 
 
 def verify(document: pd.Series) -> pd.Series:

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import names, raster
 from ..operators import aggregates, catalog, joins
+from ..session import shared_dir
 from ..sources import documents, ocean_csv
 from ..sources import raster as raster_source
+from ..sources.versions import Store
 from . import adapters as A
 from .registry import query
 
@@ -75,15 +77,11 @@ def station_info(t):
 @query("removed_stations", f"""WITH {A.OBS_SQL}
 SELECT station_id, count(*) AS n FROM obs WHERE station_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY station_id""")
 def removed_stations(t):
-    gone = t.customer.filter("c_acctbal < 0").select(
-        F.col("c_custkey").cast("string").alias("entity"), F.lit("remove").alias("action"),
-        F.lit("2030-01-01").cast("timestamp_ntz").alias("timestamp"),
-        *[F.lit(None).cast("string").alias(c) for c in ("file", "gas", "source_doi", "citation")],
-    )
-    events = _events(t).unionByName(gone)
-    return catalog.without_removed(A.obs(t), events, "station_id").groupBy("station_id").agg(
-        F.count("*").alias("n")
-    )
+    """A store of observations from which stations are removed, one commit row each."""
+    store = Store(shared_dir(t.spark, "observations"), "station_id", ["station_id"], ["time"])
+    store.append(A.obs(t).withColumn("source_file", F.col("variable")))
+    store.remove(t.customer.filter("c_acctbal < 0").select(F.col("c_custkey").alias("station_id")))
+    return store.read(t.spark).groupBy("station_id").agg(F.count("*").alias("n"))
 
 
 def _attributes(t, old: bool):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators import blocks, passport, sessions, windows
+from ..operators import blocks, delivery, passport, sessions, windows
 from . import adapters as A
 from .registry import query
 
@@ -172,15 +172,120 @@ def passport_rows(t):
     )
 
 
-@query("passport_documents")
+def _session_log(t):
+    """What each session asked for: accesses, slices, masks with the extent they imply, and notes."""
+    rows = _chunks(t)
+    k, group = F.col("k"), F.coalesce("group", F.lit(""))
+    op = (
+        F.when(k < 40, "access").when(k < 60, "sel").when(k < 80, "isel").when(k < 95, "where")
+        .otherwise("user_recorded")
+    )
+    survivors = F.when((k >= 80) & (k < 95), F.transform(
+        F.sequence(F.lit(0), k % 4), lambda i: (F.col("user_id") + i * 7).cast("string")))
+    log = rows.select(
+        F.concat_ws("|", *KEYS).alias("session"), "seq", op.alias("op"),
+        F.when(k % 2 == 0, "NEE").otherwise("GPP").alias("variable"), group.alias("group"),
+        survivors.alias("surviving_stations"), "k", "ts",
+    )
+    log = delivery.with_extents(log, _candidates(t), ["session"])
+    variable, group = F.col("variable"), F.col("group")
+    asked = (
+        F.when(op == "access", delivery.payload(variable=variable, group=group))
+        .when(op == "sel", delivery.slice_payload(variable, group, "sel", "time", delivery.span(
+            F.date_format("ts", "yyyy-MM-dd"), F.lit(None).cast("string"))))
+        .when(op == "isel", delivery.slice_payload(
+            variable, group, "isel", "time", delivery.span(k, k + 10)))
+        .when(op == "where", delivery.where_payload(
+            group, F.col("extent"), F.col("surviving_stations"), F.lit(True), F.lit("mask")))
+        .otherwise(delivery.payload(
+            op=op, group=group, note=F.concat(F.lit("n"), k.cast("string"))))
+    )
+    return log.withColumn("payload", asked).drop("k", "ts", "extent")
+
+
+def _number(x: str) -> str:
+    return f"regexp_replace(CAST({x} AS VARCHAR), '\\.0$', '')"
+
+
+_DELIVERY_SQL = f"""{A.SESSIONS_SQL}, {A.STATIONS_SQL}, log AS (
+  SELECT ip || '|' || store || '|' || session_no AS session, seq, k, ts, coalesce(group_path, '') AS grp,
+    CASE WHEN k < 40 THEN 'access' WHEN k < 60 THEN 'sel' WHEN k < 80 THEN 'isel' WHEN k < 95 THEN 'where' ELSE 'user_recorded' END AS op,
+    CASE WHEN k % 2 = 0 THEN 'NEE' ELSE 'GPP' END AS variable,
+    CASE WHEN k >= 80 AND k < 95 THEN list_transform(range(0, k % 4 + 1), lambda i: user_id + i * 7) END AS survivors FROM numbered),
+ extent AS (SELECT session, seq, max(lat) AS n, min(lat) AS s, max(lon) AS e, min(lon) AS w FROM (
+   SELECT session, seq, unnest(survivors) AS id FROM log) JOIN stations ON station_id = id GROUP BY ALL),
+ entries AS (SELECT log.*, CASE op
+    WHEN 'access' THEN '{{"group":"' || grp || '","variable":"' || variable || '"}}'
+    WHEN 'sel' THEN '{{"group":"' || grp || '","sel":{{"time":{{"start":"' || strftime(ts, '%Y-%m-%d') || '","step":null,"stop":null}}}},"variable":"' || variable || '"}}'
+    WHEN 'isel' THEN '{{"group":"' || grp || '","isel":{{"time":{{"start":' || k || ',"step":null,"stop":' || (k + 10) || '}}}},"variable":"' || variable || '"}}'
+    WHEN 'where' THEN '{{"cond":' || CASE WHEN n IS NULL THEN '{{"repr":"mask"}}' ELSE
+      '{{"lat":{{"max":' || {_number("n")} || ',"min":' || {_number("s")} || '}},"lon":{{"max":' || {_number("e")} || ',"min":' || {_number("w")} || '}}}}' END
+      || ',"drop":true,"group":"' || grp || '","op":"where","surviving_stations":["' || array_to_string(survivors, '","') || '"]}}'
+    ELSE '{{"group":"' || grp || '","note":"n' || k || '","op":"user_recorded"}}' END AS payload
+  FROM log LEFT JOIN extent USING (session, seq))"""
+
+
+@query("query_log_rows", f"""WITH {_DELIVERY_SQL}
+SELECT session, seq, op, payload, CAST(len(survivors) AS INTEGER) AS n_survivors FROM entries""")
+def query_log_rows(t):
+    """The query log itself, the extents of its masks included."""
+    return _session_log(t).select(
+        "session", "seq", "op", F.to_json("payload").alias("payload"),
+        F.when(F.col("surviving_stations").isNotNull(), F.size("surviving_stations"))
+        .alias("n_survivors"),
+    )
+
+
+_DOCUMENT_SQL = f"""WITH {_DELIVERY_SQL},
+ asked AS (SELECT session, '[' || string_agg(payload, ',' ORDER BY seq) || ']' AS queries FROM (
+   SELECT * FROM entries WINDOW w AS (PARTITION BY session ORDER BY seq)
+   QUALIFY NOT (op = 'access' AND coalesce(lead(op) OVER w IN ('sel', 'isel') AND lead(variable) OVER w = variable AND lead(grp) OVER w = grp, false)))
+   GROUP BY session),
+ last AS (SELECT session, arg_max(survivors, seq) AS s FROM entries WHERE survivors IS NOT NULL GROUP BY session),
+ ent AS (SELECT l.session, x.station_id::VARCHAR AS identifier, 'https://hdl.handle.net/11676/' || country AS doi, x.*
+   FROM (SELECT session, unnest(s) AS id FROM last) l JOIN stations x ON x.station_id = l.id),
+ nodes AS (
+   SELECT session, 0 AS kind, '#station/' || identifier AS id, '{{"@id":"#station/' || identifier || '","@type":"icos:Station","addressCountry":"' || country
+     || '","geo":{{"@type":"GeoCoordinates","latitude":' || {_number("lat")} || ',"longitude":' || {_number("lon")} || '}},"identifier":"' || identifier
+     || '","intakeHeight":' || height || ',"isBasedOn":{{"@id":"' || doi || '"}},"name":"' || name || '","url":""}}' AS node FROM ent
+   UNION ALL
+   SELECT session, 1, doi, '{{"@id":"' || doi || '","@type":["Dataset","icos:DataObject"],"citation":"' || arg_min('Citation of ' || name, identifier)
+     || '","name":"' || arg_min(trigram || '.nc', identifier) || '","url":"' || doi || '"}}' FROM ent GROUP BY session, doi),
+ listed AS (SELECT session, string_agg('{{"@id":"' || id || '"}}', ',' ORDER BY kind, id) AS ids, string_agg(',' || node, '' ORDER BY kind, id) AS nodes FROM nodes GROUP BY session),
+ parts AS (SELECT ip, store, session_no, array_path, count(*) AS n, sum(size)::BIGINT AS b, sha256(string_agg(sha256, chr(10) ORDER BY sha256)) AS m FROM numbered GROUP BY ALL),
+ held AS (SELECT ip, store, session_no, string_agg('{{"@id":"' || array_path || '"}}', ',' ORDER BY array_path) AS links,
+   string_agg('{{"@id":"' || array_path || '","chunkCount":' || n || ',"name":"' || string_split(array_path, '/')[-1] || '","sha256":"' || m || '","sizeInBytes":' || b
+     || ',"zarr_path":"' || array_path || '"}}', ',' ORDER BY array_path) AS full_parts FROM parts GROUP BY ALL),
+ origin AS (SELECT ip, store, session_no, arg_min(n_name, group_path) AS citation FROM numbered JOIN nation ON 'S' || n_nationkey = split_part(group_path, '/', 1) GROUP BY ALL),
+ total AS (SELECT ip, store, session_no, ip || '|' || store || '|' || session_no AS session, strftime(min(ts), '%Y-%m-%dT%H:%M:%SZ') AS t0, strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') AS t1,
+   count(*) AS n, sum(size)::BIGINT AS b, list_sort(list(DISTINCT array_name) FILTER (WHERE array_name IS NOT NULL)) AS arrays,
+   list_sort(list(DISTINCT group_path) FILTER (WHERE group_path IS NOT NULL)) AS groups FROM numbered GROUP BY ip, store, session_no),
+ halves AS (SELECT 'urn:session:' || sha256(session) AS id,
+   '{{"@context":["https://w3id.org/ro/crate/1.1/context"],"@graph":[{{"@id":"./","@type":"Dataset","hasPart":[' || links || ']}},{{"@id":"urn:session:' || sha256(session)
+   || '","@type":["Dataset","icos:DataPassport"],"accessedArrays":' || CASE WHEN arrays IS NULL THEN '[]' ELSE '["' || array_to_string(arrays, '","') || '"]' END
+   || ',"accessedGroups":' || CASE WHEN groups IS NULL THEN '[]' ELSE '["' || array_to_string(groups, '","') || '"]' END
+   || ',"agent":{{"@type":"Agent","ipAnonymised":"' || CASE WHEN ip LIKE '%:%' THEN array_to_string(string_split(ip, ':')[1:3], ':') || '::/48'
+        ELSE array_to_string(string_split(ip, '.')[1:3], '.') || '.0/24' END || '"}},"citation":"' || coalesce(citation, '') || '","dateAccessed":"' || t0
+   || '","hasPart":[' || full_parts || coalesce(',' || ids, '') || '],"isPartOf":{{"@id":"' || coalesce('https://doi.org/10.1/' || citation, '')
+   || '"}},"name":"Data access passport \\u2014 ' || coalesce(array_to_string(arrays[1:5], ', '), '') || ' (' || t0[1:10] || ')","passportSha256":' AS a,
+   ',"query":' || queries || ',"sessionEnd":"' || t1 || '","sessionStart":"' || t0 || '","stations":' || CASE WHEN s IS NULL THEN '[]' ELSE '["' || array_to_string(s, '","') || '"]' END
+   || ',"totalBytesServed":' || b || ',"totalChunks":' || n || ',"url":""}}' || coalesce(nodes, '') || ']}}' AS z, s, ids
+   FROM total JOIN held USING (ip, store, session_no) LEFT JOIN origin USING (ip, store, session_no) JOIN asked USING (session) LEFT JOIN last USING (session) LEFT JOIN listed USING (session))"""
+
+
+@query("passport_documents", _DOCUMENT_SQL + """
+SELECT id, sha256(a || 'null' || z) AS sha256, sha256(a || 'null' || z)[1:16] || '.jsonld' AS file_name,
+  a || '"' || sha256(a || 'null' || z) || '"' || z AS document, true AS sound FROM halves""")
 def passport_documents(t):
-    """Self-checksummed JSON documents; the identifier is derived from the session key."""
-    p = _passports(t)
-    ident = F.concat(F.lit("urn:session:"), F.sha2(F.concat_ws("|", *KEYS), 256))
-    docs = passport.graph_document(p.withColumn("id", ident), "id")
+    """Self-checksummed documents of all sessions with their queries, stations and source objects; the
+    identifier is derived from the session key."""
+    p = _passports(t).withColumn("session", F.concat_ws("|", *KEYS))
+    whole = delivery.deliveries(p, _session_log(t), _candidates(t), "session", "icos:")
+    ident = F.concat(F.lit("urn:session:"), F.sha2("session", 256))
+    docs = passport.graph_document(whole.withColumn("id", ident), "id", "icos:")
     return docs.select(
-        "id", "sha256", passport.file_name().alias("file_name"),
-        F.length("document").alias("n_chars"),
+        "id", "sha256", passport.file_name().alias("file_name"), "document",
+        passport.is_sound().alias("sound"),
     )
 
 

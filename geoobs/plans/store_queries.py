@@ -69,15 +69,12 @@ def _ocean_stored(t, path: str) -> None:
 
 
 @query("ocean_store", f"""WITH {A.TRACK_SQL}
-SELECT deployment, variable, count(*) AS n, round(avg(value), 6) AS mean_value FROM track WHERE deployment < 30 GROUP BY ALL""")
+SELECT deployment, variable, count(*) AS n, round(avg(value), 6) AS mean_value FROM track GROUP BY ALL""")
 def ocean_store(t):
-    """Deployments that come in three batches, the first of them twice; all are stored, and the
-    report is that of the SQL, on the first ids."""
+    """Deployments whose files come in three batches, the first of them twice."""
     path = shared_dir(t.spark, "ocean")
     _ocean_stored(t, path)
-    return t.spark.read.parquet(path).filter("deployment < 30").groupBy(
-        "deployment", "variable"
-    ).agg(
+    return sinks.ocean_store(path).read(t.spark).groupBy("deployment", "variable").agg(
         F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean_value")
     )
 
@@ -113,7 +110,7 @@ def flux_files(t):
     for _ in range(2):
         for columns, wide in flux_csv.read_all(t.spark, f"{landed}/part=*"):
             sinks.write_flux(flux_csv.convert(wide, columns, "DD"), stored)
-    return t.spark.read.parquet(stored).groupBy("variable").agg(
+    return sinks.flux_store(stored).read(t.spark).groupBy("variable").agg(
         F.count("*").alias("n"), F.count("value").alias("n_values"),
         F.round(F.sum("value"), 2).alias("total"), F.min("ts_start").alias("first"),
         F.max("ts_end").alias("last"),

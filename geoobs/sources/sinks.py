@@ -1,26 +1,21 @@
-"""Partitioned sinks: re-ingesting a file, or a raster tile, replaces what it brought before.
+"""Sinks: stores of flux, gas and ocean facts, raster partitions and small exports.
 
 The files of one site, station or deployment may arrive in any number of batches. Rows carry the file
-they come from (``source_file``); a batch replaces the rows of its own files and keeps all others of
-the partitions it touches.
+they come from (``source_file``), and a file that comes again replaces its rows. The three stores only
+append (``versions``); raster tiles are replaced within the days that a batch touches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..operators.joins import last_row_wins
 from ..operators.keys import join_null_safe
+from .versions import Store, path_exists
 
-# Sensor profiles live in a sub-group of their own.
-FLUX_PARTITIONS = ["freq", "product_group", "site_id"]
-GAS_PARTITIONS = ["gas", "station_bucket"]
-OCEAN_PARTITIONS = ["deployment_bucket"]
 RASTER_PARTITIONS = ["year", "month", "date"]
-# Deployments and stations have no bound, so a folder holds the many of one hash bucket.
-BUCKETS = 32
 
 
 def replace_partitions(
@@ -39,64 +34,41 @@ def replace_partitions(
     ).parquet(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table was written at ``path``, on whatever file system it lies."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
-
-
 def stored_partitions(df: DataFrame, path: str, partitions: list[str]) -> DataFrame | None:
     """Stored rows of the partitions that ``df`` touches, or None before the first write."""
     spark = df.sparkSession
-    if not exists(spark, path):
+    if not path_exists(spark, path):
         return None
     stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     return join_null_safe(stored, df.select(*partitions).distinct(), partitions, "left_semi")
 
 
-def merge_partitions(
-    df: DataFrame, path: str, partitions: list[str], unit: list[str],
-    sort: list[str] | None = None,
-) -> None:
-    """Replace the stored rows of the ``unit``s in ``df`` (the files they come from) and keep the
-    other rows of the partitions it touches.
+def flux_store(path: str) -> Store:
+    """Flux facts by site; sensor profiles lie apart from the main products."""
+    return Store(path, "site_id", ["freq", "product_group", "site_id"], ["variable", "ts_start"])
 
-    Writing the same batch again, or the batches in another order, gives the same table.
-    """
-    stored = stored_partitions(df, path, partitions)
-    if stored is not None:
-        kept = join_null_safe(stored, df.select(*unit).distinct(), unit, "left_anti")
-        df = df.unionByName(kept)
-    replace_partitions(df, path, partitions, sort)
 
+def gas_store(path: str) -> Store:
+    return Store(path, "station_id", ["gas", "station_id"], ["time"])
 
-def write_flux(df: DataFrame, path: str) -> None:
-    group = F.when(F.upper("product").contains("METEOSENS"), "meteosens").otherwise("main")
-    merge_partitions(
-        df.withColumn("product_group", group), path, FLUX_PARTITIONS, ["source_file"],
-        ["variable", "ts_start"],
-    )
+
+def ocean_store(path: str) -> Store:
+    return Store(path, "deployment", ["deployment"], ["variable", "time"])
 
 
-def bucket(key: str) -> Column:
-    """Hash bucket of a key with many values; null keys share one."""
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+def write_flux(df: DataFrame, path: str) -> None:
+    group = F.when(F.upper("product").contains("METEOSENS"), "meteosens").otherwise("main")
+    flux_store(path).append(df.withColumn("product_group", group))
 
 
 def write_gas(df: DataFrame, path: str) -> None:
-    """By gas and bucket of the station, which stays a column; a file is replaced within its station."""
-    merge_partitions(
-        df.withColumn("station_bucket", bucket("station_id")), path, GAS_PARTITIONS,
-        ["station_id", "source_file"], ["station_id", "time"],
-    )
+    """A file is replaced within its station."""
+    gas_store(path).append(df)
 
 
 def write_ocean(df: DataFrame, path: str) -> None:
-    """By bucket of the deployment, which stays a column; a file is replaced within its deployment."""
-    merge_partitions(
-        df.withColumn("deployment_bucket", bucket("deployment")), path, OCEAN_PARTITIONS,
-        ["deployment", "source_file"], ["deployment", "variable", "time"],
-    )
+    """A file is replaced within its deployment."""
+    ocean_store(path).append(df)
 
 
 def write_tiles(df: DataFrame, path: str, file: str = "file") -> None:
@@ -116,7 +88,7 @@ def write_tiles(df: DataFrame, path: str, file: str = "file") -> None:
 def store_months(df: DataFrame, path: str, overwrite: bool = False, file: str = "file") -> None:
     """Tiles of whole months: a month that is stored already is skipped, or replaced on request."""
     dated = df.withColumns({"year": F.year("date"), "month": F.month("date")})
-    if exists(df.sparkSession, path):
+    if path_exists(df.sparkSession, path):
         stored = df.sparkSession.read.schema(dated.schema).parquet(path)
         months = stored.select("year", "month").distinct()
         if not overwrite:
@@ -163,7 +135,7 @@ def write_passports(documents: DataFrame, path: str) -> None:
     named = documents.dropDuplicates(["sha256"]).select(
         file_name("sha256").alias("file_name"), "sha256", "document"
     )
-    if exists(named.sparkSession, path):
+    if path_exists(named.sparkSession, path):
         old = named.sparkSession.read.schema(named.schema).json(path).select("sha256")
         named = named.join(old, "sha256", "left_anti").select("file_name", "sha256", "document")
     named.write.mode("append").json(path)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..session import shared_dir
 from ..sources import sinks
+from ..sources.versions import Store
 
 
 def read_landing(
@@ -58,16 +59,13 @@ def run_to_table(df: DataFrame, purpose: str, report: list | None = None) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
-def replace_by(path: str, partitions: list[str], unit: list[str], sort: list[str]) -> Callable:
-    """Batch writer that replaces the files it receives, within the partitions they touch.
+def append_to(store: Store) -> Callable:
+    """Batch writer that adds its rows to a store; files that come again replace what they brought.
 
-    A retried batch writes the same, and so do the batches in any other order.
+    A batch costs what its own rows weigh. A retried batch gives the same table, and so do batches of
+    different files in any other order.
     """
-
-    def write(batch: DataFrame, _: int) -> None:
-        sinks.merge_partitions(batch, path, partitions, unit, sort)
-
-    return write
+    return lambda batch, _: store.append(batch)
 
 
 def writer(write_batch: Callable[[DataFrame, str], None], path: str) -> Callable:

@@ -1,6 +1,4 @@
-"""Registered sinks hold all rows of the tables, in a bounded number of folders."""
-
-from pathlib import Path
+"""Registered sinks hold all rows of the tables."""
 
 from geoobs.plans import adapters as A
 from geoobs.plans import load, store_queries, stream_queries
@@ -38,32 +36,19 @@ def test_landed_files_grow_with_the_rows(spark, tmp_path, monkeypatch):
 
 def test_all_deployments_are_stored(spark, tmp_path, monkeypatch):
     path = _written(spark, tmp_path, monkeypatch, store_queries, "ocean_store") / "ocean"
-    stored = spark.read.parquet(str(path))
+    stored = sinks.ocean_store(str(path)).read(spark)
     track = A.track(Tables(spark, SF))
     columns = ["deployment", "seq", "variable", "value"]
     assert track.filter("deployment >= 30").count() > 0
     assert stored.count() == track.count()
     assert stored.select(*columns).exceptAll(track.select(*columns)).isEmpty()
-    assert len(list(Path(path).glob("*=*"))) <= sinks.BUCKETS
-
-
-def test_deployments_of_one_bucket_are_replaced_alone(spark, tmp_path):
-    kind = "deployment INT, variable STRING, time INT, value INT, source_file STRING"
-    ids = range(2 * sinks.BUCKETS)
-    rows = spark.createDataFrame([(i, "t", 1, 1, "a") for i in ids], kind)
-    sinks.write_ocean(rows, str(tmp_path / "o"))
-    sinks.write_ocean(spark.createDataFrame([(5, "t", 1, 7, "a")], kind), str(tmp_path / "o"))
-    got = {r["deployment"]: r["value"] for r in spark.read.parquet(str(tmp_path / "o")).collect()}
-    assert got == {i: 7 if i == 5 else 1 for i in ids}
 
 
 def test_gas_of_all_stations_is_stored(spark, tmp_path, monkeypatch):
     path = _written(spark, tmp_path, monkeypatch, stream_queries, "stream_gas_ingest")
-    stored = spark.read.parquet(str(path / "gas-stations"))
+    stored = sinks.gas_store(str(path / "gas-stations")).read(spark)
     gas = A.gas_rows(Tables(spark, SF)).filter("gas IS NOT NULL")
     columns = ["gas", "station_id", "seq", "value"]
     assert gas.filter("station_id >= 40").count() > 0
     assert stored.count() == gas.count()
     assert stored.select(*columns).exceptAll(gas.select(*columns)).isEmpty()
-    for folder in Path(path / "gas-stations").glob("gas=*"):
-        assert len(list(folder.glob("*=*"))) <= sinks.BUCKETS
