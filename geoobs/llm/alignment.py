@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -25,14 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bytes_of, col, stored
-from .units import Remembered, split_units
 
 # Bytes of text whose documents move in lockstep together, and tokens after which a lane may end.
 BATCH_BYTES = 1 << 22
 LANE = 256
-# Units that a worker remembers; bounds its memory, not what is encoded.
-REMEMBERED, LONG_UNIT = 200_000, 64
 SHARED_PAIRS = 1 << 19
+# Blanks in a row from which on tiktoken's pattern goes too deep.
+_BLANKS = re.compile(r"\s{1024}")
 BLANK = "▁"
 
 
@@ -44,8 +45,32 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+@lru_cache(maxsize=1)
+def _unsure() -> re.Pattern:
+    """Characters that two libraries may split differently: those whose class (letter, number, blank or
+    other) has changed or come since Unicode 3.2, or may yet come."""
+
+    def kind(category: str) -> str:
+        return category[0] if category[0] in "LNZ" else "other"
+
+    old, new = unicodedata.ucd_3_2_0.category, unicodedata.category
+    codes = [
+        c for c in range(0x110000)
+        if (now := new(chr(c))) == "Cn" or kind(now) != kind(old(chr(c)))
+    ]
+    codes += [*range(0x1C, 0x20), 0x85, 0x180E, 0x200B]
+    ranges, codes = [], sorted(set(codes))
+    for c in codes:
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    listed = "".join(f"\\U{lo:08x}-\\U{hi:08x}" for lo, hi in ranges)
+    return re.compile(f"[{listed}]")
+
+
 class Pair:
-    """Ids and byte lengths that both tokenizers give for blank and text."""
+    """Ids that both tokenizers give for blank and text, and the bytes of every id."""
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
@@ -66,53 +91,68 @@ class Pair:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode()
             for i, p in enumerate(pieces)
         ]
-        self.blank = self.b.piece_to_id(BLANK)
-        with open(a_path, encoding="utf-8") as file:
-            given = json.load(file)
-        split = given["pre_tokenizer"] or {}
-        # Blanks after visible characters cut the first sequence if it is byte-level BPE with the usual
-        # pre-split pattern, and the second if no piece goes on with a blank.
-        self.by_unit = (
-            given["normalizer"] is None and given["model"]["type"] == "BPE"
-            and split.get("type") == "ByteLevel" and split.get("use_regex", True)
-            and not split.get("add_prefix_space", True)
-            and not any(BLANK in p.lstrip(BLANK) for p in pieces)
-        )
-        self.units = Remembered(self.unit, REMEMBERED)
+        self.a_size, self.b_size = (np.array(list(map(len, x))) for x in (self.a_bytes, self.b_bytes))
+        self.quick = self._ranked(a_path)
 
-    def _packed(self, text: str, a: list[int], b: list[int]) -> tuple[bytes, bytes] | None:
-        """(id, length) pairs of both sides; None unless both give the bytes of blank and text."""
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        given = b" " + text.encode()
-        if b"".join(a_parts) != given or b"".join(b_parts) != given:
-            return None
-        return tuple(
-            np.array([ids, list(map(len, parts))], dtype="<i4").T.tobytes()
-            for ids, parts in ((a, a_parts), (b, b_parts))
-        )
+    def _ranked(self, path: str):
+        """The first vocabulary as ranks, which tiktoken encodes faster; None if it is not known to give
+        the same ids.
 
-    def unit(self, unit: str) -> tuple[bytes, bytes] | None:
-        ids = self.a.encode(" " + unit, add_special_tokens=False).ids
-        return self._packed(unit, ids, self.b.encode(unit) if unit else [self.blank])
+        It merges any two neighbours whose bytes are a token, the library only the pairs it lists, both
+        by rank. Where a token's own bytes encode as that token alone, its listed pair is the only one
+        that can ever stand there; tokens that do not are never made by the library and are left out.
+        """
+        import public_tokenizers
+        import tiktoken
 
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        found = None
-        if not text:
+        with open(path, encoding="utf-8") as file:
+            given = json.load(file)
+        model, split = given["model"], given["pre_tokenizer"] or {}
+        if (given["normalizer"] is not None or model["type"] != "BPE" or model.get("dropout")
+                or model.get("ignore_merges") or split.get("type") != "ByteLevel"
+                or not split.get("use_regex", True) or split.get("add_prefix_space", True)):
+            return None
+        vocabulary = model["vocab"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        merged = [vocabulary["".join(p)] for p in pairs]
+        single = [t for t in vocabulary if len(t) == 1]
+        if (merged != sorted(set(merged)) or len(single) != 256
+                or len(single) + len(merged) != len(vocabulary)
+                or max(vocabulary[t] for t in single) > min(merged)):
             return None
-        if self.by_unit and not text[0].isspace():
-            units = split_units(text)
-            found = [self.units[u] if len(u) <= LONG_UNIT else self.unit(u) for u in units]
-            self.units.trim()
-        if found is None or None in found:
-            ids = self.a.encode(" " + text, add_special_tokens=False).ids
-            found = [self._packed(text, ids, self.b.encode(text))]
-            if found[0] is None:
-                return None
-        return tuple(
-            np.frombuffer(b"".join([f[side] for f in found]), "<i4").reshape(-1, 2)
-            for side in (0, 1)
+        alone = [
+            t for t, i in vocabulary.items()
+            if [x.id for x in self.a.model.tokenize(t)] == [i]
+        ]
+        return tiktoken.Encoding(
+            "ranked", pat_str=public_tokenizers.PATTERN, special_tokens={},
+            mergeable_ranks={self.a_bytes[vocabulary[t]]: vocabulary[t] for t in alone},
         )
 
+    def _first(self, text: str) -> list[int] | None:
+        """Ids of the first side; None if they do not give the bytes back."""
+        if self.quick is not None and _BLANKS.search(text) is None and (
+            text.isascii() or _unsure().search("".join(set(text))) is None
+        ):
+            # Every byte is a token, so these ids always give the text again.
+            return self.quick.encode_ordinary(" " + text)
+        ids = self.a.encode(" " + text, add_special_tokens=False).ids
+        alike = b"".join(map(self.a_bytes.__getitem__, ids)) == b" " + text.encode()
+        return ids if alike else None
+
+    def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both sides; none unless both give the bytes of blank and text."""
+        none = (np.empty(0, np.int64),) * 2
+        out = []
+        for text, b in zip(texts, self.b.encode(texts, num_threads=1)):
+            given = b" " + text.encode()
+            if not text or b"".join(map(self.b_bytes.__getitem__, b)) != given:
+                out.append(none)
+                continue
+            a = self._first(text)
+            out.append(none if a is None else tuple(np.array(x, dtype=np.int64) for x in (a, b)))
+        return out
+
 
 @lru_cache(maxsize=1)
 def pair(a_path: str, b_path: str) -> Pair:
@@ -164,16 +204,14 @@ class Aligned:
 
     def __init__(self, tokens: list, both: Pair, labels: list[bytes], texts: bool):
         n = len(tokens)
-        none = np.empty((0, 2), dtype="<i4")
-        a_parts = [none if t is None else t[0] for t in tokens]
-        b_parts = [none if t is None else t[1] for t in tokens]
-        self.n_a, self.n_b = (np.array(list(map(len, p)), dtype=np.int64) for p in (a_parts, b_parts))
-        a, b = np.concatenate(a_parts), np.concatenate(b_parts)
-        a_ids, b_ids = a[:, 0].astype(np.int64), b[:, 0].astype(np.int64)
+        self.n_a, self.n_b = (
+            np.array([len(t[side]) for t in tokens], dtype=np.int64) for side in (0, 1)
+        )
+        a_ids, b_ids = (np.concatenate([t[side] for t in tokens]) for side in (0, 1))
         doc = np.repeat(np.arange(n), self.n_a)
-        if len(a):
+        if len(a_ids):
             links_a, links_b, cuts_a, cuts_b = lockstep(
-                np.cumsum(a[:, 1], dtype=np.int64), np.cumsum(b[:, 1], dtype=np.int64)
+                np.cumsum(both.a_size[a_ids]), np.cumsum(both.b_size[b_ids])
             )
         else:
             links_a = links_b = cuts_a = cuts_b = np.empty(0, np.int64)
@@ -186,12 +224,12 @@ class Aligned:
         self.pairs = named % size
         self.pair_ends = np.searchsorted(named, np.arange(n + 1) * size)
         # Groups in writing: the first side's tokens, then the second's, group by group.
-        a_last, b_last = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        a_last, b_last = np.zeros(len(a_ids), bool), np.zeros(len(b_ids), bool)
         a_last[cuts_a], b_last[cuts_b] = True, True
         a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
-        codes = np.empty(len(a) + len(b), dtype=np.int64)
-        codes[np.arange(len(a)) + np.concatenate([[0], cuts_b + 1])[a_group]] = a_ids * 2 + a_last
-        codes[np.arange(len(b)) + (cuts_a + 1)[b_group]] = (
+        codes = np.empty(len(a_ids) + len(b_ids), dtype=np.int64)
+        codes[np.arange(len(a_ids)) + np.concatenate([[0], cuts_b + 1])[a_group]] = a_ids * 2 + a_last
+        codes[np.arange(len(b_ids)) + (cuts_a + 1)[b_group]] = (
             2 * len(both.a_bytes) + b_ids * 2 + b_last
         )
         ends = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)])
@@ -230,7 +268,7 @@ def _aligned(text, a_path: str, b_path: str, texts: bool):
             out = []
             for raws in _batches(batch):
                 found = Aligned(
-                    [both(raw.decode("utf-8", "replace")) for raw in raws], both, labels, texts
+                    both([raw.decode("utf-8", "replace") for raw in raws]), both, labels, texts
                 )
                 ends = pa.array(found.pair_ends, pa.int32())
                 out.append(pa.StructArray.from_arrays([
