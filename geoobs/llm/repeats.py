@@ -18,10 +18,11 @@ Anchors and surroundings, and anchors and stretches, are compared by two indepen
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,91 +70,110 @@ def _gram(window: int) -> int:
 
 
 class Seeds:
-    """Anchors of one text, and the stretches that each was chosen for."""
+    """Anchors of a few texts, and the stretches that each was chosen for.
 
-    def __init__(self, words: list[bytes], window: int):
-        each = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
+    The words of all texts are hashed as one sequence; stretches that run over an end do not count.
+    """
+
+    def __init__(self, raws: list[bytes], window: int):
+        split = [raw.split() for raw in raws]
+        words = b"".join(map(xxhash.xxh3_64_digest, chain.from_iterable(split)))
+        each = np.frombuffer(words, ">u8").astype(np.uint64)
+        size = np.array([len(w) for w in split], dtype=np.int64)
+        ends = np.cumsum(size)
         gram = _gram(window)
-        grams = _stretches(each, gram)
-        self.stretches = _stretches(_mixed(each ^ _ODD[2]), window)
-        owner = _least_at(grams, window - gram + 1)
-        self.first = np.flatnonzero(np.diff(owner, prepend=-1))
-        self.last = np.append(self.first[1:], len(owner)) - 1
-        at = owner[self.first]
-        self.anchors = grams[at]
-        self.around = _mixed(
-            self.stretches[self.first] * _ODD[0] + self.stretches[self.last] * _ODD[1]
-            + (self.last - self.first).astype(np.uint64) * _ODD[3]
-            + (at - self.first).astype(np.uint64) * _ODD[4]
-        )
-
-
-def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
-    flat = np.concatenate(parts) if parts else np.empty(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(kind.to_pandas_dtype())))
+        if len(each) < window:
+            at = np.empty(0, np.int64)
+        else:
+            grams = _stretches(each, gram)
+            self.stretches = _stretches(_mixed(each ^ _ODD[2]), window)
+            owner = _least_at(grams, window - gram + 1)
+            left = np.repeat(ends, size) - np.arange(len(each))
+            at = np.flatnonzero(left[:len(owner)] >= window)
+        if not len(at):
+            self.first = self.last = at
+            self.anchors = self.around = at.astype(np.uint64)
+        else:
+            owner = owner[at]
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            self.first, self.last = at[starts], at[np.append(starts[1:], len(at)) - 1]
+            owner = owner[starts]
+            self.anchors = grams[owner]
+            self.around = _mixed(
+                self.stretches[self.first] * _ODD[0] + self.stretches[self.last] * _ODD[1]
+                + (self.last - self.first).astype(np.uint64) * _ODD[3]
+                + (owner - self.first).astype(np.uint64) * _ODD[4]
+            )
+        # Where each text's words and anchors begin.
+        self.words = np.concatenate([[0], ends])
+        self.bounds = np.searchsorted(self.first, self.words)
 
 
-def _slices(batch: pa.Array, step: int = 64) -> Iterator[list]:
-    for at in range(0, len(batch), step):
-        yield batch.slice(at, step).to_pylist()
+def _few(texts: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Bounds of consecutive texts of about ``most`` bytes, one text at least."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    parts = (np.cumsum(sizes) - sizes) // most
+    starts = np.flatnonzero(np.diff(parts, prepend=-1)).tolist()
+    yield from zip(starts, [*starts[1:], len(texts)])
+
+
+def _joined(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    flat = np.concatenate(parts) if parts else np.empty(0, np.int64)
+    return pa.array(flat.astype(kind.to_pandas_dtype(), copy=False))
 
 
 def _seeds(text, window: int):
     @F.arrow_udf("struct<anchors:array<bigint>,around:array<bigint>,first:array<int>,"
                  "last:array<int>>")
     def seeds(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        none = np.empty(0, np.int64)
         for batch in batches:
-            found = ([], [], [], [])
-            for raws in _slices(batch):
-                for raw in raws:
-                    words = raw.split()
-                    if len(words) < window:
-                        values = (none,) * 4
-                    else:
-                        s = Seeds(words, window)
-                        values = (s.anchors.view(np.int64), s.around.view(np.int64),
-                                  s.first, s.last)
-                    for into, value in zip(found, values):
-                        into.append(value)
+            found, counts = ([], [], [], []), [np.zeros(1, np.int64)]
+            for lo, hi in _few(batch):
+                s = Seeds(batch.slice(lo, hi - lo).to_pylist(), window)
+                n = np.diff(s.bounds)
+                counts.append(n)
+                begin = np.repeat(s.words[:-1], n)
+                for into, values in zip(found, (s.anchors.view(np.int64), s.around.view(np.int64),
+                                                s.first - begin, s.last - begin)):
+                    into.append(values)
+            ends = pa.array(np.cumsum(np.concatenate(counts)), pa.int32())
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
             yield pa.StructArray.from_arrays(
-                list(map(_lists, found, kinds)), names=["anchors", "around", "first", "last"],
+                [pa.ListArray.from_arrays(ends, _joined(f, k)) for f, k in zip(found, kinds)],
+                names=["anchors", "around", "first", "last"],
             )
 
     return seeds(text)
 
 
-def _followed(text, ranges, window: int):
-    """Stretches of a text that lie in one of the ranges given for it, with their anchors."""
+def _followed(text, firsts, window: int):
+    """Stretches of a text that belong to the anchors at ``firsts``, with these anchors."""
     fields = [("anchor", pa.int64()), ("stretch", pa.int64()), ("at", pa.int32())]
 
     @F.arrow_udf("array<struct<anchor:bigint,stretch:bigint,at:int>>")
     def followed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, given in batches:
-            found, counts = ([], [], []), [0]
-            for at in range(0, len(texts), 64):
-                for raw, mine in zip(texts.slice(at, 64).to_pylist(),
-                                     given.slice(at, 64).to_pylist()):
-                    if not mine:
-                        counts.append(0)
-                        continue
-                    s = Seeds(raw.split(), window)
-                    chosen, size = np.isin(s.first, mine), s.last - s.first + 1
-                    places = np.flatnonzero(np.repeat(chosen, size))
-                    size = size[chosen]
-                    found[0].append(np.repeat(s.anchors[chosen], size).view(np.int64))
-                    found[1].append(s.stretches[places].view(np.int64))
-                    found[2].append(places.astype(np.int32))
-                    counts.append(len(places))
+            found, counts = ([], [], []), [np.zeros(1, np.int64)]
+            for lo, hi in _few(texts):
+                s = Seeds(texts.slice(lo, hi - lo).to_pylist(), window)
+                mine = given.slice(lo, hi - lo)
+                begin = np.repeat(s.words[:-1], np.diff(mine.offsets.to_numpy()))
+                chosen = np.isin(s.first, mine.flatten().to_numpy() + begin)
+                first, size = s.first[chosen], (s.last - s.first + 1)[chosen]
+                places = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+                doc = np.searchsorted(s.words, places, "right") - 1
+                found[0].append(np.repeat(s.anchors[chosen], size).view(np.int64))
+                found[1].append(s.stretches[places].view(np.int64) if len(places) else places)
+                found[2].append(places - s.words[doc])
+                counts.append(np.bincount(doc, minlength=hi - lo))
             flat = pa.StructArray.from_arrays(
-                [pa.array(np.concatenate(f) if f else [], kind)
-                 for f, (_, kind) in zip(found, fields)], fields=[pa.field(*f) for f in fields],
+                [_joined(f, kind) for f, (_, kind) in zip(found, fields)],
+                fields=[pa.field(*f) for f in fields],
             )
-            yield pa.ListArray.from_arrays(pa.array(np.cumsum(counts), pa.int32()), flat)
+            ends = pa.array(np.cumsum(np.concatenate(counts)), pa.int32())
+            yield pa.ListArray.from_arrays(ends, flat)
 
-    return followed(text, ranges)
+    return followed(text, firsts)
 
 
 def _without(text, ranges, window: int):
@@ -226,14 +246,22 @@ def remove_repeats(
         "doc", "part",
         F.explode(F.arrays_zip("anchors", "around", "first", "last")).alias("o"),
     ).select("doc", "part", F.col("o.anchors").alias("anchor"), "o.around", "o.first", "o.last")
-    # Seeds of two documents and more.
-    shared = _in_two(seen, "anchor").select(F.col("anchor").alias("_anchor"))
+    # Seeds of two documents and more. Tables that are joined are stored first: a side that is still
+    # to be aggregated by the key would keep Spark from splitting the rows of a frequent one.
+    shared = stored(
+        _in_two(seen, "anchor").select(F.col("anchor").alias("_anchor")), "repeat-anchors"
+    )
     matched = stored(
         seen.join(shared, F.col("anchor") == F.col("_anchor")).drop("_anchor"), "repeat-matches"
     )
     # First extension: the whole surroundings of an anchor.
-    least = matched.groupBy("anchor", "around").agg(F.min("doc").alias("least"))
-    several = _in_two(least, "anchor", "least").select(F.col("anchor").alias("_anchor"))
+    least = stored(
+        matched.groupBy("anchor", "around").agg(F.min("doc").alias("least")), "repeat-least"
+    )
+    several = stored(
+        _in_two(least, "anchor", "least").select(F.col("anchor").alias("_anchor")),
+        "repeat-several",
+    )
     least = least.join(several, F.col("anchor") == F.col("_anchor"), "left").select(
         F.col("anchor").alias("_a"), F.col("around").alias("_s"), "least",
         F.col("_anchor").isNotNull().alias("several"),
@@ -255,8 +283,11 @@ def remove_repeats(
         .select("doc", "part", F.explode("w").alias("w")).select("doc", "part", "w.*"),
         "repeat-stretches",
     )
-    again = _in_two(stretches, "anchor", keys=("stretch",)).select(
-        F.col("anchor").alias("_a"), F.col("stretch").alias("_s"), "least"
+    again = stored(
+        _in_two(stretches, "anchor", keys=("stretch",)).select(
+            F.col("anchor").alias("_a"), F.col("stretch").alias("_s"), "least"
+        ),
+        "repeat-starts",
     )
     again = stretches.join(
         again, (F.col("anchor") == F.col("_a")) & (F.col("stretch") == F.col("_s"))
