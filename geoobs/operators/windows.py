@@ -1,8 +1,10 @@
 """Window operators on gridded series.
 
-After gridding a series has one row per slot whatever the raw row count, so a window per station is
-bounded by the covered span (an hourly grid of 50 years has 438 000 slots). Raw rows go through
-``blocks`` instead.
+A gridded series has one row per slot, which is still long on a grid of minutes over years. So no
+window here runs over a whole series: rows are cut into segments of ``SEGMENT`` slots, windows run
+inside (series, segment), and what reaches across comes either from a few slots that neighbouring
+segments share or from one summary row for each segment. The segment is a pure function of the
+timestamp. Raw rows go through ``blocks`` instead.
 """
 
 from __future__ import annotations
@@ -15,34 +17,57 @@ from . import blocks
 from .keys import join_null_safe
 
 
+# Slots of a segment.
+SEGMENT = 4096
+
+
 def slot_number(ts: str, first: str, seconds: int) -> Column:
     """Zero-based slot of a timestamp on a grid that starts at ``first``; no window needed."""
     start = micros(F.lit(first).cast("timestamp_ntz"))
     return F.floor((micros(ts) - start) / F.lit(seconds * 1_000_000)).cast("bigint")
 
 
+def _rolling(
+    grid: DataFrame, station: str, ts: str, seconds: int, before: int, after: int,
+    columns: dict, segment: int = SEGMENT,
+) -> DataFrame:
+    """Aggregates over the slots from ``before`` ahead of a row to ``after`` behind it.
+
+    Every row also goes to the neighbouring segments whose frames reach it, and counts there without
+    being returned, so all frames lie inside one segment.
+    """
+    width = max(segment, 4 * (before + after))
+    slot = F.floor(micros(ts) / F.lit(seconds * 1_000_000))
+    spread = grid.withColumn("_slot", slot).withColumn("_segment", F.explode(F.sequence(
+        F.floor((F.col("_slot") - after) / width), F.floor((F.col("_slot") + before) / width)
+    )))
+    w = Window.partitionBy(station, "_segment").orderBy("_slot").rangeBetween(-before, after)
+    out = spread.withColumns({name: make(w) for name, make in columns.items()})
+    own = F.floor(F.col("_slot") / width) == F.col("_segment")
+    return out.filter(own).drop("_slot", "_segment")
+
+
 def rolling_trend(
     daily: DataFrame, station: str, day: str, value: str, first: str, n_days: int,
-    name: str = "trend", half: int = 182,
+    name: str = "trend", half: int = 182, segment: int = SEGMENT,
 ) -> DataFrame:
     """Centred running mean of 2 x half + 1 days (any filled day suffices), ends set to NULL."""
-    w = Window.partitionBy(station).orderBy(day).rowsBetween(-half, half)
+    out = _rolling(
+        daily, station, day, 86_400, half, half, {name: lambda w: F.avg(value).over(w)}, segment
+    )
     i = slot_number(day, first, 86_400)
     inside = (i >= half) & (i < n_days - half)
-    return daily.withColumn(name, F.avg(value).over(w)).withColumn(
-        name, F.when(inside, F.col(name))
-    )
+    return out.withColumn(name, F.when(inside, F.col(name)))
 
 
 def rolling_day(
     hourly: DataFrame, station: str, ts: str, value: str, name: str = "smooth",
-    width: int = 24, min_count: int = 6,
+    width: int = 24, min_count: int = 6, seconds: int = 3600, segment: int = SEGMENT,
 ) -> DataFrame:
-    """Centred running mean of an even window: width/2 rows before to width/2 - 1 after."""
-    w = Window.partitionBy(station).orderBy(ts).rowsBetween(-(width // 2), (width - 1) // 2)
-    return hourly.withColumn(
-        name, F.when(F.count(value).over(w) >= min_count, F.avg(value).over(w))
-    )
+    """Centred running mean of an even window: width/2 slots before to width/2 - 1 after."""
+    return _rolling(hourly, station, ts, seconds, width // 2, (width - 1) // 2, {
+        name: lambda w: F.when(F.count(value).over(w) >= min_count, F.avg(value).over(w))
+    }, segment)
 
 
 def best_window(
@@ -71,33 +96,54 @@ def best_window(
     ).select(station, F.col("_b.day").alias("start_day"), F.col("_b.n_valid").alias("n_valid"))
 
 
-def _neighbours(df: DataFrame, station: str, ts: str, value: str, slot: Column) -> DataFrame:
+def _neighbours(
+    df: DataFrame, station: str, ts: str, value: str, slot: Column, seconds: int, segment: int
+) -> DataFrame:
     """Nearest filled value and slot on both sides of each row.
 
-    The look-ahead runs over the descending order: a frame up to unbounded following would be
-    recomputed for every row.
+    Inside a segment by windows; a segment's last and first filled value are carried across in one row
+    for each. The look-ahead runs over the descending order: a frame up to unbounded following would
+    be recomputed for every row.
     """
     run = (Window.unboundedPreceding, Window.currentRow)
-    back = Window.partitionBy(station).orderBy(F.col(ts).asc()).rowsBetween(*run)
-    ahead = Window.partitionBy(station).orderBy(F.col(ts).desc()).rowsBetween(*run)
-    filled = F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("v"), slot.alias("i")))
-    return (
-        df.withColumn("_i", slot)
-        .withColumn("_p", F.last(filled, ignorenulls=True).over(back))
-        .withColumn("_n", F.last(filled, ignorenulls=True).over(ahead))
+    keys = [station, "_block"]
+    placed = blocks.with_block(df, ts, seconds * segment).withColumn("_i", slot)
+    filled = F.when(
+        F.col(value).isNotNull(), F.struct(F.col(value).alias("v"), F.col("_i").alias("i"))
     )
+    at = F.when(F.col(value).isNotNull(), F.col(ts))
+    ends = placed.groupBy(*keys).agg(
+        F.max_by(filled, at).alias("_last"), F.min_by(filled, at).alias("_first")
+    )
+    along, earlier = Window.partitionBy(station), (Window.unboundedPreceding, -1)
+    ends = ends.select(
+        *keys,
+        F.last("_last", ignorenulls=True).over(
+            along.orderBy(F.col("_block").asc()).rowsBetween(*earlier)).alias("_before"),
+        F.last("_first", ignorenulls=True).over(
+            along.orderBy(F.col("_block").desc()).rowsBetween(*earlier)).alias("_after"),
+    )
+    inside = Window.partitionBy(*keys)
+    back = inside.orderBy(F.col(ts).asc()).rowsBetween(*run)
+    ahead = inside.orderBy(F.col(ts).desc()).rowsBetween(*run)
+    near = placed.withColumn("_p", F.last(filled, ignorenulls=True).over(back)).withColumn(
+        "_n", F.last(filled, ignorenulls=True).over(ahead))
+    return join_null_safe(near, ends, keys).withColumns({
+        "_p": F.coalesce("_p", "_before"), "_n": F.coalesce("_n", "_after")
+    }).drop("_block", "_before", "_after")
 
 
 def interpolate(
     grid: DataFrame, station: str, ts: str, value: str, first: str, seconds: int = 3600,
-    limit: int = 168, mode: str = "prefix", name: str | None = None,
+    limit: int = 168, mode: str = "prefix", name: str | None = None, segment: int = SEGMENT,
 ) -> DataFrame:
     """Linear time interpolation of interior gaps.
 
     ``prefix`` fills the first ``limit`` slots of every interior gap, ``whole_gap`` only gaps that
     are no longer than ``limit``. The ends are never filled.
     """
-    near = _neighbours(grid, station, ts, value, slot_number(ts, first, seconds))
+    slot = slot_number(ts, first, seconds)
+    near = _neighbours(grid, station, ts, value, slot, seconds, segment)
     span = F.col("_n.i") - F.col("_p.i")
     reach = (F.col("_i") - F.col("_p.i")) if mode == "prefix" else (span - 1)
     line = F.col("_p.v") + (F.col("_n.v") - F.col("_p.v")) * (F.col("_i") - F.col("_p.i")) / span
@@ -105,9 +151,12 @@ def interpolate(
     return near.withColumn(name or value, F.coalesce(F.col(value), fill)).drop("_i", "_p", "_n")
 
 
-def fill_both_ways(grid: DataFrame, station: str, ts: str, value: str, name: str | None = None):
+def fill_both_ways(
+    grid: DataFrame, station: str, ts: str, value: str, name: str | None = None,
+    seconds: int = 3600, segment: int = SEGMENT,
+) -> DataFrame:
     """Last value carried forward, then the first value carried back."""
-    near = _neighbours(grid, station, ts, value, F.lit(0))
+    near = _neighbours(grid, station, ts, value, F.lit(0), seconds, segment)
     return near.withColumn(
         name or value, F.coalesce(F.col(value), F.col("_p.v"), F.col("_n.v"))
     ).drop("_i", "_p", "_n")
@@ -115,14 +164,15 @@ def fill_both_ways(grid: DataFrame, station: str, ts: str, value: str, name: str
 
 def fill_gaps(
     grid: DataFrame, station: str, ts: str, value: str, first: str, name: str,
-    seconds: int = 3600, limit: int = 168, mode: str = "prefix",
+    seconds: int = 3600, limit: int = 168, mode: str = "prefix", segment: int = SEGMENT,
 ) -> DataFrame:
     """Interpolation, then the day-of-year mean of the interpolated series, then carry."""
     from .joins import climatology_fill
 
-    step1 = interpolate(grid, station, ts, value, first, seconds, limit, mode, "_s1")
+    step1 = interpolate(grid, station, ts, value, first, seconds, limit, mode, "_s1", segment)
     step2 = climatology_fill(step1, station, ts, "_s1", "_s2")
-    return fill_both_ways(step2, station, ts, "_s2", name).drop("_s1", "_s2")
+    filled = fill_both_ways(step2, station, ts, "_s2", name, seconds, segment)
+    return filled.drop("_s1", "_s2")
 
 
 def assert_filled(df: DataFrame, value: str) -> DataFrame:

@@ -243,29 +243,50 @@ TILES_SQL = """tiles AS (
            ELSE CAST(floor(x::DOUBLE * 20000) AS INTEGER) END) AS data
   FROM embeddings)"""
 
-# The hourly grid of the sample month.
-FIRST, LAST, DAYS = "2024-01-01 00:00:00", "2024-01-30 23:00:00", 30
+
+def span(t: Tables) -> tuple[str, str, int]:
+    """First and last hour of the days with observations, and the number of days: one row of the data.
+
+    A table without any has an empty grid, from a day to the hour before it.
+    """
+    day = F.col("ts").cast("date")
+    first, last = t.events.agg(F.min(day), F.max(day)).first()
+    if first is None:
+        return "1970-01-01 00:00:00", "1969-12-31 23:00:00", 0
+    return f"{first} 00:00:00", f"{last} 23:00:00", (last - first).days + 1
 
 
 def hourly(t: Tables) -> DataFrame:
-    """Gap-ridden hourly series per variable: hour floor, quality mask, first value, full grid."""
+    """Gap-ridden hourly series per variable: hour floor, quality mask, first value, full grid.
+
+    The grid runs over all days of the data, so no row lies outside of it.
+    """
     from ..functions import clean
     from ..operators import joins
 
-    o = obs(t).withColumn("hour", clean.hour_floor("time")).withColumn(
+    o = obs(t).filter("time IS NOT NULL").withColumn("hour", clean.hour_floor("time")).withColumn(
         "value", clean.mask_set("value", "qc_flag", ["U", "O"])
     )
     first = joins.first_row_wins(o, ["variable", "hour"], ["time", "seq"], ["value"])
     # Variables are a short vocabulary of the data.
     names = o.select("variable").distinct()
-    grid = joins.regular_grid(names, "variable", FIRST, LAST, "INTERVAL 1 HOUR", "hour")
+    start, end, days = span(t)
+    if not days:
+        return joins.reindex(names.select("variable", F.lit(start).cast("timestamp_ntz").alias("hour"))
+                             .filter("false"), first, ["variable", "hour"])
+    grid = joins.regular_grid(names, "variable", start, end, "INTERVAL 1 HOUR", "hour")
     return joins.reindex(grid, first, ["variable", "hour"])
 
 
-HOURLY_SQL = f"""{OBS_SQL}, hourly AS (
+# Parts of the span, for SQL that follows HOURLY_SQL.
+FIRST_SQL, DAYS_SQL = "(SELECT first FROM span)", "(SELECT days FROM span)"
+
+HOURLY_SQL = f"""{OBS_SQL}, span AS (
+  SELECT date_trunc('day', min(time))::TIMESTAMP AS first, date_trunc('day', max(time))::TIMESTAMP + INTERVAL 23 HOUR AS last,
+    date_diff('day', min(time), max(time)) + 1 AS days FROM obs), hourly AS (
   SELECT g.variable, g.hour, f.value
-  FROM (SELECT variable, unnest(generate_series(TIMESTAMP '{FIRST}', TIMESTAMP '{LAST}',
-               INTERVAL 1 HOUR)) AS hour FROM (SELECT DISTINCT variable FROM obs)) g
+  FROM (SELECT variable, unnest(generate_series((SELECT first FROM span), (SELECT last FROM span),
+               INTERVAL 1 HOUR)) AS hour FROM (SELECT DISTINCT variable FROM obs WHERE time IS NOT NULL)) g
   LEFT JOIN (SELECT variable, date_trunc('hour', time) AS hour,
                     CASE WHEN qc_flag IN ('U', 'O') THEN value END AS value
              FROM obs QUALIFY row_number() OVER (

@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import clean
 from ..operators import aggregates, blocks, joins, sessions, windows
+from . import adapters as A
 from .registry import query
 
 HALF, LIMIT, POINTS, IDLE = 182, 168, 6000, 300
@@ -132,3 +134,66 @@ def sessions_300(t):
         ).alias("ts"),
     )
     return sessions.sessions(log, idle=IDLE).drop("session_no")
+
+
+# A grid of minutes: frames and gaps in slots.
+FRAME, GAP = 240, 90
+
+
+def _minutes(t):
+    """The first good value of every minute of each variable, on the grid of all minutes."""
+    o = A.obs(t).filter("time IS NOT NULL").select(
+        "variable", clean.slot_start("time", "MINUTE").alias("minute"), "time", "seq",
+        clean.mask_set("value", "qc_flag", ["U", "O"]).alias("value"),
+    )
+    first = joins.first_row_wins(o, ["variable", "minute"], ["time", "seq"], ["value"])
+    start, last, _ = A.span(t)
+    grid = joins.regular_grid(
+        o.select("variable").distinct(), "variable", start, last, "INTERVAL 1 MINUTE", "minute"
+    )
+    return joins.reindex(grid, first, ["variable", "minute"]), start
+
+
+_MINUTES_SQL = f"""{A.HOURLY_SQL}, minutes AS (
+ SELECT g.variable, g.minute, f.value, date_diff('minute', {A.FIRST_SQL}, g.minute) AS i FROM (
+   SELECT variable, unnest(generate_series((SELECT first FROM span), (SELECT last FROM span), INTERVAL 1 MINUTE)) AS minute
+   FROM (SELECT DISTINCT variable FROM obs WHERE time IS NOT NULL)) g
+ LEFT JOIN (SELECT variable, date_trunc('minute', time) AS minute, CASE WHEN qc_flag IN ('U', 'O') THEN value END AS value FROM obs
+   QUALIFY row_number() OVER (PARTITION BY variable, date_trunc('minute', time) ORDER BY time, seq) = 1) f USING (variable, minute))"""
+
+
+@query("rolling_minutes", f"""WITH {_MINUTES_SQL}, r AS (
+ SELECT variable, minute, CASE WHEN count(value) OVER w >= 3 THEN avg(value) OVER w END AS smooth FROM minutes
+ WINDOW w AS (PARTITION BY variable ORDER BY minute ROWS BETWEEN {FRAME // 2} PRECEDING AND {(FRAME - 1) // 2} FOLLOWING))
+SELECT variable, CAST(minute AS DATE) AS day, count(smooth) AS n, round(sum(smooth), 3) AS total, round(max(smooth), 6) AS most FROM r GROUP BY ALL""")
+def rolling_minutes(t):
+    """Means of four hours on a grid of minutes."""
+    grid, _ = _minutes(t)
+    out = windows.rolling_day(
+        grid, "variable", "minute", "value", width=FRAME, min_count=3, seconds=60
+    )
+    return out.groupBy("variable", F.col("minute").cast("date").alias("day")).agg(
+        F.count("smooth").alias("n"), F.round(F.sum("smooth"), 3).alias("total"),
+        F.round(F.max("smooth"), 6).alias("most"),
+    )
+
+
+@query("filled_minutes", f"""WITH {_MINUTES_SQL}, near AS (
+ SELECT variable, minute, i, value,
+   last_value(value IGNORE NULLS) OVER b AS pv, last_value(CASE WHEN value IS NOT NULL THEN i END IGNORE NULLS) OVER b AS pi,
+   first_value(value IGNORE NULLS) OVER a AS nv, first_value(CASE WHEN value IS NOT NULL THEN i END IGNORE NULLS) OVER a AS ni
+ FROM minutes WINDOW b AS (PARTITION BY variable ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+   a AS (PARTITION BY variable ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+ s1 AS (SELECT variable, minute, i, coalesce(value, CASE WHEN pi IS NOT NULL AND ni IS NOT NULL AND i - pi <= {GAP} THEN pv + (nv - pv) * (i - pi) / (ni - pi) END) AS v FROM near),
+ s2 AS (SELECT variable, minute, coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY variable ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+   first_value(v IGNORE NULLS) OVER (PARTITION BY variable ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS x FROM s1)
+SELECT variable, CAST(minute AS DATE) AS day, count(x) AS n, round(sum(x), 3) AS total, round(min(x), 6) AS least FROM s2 GROUP BY ALL""")
+def filled_minutes(t):
+    """Gaps of minutes interpolated over their first slots, the rest carried both ways."""
+    grid, first = _minutes(t)
+    inner = windows.interpolate(grid, "variable", "minute", "value", first, seconds=60, limit=GAP)
+    out = windows.fill_both_ways(inner, "variable", "minute", "value", "x", seconds=60)
+    return out.groupBy("variable", F.col("minute").cast("date").alias("day")).agg(
+        F.count("x").alias("n"), F.round(F.sum("x"), 3).alias("total"),
+        F.round(F.min("x"), 6).alias("least"),
+    )

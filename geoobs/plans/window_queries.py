@@ -16,10 +16,11 @@ from .registry import query
 @query("rolling_trend", f"""WITH {A.DAILY_SQL}, r AS (
   SELECT variable, day, avg(value) OVER (PARTITION BY variable ORDER BY day ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS m,
     row_number() OVER (PARTITION BY variable ORDER BY day) - 1 AS i FROM daily)
-SELECT variable, day, round(CASE WHEN i >= 3 AND i < {A.DAYS} - 3 THEN m END, 6) AS trend FROM r""")
+SELECT variable, day, round(CASE WHEN i >= 3 AND i < {A.DAYS_SQL} - 3 THEN m END, 6) AS trend FROM r""")
 def rolling_trend(t):
-    # The sample spans 30 days, so the window is seven days instead of 365.
-    out = windows.rolling_trend(A.daily(t), "variable", "day", "value", A.FIRST, A.DAYS, half=3)
+    # The sample spans a month, so the window is seven days instead of 365; rolling_year has the latter.
+    first, _, days = A.span(t)
+    out = windows.rolling_trend(A.daily(t), "variable", "day", "value", first, days, half=3)
     return out.select("variable", "day", F.round("trend", 6).alias("trend"))
 
 
@@ -36,19 +37,20 @@ def rolling_day(t):
  s AS (SELECT variable, day, CAST(sum(h) OVER (PARTITION BY variable ORDER BY day ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS BIGINT) AS n_valid,
    row_number() OVER (PARTITION BY variable ORDER BY day) AS rn FROM d)
 SELECT variable, arg_min(day, (tier, -n_valid, day)) AS start_day, arg_min(n_valid, (tier, -n_valid, day)) AS n_valid FROM (
-  SELECT *, CASE WHEN n_valid >= 24 THEN CASE WHEN month(day + INTERVAL 60 HOUR) IN (6, 7, 8) THEN 0 ELSE 1 END ELSE 2 END AS tier FROM s WHERE rn + 4 <= {A.DAYS})
+  SELECT *, CASE WHEN n_valid >= 24 THEN CASE WHEN month(day + INTERVAL 60 HOUR) IN (6, 7, 8) THEN 0 ELSE 1 END ELSE 2 END AS tier FROM s WHERE rn + 4 <= {A.DAYS_SQL})
 GROUP BY variable""")
 def best_window(t):
+    first, _, days = A.span(t)
     return windows.best_window(
-        A.hourly(t), "variable", "hour", F.col("value").isNotNull(), A.FIRST, A.DAYS, 5,
+        A.hourly(t), "variable", "hour", F.col("value").isNotNull(), first, days, 5,
         min_share=0.2,
     )
 
 
 _INTERPOLATED = f"""{A.HOURLY_SQL}, near AS (
-  SELECT variable, hour, value, date_diff('hour', TIMESTAMP '{A.FIRST}', hour) AS i,
-    last_value(value IGNORE NULLS) OVER b AS pv, last_value(CASE WHEN value IS NOT NULL THEN date_diff('hour', TIMESTAMP '{A.FIRST}', hour) END IGNORE NULLS) OVER b AS pi,
-    first_value(value IGNORE NULLS) OVER a AS nv, first_value(CASE WHEN value IS NOT NULL THEN date_diff('hour', TIMESTAMP '{A.FIRST}', hour) END IGNORE NULLS) OVER a AS ni
+  SELECT variable, hour, value, date_diff('hour', {A.FIRST_SQL}, hour) AS i,
+    last_value(value IGNORE NULLS) OVER b AS pv, last_value(CASE WHEN value IS NOT NULL THEN date_diff('hour', {A.FIRST_SQL}, hour) END IGNORE NULLS) OVER b AS pi,
+    first_value(value IGNORE NULLS) OVER a AS nv, first_value(CASE WHEN value IS NOT NULL THEN date_diff('hour', {A.FIRST_SQL}, hour) END IGNORE NULLS) OVER a AS ni
   FROM hourly WINDOW b AS (PARTITION BY variable ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
     a AS (PARTITION BY variable ORDER BY hour ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
  s1 AS (SELECT *, coalesce(value, CASE WHEN pi IS NOT NULL AND ni IS NOT NULL AND {{reach}} <= 2 THEN pv + (nv - pv) * (i - pi) / (ni - pi) END) AS v1 FROM near)"""
@@ -57,7 +59,7 @@ _INTERPOLATED = f"""{A.HOURLY_SQL}, near AS (
 @query("interpolate_prefix", "WITH " + _INTERPOLATED.format(reach="i - pi") + """
 SELECT variable, hour, round(v1, 6) AS value FROM s1""")
 def interpolate_prefix(t):
-    out = windows.interpolate(A.hourly(t), "variable", "hour", "value", A.FIRST, limit=2)
+    out = windows.interpolate(A.hourly(t), "variable", "hour", "value", A.span(t)[0], limit=2)
     return out.select("variable", "hour", F.round("value", 6).alias("value"))
 
 
@@ -65,7 +67,7 @@ def interpolate_prefix(t):
 SELECT variable, hour, round(v1, 6) AS value FROM s1""")
 def interpolate_whole_gap(t):
     out = windows.interpolate(
-        A.hourly(t), "variable", "hour", "value", A.FIRST, limit=2, mode="whole_gap"
+        A.hourly(t), "variable", "hour", "value", A.span(t)[0], limit=2, mode="whole_gap"
     )
     return out.select("variable", "hour", F.round("value", 6).alias("value"))
 
@@ -83,14 +85,17 @@ _FILLED = _INTERPOLATED.format(reach="i - pi") + """, s2 AS (
   SELECT variable, hour, i, coalesce(v1, avg(v1) OVER (PARTITION BY variable, dayofyear(hour))) AS v2 FROM s1),
  filled AS (SELECT variable, hour, i, coalesce(last_value(v2 IGNORE NULLS) OVER (PARTITION BY variable ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
   first_value(v2 IGNORE NULLS) OVER (PARTITION BY variable ORDER BY hour ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS x FROM s2)"""
-_N = A.DAYS * 24
+_N = f"({A.DAYS_SQL} * 24)"
 
 
 def _filled(t):
-    out = windows.fill_gaps(A.hourly(t), "variable", "hour", "value", A.FIRST, "x", limit=2)
-    return windows.assert_filled(out, "x").withColumn(
-        "i", windows.slot_number("hour", A.FIRST, 3600)
-    )
+    first = A.span(t)[0]
+    out = windows.fill_gaps(A.hourly(t), "variable", "hour", "value", first, "x", limit=2)
+    return windows.assert_filled(out, "x").withColumn("i", windows.slot_number("hour", first, 3600))
+
+
+def _slots(t) -> int:
+    return A.span(t)[2] * 24
 
 
 @query("gap_filled_series", f"""WITH {_FILLED} SELECT variable, hour, round(x, 9) AS x FROM filled""")
@@ -99,13 +104,13 @@ def gap_filled_series(t):
 
 
 _DETRENDED = f"""{_FILLED}, fit AS (SELECT variable, regr_slope(x, i) AS a, regr_intercept(x, i) AS b FROM filled GROUP BY variable),
- w AS (SELECT variable, hour, i, 0.5 - 0.5 * cos(2 * pi() * i / {_N - 1}.0) AS hann,
-   (x - (a * i + b)) * (0.5 - 0.5 * cos(2 * pi() * i / {_N - 1}.0)) AS x FROM filled JOIN fit USING (variable))"""
+ w AS (SELECT variable, hour, i, 0.5 - 0.5 * cos(2 * pi() * i / ({_N} - 1)) AS hann,
+   (x - (a * i + b)) * (0.5 - 0.5 * cos(2 * pi() * i / ({_N} - 1))) AS x FROM filled JOIN fit USING (variable))"""
 
 
 @query("detrend_hann", f"""WITH {_DETRENDED} SELECT variable, hour, round(hann, 9) AS hann, round(x, 6) AS x FROM w""")
 def detrend_hann(t):
-    out = windows.detrend_hann(_filled(t), "variable", "i", "x", _N)
+    out = windows.detrend_hann(_filled(t), "variable", "i", "x", _slots(t))
     return out.select("variable", "hour", F.round("hann", 9).alias("hann"),
                       F.round("x", 6).alias("x"))
 
@@ -119,14 +124,14 @@ _POWER = " UNION ALL ".join(
 
 @query("key_frequency_power", f"""WITH {_DETRENDED} SELECT variable, frequency, round(power, 4) AS power FROM ({_POWER})""")
 def key_frequency_power(t):
-    out = spectral.power_at(_filled(t), "variable", "i", "x", _N)
+    out = spectral.power_at(_filled(t), "variable", "i", "x", _slots(t))
     return out.select("variable", "frequency", F.round("power", 4).alias("power"))
 
 
 _SPECTRUM = f"""{_DETRENDED}, spectrum AS (
  SELECT variable, k * 24.0::DOUBLE / {_N} AS f_per_day,
    2 / 24.0::DOUBLE * (sum(x * cos(2 * pi() * k * i / {_N})) ** 2 + sum(x * sin(2 * pi() * k * i / {_N})) ** 2) / sum(hann * hann) AS power
- FROM w, (SELECT unnest(generate_series(1, {_N // 2})) AS k) GROUP BY variable, k)"""
+ FROM w, (SELECT unnest(generate_series(1, {_N} // 2)) AS k) GROUP BY variable, k)"""
 
 
 @query("power_spectrum", f"""WITH {_SPECTRUM}

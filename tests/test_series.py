@@ -71,6 +71,58 @@ def test_rolling_means_match_pandas(spark, gappy):
     np.testing.assert_allclose(_values(out, "trend"), want, rtol=1e-12)
 
 
+@pytest.mark.parametrize("segment", [1, 7, 64])
+def test_segments_do_not_show(spark, gappy, segment):
+    """Gaps and frames reach over many segments; two series of different length share none."""
+    _, one = _grid(spark, gappy[:500])
+    _, two = _grid(spark, np.concatenate([[np.nan] * 300, gappy[300:420], [np.nan] * 200]), "z")
+    df = one.unionByName(two)
+    for mode in ("prefix", "whole_gap"):
+        got, want = ([tuple(r) for r in windows.interpolate(
+            df, "s", "t", "v", FIRST, mode=mode, **more).orderBy("s", "t").collect()]
+            for more in ({"segment": segment}, {}))
+        assert got == want
+    got, want = ([tuple(r) for r in windows.fill_both_ways(
+        df, "s", "t", "v", "x", **more).orderBy("s", "t").collect()]
+        for more in ({"segment": segment}, {}))
+    assert got == want and all(r[3] is not None for r in got)
+    got, want = ([tuple(r) for r in windows.rolling_day(
+        df, "s", "t", "v", **more).orderBy("s", "t").collect()]
+        for more in ({"segment": segment}, {"segment": 10**6}))
+    assert got == want
+
+
+def test_series_without_any_value(spark):
+    _, df = _grid(spark, np.full(50, np.nan))
+    for out in (windows.interpolate(df, "s", "t", "v", FIRST, segment=8),
+                windows.fill_both_ways(df, "s", "t", "v", segment=8),
+                windows.rolling_day(df, "s", "t", "v", "v", segment=8)):
+        assert out.count() == 50 and out.filter("v IS NOT NULL").isEmpty()
+
+
+def test_minutes_of_half_a_year(spark):
+    """A long series of fine slots: no window holds more than a segment and what its frames reach."""
+    n = 60 * 24 * 180
+    rng = np.random.default_rng(3)
+    v = rng.normal(10, 2, n)
+    v[rng.random(n) < 0.3] = np.nan
+    v[70_000:90_000] = np.nan
+    index = pd.date_range("2021-01-01", periods=n, freq="min")
+    df = spark.createDataFrame(pd.DataFrame({"i": np.arange(n), "v": v})).select(
+        F.lit("s").alias("s"), F.timestamp_add(
+            "MINUTE", F.col("i").cast("int"), F.lit(FIRST).cast("timestamp_ntz")).alias("t"),
+        F.when(~F.isnan("v"), F.col("v")).alias("v"))
+    got = _values(windows.interpolate(df, "s", "t", "v", FIRST, seconds=60, limit=500), "v")
+    want = pd.Series(v, index).interpolate("time", limit=500, limit_area="inside")
+    np.testing.assert_allclose(got, want.to_numpy(), rtol=1e-9)
+    smooth = windows.rolling_day(df, "s", "t", "v", width=240, seconds=60)
+    want = pd.Series(v).rolling(240, center=True, min_periods=6).mean().to_numpy()
+    np.testing.assert_allclose(_values(smooth, "smooth"), want, rtol=1e-9)
+    keys = [line for line in smooth._jdf.queryExecution().executedPlan().toString().splitlines()
+            if "Window [" in line]
+    assert keys and all("_segment" in line for line in keys)
+
+
 def test_best_window_prefers_summer(spark):
     # Winter is complete, July has 90 %: July wins for a threshold of 80 %.
     v = np.full(24 * 365, np.nan)
