@@ -25,11 +25,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
 from .common import bytes_of, col, stored
 
 # Bytes of text whose documents move in lockstep together, and tokens after which a lane may end.
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 20
 LANE = 256
 SHARED_PAIRS = 1 << 19
 # Blanks in a row from which on tiktoken's pattern goes too deep.
@@ -166,15 +167,16 @@ def lockstep(a_ends: np.ndarray, b_ends: np.ndarray, lane: int = LANE):
     of the last tokens before every cut, ascending.
     """
     # Lanes begin at the start and after shared ends that follow every ``lane`` tokens.
-    near = np.arange(lane, len(a_ends), lane)[:, None] + np.arange(min(lane, 32))
+    near = np.arange(lane, len(a_ends), lane, dtype=np.int32)[:, None] + np.arange(
+        min(lane, 32), dtype=np.int32)
     near = near[near < len(a_ends)]
     at = np.searchsorted(b_ends, a_ends[near])
     shared = b_ends[np.minimum(at, len(b_ends) - 1)] == a_ends[near]
     near, at = near[shared], at[shared]
     first = np.flatnonzero(np.diff(near // lane, prepend=0)) if len(near) else near
-    a = np.concatenate([[0], near[first] + 1])
-    b = np.concatenate([[0], at[first] + 1])
-    stop = np.append(a[1:], len(a_ends))
+    a = np.concatenate([[0], near[first] + 1]).astype(np.int32)
+    b = np.concatenate([[0], at[first] + 1]).astype(np.int32)
+    stop = np.append(a[1:], len(a_ends)).astype(np.int32)
     a, b, stop = (x[a < stop] for x in (a, b, stop))
     links_a, links_b, cuts_a, cuts_b = [], [], [], []
     while len(a):
@@ -241,46 +243,41 @@ class Aligned:
                 self.groups.append(written.decode())
 
 
-_FIELDS = [
-    ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),
-    ("groups_sha256", pa.string()), ("pairs", pa.list_(pa.int64())),
-    ("times", pa.list_(pa.int32())), ("groups", pa.string()),
-]
-_DDL = ("struct<n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,groups_sha256:string,"
-        "pairs:array<bigint>,times:array<int>,groups:string>")
+_TYPES = (
+    StructType().add("n_a", "long").add("n_b", "long").add("n_groups", "long").add("n_links", "long")
+    .add("groups_sha256", "string").add("pairs", ArrayType(LongType()))
+    .add("times", ArrayType(IntegerType())).add("groups", "string")
+)
 
 
-def _batches(texts: pa.Array) -> Iterator[list[bytes]]:
-    """Texts of about ``BATCH_BYTES`` at a time."""
-    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-    parts = (np.cumsum(sizes) - sizes) // BATCH_BYTES
-    starts = np.flatnonzero(np.diff(parts, prepend=-1))
-    for lo, hi in zip(starts, [*starts[1:], len(texts)]):
-        yield texts.slice(lo, hi - lo).to_pylist()
+def _aligned(given: DataFrame, a_path: str, b_path: str, texts: bool) -> DataFrame:
+    """The column ``row`` with the alignment of ``raw``, in batches of about ``BATCH_BYTES`` of text."""
 
-
-def _aligned(text, a_path: str, b_path: str, texts: bool):
-    @F.arrow_udf(_DDL)
-    def aligned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(a_path, b_path)
         labels = _labels(len(both.a_bytes), len(both.b_bytes))
         for batch in batches:
-            out = []
-            for raws in _batches(batch):
+            size = pc.binary_length(batch["raw"]).to_numpy(zero_copy_only=False).astype(np.int64)
+            parts = (np.cumsum(size) - size) // BATCH_BYTES
+            starts = np.flatnonzero(np.diff(parts, prepend=-1)).tolist()
+            for lo, hi in zip(starts, [*starts[1:], batch.num_rows]):
+                part = batch.slice(lo, hi - lo)
+                raws = part["raw"].to_pylist()
                 found = Aligned(
                     both([raw.decode("utf-8", "replace") for raw in raws]), both, labels, texts
                 )
                 ends = pa.array(found.pair_ends, pa.int32())
-                out.append(pa.StructArray.from_arrays([
-                    pa.array(found.n_a), pa.array(found.n_b), pa.array(found.n_groups, pa.int64()),
-                    pa.array(found.n_links, pa.int64()), pa.array(found.digests, pa.string()),
+                yield pa.RecordBatch.from_arrays([
+                    part["row"], pa.array(found.n_a), pa.array(found.n_b),
+                    pa.array(found.n_groups, pa.int64()), pa.array(found.n_links, pa.int64()),
+                    pa.array(found.digests, pa.string()),
                     pa.ListArray.from_arrays(ends, pa.array(found.pairs, pa.int64())),
                     pa.ListArray.from_arrays(ends, pa.array(found.times, pa.int32())),
                     pa.array(found.groups if texts else [None] * len(raws), pa.string()),
-                ], fields=[pa.field(*f) for f in _FIELDS]))
-            yield pa.concat_arrays(out) if out else pa.array([], pa.struct(_FIELDS))
+                ], names=["row", *_TYPES.names])
 
-    return aligned(text)
+    schema = StructType([given.schema["row"], *_TYPES.fields])
+    return given.mapInArrow(align, schema)
 
 
 def _totals(rows: DataFrame, n_b: int) -> DataFrame:
@@ -331,27 +328,32 @@ def _counted(pairs, times, frequent):
     kind = pa.struct([("n_best", pa.int64()), ("count_sum", pa.int64()),
                       ("rest", pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int32())])))])
 
+    def few(pairs: pa.Array, times: pa.Array) -> pa.Array:
+        names, values = frequent.value
+        found, n = pairs.flatten().to_numpy(), times.flatten().to_numpy().astype(np.int64)
+        doc = np.repeat(np.arange(len(pairs)), np.diff(pairs.offsets.to_numpy()))
+        at = np.minimum(np.searchsorted(names, found), max(0, len(names) - 1))
+        known = names[at] == found if len(names) else np.zeros(len(found), bool)
+        value = values[at[known]]
+        sums = [np.zeros(len(pairs), np.int64) for _ in range(2)]
+        np.add.at(sums[0], doc[known], n[known] * (value & 1))
+        np.add.at(sums[1], doc[known], n[known] * (value >> 1))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(doc[~known], minlength=len(pairs)))])
+        rest = pa.StructArray.from_arrays(
+            [pa.array(found[~known], pa.int64()), pa.array(n[~known], pa.int32())],
+            names=["pair", "times"])
+        return pa.StructArray.from_arrays(
+            [*map(pa.array, sums), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest)],
+            fields=list(kind),
+        )
+
     @F.arrow_udf("struct<n_best:bigint,count_sum:bigint,"
                  "rest:array<struct<pair:bigint,times:int>>>")
     def counted(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        names, values = frequent.value
         for pairs, times in batches:
-            found, n = pairs.flatten().to_numpy(), times.flatten().to_numpy().astype(np.int64)
-            doc = np.repeat(np.arange(len(pairs)), np.diff(pairs.offsets.to_numpy()))
-            at = np.minimum(np.searchsorted(names, found), max(0, len(names) - 1))
-            known = names[at] == found if len(names) else np.zeros(len(found), bool)
-            value = values[at[known]]
-            sums = [np.zeros(len(pairs), np.int64) for _ in range(2)]
-            np.add.at(sums[0], doc[known], n[known] * (value & 1))
-            np.add.at(sums[1], doc[known], n[known] * (value >> 1))
-            ends = np.concatenate([[0], np.cumsum(np.bincount(doc[~known], minlength=len(pairs)))])
-            rest = pa.StructArray.from_arrays(
-                [pa.array(found[~known], pa.int64()), pa.array(n[~known], pa.int32())],
-                names=["pair", "times"])
-            yield pa.StructArray.from_arrays(
-                [*map(pa.array, sums), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest)],
-                fields=list(kind),
-            )
+            parts = [few(pairs.slice(at, 256), times.slice(at, 256))
+                     for at in range(0, len(pairs), 256)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], kind)
 
     return counted(pairs, times)
 
@@ -379,10 +381,10 @@ def align_tokens(
     kept = [c for c in df.columns if c.lower() not in added]
     row = F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(kept)] or [F.lit(0).alias("c0")])
     given = df.select(row.alias("row"), bytes_of(text).alias("raw"))
-    rows = given.select("row", _aligned(F.col("raw"), a_path, b_path, groups).alias("x"))
-    rows = stored(rows.select(
-        "row", "x.*", F.monotonically_increasing_id().alias("key")
-    ), "align-rows")
+    rows = stored(
+        _aligned(given, a_path, b_path, groups)
+        .withColumn("key", F.monotonically_increasing_id()), "align-rows",
+    )
     n_b = _pieces(b_path)
     totals = _totals(rows, n_b)
     frequent = df.sparkSession.sparkContext.broadcast(_frequent(totals, shared_pairs))

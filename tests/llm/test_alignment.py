@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -50,13 +51,16 @@ def brute(texts):
             docs.append(([], [], 0, [], ""))
             continue
         ra, rb = ranges(a_parts), ranges(b_parts)
-        links = [(a[i], b[j]) for i, x in enumerate(ra) for j, y in enumerate(rb)
-                 if x[0] < y[1] and y[0] < x[1]]
+        owner = [[j for _ in range(y[0], y[1])] for j, y in enumerate(rb)]
+        owner = [j for js in owner for j in js]  # the second side's token of every byte
+        links = [(a[i], b[j]) for i, x in enumerate(ra) for j in sorted(set(owner[x[0]:x[1]]))]
         cuts = sorted({e for _, e in ra} & {e for _, e in rb})
+        sides = [([*zip(t, r)], [e for _, e in r]) for t, r in ((a, ra), (b, rb))]
         written = ";".join(
-            ",".join(str(t) for t, r in zip(a, ra) if lo < r[1] <= hi) + "|"
-            + ",".join(str(t) for t, r in zip(b, rb) if lo < r[1] <= hi)
-            for lo, hi in zip([0, *cuts], cuts)
+            "|".join(
+                ",".join(str(t) for t, _ in ends[bisect_right(by, lo):bisect_right(by, hi)])
+                for ends, by in sides
+            ) for lo, hi in zip([0, *cuts], cuts)
         )
         docs.append((a, b, len(cuts), links, written))
     count = Counter(p for d in docs for p in d[3])
