@@ -30,16 +30,22 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if now == before or not now[0]:
             break
         before = now
-        # To larger neighbours: (u, v) with v smaller, and all others moved below the smallest.
+        # To larger neighbours: (u, v) with v smaller, and all others moved below the smallest. What a
+        # node is moved to is stored before it is joined, so that Spark can split the links of a centre
+        # with many; a centre without a smaller neighbour keeps its links as they are.
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            F.col("u").alias("c"), F.least("u", "m").alias("m")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).filter("m < u").select(
+            F.col("u").alias("c"), "m"
         )
+        least = stored(least, "link-centres")
         # Of each link only the end away from the centre moves, so the centre is its smaller end.
-        large = edges.join(least, edges["v"] == least["c"]).select("u", F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
+        large = edges.join(least, edges["v"] == least["c"], "left").select(
+            "u", F.coalesce("m", "v").alias("v")
+        )
+        large = stored(large.filter("u <> v").distinct(), "links")
         # To smaller neighbours.
         small = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "c")
+        small = stored(small, "link-centres")
         moved = large.join(small, large["u"] == small["c"]).select(
             F.explode(F.array(
                 F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
