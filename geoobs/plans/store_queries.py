@@ -117,6 +117,112 @@ def flux_files(t):
     )
 
 
+def _zipped(rows, path: str) -> None:
+    """Lands (archive, member, ord, value) as zip archives, through Spark's text writer: an archive's bytes
+    are cut at line feeds, and its comment is the last one. A task holds one member's pending bytes."""
+
+    def pack(batches):
+        import io
+        import zipfile
+
+        import pyarrow as pa
+
+        class Pipe(io.RawIOBase):
+            def __init__(self):
+                self.held = b""
+
+            def writable(self):
+                return True
+
+            def write(self, b):
+                self.held += bytes(b)
+                return len(b)
+
+        def ready(pipe, name, n, last=False):
+            *whole, rest = pipe.held.split(b"\n")
+            pipe.held = rest
+            if last and rest:
+                raise ValueError("an archive ends with a line feed")
+            return pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(whole), pa.int64()),
+                 pa.array(range(n, n + len(whole)), pa.int64()), pa.array(whole, pa.binary())],
+                names=["archive", "ord", "value"])
+
+        name = pipe = z = out = None
+        member, n = None, 0
+        for batch in batches:
+            for a, m, line in zip(*[batch.column(c).to_pylist() for c in (0, 1, 3)]):
+                if a != name:
+                    if z is not None:
+                        out.close()
+                        z.comment = b"\n"
+                        z.close()
+                        yield ready(pipe, name, n, True)
+                    pipe, name, member, n = Pipe(), a, None, 0
+                    z = zipfile.ZipFile(pipe, "w", zipfile.ZIP_DEFLATED)
+                if m != member:
+                    if member is not None:
+                        out.close()
+                    out, member = z.open(m, "w"), m
+                out.write(line.encode() + b"\n")
+            if pipe is not None:
+                done = ready(pipe, name, n)
+                n += done.num_rows
+                yield done
+        if z is not None:
+            out.close()
+            z.comment = b"\n"
+            z.close()
+            yield ready(pipe, name, n, True)
+
+    order = ["archive", "member", "ord"]
+    packed = rows.select(*order, "value").repartition("archive").sortWithinPartitions(*order)
+    packed = packed.mapInArrow(pack, "archive bigint, ord bigint, value binary")
+    packed.sortWithinPartitions("archive", "ord").select(
+        "archive", F.col("value").cast("string").alias("value")
+    ).write.partitionBy("archive").option("lineSep", "\n").text(path)
+
+
+@query("archive_rows", """
+WITH x AS (SELECT 'S-' || (l_suppkey % 3) AS site, l_shipdate, CASE WHEN l_tax = 0 THEN NULL ELSE l_quantity END AS nee,
+  round(l_discount * 100) AS qc, l_extendedprice AS ta FROM lineitem)
+SELECT site, variable, count(*) AS n, count(value) AS n_values, round(sum(value), 2) AS total, min(ts_start) AS first, max(ts_end) AS last FROM (
+  SELECT site, 'NEE' AS variable, nee AS value, l_shipdate AS ts_start, l_shipdate + INTERVAL 1 DAY AS ts_end FROM x WHERE nee IS NOT NULL OR qc IS NOT NULL
+  UNION ALL SELECT site, 'TA_F', ta, l_shipdate, l_shipdate + INTERVAL 1 DAY FROM x) GROUP BY ALL""")
+def archive_rows(t):
+    """Zip archives of a member for each site and one that is no product, read to facts and stored."""
+    landed, stored = shared_dir(t.spark, "archives"), shared_dir(t.spark, "archive-facts")
+    files = _files(t.lineitem, 1)
+    archive = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(files)).cast("bigint")
+    member = F.concat(F.lit("deep/ICOSETC_S-"), (F.col("l_suppkey") % 3).cast("string"),
+                      F.lit("_FLUXNET_DD_L2.csv"))
+    rows = t.lineitem.select(
+        archive.alias("archive"), member.alias("member"), F.lit(1).alias("ord"),
+        F.concat_ws(
+            ",", F.date_format("l_shipdate", "yyyyMMdd"),
+            F.when(F.col("l_tax") == 0, "-9999").otherwise(F.col("l_quantity").cast("string")),
+            F.round(F.col("l_discount") * 100).cast("int").cast("string"),
+            F.col("l_extendedprice").cast("string"),
+        ).alias("value"),
+    )
+    heads = rows.select("archive", "member").distinct().select(
+        "archive", "member", F.lit(0).alias("ord"),
+        F.lit("TIMESTAMP,NEE_VUT_REF,NEE_VUT_REF_QC,TA_F").alias("value"))
+    notes = rows.select("archive").distinct().select(
+        "archive", F.lit("deep/README.csv").alias("member"), F.lit(0).alias("ord"),
+        F.lit("no,product").alias("value"))
+    _zipped(rows.unionByName(heads).unionByName(notes), landed)
+    for columns, wide in flux_csv.read_archives(t.spark, f"{landed}/archive=*"):
+        sinks.write_flux(flux_csv.convert(wide, columns, "DD"), stored)
+    return sinks.flux_store(stored).read(t.spark).groupBy(
+        F.col("site_id").alias("site"), "variable"
+    ).agg(
+        F.count("*").alias("n"), F.count("value").alias("n_values"),
+        F.round(F.sum("value"), 2).alias("total"), F.min("ts_start").alias("first"),
+        F.max("ts_end").alias("last"),
+    )
+
+
 @query("wide_store", f"""WITH {A.HOURLY_SQL}
 SELECT hour, coalesce(max(CASE WHEN variable = 'click' THEN value END), 9.96921e36) AS click, max(CASE WHEN variable = 'view' THEN value END) AS "view"
 FROM hourly GROUP BY hour""")

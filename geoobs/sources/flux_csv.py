@@ -1,61 +1,95 @@
 """Half-hourly to yearly flux CSV files, and archives of them.
 
-Files that share a header are read in one scan; only the distinct headers reach the driver.
+Lines are read once and parsed by the header of their file; only the distinct headers reach the driver.
 """
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions import clean, names
 from ..operators import reshape
+from ..session import shared_dir
+from . import archives
 
 
-def headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+def file_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """(path, at, line) of text files; ``at`` orders the lines of a file's first split, which holds its
+    header, and is null in later ones."""
+    at = F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
+    return spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), at.alias("at"), F.col("value").alias("line")
+    )
+
+
+def headers_of(lines: DataFrame) -> DataFrame:
     """(path, columns) of each file; a header that is wrapped over two lines is joined.
 
     The header is the first line that is not blank and, if it does not start with a number, the one
-    after it; both lie in the first split of a file. Later text lines belong to no header.
+    after it. Later text lines belong to no header.
     """
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"), F.col("value").alias("text"),
-    ).filter((F.col("block") == 0) & (F.trim("text") != ""))
-    nth = F.row_number().over(Window.partitionBy("path").orderBy("id"))
+    first = lines.filter(F.col("at").isNotNull() & (F.trim("line") != ""))
+    nth = F.row_number().over(Window.partitionBy("path").orderBy("at"))
     # The rank limit is applied before the shuffle, which gets two lines of a file.
-    both = lines.withColumn("nth", nth).filter("nth <= 2").groupBy("path").agg(
-        F.max(F.when(F.col("nth") == 1, F.col("text"))).alias("a"),
-        F.max(F.when(F.col("nth") == 2, F.col("text"))).alias("b"),
+    both = first.withColumn("nth", nth).filter("nth <= 2").groupBy("path").agg(
+        F.max(F.when(F.col("nth") == 1, F.col("line"))).alias("a"),
+        F.max(F.when(F.col("nth") == 2, F.col("line"))).alias("b"),
     )
     wrapped = ~F.regexp_like("b", F.lit("^ *[0-9]+ *(,|$)"))
     text = F.concat("a", F.when(wrapped, F.col("b")).otherwise(F.lit("")))
     return both.select("path", F.split(text, ",").alias("columns"))
 
 
-def read_flux(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
-    """Text columns of files with one header; header lines are dropped by their first field."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = spark.read.csv(paths, schema=schema, header=False, mode="PERMISSIVE")
-    digits = F.regexp_like(F.trim(F.col(f"`{columns[0]}`")), F.lit("^[0-9]+$"))
-    return rows.filter(digits).withColumn("source_file", F.col("_metadata.file_path"))
+def headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """(path, columns) of each file at ``paths``."""
+    return headers_of(file_lines(spark, paths))
 
 
-def read_all(spark: SparkSession, paths: list[str] | str) -> list[tuple[list[str], DataFrame]]:
-    """One DataFrame per distinct header.
+def by_header(lines: DataFrame) -> list[tuple[list[str], DataFrame]]:
+    """One DataFrame of text columns for each distinct header in ``lines`` (path, at, line).
 
-    The header list has one row per distinct header of the landing folder, not per file.
+    Lines meet the header of their file in a join and are written once, apart by header, so every
+    DataFrame reads its own lines only. The driver sees the distinct headers, never a list of files.
+    Header lines and other lines that do not begin with digits are dropped.
     """
-    by_header = headers(spark, paths).groupBy("columns").agg(F.collect_list("path").alias("paths"))
-    return [(r["columns"], read_flux(spark, r["paths"], r["columns"])) for r in by_header.collect()]
+    spark = lines.sparkSession
+    named = headers_of(lines).withColumn(
+        "header", F.concat(F.lit("h"), F.hex(F.xxhash64("columns"))))
+    kinds = [tuple(r) for r in named.groupBy("header").agg(F.first("columns")).collect()]
+    at = shared_dir(spark, "lines-by-header")
+    of_file = named.select(F.col("path").alias("_path"), "header")
+    lines.join(of_file, F.col("path") == F.col("_path")).select(
+        "header", "path", "line").write.partitionBy("header").parquet(at)
+    stored = spark.read.schema("path string, line string, header string").parquet(at)
+    out = []
+    for header, columns in sorted(kinds):
+        parsed = F.from_csv("line", _ddl(columns))
+        rows = stored.filter(F.col("header") == header).select("path", parsed.alias("r"))
+        rows = rows.select("r.*", F.col("path").alias("source_file"))
+        digits = F.regexp_like(F.trim(F.col(f"`{columns[0]}`")), F.lit("^[0-9]+$"))
+        out.append((columns, rows.filter(digits)))
+    return out
+
+
+def _ddl(columns: list[str]) -> str:
+    return ", ".join(f"`{c.replace('`', '``')}` STRING" for c in columns)
+
+
+def read_all(spark: SparkSession, paths: list[str] | str) -> list[tuple[list[str], DataFrame]]:
+    """One DataFrame of text columns for each distinct header of the files at ``paths``."""
+    return by_header(file_lines(spark, paths))
+
+
+def read_archives(
+    spark: SparkSession, paths: list[str] | str
+) -> list[tuple[list[str], DataFrame]]:
+    """One DataFrame of text columns for each distinct header of the product members of archives."""
+    lines = archive_lines(spark, paths)
+    return by_header(lines.select(
+        F.concat_ws("/", "archive", "member").alias("path"), F.col("line_no").alias("at"), "line"
+    ))
 
 
 def convert(df: DataFrame, columns: list[str], freq: str | None = None) -> DataFrame:
@@ -110,39 +144,11 @@ def needed_member(name: str) -> Column:
     return names.is_member(F.element_at(F.split(F.col(name), "/"), -1))
 
 
-def _is_member(base: str) -> bool:
-    """``names.is_member`` for a name inside a task."""
-    prefix, _, rest = base.partition("_")
-    site, _, product = rest.partition("_")
-    known = {(p + e).upper() for p in S.MEMBER_PRODUCTS for e in S.MEMBER_ENDINGS}
-    return prefix.upper() == S.INTERIM_PREFIX and "-" in site[1:-1] and product.upper() in known
-
-
-def archive_lines(spark: SparkSession, paths: list[str] | str, size: int = 1 << 16) -> DataFrame:
+def archive_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """(archive, member, line_no, line) of the product files inside zip archives.
 
-    Archives are spread over the tasks; a member is streamed line by line in bounded batches.
+    Only the bytes of product members are shuffled and inflated, one task a member.
     """
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
-
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = ["archive", "member", "line_no", "line"]
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for info in archive.infolist():
-                        base = info.filename.rsplit("/", 1)[-1]
-                        if not _is_member(base):
-                            continue
-                        rows = []
-                        with archive.open(info) as raw:
-                            text = io.TextIOWrapper(raw, "utf-8", errors="replace")
-                            for i, line in enumerate(text):
-                                rows.append((path, base, i, line.rstrip("\r\n")))
-                                if len(rows) == size:
-                                    yield pd.DataFrame(rows, columns=cols)
-                                    rows = []
-                        if rows:
-                            yield pd.DataFrame(rows, columns=cols)
-
-    return files.mapInPandas(unpack, "archive string, member string, line_no bigint, line string")
+    rows = archives.byte_rows(spark, paths)
+    lines = archives.member_lines(rows, archives.members(rows).filter(needed_member("member")))
+    return lines.withColumn("member", F.element_at(F.split("member", "/"), -1))
