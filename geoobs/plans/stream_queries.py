@@ -6,12 +6,15 @@ written table is the result.
 
 from __future__ import annotations
 
+import math
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources import sinks
-from ..streaming import ingest
+from ..streaming import ingest, report
 from ..streaming import sessions as stream_sessions
 from . import adapters as A
 from .registry import Tables, query
@@ -23,8 +26,8 @@ IDLE = 300
 class _Stream(Tables):
     """The same tables as streams; watermarks need zoned timestamps (the session runs in UTC).
 
-    ``slices`` maps a table to the expression of a slice number: its rows are landed as one file a
-    slice, in ascending order, and come in one micro-batch each.
+    ``slices`` maps a table to the expression of a slice number: slices come in ascending order, each
+    as one micro-batch or several.
     """
 
     def __init__(self, t: Tables, **slices):
@@ -47,14 +50,30 @@ class _Stream(Tables):
         return landed.withColumns({c: F.col(c).cast("timestamp") for c in zoned})
 
 
+# Rows of a landed file.
+FILE_ROWS = 250_000
+
+
 def _land(df: DataFrame, slice_no) -> str:
-    """Writes one file a slice; later slices get later file times, which is the order of a stream."""
-    path = shared_dir(df.sparkSession, "landing")
+    """Writes the slices in one job, each as one file for every ``FILE_ROWS`` rows, in order of time if
+    there is one; file times follow the order, which is that of a stream. For file systems that let a
+    file's time be set, as the landing folder of a replay is on one of ours."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, "landing")
     sliced = df.withColumn("_slice", slice_no)
-    for row in sliced.select("_slice").distinct().orderBy("_slice").collect():
-        one = sliced.filter(F.col("_slice") == row[0]).drop("_slice")
-        one.coalesce(1).write.mode("append").parquet(path)
-    return path
+    sizes = sliced.groupBy("_slice").agg(F.count("*").alias("_n"))
+    times = [c for c, kind in df.dtypes if kind.startswith("timestamp")][:1]
+    files = math.ceil(sliced.count() / FILE_ROWS) + sizes.count()
+    order = ["_slice", *times]
+    sliced.repartitionByRange(files, *order).sortWithinPartitions(*order).write.partitionBy(
+        "_slice").parquet(path)
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_slice=*/part-*")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    landed = [status.getPath() for status in fs.globStatus(root)]
+    number = lambda p: (int(p.getParent().getName().split("=")[1]), p.getName())
+    began = int(time.time() * 1000) - 1000 * (len(landed) + 60)
+    for i, at in enumerate(sorted(landed, key=number)):
+        fs.setTimes(at, began + 1000 * i, -1)
+    return f"{path}/_slice=*"
 
 
 def _days(width: int, late_seconds: int):
@@ -226,3 +245,40 @@ def stream_gas_ingest(t):
         F.count("*").alias("n"), F.countDistinct("station_id").alias("n_stations"),
         F.round(F.avg(F.col("value") * 1e6), 6).alias("mean_value"),
     )
+
+
+# Rows that come this many days after their time, and rows whose time cannot be read.
+_LATE_DAYS, _LATE, _UNREADABLE = 6, 11, 13
+
+
+@query("stream_left_out", f"""
+WITH x AS (SELECT event_id, CASE WHEN event_id % {_UNREADABLE} = 0 THEN NULL ELSE ts END AS ts,
+    CAST(floor((epoch(ts) + CASE WHEN event_id % {_LATE} = 0 THEN {_LATE_DAYS} * 86400 ELSE 0 END) / 172800) AS BIGINT) AS slice FROM events),
+ seen AS (SELECT slice, max(max(ts)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM x GROUP BY slice),
+ y AS (SELECT x.*, CASE WHEN ts IS NULL THEN 'unreadable' WHEN ts <= date_trunc('milliseconds', before) - INTERVAL 1 HOUR THEN 'late' ELSE 'kept' END AS fate
+   FROM x JOIN seen USING (slice))
+SELECT fate, count(*) AS n FROM y GROUP BY fate""")
+def stream_left_out(t):
+    """What became of the rows of a stream in many micro-batches: late and unreadable ones are counted
+    by batch in the report table, the others are stored."""
+    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000
+    late = F.when(F.col("event_id") % _LATE == 0, _LATE_DAYS * 86_400).otherwise(0)
+    rows = _Stream(t, events=F.floor((seconds + late) / F.lit(172_800))).events
+    rows = rows.withColumn("ts", F.when(F.col("event_id") % _UNREADABLE != 0, F.col("ts")))
+    rows = report.observed(rows.select("event_id", "ts"), unreadable=F.col("ts").isNull())
+    kept = ingest.first_per_key(rows.filter("ts IS NOT NULL"), ["event_id"], "ts", "1 hour")
+    path, table = shared_dir(t.spark, "kept"), shared_dir(t.spark, "left-out")
+    with report.counted(t.spark) as counts:
+        run = (
+            kept.writeStream.format("parquet").option("path", path).outputMode("append")
+            .option("checkpointLocation", shared_dir(t.spark, "kept-state"))
+            .trigger(availableNow=True).start()
+        )
+        run.awaitTermination()
+        counts.wait(run)
+        counts.write(t.spark, run, table)
+    left = t.spark.read.parquet(table).groupBy(
+        F.when(F.col("reason") == report.LATE, "late").otherwise(F.col("reason")).alias("fate")
+    ).agg(F.sum("n_rows").alias("n"))
+    stored = t.spark.read.schema(kept.schema).parquet(path).agg(F.count("*").alias("n"))
+    return stored.select(F.lit("kept").alias("fate"), "n").filter("n > 0").unionByName(left)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..session import shared_dir
 from ..sources import sinks
 from ..sources.versions import Store
+from .report import LATE, counted
 
 
 def read_landing(
@@ -34,28 +35,27 @@ def start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: st
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that came after the watermark had passed them and were left out."""
-    return sum(
-        op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators
-    )
-
-
 def run_to_table(df: DataFrame, purpose: str, report: list | None = None) -> DataFrame:
     """Append-mode stream written to the shared folder until its input is used up, then read back.
 
-    Late rows are counted: ``report`` gets an entry (status, reason, rows) for ``ingest_report``.
+    Rows left out are counted over all micro-batches: ``report`` gets an entry (status, reason, rows)
+    for ``ingest_report`` and for each reason that ``report.observed`` was asked to count.
     """
     spark = df.sparkSession
     path, checkpoint = shared_dir(spark, purpose), shared_dir(spark, f"{purpose}-state")
-    query = (
-        df.writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", checkpoint).outputMode("append")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    if report is not None:
-        report.append(("skipped", "later than the watermark", late_rows(query)))
+    with counted(spark) as counts:
+        query = (
+            df.writeStream.format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint).outputMode("append")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        if report is not None:
+            counts.wait(query)
+            report.append(("skipped", LATE, counts.total(query)))
+            others = counts.rows(spark, query).filter(F.col("reason") != LATE)
+            for r in others.groupBy("reason").agg(F.sum("n_rows").alias("n")).collect():
+                report.append(("skipped", r["reason"], r["n"]))
     return spark.read.schema(df.schema).parquet(path)
 
 
