@@ -8,10 +8,8 @@ The nearest profile names the language.
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +32,7 @@ CHUNK = 1 << 18
 
 
 
-@lru_cache(maxsize=1)
-def _letters() -> re.Pattern:
-    """Runs of letters, Unicode category L; the numbers among the word characters are left out."""
-    numbers = "".join(
-        c for c in map(chr, range(sys.maxunicode + 1))
-        if c.isalnum() and not unicodedata.category(c).startswith("L")
-    )
-    return re.compile(f"[^\\W_{re.escape(numbers)}]+")
+_WORDS = re.compile(r"[^\W\d_]+")
 
 
 def _check(longest: int) -> None:
@@ -56,7 +47,14 @@ def _bounded(languages: int) -> None:
 
 
 def words_in(raw: bytes) -> list[str]:
-    return _letters().findall(raw.decode("utf-8", "replace").lower())
+    """Runs of letters, Unicode category L, in lower case."""
+    text = raw.decode("utf-8", "replace").lower()
+    if not text.isascii():
+        # Numbers that count as word characters without being digits, such as fractions and numerals.
+        others = [c for c in set(text) if c.isalnum() and unicodedata.category(c)[0] != "L"]
+        if others:
+            text = text.translate({ord(c): " " for c in others})
+    return _WORDS.findall(text)
 
 
 def gram_counts(words: list[str], longest: int) -> tuple[np.ndarray, np.ndarray]:
