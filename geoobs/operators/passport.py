@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean, names
+from .keys import join_null_safe
 
 
 def manifest(
@@ -75,14 +76,90 @@ def manifest(
     return out.withColumn("_k", F.from_json("_key", key_type)).select("_k.*", *names_out[1:])
 
 
+def bounded_manifest(
+    chunks: DataFrame, keys: list[str], array: str, sha: str, size: str,
+    carry: dict[str, str] | None = None, texts: list[str] | None = None,
+) -> DataFrame:
+    """``manifest`` for groups whose lists have a bound, as the chunks of one session's array do.
+
+    The same rows and digests, by aggregates alone: repeats are added up before the shuffle and written
+    out in the digest's text only.
+    """
+    group, carry, texts = [*keys, array], carry or {}, texts or []
+    kept = [getattr(F, how)(c).alias(c) for c, how in carry.items()]
+    counted = chunks.groupBy(*group, sha, *texts).agg(
+        F.count("*").alias("_n"), F.sum(size).cast("bigint").alias("_b"), *kept
+    )
+    items = F.array_sort(F.collect_list(F.struct(F.col(sha).alias("s"), "_n")))
+    written = F.flatten(F.transform("_items", lambda x: F.array_repeat(x["s"], x["_n"].cast("int"))))
+    out = counted.groupBy(*group, *texts).agg(
+        F.sum("_n").alias("chunk_count"), F.sum("_b").cast("bigint").alias("size_bytes"), *kept,
+        items.alias("_items"),
+    )
+    return out.select(
+        *group, "chunk_count", "size_bytes", *carry, *texts,
+        F.sha2(F.array_join(written, "\n"), 256).alias("manifest_sha256"),
+    )
+
+
+def range_digests(
+    chunks: DataFrame, keys: list[str], array: str, sha: str, size: str, digits: int = 3
+) -> DataFrame:
+    """Leaves of the digest tree of each array: one row for each range of chunk digests.
+
+    A range are the digests that begin with the same ``digits`` hex digits, so one array is dealt over
+    as many tasks as it has ranges. Its digest covers a line ``sha:count`` for each different chunk in
+    order, so a chunk that was delivered often costs as much as one. Columns: the keys, ``array``,
+    ``range``, ``chunk_count``, ``size_bytes`` and ``range_sha256``.
+    """
+    group = [*keys, array]
+    counted = chunks.groupBy(*group, sha).agg(
+        F.count("*").alias("_n"), F.sum(size).cast("bigint").alias("_b")
+    ).withColumn("range", F.substring(sha, 1, digits))
+    line = F.concat(F.col(sha), F.lit(":"), F.col("_n").cast("string"))
+    return counted.groupBy(*group, "range").agg(
+        F.sum("_n").alias("chunk_count"), F.sum("_b").cast("bigint").alias("size_bytes"),
+        F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("range_sha256"),
+    )
+
+
+def root_digests(ranges: DataFrame, keys: list[str], array: str) -> DataFrame:
+    """Root of each array's digest tree: the digest of a line ``range:range_sha256`` for each range in
+    order. A tree has at most 16 to the power of ``digits`` ranges, whatever the array holds."""
+    line = F.concat("range", F.lit(":"), "range_sha256")
+    return ranges.groupBy(*keys, array).agg(
+        F.sum("chunk_count").alias("chunk_count"), F.sum("size_bytes").alias("size_bytes"),
+        F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("root_sha256"),
+    )
+
+
+def updated_ranges(
+    ranges: DataFrame, old: DataFrame, new: DataFrame, keys: list[str], array: str, sha: str,
+    size: str, digits: int = 3,
+) -> DataFrame:
+    """``range_digests`` after ``new`` chunks came to the ``old`` ones that ``ranges`` were made of.
+
+    Only ranges that a new chunk falls into are hashed again; all others keep their rows.
+    """
+    group = [*keys, array, "range"]
+    touched = new.withColumn("range", F.substring(sha, 1, digits)).select(*group).distinct()
+    within = old.withColumn("range", F.substring(sha, 1, digits))
+    again = join_null_safe(within, touched, group, "left_semi").drop("range")
+    columns = [*keys, array, sha, size]
+    fresh = range_digests(
+        again.select(*columns).unionAll(new.select(*columns)), keys, array, sha, size, digits)
+    return join_null_safe(ranges, touched, group, "left_anti").unionByName(fresh)
+
+
 def detailed_manifest(
     chunks: DataFrame, keys: list[str], ts: str = "ts", sha: str = "sha256", size: str = "size"
 ) -> DataFrame:
-    """Manifest rows that also keep the group, the array name and the time span of each array."""
+    """Manifest rows of sessions that also keep the group, the array name and the time span of each
+    array."""
     us = clean.micros(ts)
     timed = chunks.withColumns({"first_us": us, "last_us": us})
     carry = {"first_us": "min", "last_us": "max"}
-    return manifest(timed, keys, "array_path", sha, size, carry, ["group", "array"])
+    return bounded_manifest(timed, keys, "array_path", sha, size, carry, ["group", "array"])
 
 
 def station_entities(

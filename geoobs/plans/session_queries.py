@@ -55,7 +55,7 @@ def session_arrays(t):
 SELECT ip, store, session_no, array_path, count(*) AS chunk_count, sum(size)::BIGINT AS size_bytes,
   sha256(string_agg(sha256, chr(10) ORDER BY sha256)) AS manifest_sha256 FROM numbered GROUP BY ALL""")
 def chunk_manifest(t):
-    return passport.manifest(_chunks(t), KEYS, "array_path", "sha256", "size")
+    return passport.bounded_manifest(_chunks(t), KEYS, "array_path", "sha256", "size")
 
 
 @query("store_manifest", f"""WITH {A.SESSIONS_SQL}
@@ -65,6 +65,21 @@ def store_manifest(t):
     return passport.manifest(_tracked(t), ["store"], "array_path", "sha256", "size")
 
 
+@query("store_manifest_tree", f"""WITH {A.SESSIONS_SQL}, c AS (
+  SELECT store, array_path, sha256, count(*) AS n, sum(size)::BIGINT AS b FROM tracked GROUP BY ALL),
+ r AS (SELECT store, array_path, sha256[1:3] AS range, sum(n) AS n, sum(b) AS b, sha256(string_agg(sha256 || ':' || n, chr(10) ORDER BY sha256)) AS d FROM c GROUP BY ALL)
+SELECT store, array_path, sum(n)::BIGINT AS chunk_count, sum(b)::BIGINT AS size_bytes, sha256(string_agg(range || ':' || d, chr(10) ORDER BY range)) AS root_sha256
+FROM r GROUP BY ALL""")
+def store_manifest_tree(t):
+    """Digest trees of all arrays: made of the first chunks, then brought up to date with the rest."""
+    keys, columns = ["store"], ("array_path", "sha256", "size")
+    rows = _tracked(t)
+    old, new = rows.filter(F.col("seq") % 5 != 0), rows.filter(F.col("seq") % 5 == 0)
+    ranges = passport.range_digests(old, keys, *columns)
+    ranges = passport.updated_ranges(ranges, old, new, keys, *columns)
+    return passport.root_digests(ranges, keys, "array_path")
+
+
 def _log(t):
     """A query log: each client's accesses, selections and masks in order."""
     e = A.access(t).withColumn("session", F.col("user_id").cast("string"))

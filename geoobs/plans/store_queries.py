@@ -6,9 +6,9 @@ import math
 
 from pyspark.sql import functions as F
 
-from ..operators import passport, reshape, sessions
+from ..operators import passport, reshape, select, sessions
 from ..session import shared_dir
-from ..sources import flux_csv, ocean_csv, sinks
+from ..sources import flux_csv, layout, ocean_csv, sinks
 from . import adapters as A
 from .registry import query
 
@@ -79,6 +79,20 @@ def ocean_store(t):
     )
 
 
+@query("box_of_tracks", f"""WITH {A.TRACK_SQL}
+SELECT deployment, count(*) AS n, round(avg(value), 6) AS mean_value, min(time) AS first, max(time) AS last FROM track
+WHERE lat BETWEEN 5 AND 12.5 AND lon BETWEEN -20 AND -3 AND time >= TIMESTAMP '2024-01-08' AND time < TIMESTAMP '2024-01-22' GROUP BY deployment""")
+def box_of_tracks(t):
+    """Tracks stored by place and time, then a box and a fortnight of them."""
+    path = shared_dir(t.spark, "tracks-by-place")
+    layout.write_by_place(A.track(t), path)
+    box = layout.in_box(t.spark.read.parquet(path), 5, 12.5, -20, -3)
+    return select.time_slice(box, "time", "2024-01-08", "2024-01-21").groupBy("deployment").agg(
+        F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean_value"),
+        F.min("time").alias("first"), F.max("time").alias("last"),
+    )
+
+
 @query("flux_files", """
 WITH x AS (SELECT 'S' || (l_suppkey % 3) AS site, l_orderkey * 10 + l_linenumber AS k, l_shipdate,
   CASE WHEN l_tax = 0 THEN NULL ELSE l_quantity END AS nee, round(l_discount * 100) AS qc, l_extendedprice AS ta FROM lineitem)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources import sinks
-from ..streaming import ingest, report
+from ..streaming import ingest, report, rescan
 from ..streaming import sessions as stream_sessions
 from . import adapters as A
 from .registry import Tables, query
@@ -282,3 +282,42 @@ def stream_left_out(t):
     ).agg(F.sum("n_rows").alias("n"))
     stored = t.spark.read.schema(kept.schema).parquet(path).agg(F.count("*").alias("n"))
     return stored.select(F.lit("kept").alias("fate"), "n").filter("n > 0").unionByName(left)
+
+
+# Scans of an inventory: at these quarters of the span of days, each of the last third of it.
+_QUARTERS = 4
+
+
+@query("inventory_rescans", f"""WITH {A.HOURLY_SQL}, ticks AS (
+  SELECT q - 1 AS scan, {A.FIRST_SQL} + to_days(CAST({A.DAYS_SQL} * q // {_QUARTERS} AS INTEGER)) AS scan_at, CAST({A.DAYS_SQL} // 3 AS INTEGER) AS back FROM (SELECT unnest(range(1, {_QUARTERS + 1})) AS q)),
+ l AS (SELECT scan, station_id, variable, count(*) AS n FROM ticks JOIN obs ON time < scan_at AND time >= scan_at - to_days(back) GROUP BY ALL),
+ s AS (SELECT k.scan, k.station_id, k.variable, b.n AS before, a.n AS now FROM (
+   SELECT t.scan, u.station_id, u.variable FROM ticks t, (SELECT DISTINCT station_id, variable FROM l) u) k
+   LEFT JOIN l a USING (scan, station_id, variable) LEFT JOIN l b ON b.scan = k.scan - 1 AND b.station_id = k.station_id AND b.variable = k.variable)
+SELECT CAST(scan AS INTEGER) AS scan, change, variable, count(*) AS n, sum(station_id)::BIGINT AS stations FROM (
+  SELECT *, CASE WHEN before IS NULL AND now IS NOT NULL THEN 'added' WHEN before IS NOT NULL AND now IS NULL THEN 'removed' WHEN before <> now THEN 'changed' END AS change FROM s)
+WHERE change IS NOT NULL GROUP BY ALL""")
+def inventory_rescans(t):
+    """Series with observations in a sliding window of days, scanned by four ticks of a stream."""
+    first, _, days = A.span(t)
+    ticks = t.spark.range(1, _QUARTERS + 1).select(F.timestamp_add(
+        "DAY", F.floor(F.col("id") * days / _QUARTERS).cast("int"),
+        F.lit(first).cast("timestamp_ntz")).alias("at"))
+    stream = ingest.read_landing(
+        t.spark, _land(ticks, F.unix_seconds(F.col("at").cast("timestamp"))), ticks.schema,
+        maxFilesPerTrigger="1",
+    )
+    rows = A.obs(t)
+
+    def listing(batch):
+        at = batch.agg(F.max("at").alias("at"))  # one tick
+        seen = rows.join(F.broadcast(at), (F.col("time") < F.col("at")) & (
+            F.col("time") >= F.col("at") - F.expr(f"INTERVAL {days // 3} DAYS")))
+        return seen.groupBy("station_id", "variable").agg(F.count("*").alias("n"))
+
+    path = shared_dir(t.spark, "inventory")
+    scan = rescan.scanner(listing, path, ["station_id", "variable"], ["n"])
+    ingest.start(stream, scan, shared_dir(t.spark, "inventory-state")).awaitTermination()
+    return rescan.read_changes(t.spark, path).groupBy("scan", "change", "variable").agg(
+        F.count("*").alias("n"), F.sum("station_id").alias("stations")
+    )
