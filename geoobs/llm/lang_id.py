@@ -179,7 +179,9 @@ class Profiles:
         if len(codes) > self.ranks:
             least = np.partition(counts, -self.ranks)[-self.ranks]
             codes, counts = codes[counts >= least], counts[counts >= least]
-        top = codes[np.lexsort((codes, -counts))][: self.ranks]
+        # Ties as in the profiles, by the gram's characters from the left.
+        written = np.where(codes < 1 << 21, codes << 42, np.where(codes < 1 << 42, codes << 21, codes))
+        top = codes[np.lexsort((written, -counts))][: self.ranks]
         at = np.minimum(np.searchsorted(self.codes, top), len(self.codes) - 1)
         theirs = np.where((self.codes[at] == top)[:, None], self.rank[at], -1)
         own = np.arange(len(top))[:, None]
