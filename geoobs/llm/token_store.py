@@ -29,6 +29,8 @@ from .units import Remembered, split_units
 MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT_IDS = 1 << 18
+# Positions of one list of lookups.
+LIST = 1 << 12
 # Units and pre-tokens whose ids a worker remembers; bounds its memory, not what is encoded.
 REMEMBERED = 300_000
 
@@ -269,7 +271,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 def token_at(positions: DataFrame, path: str, position: str = "position") -> DataFrame:
     """Adds ``token_id``, the id at each position of the whole store; null outside of it.
 
-    Positions meet the segment that holds them over blocks of ``SEGMENT_IDS`` positions; only the
+    Positions are first gathered in lists of one stretch of ``LIST`` positions each, so a segment's bytes
+    meet at most as many lists as it has stretches, however many positions are asked for; only the
     bytes of the asked ids are decoded.
     """
     spark = positions.sparkSession
@@ -279,18 +282,24 @@ def token_at(positions: DataFrame, path: str, position: str = "position") -> Dat
                                       block(F.col("first") + F.col("n_tokens") - 1)))
     ).select("block", "first", "n_tokens", "codes")
     asked = positions.select(col(position).cast("long").alias("position")).distinct()
-    met = asked.withColumn("block", block(F.col("position"))).join(held, "block").filter(
-        (F.col("position") >= F.col("first"))
-        & (F.col("position") < F.col("first") + F.col("n_tokens"))
+    lists = asked.groupBy(
+        block(F.col("position")).alias("block"), F.floor(F.col("position") / LIST).alias("stretch")
+    ).agg(F.collect_list("position").alias("positions"), F.min("position").alias("low"),
+          F.max("position").alias("high"))
+    met = lists.join(held, "block").filter(
+        (F.col("high") >= F.col("first")) & (F.col("low") < F.col("first") + F.col("n_tokens"))
     )
 
-    @F.arrow_udf("long")
-    def pick(codes: pa.Array, at: pa.Array) -> pa.Array:
-        return pa.array(
-            [Codes(b.as_buffer())[i] for b, i in zip(codes, at.to_pylist())], type=pa.int64()
-        )
-
-    found = met.select("position", pick("codes", F.col("position") - F.col("first"))
-                       .alias("token_id"))
+    @F.arrow_udf("array<struct<position:bigint,token_id:bigint>>")
+    def pick(codes: pa.Array, first: pa.Array, positions: pa.Array) -> pa.Array:
+        out = []
+        for blob, start, asked in zip(codes, first.to_pylist(), positions.to_pylist()):
+            held = Codes(blob.as_buffer())
+            out.append([{"position": p, "token_id": held[p - start]} for p in asked
+                        if 0 <= p - start < len(held)])
+        kind = pa.struct([("position", pa.int64()), ("token_id", pa.int64())])
+        return pa.array(out, pa.list_(kind))
+
+    found = met.select(F.explode(pick("codes", "first", "positions")).alias("f")).select("f.*")
     keyed = positions.withColumn("position", col(position).cast("long"))
     return keyed.join(found, "position", "left")
