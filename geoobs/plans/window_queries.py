@@ -153,6 +153,32 @@ def binned_spectrum(t):
     )
 
 
+# The greatest prime number of hours in the span.
+_PRIME = f"""(SELECT max(p) FROM (SELECT unnest(range(2, {_N} + 1)) AS p)
+   WHERE NOT EXISTS (SELECT 1 FROM (SELECT unnest(range(2, 3000)) AS d) WHERE d * d <= p AND p % d = 0))"""
+
+
+def _prime(n: int) -> int:
+    while any(n % d == 0 for d in range(2, math.isqrt(n) + 1)):
+        n -= 1
+    return n
+
+
+@query("prime_spectrum", f"""WITH {_FILLED}, pr AS (SELECT {_PRIME} AS p),
+ s AS (SELECT variable, i, x, p FROM filled, pr WHERE i < p),
+ fit AS (SELECT variable, regr_slope(x, i) AS a, regr_intercept(x, i) AS b FROM s GROUP BY variable),
+ w AS (SELECT variable, i, p, 0.5 - 0.5 * cos(2 * pi() * i / (p - 1)) AS hann, (x - (a * i + b)) * (0.5 - 0.5 * cos(2 * pi() * i / (p - 1))) AS x FROM s JOIN fit USING (variable)),
+ f AS (SELECT variable, p, k, 2 / 24.0::DOUBLE * (sum(x * cos(2 * pi() * ((k * i) % p) / p)) ** 2 + sum(x * sin(2 * pi() * ((k * i) % p) / p)) ** 2) / sum(hann * hann) AS power
+   FROM w, (SELECT unnest(generate_series(1, (SELECT p FROM pr) // 2)) AS k) GROUP BY variable, p, k)
+SELECT variable, round(k * 24.0::DOUBLE / p, 9) AS f_per_day, round(power, 3) AS power FROM f""")
+def prime_spectrum(t):
+    """A series whose length is a prime number, dealt over tasks in three steps."""
+    rows = _filled(t).filter(F.col("i") < _prime(_slots(t)))
+    return spectral.power_spectrum(rows, "variable", "i", "x", whole=0).select(
+        "variable", F.round("f_per_day", 9).alias("f_per_day"), F.round("power", 3).alias("power")
+    )
+
+
 _BANDS = " ".join(
     f"WHEN f_per_day >= {low!r}::DOUBLE AND f_per_day < {high!r}::DOUBLE THEN '{name}'"
     for name, low, high in S.BANDS

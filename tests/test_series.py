@@ -238,3 +238,22 @@ def test_narrow_below_the_int_range(spark):
 
     df = spark.createDataFrame([(-3e9,), (5.0,)], "v DOUBLE")
     assert reshape.narrow(df, ["v"]).dtypes == [("v", "bigint")]
+
+
+@pytest.mark.parametrize("n", [3, 4, 97, 719, 720, 1021, 2048, 2053])
+def test_spectrum_of_any_length_in_parts(spark, n):
+    """Prime and composite lengths, by one task and folded with a chirp in three steps."""
+    rng = np.random.default_rng(n)
+    i = np.arange(n)
+    x = rng.normal(size=n) + 5 * np.sin(i / 3) + 0.01 * i
+    df = spark.createDataFrame(pd.DataFrame({"s": "a", "i": i, "v": x})).unionByName(
+        spark.createDataFrame(pd.DataFrame({"s": "b", "i": i, "v": x[::-1].copy()})))
+    c = x - np.polyval(np.polyfit(i, x, 1), i)
+    w = np.hanning(n)
+    want = (2 / 24 * np.abs(np.fft.rfft(c * w)) ** 2 / (w ** 2).sum())[1:n // 2 + 1]
+    for whole in (spectral.WHOLE, 0):
+        out = spectral.power_spectrum(df, "s", "i", "v", whole=whole)
+        got = out.filter("s = 'a'").orderBy("f_per_day").toPandas()
+        np.testing.assert_allclose(got["power"], want, rtol=1e-7, atol=1e-9 * want.max())
+        np.testing.assert_allclose(got["f_per_day"], np.arange(1, n // 2 + 1) * 24 / n)
+        assert out.filter("s = 'b'").count() == n // 2
