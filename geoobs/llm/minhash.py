@@ -308,7 +308,8 @@ def near_duplicates(
     )
     # One text for each class: that of a row with the class's smallest id.
     texts = df.select(col(doc_id).alias("first"), bytes_of(text).alias("text"))
-    texts = members.join(
+    # Members grow with the documents, so they are never sent to all tasks, however few there are.
+    texts = members.hint("merge").join(
         texts.withColumn("text_key", F.xxhash64("text")), ["first", "text_key"]
     )
     links = _search(texts, "cluster", "text", tile, _by_shingles(words, similar))
@@ -346,10 +347,12 @@ def without_near_duplicates(
     )
     (key,) = fresh(df, "key")
     dropped = found.filter("NOT kept").select(F.col("doc_id").alias(key)).distinct()
-    left = df.join(dropped, col(doc_id) == F.col(key), "left_anti")
+    left = df.join(dropped.hint("merge"), col(doc_id) == F.col(key), "left_anti")
     repeated = found.filter("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy(
         F.col("doc_id").alias(key)).agg(F.count("*").alias("n")).filter("n > 1").select(key)
     repeated = stored(repeated, "minhash-repeated")
+    if repeated.isEmpty():
+        return left
     row = F.struct(*[col(c) for c in df.columns])
     smallest = left.join(repeated, col(doc_id) == F.col(key), "left_semi").select(
         col(doc_id).alias(key), row.alias("row")).groupBy(key).agg(F.min("row").alias("row"))
