@@ -170,7 +170,8 @@ def active_instrument(
     Closed deployments are laid out over the time buckets they touch and joined on (keys, bucket), so
     an observation meets only the instruments of its own bucket, not every one its position ever had.
     Open ones have no last bucket; they lie in one of their own that every observation also looks
-    into. One scan and one equi join serve both.
+    into. One scan and one equi join serve both. The join is never broadcast: laid out, a deployment is
+    as many rows as it has buckets, which the planner's estimate does not know.
     """
     width, still_open = bucket_days * 86_400_000_000, -(1 << 62)
 
@@ -187,7 +188,7 @@ def active_instrument(
         ).alias("_b"),
     )
     hit = (F.col(ts) >= F.col("start")) & (F.col("stop").isNull() | (F.col(ts) < F.col("stop")))
-    return rows.join(d, [*keys, "_b"]).filter(hit).drop("start", "stop", "_b")
+    return rows.join(d.hint("merge"), [*keys, "_b"]).filter(hit).drop("start", "stop", "_b")
 
 
 def first_source(candidates: DataFrame, wanted: DataFrame, key: str, priority: str, columns):

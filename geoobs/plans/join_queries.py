@@ -206,12 +206,20 @@ SELECT s.site_id, s.h, d.instrument, count(*) AS n, max(s.l_shipdate) AS last_us
 JOIN dep d ON d.site_id = s.site_id AND d.h = s.h AND s.l_shipdate >= d.start AND (d.stop IS NULL OR s.l_shipdate < d.stop)
 GROUP BY ALL""")
 def active_instruments(t):
+    """Observations of one position at one time are added up first, so the join grows with the positions'
+    times and instruments, not with the product of both tables. Instruments of one name that are mounted
+    alike are one row with a weight, for the same reason."""
+    position = ["site_id", "h"]
     o = t.lineitem.select(
         (F.col("l_suppkey") % 100).alias("site_id"), (F.col("l_linenumber") % 3).alias("h"), "l_shipdate",
-    )
-    out = joins.active_instrument(o, _deployments(t), ["site_id", "h"], "l_shipdate")
-    return out.groupBy("site_id", "h", "instrument").agg(
-        F.count("*").alias("n"), F.max("l_shipdate").alias("last_used")
+    ).groupBy(*position, "l_shipdate").agg(F.count("*").alias("n_obs"))
+    alike = _deployments(t).groupBy(*position, "instrument", "start", "stop").agg(
+        F.count("*").alias("n_mounted"))
+    mounted = alike.withColumn("instrument", F.struct("instrument", "n_mounted"))
+    out = joins.active_instrument(o, mounted, position, "l_shipdate")
+    return out.groupBy(*position, F.col("instrument.instrument").alias("instrument")).agg(
+        F.sum(F.col("n_obs") * F.col("instrument.n_mounted")).alias("n"),
+        F.max("l_shipdate").alias("last_used"),
     )
 
 
