@@ -248,7 +248,9 @@ def ascii_json(text: Column) -> Column:
 
     # A text has few different ones; each is replaced in one pass of the string.
     others = F.array_distinct(F.regexp_extract_all(text, F.lit("([^\\x00-\\x7f])")))
-    return F.aggregate(others, text, lambda done, c: F.replace(done, c, escaped(c)))
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, text).otherwise(
+        F.aggregate(others, text, lambda done, c: F.replace(done, c, escaped(c))))
 
 
 def canonical_json(text: Column) -> Column:
@@ -319,8 +321,9 @@ def graph_document(passports: DataFrame, id_column: str, vocabulary: str = "") -
         _fields(isPartOf=F.struct(F.col("is_part_of").alias("@id")), name=F.col("name")),
         F.lit(',"passportSha256":'),
     )
-    queries = F.transform(optional("queries"), canonical_json)
-    entities = F.transform(optional("entities"), canonical_json)
+    # Escaped below, with the rest of their half.
+    queries = F.transform(optional("queries"), lambda x: F.to_json(F.parse_json(x)))
+    entities = F.transform(optional("entities"), lambda x: F.to_json(F.parse_json(x)))
     after = F.concat(
         F.lit(',"query":'), _listed(queries), F.lit(","),
         _fields(
@@ -331,7 +334,9 @@ def graph_document(passports: DataFrame, id_column: str, vocabulary: str = "") -
         F.lit("}"),
         F.array_join(F.transform(entities, lambda e: F.concat(F.lit(","), e)), ""), F.lit("]}"),
     )
-    halves = passports.withColumns({"_before": ascii_json(before), "_after": ascii_json(after)})
+    # The texts are columns before they are escaped, so each is written once.
+    halves = passports.withColumns({"_before": before, "_after": after}).withColumns(
+        {c: ascii_json(F.col(c)) for c in ("_before", "_after")})
     sha = F.sha2(F.concat("_before", F.lit("null"), "_after"), 256)
     return halves.withColumn("sha256", sha).withColumn(
         "document", F.concat("_before", F.lit('"'), "sha256", F.lit('"'), "_after")
