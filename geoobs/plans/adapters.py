@@ -64,7 +64,9 @@ def gas_rows(t: Tables, *more: str) -> DataFrame:
 
     ``more`` names further columns of the events to keep.
     """
-    o = obs(t, *more).join(stations(t).select("station_id", "trigram", "height"), "station_id")
+    rows, dim = obs(t, *more), stations(t).select("station_id", "trigram", "height")
+    # A stream would send a broadcast dimension through the driver again with every micro-batch.
+    o = rows.join(dim.hint("merge") if rows.isStreaming else dim, "station_id")
     gas = F.create_map(*[F.lit(x) for p in GAS_OF.items() for x in p])
     return o.withColumn("gas", F.try_element_at(gas, F.col("variable"))).select(
         "seq", "station_id", "gas", "time", (F.col("value") * 1e-6).alias("value"),

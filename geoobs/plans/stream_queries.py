@@ -50,30 +50,47 @@ class _Stream(Tables):
         return landed.withColumns({c: F.col(c).cast("timestamp") for c in zoned})
 
 
-# Rows of a landed file.
-FILE_ROWS = 250_000
+# Rows of a landed file, which is a micro-batch, and bytes of its row groups, which are read by tasks of
+# their own.
+FILE_ROWS, GROUP_BYTES = 2_000_000, 4 << 20
 
 
 def _land(df: DataFrame, slice_no) -> str:
-    """Writes the slices in one job, each as one file for every ``FILE_ROWS`` rows, in order of time if
-    there is one; file times follow the order, which is that of a stream. For file systems that let a
-    file's time be set, as the landing folder of a replay is on one of ours."""
+    """Writes the slices in one job, each as one file, or as several if one has more than ``FILE_ROWS`` rows,
+    in order of time if there is one; file times follow the order, which is that of a stream. A batch costs the same state
+    and commits however few rows it has, so files are large. For file systems that let a file's time be
+    set, as the landing folder of a replay is on one of ours."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession, "landing")
     sliced = df.withColumn("_slice", slice_no)
     sizes = sliced.groupBy("_slice").agg(F.count("*").alias("_n"))
+    slices, most = sizes.agg(F.count("*"), F.max("_n")).first()
+    parts = max(1, math.ceil((most or 0) / FILE_ROWS))
     times = [c for c, kind in df.dtypes if kind.startswith("timestamp")][:1]
-    files = math.ceil(sliced.count() / FILE_ROWS) + sizes.count()
-    order = ["_slice", *times]
-    sliced.repartitionByRange(files, *order).sortWithinPartitions(*order).write.partitionBy(
-        "_slice").parquet(path)
-    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_slice=*/part-*")
+    part = F.lit(0)
+    if parts > 1 and times:
+        # A slice is cut where its share of rows has passed; a few times for each slice are broadcast.
+        at = F.unix_micros(F.col(times[0]).cast("timestamp"))
+        cuts = sliced.groupBy(F.col("_slice").alias("_of")).agg(F.percentile_approx(
+            at, [i / parts for i in range(1, parts)]).alias("_cuts"))
+        sliced = sliced.join(
+            F.broadcast(cuts), F.col("_slice").eqNullSafe(F.col("_of")), "left").withColumn("_at", at)
+        part = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_at"))), F.lit(0))
+    sliced = sliced.withColumn("_part", part).select(*df.columns, "_slice", "_part")
+    folder, order = ["_slice", "_part"], ["_slice", "_part", *times]
+    sliced.repartition(max(1, slices * parts), *folder).sortWithinPartitions(*order).write.partitionBy(
+        *folder).option("parquet.block.size", GROUP_BYTES).parquet(path)
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_slice=*/_part=*/part-*")
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     landed = [status.getPath() for status in fs.globStatus(root)]
-    number = lambda p: (int(p.getParent().getName().split("=")[1]), p.getName())
+
+    def number(p):
+        return *(int(x.getName().split("=")[1])
+                 for x in (p.getParent().getParent(), p.getParent())), p.getName()
+
     began = int(time.time() * 1000) - 1000 * (len(landed) + 60)
     for i, at in enumerate(sorted(landed, key=number)):
         fs.setTimes(at, began + 1000 * i, -1)
-    return f"{path}/_slice=*"
+    return f"{path}/_slice=*/_part=*"
 
 
 def _days(width: int, late_seconds: int):

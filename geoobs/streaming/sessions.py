@@ -6,13 +6,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.clean import micros
 from ..operators import passport
-from ..operators.sessions import CLIENT, IDLE_SECONDS, tracked, with_cell
+from ..operators.sessions import CLIENT, IDLE_SECONDS, tracked
 
 
 def closed_sessions(log: DataFrame, ts: str = "ts", idle: int = IDLE_SECONDS, size="size",
@@ -42,6 +43,11 @@ _SESSION = (
     "n_bytes bigint, ended_by string"
 )
 
+# What a state holds of an instant.
+_HELD = [*CLIENT, "us", "n", "bytes", "closes"]
+_HELD_TYPES = pa.schema(
+    [(c, pa.string()) for c in CLIENT] + [(c, pa.int64()) for c in _HELD[len(CLIENT):]])
+
 
 def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Requests of one client at one instant as one row, before the shuffle."""
@@ -56,18 +62,21 @@ def chunks_of(closed: DataFrame, log: DataFrame, ts: str = "ts", idle: int = IDL
     """Chunk requests of closed sessions, taken from the stored log, with a ``session_id``.
 
     Sessions are laid out over their time cells and joined on (client, cell), so a busy client is
-    spread over its cells and a request meets only sessions of its own cell.
+    spread over its cells and a request meets only sessions of its own cell. A cell is as long as the
+    idle time, so at most two sessions of a client touch it. The join is never broadcast: laid out,
+    sessions are many times the rows that the planner expects.
     """
     spans = closed.select(
         *CLIENT, F.col("session_start").alias("_from"), F.col("session_end").alias("_to"),
         F.sha2(F.concat_ws("|", *CLIENT, micros("session_start").cast("string")), 256).alias(
             "session_id"),
     )
-    cell = F.lit(idle * 100_000)
+    cell = F.lit(idle * 1_000_000)
     cells = spans.withColumn("cell", F.explode(F.sequence(
         F.floor(micros("_from") / cell), F.floor(micros("_to") / cell)
     )))
-    rows = with_cell(tracked(log), ts, idle).join(cells, [*CLIENT, "cell"])
+    requests = tracked(log).withColumn("cell", F.floor(micros(ts) / cell))
+    rows = requests.join(cells.hint("merge"), [*CLIENT, "cell"])
     return rows.filter(F.col(ts).between(F.col("_from"), F.col("_to"))).drop(
         "cell", "_from", "_to"
     )
@@ -95,10 +104,10 @@ def passport_writer(
     return write
 
 
-def _finished(key, runs: list[tuple]) -> pd.DataFrame:
+def _finished(clients: pd.DataFrame, runs: list[tuple]) -> pd.DataFrame:
     first, last, n, size, by = zip(*runs)
     return pd.DataFrame({
-        "ip": key[0], "store": key[1],
+        "ip": clients["ip"].to_numpy(), "store": clients["store"].to_numpy(),
         "session_start": np.array(first, "datetime64[us]"),
         "session_end": np.array(last, "datetime64[us]"),
         "n_chunks": n, "n_bytes": size, "ended_by": by,
@@ -138,16 +147,19 @@ def _settled(us, n, size, closes, idle_us: int, watermark_us: int):
     return done, start, None
 
 
-def closing_sessions(log: DataFrame, idle: int = IDLE_SECONDS, delay: str | None = None):
+def closing_sessions(
+    log: DataFrame, idle: int = IDLE_SECONDS, delay: str | None = None, shares: int = 1024
+):
     """Sessions that end on idle time or on an explicit close event.
 
     ``log`` needs ``ts, ip, store, size, event``. A client's instants stay in its state until the
     watermark has passed the end of their session, so requests may come late and in any order within
     the delay; the result is that of one batch. Requests at the instant of a close belong to the
     session it ends. A close without an open session, or after the idle time, ends nothing. Silence
-    is measured in event time, so a replay gives the same sessions. What a task holds of a client is
-    bounded by the instants of the delay and one micro-batch; ``maxFilesPerTrigger`` of the source
-    bounds the latter.
+    is measured in event time, so a replay gives the same sessions. Clients are dealt into ``shares``
+    with one state each, since a call and a state for every client cost far more than its instants.
+    What a task holds of a share is bounded by the instants of the delay and one micro-batch;
+    ``maxFilesPerTrigger`` of the source bounds the latter.
     """
     idle_us = idle * 1_000_000
     is_close = F.col("event") == "close"
@@ -158,29 +170,49 @@ def closing_sessions(log: DataFrame, idle: int = IDLE_SECONDS, delay: str | None
     )
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        parts = [np.frombuffer(state.get[0], "<i8").reshape(-1, 4)] if state.exists else []
+        parts = [pa.ipc.open_stream(state.get[0]).read_pandas()] if state.exists else []
         if not state.hasTimedOut:
-            parts += [b[["us", "n", "bytes", "closes"]].to_numpy("int64") for b in batches]
-        seen = pd.DataFrame(
-            np.concatenate(parts), columns=["us", "n", "bytes", "closes"]
-        ).groupby("us", as_index=False).agg({"n": "sum", "bytes": "sum", "closes": "max"})
-        us, n, size, closes = seen.to_numpy("int64").T
+            parts += [b[_HELD] for b in batches]
+        seen = pd.concat(parts, ignore_index=True)
+        # Clients by number in any order, their instants in order of time, one row each.
+        client = seen.groupby(CLIENT, sort=False, dropna=False).ngroup().to_numpy()
+        rows = seen[_HELD[2:]].to_numpy("int64")
+        order = np.lexsort((rows[:, 0], client))
+        client, rows = client[order], rows[order]
+        new = np.flatnonzero(np.r_[True, (np.diff(client) != 0) | (np.diff(rows[:, 0]) != 0)])
+        us, client, source = rows[new, 0], client[new], order[new]
+        n, size = np.add.reduceat(rows[:, 1], new), np.add.reduceat(rows[:, 2], new)
+        closes = np.maximum.reduceat(rows[:, 3], new)
         watermark = state.getCurrentWatermarkMs()
-        done, start, final_us = _settled(us, n, size, closes, idle_us, watermark * 1000)
-        # A close the watermark has not passed may still meet a late request that came before it.
-        held = seen.to_numpy("<i8")[(np.arange(len(us)) >= start) | (us >= watermark * 1000)]
-        if final_us is None and len(held):
-            final_us = int(held[-1, 0])
-        if final_us is None:
-            if state.exists:
-                state.remove()
-        else:
-            state.update((np.ascontiguousarray(held).tobytes(),))
-            state.setTimeoutTimestamp(max(int(final_us) // 1000, watermark))
+        starts = np.flatnonzero(np.r_[True, np.diff(client) != 0])
+        held, finals, done, owner = np.zeros(len(us), bool), [], [], []
+        for lo, hi in zip(starts, np.r_[starts[1:], len(us)]):
+            ended, start, final_us = _settled(
+                us[lo:hi], n[lo:hi], size[lo:hi], closes[lo:hi], idle_us, watermark * 1000)
+            # A close the watermark has not passed may still meet a late request that came before it.
+            held[lo:hi] = (np.arange(hi - lo) >= start) | (us[lo:hi] >= watermark * 1000)
+            if final_us is None and held[lo:hi].any():
+                final_us = us[lo:hi][held[lo:hi]][0]
+            if final_us is not None:
+                finals.append(int(final_us))
+            done += ended
+            owner += [source[lo]] * len(ended)
+        if finals:
+            kept = seen.iloc[source[held]][CLIENT].assign(
+                us=us[held], n=n[held], bytes=size[held], closes=closes[held])
+            table = pa.Table.from_pandas(kept, _HELD_TYPES, preserve_index=False)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema) as out:
+                out.write_table(table)
+            state.update((sink.getvalue().to_pybytes(),))
+            state.setTimeoutTimestamp(max(min(finals) // 1000, watermark))
+        elif state.exists:
+            state.remove()
         if done:
-            yield _finished(key, done)
+            yield _finished(seen.iloc[owner], done)
 
     instants = rows.mapInPandas(_add_up, _INSTANT).withWatermark("ts", delay or f"{idle} seconds")
-    return instants.groupBy(*CLIENT).applyInPandasWithState(
+    dealt = instants.withColumn("share", F.pmod(F.xxhash64(*CLIENT), F.lit(shares)))
+    return dealt.groupBy("share").applyInPandasWithState(
         step, _SESSION, "instants binary", "append", GroupStateTimeout.EventTimeTimeout
     )
