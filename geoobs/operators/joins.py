@@ -230,12 +230,16 @@ def grid_mismatches(transforms: DataFrame, first: str, tolerance: float = 1e-9)
     )
 
 
-def regular_grid(series: DataFrame, station: str, first: str, last: str, step: str, ts: str):
-    """Every slot from ``first`` to ``last`` for each row of ``series``, generated in place."""
-    slots = F.sequence(
-        F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz"), F.expr(step)
-    )
-    return series.select(station, F.explode(slots).alias(ts))
+def regular_grid(
+    series: DataFrame, station: str, first: str | Column, last: str | Column, step: str, ts: str,
+    *more: str,
+):
+    """Every slot from ``first`` to ``last`` for each row of ``series``, generated in place.
+
+    Both may be columns, so that a row has slots of its own; ``more`` names columns to keep."""
+    ends = [c if isinstance(c, Column) else F.lit(c) for c in (first, last)]
+    slots = F.sequence(*[c.cast("timestamp_ntz") for c in ends], F.expr(step))
+    return series.select(station, *more, F.explode(slots).alias(ts))
 
 
 def reindex(grid: DataFrame, obs: DataFrame, keys: list[str]) -> DataFrame:

@@ -9,6 +9,10 @@ timestamp. Raw rows go through ``blocks`` instead.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,6 +64,71 @@ def rolling_trend(
     return out.withColumn(name, F.when(inside, F.col(name)))
 
 
+def rolling_trend_of(
+    obs: DataFrame, series: DataFrame, station: str, day: str, value: str, first: str, n_days: int,
+    name: str = "trend", half: int = 182, segment: int = SEGMENT,
+) -> DataFrame:
+    """``rolling_trend`` of the grid of all days of each of ``series``, made from the observed days alone:
+    ``obs`` has a row for each of them, other days are empty. A series that is null has only empty days.
+
+    Only observations are shuffled, to the segments whose frames they reach; a task lays out one segment
+    at a time. Frames span at most two blocks of their own width, so a mean is the sum of a block's end and
+    of the next one's beginning: no work for each slot of a frame, and nothing is ever subtracted.
+    """
+    frame = 2 * half + 1
+    width = max(segment, 8 * half)
+    n_segments = -(-n_days // width)
+    slot = slot_number(day, first, 86_400)
+    reached = F.sequence(F.floor((slot - half) / width), F.floor((slot + half) / width))
+    seen = obs.filter(F.col(station).isNotNull() & F.col(value).isNotNull()).select(
+        station, F.explode(reached).alias("_segment"),
+        F.struct(slot.alias("i"), F.col(value).cast("double").alias("v")).alias("_o"),
+    ).filter(F.col("_segment").between(0, n_segments - 1))
+    whole = series.select(station).distinct().select(
+        station, F.explode(F.sequence(
+            F.lit(0).cast("bigint"), F.lit(n_segments - 1).cast("bigint"))).alias("_segment"),
+        F.lit(None).cast(seen.schema["_o"].dataType).alias("_o"))
+    cells = seen.unionAll(whole).groupBy(station, "_segment").agg(F.collect_list("_o").alias("_o"))
+    start = np.datetime64(first, "us")
+
+    def sums(x: np.ndarray, m: int) -> np.ndarray:
+        blocks_of = x.reshape(-1, frame)
+        begun = blocks_of.cumsum(1).ravel()[frame - 1:frame - 1 + m]
+        rest = blocks_of[:, ::-1].cumsum(1)[:, ::-1].ravel()[:m]
+        rest[::frame] = 0
+        return rest + begun
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stations, found = batch.column(0), batch.column(2)
+            flat, bounds = found.flatten(), found.offsets.to_numpy() - found.offsets[0].as_py()
+            at, values = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            held, rows = [], 0
+            for k, part in enumerate(batch.column(1).to_pylist()):
+                lo, m = part * width, min(width, n_days - part * width)
+                total = np.zeros(-(-(m + frame - 1) // frame) * frame)
+                filled = np.zeros_like(total)
+                own = slice(bounds[k], bounds[k + 1])
+                place = at[own] - lo + half
+                near = place < len(total)
+                total[place[near]], filled[place[near]] = values[own][near], 1
+                counts, i = sums(filled, m), lo + np.arange(m)
+                empty = (counts == 0) | (i < half) | (i >= n_days - half)
+                mean = sums(total, m) / np.where(counts == 0, 1, counts)
+                held.append((np.full(m, k), i, mean, empty))
+                rows += m
+                if rows >= 1 << 16 or k + 1 == len(batch):
+                    owner, i, mean, empty = (np.concatenate(x) for x in zip(*held))
+                    held, rows = [], 0
+                    yield pa.RecordBatch.from_arrays(
+                        [stations.take(pa.array(owner)),
+                         pa.array(start + i * np.timedelta64(86_400_000_000, "us")),
+                         pa.array(mean, mask=empty)], names=[station, day, name])
+
+    kind = cells.schema[station].dataType.simpleString()
+    return cells.mapInArrow(run, f"`{station}` {kind}, `{day}` timestamp_ntz, `{name}` double")
+
+
 def rolling_day(
     hourly: DataFrame, station: str, ts: str, value: str, name: str = "smooth",
     width: int = 24, min_count: int = 6, seconds: int = 3600, segment: int = SEGMENT,
@@ -151,6 +220,45 @@ def interpolate(
     return near.withColumn(name or value, F.coalesce(F.col(value), fill)).drop("_i", "_p", "_n")
 
 
+def interpolate_of(
+    obs: DataFrame, series: DataFrame, station: str, ts: str, value: str, first: str, last: str,
+    step: str, seconds: int = 3600, limit: int = 168, mode: str = "prefix", segment: int = SEGMENT,
+) -> DataFrame:
+    """``interpolate`` of the grid of all slots of each of ``series``, made from the observed slots alone:
+    ``obs`` has a row for each of them, other slots are empty. A series that is null has only empty slots.
+
+    Observations look up the next one of their series; the slots between are generated behind each of
+    them, so nothing but observations is shuffled or ordered.
+    """
+    from .joins import regular_grid
+
+    seen = obs.filter(F.col(station).isNotNull() & F.col(value).isNotNull()).select(
+        station, F.col(ts).alias("_t"), F.col(value).alias("_v"))
+    ends = [F.lit(t).cast("timestamp_ntz") for t in (first, last)]
+    following = blocks.with_next(
+        seen, [station], "_t", [], {"_t": "_nt", "_v": "_nv"}, seconds * segment)
+    # Slots before the first observation hang on the series, as all do of one without any.
+    began = seen.groupBy(station).agg(F.min("_t").alias("_nt"))
+    head = series.select(station).distinct().join(began, station, "left").select(
+        station, F.lit(None).cast("timestamp_ntz").alias("_t"),
+        F.lit(None).cast(seen.schema["_v"].dataType).alias("_v"), "_nt",
+        F.lit(None).cast(seen.schema["_v"].dataType).alias("_nv"))
+    stretches = following.select(station, "_t", "_v", "_nt", "_nv").unionByName(
+        head.filter(F.col("_nt").isNull() | (F.col("_nt") > ends[0])))
+    before = F.timestamp_add("SECOND", F.lit(-seconds), F.col("_nt"))
+    # Numbers of both ends are taken once for a stretch, not for each of its slots.
+    stretches = stretches.withColumns({
+        "_i": slot_number("_t", first, seconds),
+        "_span": slot_number("_nt", first, seconds) - slot_number("_t", first, seconds)})
+    slots = regular_grid(
+        stretches, station, F.coalesce("_t", ends[0]), F.coalesce(before, ends[1]), step, ts,
+        "_i", "_v", "_span", "_nv").withColumn("_k", slot_number(ts, first, seconds) - F.col("_i"))
+    reach = F.col("_k") if mode == "prefix" else F.col("_span") - 1
+    line = F.col("_v") + (F.col("_nv") - F.col("_v")) * F.col("_k") / F.col("_span")
+    return slots.select(station, ts, F.when(F.col("_k") == 0, F.col("_v")).when(
+        F.col("_span").isNotNull() & (reach <= limit), line).alias(value))
+
+
 def fill_both_ways(
     grid: DataFrame, station: str, ts: str, value: str, name: str | None = None,
     seconds: int = 3600, segment: int = SEGMENT,

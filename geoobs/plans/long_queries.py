@@ -28,16 +28,13 @@ def _span(rows, day: str):
 
 
 def _daily(t, table: str, series: str, day: str, value: str):
-    """A value per series and day on the grid of all days, with its first day and length."""
+    """A value per series and observed day, all series, and the first and last day and length of their
+    grid."""
     rows = t.__getattr__(table).select(
         F.col(series).alias("series"), _day(day).alias("day"), F.col(value).alias("value")
     )
-    first, last, days = _span(rows, "day")
-    means = rows.groupBy("series", "day").agg(F.avg("value").alias("value"))
-    grid = joins.regular_grid(
-        rows.select("series").distinct(), "series", first, last, "INTERVAL 1 DAY", "day"
-    )
-    return joins.reindex(grid, means, ["series", "day"]), first, days
+    means = rows.filter("day IS NOT NULL").groupBy("series", "day").agg(F.avg("value").alias("value"))
+    return means, rows.select("series").distinct(), *_span(rows, "day")
 
 
 def _daily_sql(table: str, series: str, day: str, value: str) -> str:
@@ -57,8 +54,9 @@ _TREND_SQL = f"""WITH {_daily_sql(*_SUPPLIES)}, r AS (
 
 
 def _year_trend(t):
-    daily, first, days = _daily(t, *_SUPPLIES)
-    return windows.rolling_trend(daily, "series", "day", "value", first, days, half=HALF), first
+    means, series, first, _, days = _daily(t, *_SUPPLIES)
+    return windows.rolling_trend_of(
+        means, series, "series", "day", "value", first, days, half=HALF), first
 
 
 @query("rolling_year", _TREND_SQL + " SELECT series, day, round(trend, 6) AS trend FROM r")
@@ -87,8 +85,9 @@ SELECT series, count(v) AS n_filled, round(sum(v), 2) AS total FROM (
 GROUP BY series""")
 def interpolate_168(t):
     """The first 168 slots of every gap between the orders of a customer."""
-    daily, first, _ = _daily(t, *_ORDERS)
-    out = windows.interpolate(daily, "series", "day", "value", first, seconds=86_400, limit=LIMIT)
+    means, series, first, last, _ = _daily(t, *_ORDERS)
+    out = windows.interpolate_of(means, series, "series", "day", "value", first, last,
+                                 "INTERVAL 1 DAY", seconds=86_400, limit=LIMIT)
     return out.groupBy("series").agg(
         F.count("value").alias("n_filled"), F.round(F.sum("value"), 2).alias("total")
     )

@@ -5,9 +5,10 @@ import datetime as dt
 import pandas as pd
 from pyspark.sql import functions as F
 
-from geoobs.operators import passport
+from geoobs.operators import joins, passport, windows
 from geoobs.plans import load, stream_queries
 from geoobs.plans.registry import Tables
+from geoobs.sources import sinks
 from geoobs.streaming import ingest
 from geoobs.streaming import sessions as stream_sessions
 
@@ -138,3 +139,67 @@ def test_closing_sessions_of_many_clients_are_few_calls(spark, tmp_path):
     got = out.groupBy("ip").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("b")).collect()
     assert {r["ip"]: (r["n"], r["b"]) for r in got} == {
         f"c{c}" if c else None: (2, 2 * c) for c in range(50)}
+
+
+def _days(spark, n, series=("a", "b", None)):
+    first = dt.datetime(2000, 1, 1)
+    rows = [(s, first + k * DAY, float(k % 7) / 3 + j) for j, s in enumerate(series) if j != 1
+            for k in range(0, n, 5) if k % 100 < 60]
+    obs = spark.createDataFrame(rows, "series string, day timestamp_ntz, value double")
+    names = spark.createDataFrame([(s,) for s in series], "series string")
+    last = first + (n - 1) * DAY
+    grid = joins.reindex(
+        joins.regular_grid(names, "series", str(first), str(last), "INTERVAL 1 DAY", "day"), obs,
+        ["series", "day"])
+    return obs, names, grid, str(first), str(last)
+
+
+def _cells(df, name):
+    return sorted(((r["series"] or "", r["day"], None if r[name] is None else round(r[name], 9))
+                   for r in df.collect()), key=repr)
+
+
+def test_rolling_trend_of_observations_is_that_of_their_grid(spark):
+    obs, names, grid, first, _ = _days(spark, 700)
+    for half, segment in ((3, 64), (20, 100), (182, 4096)):
+        expected = windows.rolling_trend(grid, "series", "day", "value", first, 700, half=half)
+        out = windows.rolling_trend_of(
+            obs, names, "series", "day", "value", first, 700, half=half, segment=segment)
+        assert _cells(out, "trend") == _cells(expected, "trend")
+        assert "Window" not in _plan(out)
+
+
+def test_interpolation_of_observations_is_that_of_their_grid(spark):
+    obs, names, grid, first, last = _days(spark, 400)
+    for mode, limit in (("prefix", 3), ("prefix", 168), ("whole_gap", 4)):
+        expected = windows.interpolate(
+            grid, "series", "day", "value", first, 86_400, limit, mode).select("series", "day", "value")
+        out = windows.interpolate_of(obs, names, "series", "day", "value", first, last,
+                                     "INTERVAL 1 DAY", 86_400, limit, mode, segment=50)
+        assert _cells(out, "value") == _cells(expected, "value")
+
+
+def test_queries_shuffle_observed_days_only(spark, tmp_path):
+    first = dt.datetime(1995, 1, 1)
+    orders = [(k, k % 200, 1.0, first + (k * 3) * DAY) for k in range(800)]
+    path = _land(spark, tmp_path, orders=(
+        orders, "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz"))
+    out = _run(spark, path, "interpolate_168")
+    plan = _plan(out)
+    # The grid is generated above all exchanges but that of the sums.
+    grid = "explode(sequence(coalesce"
+    assert grid in plan and "Exchange" not in plan[:plan.index(grid)].split("HashAggregate")[-1]
+    assert out.count() == 200
+
+
+def test_passport_store_makes_its_documents_once(spark, tmp_path, monkeypatch):
+    first = dt.datetime(2024, 1, 1)
+    events = [(k, first + dt.timedelta(days=2 * k), k % 3, "view", 0.3, "") for k in range(9)]
+    path = _land(spark, tmp_path, events=(events, EVENT), nation=(
+        [(1, "x")], "n_nationkey int, n_name string"))
+    plans, write = [], sinks.write_passports
+    monkeypatch.setattr(sinks, "write_passports", lambda documents, to: (
+        plans.append(documents._jdf.queryExecution().optimizedPlan().toString()), write(documents, to)))
+    out = _run(spark, path, "passport_store").first()
+    assert (out["n_documents"], out["n_sessions"]) == (9, 9)
+    assert len(plans) == 2 and not any("Aggregate" in p for p in plans)
