@@ -263,7 +263,10 @@ def passport_store(t):
     )
     named = passport.assemble(manifest, none, keys).withColumn(
         "id", F.concat_ws("|", *keys))
-    documents = passport.graph_document(named, "id")
+    # Made once: both writes read them back.
+    made = shared_dir(t.spark, "passport-documents")
+    passport.graph_document(named, "id").select("sha256", "document").write.parquet(made)
+    documents = t.spark.read.schema("sha256 STRING, document STRING").parquet(made)
     for _ in range(2):
         sinks.write_passports(documents, path)
     stored = t.spark.read.schema("file_name STRING, sha256 STRING, document STRING").json(path)
