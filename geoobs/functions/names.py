@@ -29,11 +29,12 @@ def freq_from_name(path: ColumnLike) -> Column:
 def _from(tokens: Column, i: int) -> Column:
     """Tokens from the ``i``-th (from 0) on, put together again; NULL if there is none."""
     rest = F.array_join(F.slice(tokens, F.lit(i + 1), F.greatest(F.size(tokens) - i, F.lit(0))), "_")
-    return F.nullif(rest, F.lit(""))
+    return F.when(rest != "", rest)
 
 
 def _token(tokens: Column, i: int) -> Column:
-    return F.nullif(F.get(tokens, F.lit(i)), F.lit(""))
+    token = F.get(tokens, F.lit(i))
+    return F.when(token != "", token)
 
 
 def _only(text: Column, characters: str) -> Column:
@@ -44,13 +45,23 @@ def _only(text: Column, characters: str) -> Column:
 _DIGITS, _LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 
 
+def flux_tokens(path: ColumnLike) -> Column:
+    """Tokens of a file name between underscores."""
+    return F.split(stem(path), "_")
+
+
 def parse_flux_name(path: ColumnLike) -> Column:
     """Struct of site, product, subset, freq, first and last year and version.
 
     A full name has the prefix, site, product, subset, frequency, years and version between
     underscores; an interim name the prefix, site and everything else as the product.
     """
-    t = F.split(stem(path), "_")
+    return parse_flux_tokens(flux_tokens(path))
+
+
+def parse_flux_tokens(tokens: ColumnLike) -> Column:
+    """What ``parse_flux_name`` reads, from the tokens of a name; a column of them is made once a row."""
+    t = _c(tokens)
     prefix, release = F.upper(F.get(t, F.lit(0))), F.upper(F.get(t, F.lit(2)))
     years = F.split(F.get(t, F.lit(5)), "-")
     first, last = F.get(years, F.lit(0)), F.get(years, F.lit(1))

@@ -50,24 +50,29 @@ def headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 def by_header(lines: DataFrame) -> list[tuple[list[str], DataFrame]]:
     """One DataFrame of text columns for each distinct header in ``lines`` (path, at, line).
 
-    Lines meet the header of their file in a join and are written once, apart by header, so every
-    DataFrame reads its own lines only. The driver sees the distinct headers, never a list of files.
-    Header lines and other lines that do not begin with digits are dropped.
+    Headers are found once and stored, so Spark knows their size when lines meet the header of their file
+    in a join. Lines of several headers are written once, apart by header, so every DataFrame reads its
+    own lines only; lines of one header are left where they are. The driver sees the distinct headers,
+    never a list of files. Header lines and other lines that do not begin with digits are dropped.
     """
     spark = lines.sparkSession
-    named = headers_of(lines).withColumn(
-        "header", F.concat(F.lit("h"), F.hex(F.xxhash64("columns"))))
+    found = shared_dir(spark, "headers")
+    headers_of(lines).withColumn(
+        "header", F.concat(F.lit("h"), F.hex(F.xxhash64("columns")))).write.parquet(found)
+    named = spark.read.schema("path string, columns array<string>, header string").parquet(found)
     kinds = [tuple(r) for r in named.groupBy("header").agg(F.first("columns")).collect()]
-    at = shared_dir(spark, "lines-by-header")
     of_file = named.select(F.col("path").alias("_path"), "header")
-    lines.join(of_file, F.col("path") == F.col("_path")).select(
-        "header", "path", "line").write.partitionBy("header").parquet(at)
-    stored = spark.read.schema("path string, line string, header string").parquet(at)
+    met = lines.join(of_file, F.col("path") == F.col("_path")).select("header", "path", "line")
+    if len(kinds) > 1:
+        at = shared_dir(spark, "lines-by-header")
+        met.write.partitionBy("header").parquet(at)
+        met = spark.read.schema("path string, line string, header string").parquet(at)
     out = []
     for header, columns in sorted(kinds):
-        parsed = F.from_csv("line", _ddl(columns))
-        rows = stored.filter(F.col("header") == header).select("path", parsed.alias("r"))
-        rows = rows.select("r.*", F.col("path").alias("source_file"))
+        # A generator, so that the filter on the first column does not parse lines a second time.
+        parsed = F.inline(F.array(F.from_csv("line", _ddl(columns))))
+        rows = met.filter(F.col("header") == header).select(F.col("path").alias("source_file"), parsed)
+        rows = rows.select(*[F.col(f"`{c.replace('`', '``')}`") for c in rows.columns[1:]], "source_file")
         digits = F.regexp_like(F.trim(F.col(f"`{columns[0]}`")), F.lit("^[0-9]+$"))
         out.append((columns, rows.filter(digits)))
     return out
@@ -95,9 +100,10 @@ def read_archives(
 def convert(df: DataFrame, columns: list[str], freq: str | None = None) -> DataFrame:
     """Wide text rows to the long fact table with site, product, frequency and period."""
     start = "TIMESTAMP_START" if "TIMESTAMP_START" in columns else "TIMESTAMP"
-    info = names.parse_flux_name("source_file")
+    info = names.parse_flux_tokens("_tokens")
     code = F.lit(freq) if freq else F.coalesce(names.freq_from_name("source_file"), F.lit("HH"))
-    base = df.withColumns({
+    # Tokens are a column of their own, so that a name is taken apart once for each row.
+    base = df.withColumn("_tokens", names.flux_tokens("source_file")).withColumns({
         "site_id": info["site_id"], "product": info["product"], "freq": code,
         "ts_start": clean.parse_flux_time(start),
     })

@@ -28,6 +28,9 @@ from ..operators.keys import join_null_safe
 FILE = "source_file"
 # Names of the store's own columns; rows must not have them.
 ATTEMPT, VERSION = "attempt", "version"
+SORT_KEY = "_sort_key"
+# Bits of a sort key that hold seconds since year 1; the others hold a hash.
+SECOND_BITS = 39
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -40,8 +43,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 class Store:
     """A store at ``path``. ``entity`` names the key column of what can be removed as a whole, ``file``
     the one with the name of the file that a row came in. Rows of equal ``cluster`` lie together and
-    are ordered by it and ``order``, so that filters on these skip files and row groups; a dominant
-    cluster is still spread over several files."""
+    are ordered by ``order``, so that filters on these skip files and row groups; a dominant cluster is
+    still spread over several files. Where the last column of ``order`` is a timestamp, rows of equal
+    columns before it lie together, ordered by its second; two such groups may rarely share a hash, and
+    then lie mixed."""
 
     path: str
     entity: str
@@ -63,7 +68,16 @@ class Store:
     def _laid_out(self, df: DataFrame) -> DataFrame:
         if not self.cluster:
             return df
-        return df.hint("rebalance", *self.cluster).sortWithinPartitions(*self.cluster, *self.order)
+        dealt = df.hint("rebalance", *self.cluster)
+        *before, last = [*self.cluster, *self.order]
+        if not self.order or df.schema[last].dataType.typeName() not in ("timestamp", "timestamp_ntz"):
+            return dealt.sortWithinPartitions(*before, last)
+        # One number, which Spark sorts by its digits; strings would be compared row by row.
+        hashed = F.pmod(F.xxhash64(*before), F.lit(1 << (62 - SECOND_BITS)))
+        second = F.timestamp_diff("SECOND", F.expr("timestamp_ntz'0001-01-01 00:00:00'"),
+                                  F.col(last).cast("timestamp_ntz"))
+        key = F.shiftleft(hashed, SECOND_BITS) + F.coalesce(second, F.lit(0).cast("bigint"))
+        return dealt.withColumn(SORT_KEY, key).sortWithinPartitions(SORT_KEY).drop(SORT_KEY)
 
     def exists(self, spark: SparkSession) -> bool:
         return path_exists(spark, self._commits)

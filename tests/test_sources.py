@@ -35,6 +35,47 @@ def test_flux_files_with_wrapped_header(spark, tmp_path):
     assert {r["site_id"] for r in rows} == {"SE-Svb"}
 
 
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_of_one_header_are_parsed_once(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(flux_csv, "shared_dir",
+                        lambda _, purpose: made.append(purpose) or str(tmp_path / "made" / purpose))
+    for site in ("SE-Svb", "DE-Tha"):
+        (tmp_path / f"ICOSETC_{site}_FLUXNET_DD_L2.csv").write_text(
+            'TIMESTAMP,TA_F\n 20200101 ,4\n"20200102",5\nnone,6\n,7\n')
+    (tmp_path / "blank.csv").write_text("\n\n")
+    ((columns, wide),) = flux_csv.read_all(spark, str(tmp_path / "*.csv"))
+    assert wide.columns == ["TIMESTAMP", "TA_F", "source_file"]
+    long = flux_csv.convert(wide, columns, "DD")
+    got = sorted((r["site_id"], r["freq"], str(r["ts_start"]), r["value"]) for r in long.collect())
+    assert got == [(site, "DD", f"2020-01-0{d} 00:00:00", 3.0 + d)
+                   for site in ("DE-Tha", "SE-Svb") for d in (1, 2)]
+    # Headers are found once, lines of one header are not written again, nor lines and names read twice.
+    assert made == ["headers"]
+    assert (_plan(long).count("from_csv"), _plan(long).count("regexp_replace")) == (1, 1)
+
+
+def test_store_is_laid_out_by_one_number(spark, tmp_path):
+    rows = [("DD", "main", site, variable, f"20{y:02d}-01-01 00:00:0{y % 2}", "f", float(y))
+            for y in (1, 30, 2, 99, 3) for variable in ("TA", "NEE") for site in ("a", None)]
+    rows.append(("DD", "main", "a", "TA", None, "f", 0.0))
+    df = spark.createDataFrame(
+        rows, "freq string, product_group string, site_id string, variable string, ts string, "
+        "source_file string, value double").withColumn("ts_start", F.expr("CAST(ts AS TIMESTAMP_NTZ)"))
+    store = sinks.flux_store(str(tmp_path / "store"))
+    assert "Sort [_sort_key" in _plan(store._laid_out(df))
+    store.append(df.repartition(3))
+    assert store.read(spark).columns.count("_sort_key") == 0
+    held = [(r["site_id"], r["variable"], str(r["ts"] or "")) for r in store.read(spark).collect()]
+    assert sorted(held, key=repr) == sorted(((r[2], r[3], r[4] or "") for r in rows), key=repr)
+    groups = [h[:2] for h in held]
+    assert sum(a != b for a, b in zip(groups, groups[1:])) == len(set(groups)) - 1
+    assert all(a <= b for a, b in zip(held, held[1:]) if a[:2] == b[:2])
+
+
 def test_reingest_replaces_a_site(spark, tmp_path):
     rows = flux_csv.read_all(spark, _flux_files(tmp_path))
     target = str(tmp_path / "store")
