@@ -140,6 +140,7 @@ def _zipped(rows, path: str) -> None:
         import zipfile
 
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         class Pipe(io.RawIOBase):
             def __init__(self):
@@ -165,7 +166,13 @@ def _zipped(rows, path: str) -> None:
         name = pipe = z = out = None
         member, n = None, 0
         for batch in batches:
-            for a, m, line in zip(*[batch.column(c).to_pylist() for c in (0, 1, 3)]):
+            # Lines of one member in a batch are put together before they are packed.
+            ends = pc.run_end_encode(
+                pc.binary_join_element_wise(batch.column(0).cast(pa.string()), batch.column(1), "/")
+            ).run_ends.to_pylist()
+            texts = pc.binary_join(pa.ListArray.from_arrays([0, *ends], batch.column(3)), "\n")
+            for at, text in zip([0, *ends], texts):
+                a, m = batch.column(0)[at].as_py(), batch.column(1)[at].as_py()
                 if a != name:
                     if z is not None:
                         out.close()
@@ -178,7 +185,7 @@ def _zipped(rows, path: str) -> None:
                     if member is not None:
                         out.close()
                     out, member = z.open(m, "w"), m
-                out.write(line.encode() + b"\n")
+                out.write(text.as_py().encode() + b"\n")
             if pipe is not None:
                 done = ready(pipe, name, n)
                 n += done.num_rows
@@ -222,7 +229,7 @@ def archive_rows(t):
     heads = rows.select("archive", "member").distinct().select(
         "archive", "member", F.lit(0).alias("ord"),
         F.lit("TIMESTAMP,NEE_VUT_REF,NEE_VUT_REF_QC,TA_F").alias("value"))
-    notes = rows.select("archive").distinct().select(
+    notes = heads.select("archive").distinct().select(
         "archive", F.lit("deep/README.csv").alias("member"), F.lit(0).alias("ord"),
         F.lit("no,product").alias("value"))
     _zipped(rows.unionByName(heads).unionByName(notes), landed)

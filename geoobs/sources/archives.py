@@ -188,8 +188,7 @@ class _Member:
         for at in range(0, len(whole), LINES):
             part = [x.rstrip(b"\r").decode("utf-8", "replace") for x in whole[at:at + LINES]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([self.row["archive"]] * len(part), pa.string()),
-                 pa.array([self.row["member"]] * len(part), pa.string()),
+                [pa.repeat(self.row["archive"], len(part)), pa.repeat(self.row["member"], len(part)),
                  pa.array(range(self.n, self.n + len(part)), pa.int64()),
                  pa.array(part, pa.string())], names=["archive", "member", "line_no", "line"])
             self.n += len(part)

@@ -90,11 +90,15 @@ def read_all(spark: SparkSession, paths: list[str] | str) -> list[tuple[list[str
 def read_archives(
     spark: SparkSession, paths: list[str] | str
 ) -> list[tuple[list[str], DataFrame]]:
-    """One DataFrame of text columns for each distinct header of the product members of archives."""
-    lines = archive_lines(spark, paths)
-    return by_header(lines.select(
+    """One DataFrame of text columns for each distinct header of the product members of archives.
+
+    Members are inflated once and their lines stored, for headers and lines are both read from them.
+    """
+    inflated = shared_dir(spark, "archive-lines")
+    archive_lines(spark, paths).select(
         F.concat_ws("/", "archive", "member").alias("path"), F.col("line_no").alias("at"), "line"
-    ))
+    ).write.parquet(inflated)
+    return by_header(spark.read.schema("path string, at bigint, line string").parquet(inflated))
 
 
 def convert(df: DataFrame, columns: list[str], freq: str | None = None) -> DataFrame:

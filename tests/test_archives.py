@@ -7,7 +7,8 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from geoobs.sources import archives
+from geoobs.plans import store_queries
+from geoobs.sources import archives, flux_csv
 
 
 def _lines(spark, path, wanted="true"):
@@ -119,3 +120,43 @@ def test_no_value_holds_an_archive(spark, tmp_path):
     rows = archives.byte_rows(spark, str(tmp_path))
     longest = rows.agg(F.max(F.octet_length("bytes"))).first()[0]
     assert longest < (tmp_path / "r.zip").stat().st_size / 50
+
+
+def test_lines_are_inflated_once(spark, tmp_path):
+    for a in range(2):
+        with zipfile.ZipFile(tmp_path / f"z{a}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+            for site, name in (("A-1", "TA_F"), ("B-1", "P_F")):
+                z.writestr(f"deep/ICOSETC_{site}_FLUXNET_DD_L2.csv",
+                           f"TIMESTAMP,{name}\n20200101,{a}\n20200102,5\n")
+            z.writestr("README.csv", "no,product\n")
+    read = flux_csv.read_archives(spark, str(tmp_path / "*.zip"))
+    assert sorted(columns[1] for columns, _ in read) == ["P_F", "TA_F"]
+    for columns, rows in read:
+        assert sorted(r[columns[1]] for r in rows.collect()) == ["0", "1", "5", "5"]
+        # Rows come from stored lines: no archive is read or inflated again for them.
+        assert "MapInArrow" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_one_header_is_read_from_stored_lines(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "z.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("ICOSETC_A-1_FLUXNET_DD_L2.csv", "TIMESTAMP,TA_F\n20200101,1\n")
+    ((_, rows),) = flux_csv.read_archives(spark, str(tmp_path / "*.zip"))
+    assert [r["TA_F"] for r in rows.collect()] == ["1"]
+    # The stored lines themselves: they were not written a second time.
+    assert all("archive-lines" in f for f in rows.inputFiles() if "headers" not in f)
+
+
+def test_landed_archives_hold_their_lines(spark, tmp_path):
+    rows = [(a, f"m{m}", i, f"{a},é{m},{i}") for a in range(2) for m in range(3) for i in range(20 * m + 1)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        store_queries._zipped(spark.createDataFrame(
+            rows, "archive long, member string, ord int, value string"), str(tmp_path / "z"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for a in range(2):
+        (file,) = (tmp_path / "z" / f"archive={a}").glob("*.txt")
+        with zipfile.ZipFile(file) as z:
+            for m in range(3):
+                want = "".join(r[3] + "\n" for r in rows if r[:2] == (a, f"m{m}"))
+                assert z.read(f"m{m}").decode() == want
