@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .common import bytes_of, col
+from .common import bytes_of, col, rows_of
 from .units import Remembered, split_units
 
 MAGIC = b"DAC1"
@@ -31,8 +31,10 @@ RANK_BITS = 512
 SEGMENT_IDS = 1 << 18
 # Positions of one list of lookups.
 LIST = 1 << 12
-# Units and pre-tokens whose ids a worker remembers; bounds its memory, not what is encoded.
+# Units and pre-tokens whose ids a worker remembers, and their characters; bounds its memory, not what
+# is encoded.
 REMEMBERED = 300_000
+REMEMBERED_CHARACTERS = 1 << 23
 
 
 # --- codes -----------------------------------------------------------------------------------
@@ -118,12 +120,27 @@ class Codes:
 # --- encoding --------------------------------------------------------------------------------
 
 
+class Kept(Remembered):
+    """Remembered ids that count the characters of their keys."""
+
+    held = 0
+
+    def __missing__(self, key):
+        self.held += len(key)
+        value = self[key] = self.make(key)
+        return value
+
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
+
+
 class Encoder:
     """Ids of the tokenizers library as packed little-endian 32-bit integers.
 
-    Units of a text are encoded independently of each other by byte-level BPE, so the library is
-    asked once for each unit that recurs. Vocabularies of another kind, and texts that hold an added
-    token, go to the library whole.
+    Pre-tokens are encoded independently of each other by byte-level BPE, so the library is asked once
+    for each that recurs. Texts of Latin characters are cut into pre-tokens at once, others first into
+    units. Vocabularies of another kind, and texts that hold an added token, go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -134,15 +151,21 @@ class Encoder:
         if self.counter.direct:
             size = self.library.get_vocab_size()
             self.bytes = [i.to_bytes(4, "little") for i in range(size)]
-            self.merged = Remembered(self.merge, REMEMBERED)
-            self.units = Remembered(self.after_blank, REMEMBERED)
+            self.merges = self.library.model.tokenize
+            self.latin = Kept(self.merge_latin, REMEMBERED)
+            self.merged = Kept(self.merge, REMEMBERED)
+            self.units = Kept(self.after_blank, REMEMBERED)
 
     def whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
     def merge(self, pretoken: str) -> bytes:
-        return b"".join([self.bytes[t.id] for t in self.library.model.tokenize(pretoken)])
+        ids = self.bytes
+        return b"".join([ids[t.id] for t in self.merges(pretoken)])
+
+    def merge_latin(self, pretoken: str) -> bytes:
+        return self.merge(self.counter.pretokens.in_bytes(pretoken))
 
     def after_blank(self, unit: str) -> bytes:
         found = self.counter.pretokens.after_blank(unit)
@@ -150,12 +173,22 @@ class Encoder:
             return self.merge(found[0])
         return b"".join(map(self.merged.__getitem__, found))
 
+    def trim(self) -> None:
+        every = self.latin, self.merged, self.units
+        for kept in every:
+            kept.trim()
+        if sum(kept.held for kept in every) > REMEMBERED_CHARACTERS:
+            for kept in every:
+                kept.clear()
+
     def encode(self, text: str) -> bytes:
         if not self.counter.direct or any(s in text for s in self.counter.special):
             return self.whole(text)
+        self.trim()
+        pretokens = self.counter.pretokens.latin(text)
+        if pretokens is not None:
+            return b"".join(map(self.latin.__getitem__, pretokens))
         first, *rest = split_units(text)
-        self.units.trim()
-        self.merged.trim()
         head = b"".join(map(self.merge, self.counter.pretokens(first)))
         return head + b"".join(map(self.units.__getitem__, rest))
 
@@ -214,7 +247,7 @@ def write(
 
         size = 0
         for batch in batches:
-            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, raw in zip(batch.column(0).to_pylist(), rows_of(batch.column(1))):
                 ids = enc.encode(raw.decode("utf-8", "replace")) + end
                 held.append(ids)
                 docs.append(doc)

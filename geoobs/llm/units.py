@@ -51,6 +51,18 @@ class Pretokens:
         return [p.encode().decode("latin-1").translate(self.letters)
                 for p in _LATIN_PRETOKENS.findall(text)]
 
+    def latin(self, text: str) -> list[str] | None:
+        """Pre-tokens of a text in its own characters; none for a text beyond the Latin ones."""
+        if text.isascii() or _LATIN.fullmatch(text) is not None:
+            return _LATIN_PRETOKENS.findall(text)
+        return None
+
+    def in_bytes(self, pretoken: str) -> str:
+        """A pre-token of ``latin`` in the byte alphabet."""
+        if pretoken.isascii():
+            return pretoken.translate(self.letters)
+        return pretoken.encode().decode("latin-1").translate(self.letters)
+
     def after_blank(self, unit: str) -> list[str]:
         """Pre-tokens of a blank and a unit."""
         if unit.isascii() and unit.isalpha():

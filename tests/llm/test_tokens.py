@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from geoobs.llm import bpe, token_counts, token_store
+from geoobs.llm import bpe, token_counts, token_store, units
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -147,3 +147,26 @@ def test_store_keeps_repeated_and_null_ids(spark):
     rows = sorted(token_store.read_documents(spark, path).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in rows] == [None, 1, 1, 1]
     assert [r.start for r in rows] == [0, 2, 4, 6]
+
+
+def test_store_asks_for_a_pretoken_once(monkeypatch):
+    asked, merge = [], token_store.Encoder.merge
+
+    def counted(self, pretoken):
+        asked.append(pretoken)
+        return merge(self, pretoken)
+
+    monkeypatch.setattr(token_store.Encoder, "merge", counted)
+    encoder = token_store.Encoder(VOCABULARY)
+    for text in ("so aqua aqua, niño (aqua", "so niño! aqua. aqua; (niño"):
+        assert encoder.encode(text) == encoder.whole(text)
+    assert len(asked) == len(set(asked))
+
+
+def test_store_remembers_few_characters():
+    rng, encoder = random.Random(5), token_store.Encoder(VOCABULARY)
+    for letters in ("abcde", "абвгд"):
+        encoder.encode(" ".join("".join(rng.choices(letters, k=3000)) for _ in range(1500)))
+    encoder.encode("end")
+    held = [d for d in vars(encoder).values() if isinstance(d, units.Remembered)]
+    assert sum(len(key) for d in held for key in d) < 1 << 23
