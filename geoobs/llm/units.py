@@ -28,6 +28,8 @@ _LATIN_PRETOKENS = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_W}{_L}{_N}]+|[{_W}]+(?![^{_W}])|[{_W}]+"
 )
 _LATIN = re.compile(f"[\\x00-\\u{_LAST:04x}]*")
+# With dashes, curly quotes and the ellipsis, which are neither letters, digits nor blanks.
+_LATIN_TEXT = re.compile(f"[\\x00-\\u{_LAST:04x}\\u2010-\\u2027]*")
 
 
 class Pretokens:
@@ -37,7 +39,7 @@ class Pretokens:
         self.library = library.pre_tokenizer.pre_tokenize_str
         # The alphabet, read off the library character by character.
         letters = {}
-        for c in range(_LAST + 1):
+        for c in (*range(_LAST + 1), 0x2010):
             for byte, letter in zip(chr(c).encode(), "".join(p for p, _ in self.library(chr(c)))):
                 letters[byte] = letter
         self.letters = letters
@@ -52,8 +54,8 @@ class Pretokens:
                 for p in _LATIN_PRETOKENS.findall(text)]
 
     def latin(self, text: str) -> list[str] | None:
-        """Pre-tokens of a text in its own characters; none for a text beyond the Latin ones."""
-        if text.isascii() or _LATIN.fullmatch(text) is not None:
+        """Pre-tokens of a text in its own characters; none for a text beyond the Latin ones and marks."""
+        if text.isascii() or _LATIN_TEXT.fullmatch(text) is not None:
             return _LATIN_PRETOKENS.findall(text)
         return None
 

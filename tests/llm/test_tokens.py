@@ -170,3 +170,14 @@ def test_store_remembers_few_characters():
     encoder.encode("end")
     held = [d for d in vars(encoder).values() if isinstance(d, units.Remembered)]
     assert sum(len(key) for d in held for key in d) < 1 << 23
+
+
+def test_store_cuts_texts_with_marks_at_once():
+    encoder = token_store.Encoder(VOCABULARY)
+    for mark in map(chr, range(0x2010, 0x2028)):
+        text = f"{mark}a {mark}é{mark}{mark} 1{mark}s \n{mark} .{mark}'s{mark} {mark}"
+        assert encoder.encode(text) == encoder.whole(text)
+    assert not encoder.units
+    for other in "\u2000\u200b\u200f\u2028\u2029\u202f\u2030あ":
+        text = f"a {other}é{other} 1{other}\n"
+        assert encoder.encode(text) == encoder.whole(text)
